@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontaminate, shards
+from cadenza.llm import decontaminate, packing, shards, token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,13 +18,30 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens."""
+    return packing.pack_documents(_read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), 4096)
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of every document."""
+    out = token_counts.count_tokens(_read(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+    return out.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain at least 0.8 of a benchmark item's five-word shingles."""
     return decontaminate.containments(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), 0.8)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_sharding, op10_decontamination)}
+    return {f.__name__: f for f in (op2_sharding, op4_packing, op9_token_counts, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -117,13 +117,13 @@ def group_shards(groups: DataFrame, k: int) -> DataFrame:
     return state.select("h", F.col("place").alias("shard"))
 
 
-def number_rows(df: DataFrame, key: str, order: list[str], rows: int, name: str = "slot") -> DataFrame:
+def number_rows(df: DataFrame, key: str, order: list[str], rows: int, name: str = "slot", lane: int = LANE) -> DataFrame:
     """A gapless number from 0 within each value of ``key``, without a window over all rows of a value.
 
     Lanes cut each value by a hash of the ``order`` columns; a row's number is the rows of the lanes
-    before its own plus its rank in its lane. ``rows``: about how many rows there are.
+    before its own plus its rank in its lane. ``rows``: about how many rows there are; ``lane``: those of a lane over all values.
     """
-    lanes = max(1, rows // LANE)
+    lanes = max(1, rows // lane)
     df = df.withColumn("_lane", F.pmod(F.xxhash64(*order), F.lit(lanes)))
     counts = df.groupBy(key, "_lane").agg(F.count("*").alias("_n"))
     before = counts.select(key, "_lane", (F.sum("_n").over(Window.partitionBy(key).orderBy("_lane")) - F.col("_n")).alias("_before"))
