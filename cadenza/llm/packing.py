@@ -38,7 +38,9 @@ from cadenza.llm.token_counts import WordEncoder, frequent
 LIMIT = 4096
 END = 1
 #: Rounds of multiplicative weights, and how much of a filling's largest possible use one round adds.
-ROUNDS, STEP, RATE = 500, 0.5, 4.0
+ROUNDS, STEP, RATE = 300, 0.5, 4.0
+#: Common lengths start with a higher weight, so that early fillings can be used often.
+PRIOR = 0.05
 #: Rows that one numbering window covers over all lengths.
 LANE = 2_000_000
 PIECES = T.StructType(
@@ -75,17 +77,14 @@ def cut_documents(documents: DataFrame, path: str, limit: int = LIMIT) -> DataFr
 
 def dearest(price: np.ndarray, capacity: int) -> dict[int, int]:
     """Knapsack: the filling (length -> times) of the highest total price; price[l] is that of length l, 0 where there is none."""
-    lengths = np.flatnonzero(price[: capacity + 1] > 0)[::-1]  # of equal sums, the one with the longest piece
     best, took = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    value = price[lengths]
-    skip = len(lengths) - np.searchsorted(lengths[::-1], np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
-        best[c] = best[c - 1]
-        if (k := skip[c]) < len(lengths):
-            sums = value[k:] + best[c - lengths[k:]]
-            j = int(sums.argmax())
-            if sums[j] > best[c]:
-                best[c], took[c] = sums[j], lengths[k + j]
+        sums = price[c:0:-1] + best[:c]  # of lengths c, c - 1, ...: of equal sums, the one with the longest piece
+        j = int(sums.argmax())
+        if sums[j] > best[c - 1]:
+            best[c], took[c] = sums[j], c - j
+        else:
+            best[c] = best[c - 1]
     out: dict[int, int] = {}
     c = capacity
     while c > 0:
@@ -109,9 +108,10 @@ def fillings(histogram: dict[int, int], limit: int = LIMIT, rounds: int = ROUNDS
     some = left > 0
     if some.any():
         used, total = {}, np.zeros(limit + 1)
+        prior = np.flatnonzero(some) * left[some] ** PRIOR
         for _ in range(rounds):
             price = np.zeros(limit + 1)
-            price[some] = np.flatnonzero(some) * np.exp(-RATE * total[some] / left[some])
+            price[some] = prior * np.exp(-RATE * total[some] / left[some])
             filling = {k: int(min(v, left[k])) for k, v in dearest(price, limit).items()}
             add = STEP * min(left[k] / v for k, v in filling.items())
             key = tuple(sorted(filling.items()))
@@ -120,8 +120,8 @@ def fillings(histogram: dict[int, int], limit: int = LIMIT, rounds: int = ROUNDS
                 total[k] += add * v
         scale = max(1e-12, (total[some] / left[some]).max())
         for key, x in sorted(used.items(), key=lambda kv: (-kv[1], kv[0])):
-            # Fillings that leave more than 1 % of a sequence free are left to best fit.
-            if sum(k * v for k, v in key) >= 0.99 * limit and (times := min(int(x / scale), *(int(left[k] // v) for k, v in key))) > 0:
+            # Fillings that leave room are left to best fit.
+            if sum(k * v for k, v in key) == limit and (times := min(int(x / scale), *(int(left[k] // v) for k, v in key))) > 0:
                 plan.append((times, dict(key)))
                 for k, v in key:
                     left[k] -= times * v
