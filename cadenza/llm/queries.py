@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontaminate, packing, shards, token_counts
+from cadenza.llm import decontaminate, jaccard, packing, shards, token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document at a Jaccard similarity of 0.8 of five-word shingles."""
+    return jaccard.join_documents(_read(spark, sf_dir, "documents"))
+
+
 def _vocabulary(name: str) -> str:
     import public_tokenizers
 
@@ -41,7 +46,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_sharding, op4_packing, op9_token_counts, op10_decontamination)}
+    return {f.__name__: f for f in (op2_sharding, op3_jaccard_join, op4_packing, op9_token_counts, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
