@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontaminate, jaccard, packing, shards, token_counts
+from cadenza.llm import decontaminate, jaccard, packing, shards, substrings, token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,6 +34,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), 4096)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words that windows of 50 words share with a smaller doc_id."""
+    out = substrings.dedup_substrings(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tokens of every document."""
     out = token_counts.count_tokens(_read(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
@@ -46,7 +52,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_sharding, op3_jaccard_join, op4_packing, op9_token_counts, op10_decontamination)}
+    return {f.__name__: f for f in (op2_sharding, op3_jaccard_join, op4_packing, op5_substring_dedup, op9_token_counts, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
