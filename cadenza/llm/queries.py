@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontaminate, jaccard, packing, shards, substrings, token_counts
+from cadenza.llm import decontaminate, jaccard, packing, pii, shards, substrings, token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and places of the base kinds, and all places."""
+    out = pii.find_pii(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["k"] < pii.BASE)
+    counts = [F.size(F.filter("pii", pii.is_kind(kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS[: pii.BASE]]
+    return out.select("doc_id", *counts, F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("pii")).alias("spans"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards by Karmarkar-Karp differencing, equal texts together."""
     out = shards.shard_documents(_read(spark, sf_dir, "documents"), 24)
@@ -52,7 +60,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_sharding, op3_jaccard_join, op4_packing, op5_substring_dedup, op9_token_counts, op10_decontamination)}
+    return {f.__name__: f for f in (op1_pii, op2_sharding, op3_jaccard_join, op4_packing, op5_substring_dedup, op9_token_counts, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
