@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from cadenza.llm.scratch import materialize
 from cadenza.llm.shards import number_rows
-from cadenza.llm.token_counts import WordEncoder, frequent
+from cadenza.llm.token_counts import WordEncoder, blocks, frequent, in_worker
 
 LIMIT = 4096
 END = 1
@@ -56,15 +56,15 @@ PIECES = T.StructType(
 
 def cut_documents(documents: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """The pieces of every document: doc_id, piece, start, length, ids_crc32 (no ids; they can be encoded again)."""
-    words = frequent(documents, lambda: WordEncoder(path))
-    table = documents.sparkSession.sparkContext.broadcast(dict(zip(words, WordEncoder(path)._encode_words(words), strict=True)))
+    table = documents.sparkSession.sparkContext.broadcast(frequent(documents, WordEncoder(path)))
     end = struct.pack("<I", END)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path, table.value)
+        encoder = in_worker(WordEncoder, path, table.value)
         for batch in batches:
             rows: list[tuple] = []
-            for d, ids in zip(batch.column(0).to_pylist(), encoder.ids([t or "" for t in batch.column(1).to_pylist()]), strict=True):
+            encoded = (ids for texts in blocks([t or "" for t in batch.column(1).to_pylist()]) for ids in encoder.ids(texts))
+            for d, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * limit)):
                     part = ids[at : at + 4 * limit]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontaminate, jaccard, packing, pii, shards, substrings, token_counts
+from cadenza.llm import decontaminate, embeddings, jaccard, packing, pii, shards, substrings, token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -48,6 +48,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors linked at a cosine of 0.9 or more, whatever their labels."""
+    out = embeddings.near_duplicates(_read(spark, sf_dir, "embeddings"), 0.9)
+    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tokens of every document."""
     out = token_counts.count_tokens(_read(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
@@ -60,7 +66,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii, op2_sharding, op3_jaccard_join, op4_packing, op5_substring_dedup, op9_token_counts, op10_decontamination)}
+    return {f.__name__: f for f in (op1_pii, op2_sharding, op3_jaccard_join, op4_packing, op5_substring_dedup, op6_embedding_dedup, op9_token_counts, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -16,7 +16,7 @@ What a pre-token is depends on the library, and the split is exact for the publi
 Both conditions on the vocabulary are tested when an encoder is built; where one doesn't hold, all
 texts go to the library whole.
 
-The table of frequent pre-tokens is read from at most SAMPLE_DOCS documents and has at most TABLE
+The table of frequent pre-tokens is read from at most SAMPLE_DOCS short documents and has at most TABLE
 entries. It changes the speed only: what it lacks is encoded.
 
 Cases: null and empty texts have 0 tokens. Any length is encoded whole. Repeated rows are counted each;
@@ -36,16 +36,61 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SAMPLE_DOCS = 2_000
+SAMPLE_DOCS, SAMPLE_BYTES = 512, 1 << 15
 TABLE = 1 << 15
-#: Pre-tokens that a worker keeps; beyond it the cache starts anew.
-CACHE = 1 << 19
+#: Pre-tokens of a generation of a worker's cache; when one is full, the one before it goes.
+CACHE = 1_000_000
+#: Characters that are split and looked up at once.
+BLOCK = 1 << 20
 #: A longer pre-token isn't kept.
 KEEP = 64
 MARK = "▁"
 
 
-class PieceCounter:
+_WORKER: dict[tuple, object] = {}
+
+
+def in_worker(make, path: str, table: dict):
+    """This Python worker's encoder, whose cache outlives a task."""
+    key = make, path
+    if key not in _WORKER:
+        _WORKER[key] = make(path, table)
+    return _WORKER[key]
+
+
+def blocks(texts: list[str]) -> Iterator[list[str]]:
+    """Runs of texts of about BLOCK characters; a longer text is a run of its own."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text) > BLOCK:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
+
+
+class _Cached:
+    """Two generations of what pre-tokens encode to, over a fixed table of the frequent ones."""
+
+    def _start(self, table: dict) -> None:
+        self.table, self.cache, self.old = table, dict(table), {}
+
+    def _fill(self, lists: list[list[str]]) -> list[str]:
+        """Look up or encode what the cache lacks; returns words too long to keep, to be dropped after use."""
+        if len(self.cache) > CACHE + len(self.table):
+            self.old, self.cache = self.cache, dict(self.table)
+        cache, old = self.cache, self.old
+        missed = set(chain.from_iterable(lists)).difference(cache)
+        again = [w for w in missed if w in old]
+        cache.update(zip(again, map(old.__getitem__, again), strict=True))
+        new = list(missed.difference(again))
+        cache.update(zip(new, self._encode_words(new), strict=True))
+        return [w for w in new if len(w) > KEEP]
+
+
+class PieceCounter(_Cached):
     """Token counts by sentencepiece, without begin and end tokens."""
 
     def __init__(self, path: str, table: dict[str, int] | None = None):
@@ -54,8 +99,7 @@ class PieceCounter:
         self.lib = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.lib.id_to_piece(i) for i in range(self.lib.get_piece_size())]
         self.splits = not any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces) and self._plain()
-        self.table = (table or {}) | {"": 1}  # a lone mark at the end of a text
-        self.cache: dict[str, int] = dict(self.table)
+        self._start((table or {}) | {"": 1})  # a lone mark at the end of a text
 
     def _plain(self) -> bool:
         """Whether white space and compatible forms are kept as they are, so that blanks alone part words."""
@@ -67,7 +111,7 @@ class PieceCounter:
             return [m[1:] for m in re.findall(f"{MARK}+[^{MARK}]*", MARK + text.replace(" ", MARK))]
         return parts
 
-    def _encode(self, words: list[str]) -> list[int]:
+    def _encode_words(self, words: list[str]) -> list[int]:
         return [len(x) for x in self.lib.encode([w.replace(MARK, " ") for w in words], num_threads=1)]
 
     def count(self, texts: list[str]) -> list[int]:
@@ -81,20 +125,15 @@ class PieceCounter:
                 out[i] = len(self.lib.encode(text))
             elif text:
                 cut.append((i, self.split(text)))
-        if len(self.cache) > CACHE:
-            self.cache = dict(self.table)
-        cache = self.cache
-        missed = list(set(chain.from_iterable(words for _, words in cut)).difference(cache))
-        cache.update(zip(missed, self._encode(missed), strict=True))
+        long = self._fill([words for _, words in cut])
         for i, words in cut:
-            out[i] = sum(map(cache.__getitem__, words))
-        for w in missed:
-            if len(w) > KEEP:
-                del cache[w]
+            out[i] = sum(map(self.cache.__getitem__, words))
+        for w in long:
+            del self.cache[w]
         return out
 
 
-class WordEncoder:
+class WordEncoder(_Cached):
     """Token ids by tokenizers as little-endian 32-bit bytes, no special tokens added.
 
     A run between blanks is looked up; a run that isn't known is cut by the vocabulary's own pattern and
@@ -120,8 +159,7 @@ class WordEncoder:
                 self.splits, self.pattern = True, regex.compile(pattern)
         normal = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         self.splits = self.splits and normal == ["NFC", "Replace", "Lowercase"]
-        self.table = table or {}
-        self.cache: dict[str, bytes] = dict(self.table)
+        self._start(table or {})
         self.parts: dict[str, bytes] = {}
 
     def split(self, text: str) -> list[str]:
@@ -135,7 +173,7 @@ class WordEncoder:
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         cut = [self.pattern.findall(w.lower()) if w.isprintable() and (w.isascii() or max(w) < "\u0250" and "\u0130" not in w) else [w] for w in words]
-        if len(self.parts) > CACHE // 2:
+        if len(self.parts) > CACHE:
             self.parts = {}
         parts = self.parts
         missed = [p for p in dict.fromkeys(p for c in cut for p in c) if p not in parts]
@@ -154,35 +192,25 @@ class WordEncoder:
                 out[i] = self._encode([text])[0]
             else:
                 cut.append((i, self.split(text)))
-        if len(self.cache) > CACHE:
-            self.cache = dict(self.table)
-        cache = self.cache
-        missed = list(set(chain.from_iterable(words for _, words in cut)).difference(cache))
-        new = dict(zip(missed, self._encode_words(missed), strict=True))
-        cache.update(new)
+        long = self._fill([words for _, words in cut])
         for i, words in cut:
-            out[i] = b"".join(map(cache.__getitem__, words))
-        for w in missed:
-            if len(w) > KEEP:
-                del cache[w]
+            out[i] = b"".join(map(self.cache.__getitem__, words))
+        for w in long:
+            del self.cache[w]
         return out
 
 
-def frequent(documents: DataFrame, make, sample_docs: int = SAMPLE_DOCS, size: int = TABLE) -> list[str]:
-    """The most frequent pre-tokens of a bounded sample, at most ``size``; ``make`` builds the encoder in a task."""
+def frequent(documents: DataFrame, encoder: _Cached) -> dict:
+    """What the most frequent pre-tokens of a bounded sample encode to.
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen = make(), Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if text:
-                    seen.update(w for w in encoder.split(text) if len(w) <= KEEP)
-        top = seen.most_common(size)
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["word", "n"])
-
-    sample = documents.select(F.col("text").cast("string").alias("text")).limit(sample_docs).coalesce(1)
-    rows = sample.mapInArrow(split, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size).collect()
-    return [r["word"] for r in rows]
+    The sample is the first SAMPLE_DOCS documents of at most SAMPLE_BYTES that the scan meets; ``take`` reads
+    no more partitions than it needs. At most SAMPLE_DOCS * SAMPLE_BYTES bytes come to the driver.
+    """
+    seen = Counter()
+    for row in documents.select(F.col("text").cast("string").alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES).take(SAMPLE_DOCS):
+        seen.update(w for w in encoder.split(row["text"]) if len(w) <= KEEP)
+    words = [w for w, _ in seen.most_common(TABLE)]
+    return dict(zip(words, encoder._encode_words(words), strict=True))
 
 
 COUNTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
@@ -193,13 +221,12 @@ def count_tokens(documents: DataFrame, path: str) -> DataFrame:
 
     The vocabulary file must be at that path on every worker, as an installed package has it.
     """
-    words = frequent(documents, lambda: PieceCounter(path))
-    table = documents.sparkSession.sparkContext.broadcast(dict(zip(words, PieceCounter(path)._encode(words), strict=True)))
+    table = documents.sparkSession.sparkContext.broadcast(frequent(documents, PieceCounter(path)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PieceCounter(path, table.value)
+        counter = in_worker(PieceCounter, path, table.value)
         for batch in batches:
-            tokens = counter.count([t or "" for t in batch.column(2).to_pylist()])
+            tokens = [n for texts in blocks(batch.column(2).to_pylist()) for n in counter.count(texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens, pa.int64())], names=COUNTS.names)
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
