@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontaminate, embeddings, jaccard, packing, pii, shards, substrings, token_counts
+from cadenza.llm import decontaminate, embeddings, jaccard, packing, pii, shards, substrings, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -54,6 +54,19 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+def held_out(doc_id: Column) -> Column:
+    """Whether a row's label is not for learning."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document, learned from the labels that aren't held out."""
+    documents, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    grammar = toxicity.train(documents, labels.where(~held_out(F.col("doc_id"))))
+    out = toxicity.score(documents, grammar)
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tokens of every document."""
     out = token_counts.count_tokens(_read(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
@@ -66,7 +79,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii, op2_sharding, op3_jaccard_join, op4_packing, op5_substring_dedup, op6_embedding_dedup, op9_token_counts, op10_decontamination)}
+    return {f.__name__: f for f in (op1_pii, op2_sharding, op3_jaccard_join, op4_packing, op5_substring_dedup, op6_embedding_dedup, op8_toxicity, op9_token_counts, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
