@@ -38,8 +38,8 @@ SAMPLE = 16_000
 CANDIDATES = 20_000
 #: Toxic documents of the sample that a beginning must be in, and those that it must newly explain.
 LEAST, GAIN = 5, 3
-#: Clean documents weigh so much against toxic ones when a beginning is chosen.
-AGAINST = 2.0
+#: A clean document weighs AGAINST a toxic one when a beginning is chosen; each toxic one is to be explained AGAIN times.
+AGAINST, AGAIN = 0.5, 3
 SHORTEST, LONGEST = 3, 12
 
 WORD = re.compile(r"[^\W\d_]+|[\"“”«»„]")
@@ -204,17 +204,24 @@ def _explained(train: DataFrame, among: set[str]) -> list[set[str]]:
 
 
 def choose_insults(toxic: dict[str, int], clean: dict[str, int], docs: list[set[str]], n_clean: int) -> dict[str, float]:
-    """Greedy cover: the beginning that explains most toxic documents that none chosen does, against clean ones; of equals the longest."""
-    rate = max(1, len(docs)) / max(1, n_clean)
-    left = [d for d in docs if d]
+    """Greedy cover: the beginning that explains most toxic documents anew, less the clean ones it is in; of equals the longest.
+
+    A document counts fully until it is explained and half until it is explained AGAIN times, so that insults
+    which mostly come together are all found.
+    """
+    left = [(d, 0) for d in docs if d]
     out: dict[str, float] = {}
     while left:
-        gain = Counter(x for d in left for x in d)
-        best = max(gain, key=lambda x: (gain[x] - AGAINST * rate * clean.get(x, 0), len(x.rstrip("$")), x.endswith("$"), x))
-        if gain[best] - AGAINST * rate * clean.get(best, 0) < GAIN:
+        gain: Counter = Counter()
+        for d, times in left:
+            for x in d:
+                gain[x] += 0.5 if times else 1.0
+        net = {x: g - AGAINST * clean.get(x, 0) for x, g in gain.items() if x not in out}
+        best = max(net, key=lambda x: (net[x], len(x.rstrip("$")), x.endswith("$"), x), default=None)
+        if best is None or net[best] < GAIN:
             break
         out[best] = max(0.1, math.log((toxic[best] + 0.5) / (len(docs) + 1)) - math.log((clean.get(best, 0) + 0.5) / (n_clean + 1)))
-        left = [d for d in left if best not in d]
+        left = [(d, times + (best in d)) for d, times in left if times + (best in d) < AGAIN]
     return out
 
 
