@@ -21,10 +21,13 @@ results; equal items each give their own. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,6 +101,20 @@ class ItemIndex:
                 yield self.ids[k], len(mine), shared
 
 
+def _indexes(spark: SparkSession, items: DataFrame) -> Iterator[Broadcast]:
+    """An index for each ITEM_BLOCK of items (at least one); items without an id or without words are in none."""
+    rows, last = items.select("item_id", "text").toLocalIterator(), False
+    first = True
+    while not last:
+        block = list(islice(rows, ITEM_BLOCK))
+        last = len(block) < ITEM_BLOCK
+        if block or first:
+            sets = [s for _, s in shingle_sets(pa.array([r["text"] for r in block], pa.string()))]
+            kept = [(int(r["item_id"]), s) for r, s in zip(block, sets, strict=True) if len(s) and r["item_id"] is not None]
+            yield spark.sparkContext.broadcast(ItemIndex([i for i, _ in kept], [s for _, s in kept]))
+        first = False
+
+
 def containments(documents: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Every (document, item) pair where the document has at least ``threshold`` of the item's shingles.
 
@@ -105,16 +122,10 @@ def containments(documents: DataFrame, items: DataFrame, threshold: float = 0.8)
     n_item (the item's distinct shingles), n_shared, containment. The items are the query set: they
     come to the driver a block at a time, the documents never do.
     """
-    spark = documents.sparkSession
-    block: list = []
     found: DataFrame | None = None
+    for index in _indexes(documents.sparkSession, items):
 
-    def run() -> DataFrame:
-        sets = [s for _, s in shingle_sets(pa.array([r["text"] for r in block], pa.string()))]
-        kept = [(int(r["item_id"]), s) for r, s in zip(block, sets, strict=True) if len(s) and r["item_id"] is not None]
-        index = spark.sparkContext.broadcast(ItemIndex([i for i, _ in kept], [s for _, s in kept]))
-
-        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             own = index.value
             for batch in batches:
                 ids, out = batch.column(0), []
@@ -124,18 +135,20 @@ def containments(documents: DataFrame, items: DataFrame, threshold: float = 0.8)
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=SCHEMA.names)
 
-        return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(search, SCHEMA)
-
-    for row in items.select("item_id", "text").toLocalIterator():
-        block.append(row)
-        if len(block) == ITEM_BLOCK:
-            found, block = run() if found is None else found.unionByName(run()), []
-    if block or found is None:
-        found = run() if found is None else found.unionByName(run())
+        part = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(search, SCHEMA)
+        found = part if found is None else found.unionByName(part)
     return found
 
 
 def clean(documents: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """The documents that contain no item, with all their columns. A null doc_id matches nothing and stays."""
-    leaked = containments(documents, items, threshold).select(F.col("doc_id").alias("_leaked")).distinct()
-    return documents.join(leaked, documents["doc_id"] == leaked["_leaked"], "left_anti")
+    """The documents that contain no item, with all their columns; a null text contains none and stays."""
+    for index in _indexes(documents.sparkSession, items):
+
+        @F.pandas_udf("boolean")
+        def free(texts: pd.Series, index=index) -> pd.Series:
+            own = index.value
+            sets = (doc for _, doc in shingle_sets(pa.array(texts, pa.string(), from_pandas=True)))
+            return pd.Series([next(own.search(doc, threshold), None) is None for doc in sets], dtype=bool)
+
+        documents = documents.where(free(F.col("text").cast("string")))
+    return documents

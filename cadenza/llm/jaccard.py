@@ -8,18 +8,19 @@ The Jaccard distance 1 - |x & y| / |x | y| is a metric, and documents link at a
    counted over all documents; what the count misses changes the order for all alike, never the result).
    All nodes with a shingle in this prefix are one cell.
 3. Pivots. The least node of a cell is its pivot; cells with the same pivot are one region, and a node lies
-   in the region of each pivot it shares a cell with. The exact distance of every node to its pivots is
-   computed; those within 0.2 are linked to the pivot, so a region of n alike documents costs n
-   distances and not n * n.
+   in the region of each pivot it shares a cell with. Each node's exact distance is computed to the pivot it
+   shares most cells with, then to those of its pivots that are not joined to it yet; at most 0.2 links.
+   A region of n alike documents so costs about n distances and not n * n. Before texts are fetched, sketches
+   (the sets' counts in classes of shingles) rule pairs out whose symmetric difference must be too large.
 4. Recursion. What may be missing are links between nodes of one region that are not joined yet. In regions
    with more than one component the first nodes become pivots in turn; a node is compared with a new
-   pivot only if it is in another component, its size allows 0.8, and the triangle inequality does:
+   pivot only if it is in another component, sizes and sketches allow 0.8, and the triangle inequality does:
    |d(x, p) - d(y, p)| <= 0.2 for the region's pivot p. The nodes used as pivots leave the region; this goes
    on until no region holds two components. No pair is dropped or capped.
 
 Plan: the texts are scanned twice with two columns; one row a prefix shingle is shuffled (16 bytes), then
 only pairs with a pivot, which fetch their texts by id (a shuffled join that adaptive execution splits
-where one pivot has very many nodes). Components are found by ``graph.components``.
+where one pivot has very many nodes) from a table of the texts that are in such a pair. Components are found by ``graph.components``.
 
 Cases: null texts and texts without words have an empty set and link with nothing; fewer than five words
 are one shingle. Ties and repeated rows are ordinary: each row is returned. An empty table gives no rows.
@@ -40,40 +41,63 @@ from cadenza.llm.scratch import materialize
 from cadenza.llm.words import mix, shingle_sets
 
 #: Frequent shingles that go last in the order: at most so many are broadcast (16 bytes each).
-HOT_TABLE = 1 << 17
-#: A task reports a shingle with at least so many documents among the last FLUSH that it counted.
-HOT_LOCAL, FLUSH = 8, 1 << 22
+HOT_TABLE = 1 << 18
+#: A task reports a shingle that is in at least so many of the different sets among the FLUSH shingles before.
+HOT_LOCAL, FLUSH = 2, 1 << 22
 #: Nodes of a region that become pivots in one round.
-PIVOTS = 32
-SURVEY = "doc_id long, n long, s1 long, s2 long, shingle long, seen long"
+PIVOTS = 256
+#: A sketch counts a set's shingles in 2**k classes, about 4 to 8 a class, a byte each.
+SKETCH_BITS = 4, 14
+SURVEY = "doc_id long, n long, s1 long, s2 long, sketch binary, shingle long, seen long"
+_SURVEY = ["doc_id", "n", "s1", "s2", "sketch", "shingle", "seen"]
 
 
 def _prefix(n: int) -> int:
     return n - (4 * n + 4) // 5 + 1 if n else 0
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """How many shingles of a sorted set fall in each class (the hash's top bits), at most 255."""
+    bits = min(max((len(s) // 4).bit_length() - 1, SKETCH_BITS[0]), SKETCH_BITS[1])
+    return np.minimum(np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """At most |A - B| + |B - A| of the two sets sketched: the classes' differences summed; the finer sketch is folded."""
+    a, b = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    while len(a) > len(b):
+        a = a[0::2] + a[1::2]
+    while len(b) > len(a):
+        b = b[0::2] + b[1::2]
+    full = (a >= 255) | (b >= 255)  # a class at its limit tells nothing
+    return int(np.abs(a - b)[~full].sum())
+
+
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each document (size and hash of its set), and one for each shingle that is frequent here."""
-    held, size = [], 0
+    """A row for each document (size, hash and sketch of its set), and one for each shingle that is frequent here."""
+    held, size, sets = [], 0, set()
 
     def frequent() -> pa.RecordBatch:
         x, n = np.unique(np.concatenate(held), return_counts=True)
         x, n = x[n >= HOT_LOCAL], n[n >= HOT_LOCAL]
         none = pa.nulls(len(x), pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(x.view(np.int64)), pa.array(n.astype(np.int64))], names=["doc_id", "n", "s1", "s2", "shingle", "seen"])
+        return pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(x), pa.binary()), pa.array(x.view(np.int64)), pa.array(n.astype(np.int64))], names=_SURVEY)
 
     for batch in batches:
-        rows = np.zeros((len(batch), 3), np.int64)
+        rows, sketches = np.zeros((len(batch), 3), np.int64), [b""] * len(batch)
         for i, s in shingle_sets(batch.column(1)):
             sums = [int(mix(s ^ np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) for k in (0x243F6A8885A308D3, 0x13198A2E03707344)]
             rows[i] = len(s), *sums
-            held.append(s[: 2 * _prefix(len(s))])
-            size += len(held[-1])
+            sketches[i] = sketch(s)
+            if sums[0] not in sets:
+                sets.add(sums[0])
+                held.append(s[: 2 * _prefix(len(s))])
+                size += len(held[-1])
         none = pa.nulls(len(batch), pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(rows[:, k]) for k in range(3)), none, none], names=["doc_id", "n", "s1", "s2", "shingle", "seen"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(rows[:, k]) for k in range(3)), pa.array(sketches, pa.binary()), none, none], names=_SURVEY)
         if size >= FLUSH:
             yield frequent()
-            held, size = [], 0
+            held, size, sets = [], 0, set()
     if held:
         yield frequent()
 
@@ -130,6 +154,28 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return out.withColumn("dist", 1 - F.col("shared") / F.greatest(F.lit(1), F.col("na") + F.col("nb") - F.col("shared")))
 
 
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b, na, nb, sa, sb) whose sketches allow a similarity of 0.8: a symmetric difference of at most a ninth of the sizes."""
+    for batch in batches:
+        na, nb, sa, sb = (batch.column(k).to_pylist() for k in range(2, 6))
+        fit = [9 * apart(x, y) <= m + n for m, n, x, y in zip(na, nb, sa, sb, strict=True)]
+        yield batch.filter(pa.array(fit, pa.bool_())).select([0, 1, 2, 3])
+
+
+def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) that may link, by size and sketch; ``sketches`` has node, n and sketch."""
+    left = sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    right = sketches.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    both = pairs.join(left, "a").join(right, "b").where("5 * least(na, nb) >= 4 * greatest(na, nb)")
+    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_possible, "a long, b long, na long, nb long").select("a", "b")
+
+
+def rooted(df: DataFrame, roots: DataFrame, node: str, name: str) -> DataFrame:
+    """``df`` with the root of the column ``node``; a node without links is its own root."""
+    own = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    return df.join(own, F.col(node) == F.col("_node"), "left").withColumn(name, F.coalesce("_root", node)).drop("_node", "_root")
+
+
 def join_documents(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every document."""
     spark = documents.sparkSession
@@ -137,41 +183,52 @@ def join_documents(documents: DataFrame) -> DataFrame:
     survey = materialize(texts.mapInArrow(_survey, SURVEY), "survey")
     rows = survey.where("n is not null").select("doc_id", "n", "s1", "s2")
     nodes = rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
+    sketches = survey.where("n > 0").select(F.col("doc_id").alias("node"), "n", "sketch")
 
-    top = survey.where("seen is not null").groupBy("shingle").agg(F.sum("seen").alias("seen")).orderBy(F.desc("seen"), "shingle").limit(HOT_TABLE).collect()
-    value = np.array([r["shingle"] for r in top], np.int64).view(np.uint64)
-    rank = np.array([r["seen"] for r in top], np.int64)
+    top = survey.where("seen is not null").groupBy("shingle").agg(F.sum("seen").alias("seen")).orderBy(F.desc("seen"), "shingle").limit(HOT_TABLE).toArrow()
+    value, rank = top["shingle"].to_numpy().view(np.uint64), top["seen"].to_numpy()
     order = np.argsort(value)
     hot = spark.sparkContext.broadcast((value[order], rank[order]))
 
     prefixes = texts.mapInArrow(_prefixes(hot), "doc long, n long, keys array<long>").join(nodes.select(F.col("rep").alias("doc")), "doc", "left_semi")
     cell = Window.partitionBy("key")
     cells = prefixes.select("doc", "n", F.explode("keys").alias("key")).select("doc", "n", F.count("*").over(cell).alias("size"), F.min(F.struct("doc", "n")).over(cell).alias("p"))
-    regions = materialize(cells.where("size > 1").select(F.col("p.doc").alias("pivot"), F.col("p.n").alias("pn"), "doc", "n").distinct(), "regions")
+    regions = materialize(cells.where("size > 1").groupBy(F.col("p.doc").alias("pivot"), "doc").agg(F.count("*").alias("cells")), "regions")
+    sketches = materialize(sketches.join(regions.select(F.col("doc").alias("node")).distinct(), "node", "left_semi"), "sketches")
 
-    fits = "5 * least({0}, {1}) >= 4 * greatest({0}, {1})"
-    stars = materialize(compare(regions.where("doc <> pivot").where(fits.format("n", "pn")).select(F.col("pivot").alias("a"), F.col("doc").alias("b")), texts), "distances")
     alike = "100 * shared >= 80 * (na + nb - shared)"
+    able = regions.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b"), "cells")
+    able = materialize(able.join(possible(able.select("a", "b"), sketches), ["a", "b"]), "able")
+    ends = able.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    near_texts = materialize(texts.join(ends, "doc", "left_semi"), "texts")
+    # First each node against the pivot it shares most cells with; then what that left apart.
+    nearest = able.groupBy("b").agg(F.max(F.struct("cells", (-F.col("a")).alias("p"))).alias("m")).select((-F.col("m.p")).alias("a"), "b")
+    stars = materialize(compare(nearest, near_texts), "distances")
     links = stars.where(alike).select("a", "b")
     roots = materialize(components(links), "roots")
+    rest = able.select("a", "b").join(nearest, ["a", "b"], "left_anti")
+    rest = rooted(rooted(rest, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb").select("a", "b")
+    more = materialize(compare(rest, near_texts), "distances")
+    links = links.unionByName(more.where(alike).select("a", "b"))
+    roots = materialize(components(links), "roots")
 
-    known = stars.select(F.col("a").alias("pivot"), F.col("b").alias("doc"), "dist").distinct()
-    left = regions.select("pivot", "doc", "n").join(known, ["pivot", "doc"], "left").withColumn("dist", F.when(F.col("doc") == F.col("pivot"), 0.0).otherwise(F.col("dist")))
+    known = stars.unionByName(more).select(F.col("a").alias("pivot"), F.col("b").alias("doc"), "dist").distinct()
+    left = regions.select("pivot", "doc").join(known, ["pivot", "doc"], "left").withColumn("dist", F.when(F.col("doc") == F.col("pivot"), 0.0).otherwise(F.col("dist")))
     while True:
-        placed = left.join(roots.withColumnRenamed("node", "doc"), "doc", "left").withColumn("root", F.coalesce("root", "doc"))
+        placed = rooted(left, roots, "doc", "root")
         mixed = placed.groupBy("pivot").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("pivot")
         ranked = placed.join(mixed, "pivot").withColumn("rank", F.row_number().over(Window.partitionBy("pivot").orderBy("doc")))
-        ranked = materialize(ranked.select("pivot", "doc", "n", "dist", "root", "rank"), "mixed")
+        ranked = materialize(ranked.select("pivot", "doc", "dist", "root", "rank"), "mixed")
         if ranked.isEmpty():
             break
-        new = ranked.where(F.col("rank") <= PIVOTS).select("pivot", *(F.col(c).alias(f"c_{c}") for c in ("doc", "n", "dist", "root", "rank")))
+        new = ranked.where(F.col("rank") <= PIVOTS).select("pivot", *(F.col(c).alias(f"c_{c}") for c in ("doc", "dist", "root", "rank")))
         near = (F.abs(F.col("dist") - F.col("c_dist")) <= 0.2 + 1e-9) | F.col("dist").isNull() | F.col("c_dist").isNull()
-        pairs = ranked.join(new, "pivot").where("rank > c_rank and root <> c_root").where(fits.format("n", "c_n")).where(near)
-        found = materialize(compare(pairs.select(F.col("c_doc").alias("a"), F.col("doc").alias("b")).distinct(), texts).where(alike).select("a", "b"), "found")
+        pairs = ranked.join(new, "pivot").where("rank > c_rank and root <> c_root").where(near).select(F.col("c_doc").alias("a"), F.col("doc").alias("b")).distinct()
+        found = materialize(compare(possible(pairs, sketches), texts).where(alike).select("a", "b"), "found")
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = materialize(components(links), "roots")
-        left = ranked.where(F.col("rank") > PIVOTS).select("pivot", "doc", "n", "dist")
+        left = ranked.where(F.col("rank") > PIVOTS).select("pivot", "doc", "dist")
 
     joined = rows.join(nodes, ["n", "s1", "s2"], "left").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "doc_id").alias("component_id"))

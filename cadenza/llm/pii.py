@@ -153,7 +153,8 @@ def redact(documents: DataFrame) -> DataFrame:
         more = F.concat(acc["out"], F.when(fresh, F.concat(text.substr(acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(kind_name(s["k"])), F.lit("]"))).otherwise(""))
         return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), more.alias("out"))
 
-    columns = documents.columns
     masked = F.aggregate("pii", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.col("text").substr(acc["at"] + 1, F.length("text"))))
-    found = find_pii(documents)
-    return found.withColumn("text", F.when(F.size("pii") > 0, masked).otherwise(F.col("text"))).select(*columns)
+    # The row is kept apart, so that no column of it clashes with one made here.
+    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("_row"), F.col("text").cast("string").alias("text"))
+    found = find_pii(rows).withColumn("text", F.when(F.size("pii") > 0, masked).otherwise(F.col("text")))
+    return found.select(*(F.col("text") if c == "text" else F.col(f"_row.`{c}`") for c in documents.columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontaminate, embeddings, jaccard, packing, pii, shards, substrings, token_counts, toxicity
+from cadenza.llm import decontaminate, embeddings, html_text, jaccard, packing, pii, shards, substrings, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -54,6 +54,11 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(_read(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a row's label is not for learning."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
@@ -78,9 +83,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.containments(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), 0.8)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline over documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii, op2_sharding, op3_jaccard_join, op4_packing, op5_substring_dedup, op6_embedding_dedup, op8_toxicity, op9_token_counts, op10_decontamination)}
+    ops = (op1_pii, op2_sharding, op3_jaccard_join, op4_packing, op5_substring_dedup, op6_embedding_dedup, op7_html_text, op8_toxicity, op9_token_counts, op10_decontamination, pipeline)
+    return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
+    """SQL for the queries that it can express; the others are tested against brute force in tests/llm."""
     return {}

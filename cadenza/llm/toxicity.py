@@ -28,6 +28,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -294,6 +295,12 @@ def score(documents: DataFrame, grammar: Grammar) -> DataFrame:
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The documents that score below ``threshold``, with all their columns; a null doc_id is kept."""
-    gone = score(documents, train(documents, labels)).where(F.col("score") >= threshold).select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
+    """The documents that score below ``threshold``, with all their columns. A null text scores as an empty one."""
+    held = documents.sparkSession.sparkContext.broadcast(train(documents, labels))
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        g = held.value
+        return pd.Series([g.score(g.features(t) if t else None) for t in texts], dtype="float64")
+
+    return documents.where(scored(F.col("text").cast("string")) < threshold)

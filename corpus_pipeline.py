@@ -1,0 +1,64 @@
+"""A corpus made ready for training, in five stages over ``documents``.
+
+Toxic documents go; of near duplicates the one with the smallest doc_id stays; documents that hold benchmark
+items go; personal data is masked; what is left is packed into sequences. Each stage works on all that the
+one before has kept, written as Parquet in the shared folder and read again. All but the last return the
+columns of documents; the last returns the packed pieces.
+
+No stage can be said in SQL (a learned model, exact set joins over shingles, tokenizers), so ORACLE_SQL is None;
+tests/llm/test_pipeline.py holds the stages against brute force.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from cadenza.llm import decontaminate, jaccard, packing, pii, toxicity
+from cadenza.llm.scratch import materialize
+
+ORACLE_SQL: str | None = None
+LIMIT = 4096
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8, learned from all labels of the documents that are left."""
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), 0.3)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: one document of each group stays."""
+    return jaccard.one_of_each(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: documents with 0.8 or more of a benchmark item's shingles go."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 0.8)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: spans are replaced by their kind. n_chars and the other columns stay as they were."""
+    return pii.redact(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: the pieces' places in sequences of at most LIMIT tokens."""
+    import public_tokenizers
+
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), LIMIT)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("pii", mask_personal_data),
+    ("best-fit packing", pack),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other, each on the written result of the one before."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
