@@ -143,12 +143,15 @@ def containments(documents: DataFrame, items: DataFrame, threshold: float = 0.8)
 def clean(documents: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
     """The documents that contain no item, with all their columns; a null text contains none and stays."""
     for index in _indexes(documents.sparkSession, items):
+        documents = documents.where(_free(index, threshold)(F.col("text").cast("string")))
+    return documents
 
-        @F.pandas_udf("boolean")
-        def free(texts: pd.Series, index=index) -> pd.Series:
-            own = index.value
-            sets = (doc for _, doc in shingle_sets(pa.array(texts, pa.string(), from_pandas=True)))
-            return pd.Series([next(own.search(doc, threshold), None) is None for doc in sets], dtype=bool)
 
-        documents = documents.where(free(F.col("text").cast("string")))
-    return documents
+def _free(index: Broadcast, threshold: float):
+    @F.pandas_udf("boolean")
+    def free(texts: pd.Series) -> pd.Series:
+        own = index.value
+        sets = (doc for _, doc in shingle_sets(pa.array(texts, pa.string(), from_pandas=True)))
+        return pd.Series([next(own.search(doc, threshold), None) is None for doc in sets], dtype=bool)
+
+    return free
