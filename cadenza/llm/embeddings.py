@@ -8,9 +8,10 @@ of the two is in its own bucket. Every candidate's cosine is computed in double
 Plan:
 1. Equal vectors become one node with a weight (a partial aggregation), so copies cost one row a task.
 2. Each node sends its vector to its TABLES * PROBES buckets. A bucket of more than BLOCK nodes is dealt to
-   blocks and each pair of blocks is a group of its own: no task holds more than 2 * BLOCK vectors and no
-   pair is left out.
-3. A group multiplies its vectors and counts each node's links there. A pair that shares several buckets is
+   blocks and each pair of blocks is compared on its own: no comparison holds more than 2 * BLOCK vectors and
+   no pair is left out.
+3. A task takes many small buckets or some pairs of blocks, multiplies their vectors and counts each node's
+   links there. A pair that shares several buckets is
    counted in the first of them only - both nodes carry all their buckets - so pairs are neither
    written nor sorted; what leaves a group is a count a node and one link a node, to the smallest node it is joined to there.
 
@@ -40,6 +41,8 @@ TABLES, PROBES = 10, 2
 BLOCK = 1024
 #: Pairs whose buckets are compared at once.
 PAIRS = 1 << 16
+#: Cosines that are held at once, and rows that one task compares (it takes whole buckets or pairs of blocks).
+CELLS, ROWS = 1 << 21, 8192
 SEED = 7
 CODES = "node long, weight long, table int, code long, probe boolean, codes binary, vector binary"
 
@@ -130,40 +133,52 @@ def _join(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
             root[flat] = root[root[flat]]
 
 
+def _alike(pdf: pd.DataFrame, x: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one bucket (and pair of blocks) with at least the cosine; rows are in order of bucket and side."""
+    keys = pdf[["table", "code", "i", "j"]].to_numpy()
+    begin = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)])
+    size = np.diff(np.r_[begin, len(pdf)])
+    two = keys[begin, 2] != keys[begin, 3]
+    for n in np.unique(size[~two]):
+        if n < 2:
+            continue
+        starts = begin[~two & (size == n)]
+        step = max(1, CELLS // int(n * n))
+        for at in range(0, len(starts), step):
+            rows = starts[at : at + step, None] + np.arange(n)
+            k, i, j = np.nonzero(np.matmul(x[rows], x[rows].transpose(0, 2, 1)) >= threshold)
+            less = i < j
+            yield rows[k[less], i[less]], rows[k[less], j[less]]
+    side = pdf["side"].to_numpy()
+    for s, n in zip(begin[two], size[two], strict=True):
+        cut = s + int((side[s : s + n] == 0).sum())
+        step = max(1, CELLS // max(1, int(s + n - cut)))
+        for at in range(s, cut, step):
+            i, j = np.nonzero(x[at : min(cut, at + step)] @ x[cut : s + n].T >= threshold)
+            yield i + at, j + cut
+
+
 def _linked(threshold: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        sides = [pdf[pdf["side"] == s].sort_values(["node", "probe"], kind="stable") for s in (0, 1)]
-        alone = not len(sides[1])
-        # A block against itself has one side; rows of the two sides are then the same.
-        left, right = sides[0], sides[0] if alone else sides[1]
-        x = [np.frombuffer(b"".join(s["vector"]), np.float64).reshape(len(s), -1) for s in (left, right)]
-        codes = [np.frombuffer(b"".join(s["codes"]), np.int64).reshape(len(s), -1) for s in (left, right)]
-        norm = [np.sqrt((v * v).sum(1)) for v in x]
-        nodes = [s["node"].to_numpy() for s in (left, right)]
-        weight = [s["weight"].to_numpy() for s in (left, right)]
-        probe = [s["probe"].to_numpy() for s in (left, right)]
-        table = int(pdf["table"].iloc[0])
-        ids, at_id = np.unique(np.concatenate(nodes), return_inverse=True)
-        place = at_id[: len(left)], at_id[len(left) :]
+        pdf = pdf.sort_values(["table", "code", "i", "j", "side", "node", "probe"], kind="stable", ignore_index=True)
+        x = np.frombuffer(b"".join(pdf["vector"]), np.float64).reshape(len(pdf), -1)
+        x = x / np.sqrt((x * x).sum(1))[:, None]
+        codes = np.frombuffer(b"".join(pdf["codes"]), np.int64).reshape(len(pdf), -1)
+        node, weight, probe, table = (pdf[c].to_numpy() for c in ("node", "weight", "probe", "table"))
+        ids, place = np.unique(node, return_inverse=True)
         links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
-        step = max(1, (1 << 21) // max(1, len(right)))
-        for at in range(0, len(left), step):
-            found = np.nonzero((x[0][at : at + step] @ x[1].T) / (norm[0][at : at + step, None] * norm[1][None, :]) >= threshold)
+        for found in _alike(pdf, x, threshold):
             for cut in range(0, len(found[0]), PAIRS):
-                i, j = found[0][cut : cut + PAIRS] + at, found[1][cut : cut + PAIRS]
-                ok = ~(probe[0][i] & probe[1][j]) & (nodes[0][i] < nodes[1][j] if alone else nodes[0][i] != nodes[1][j])
+                i, j = found[0][cut : cut + PAIRS], found[1][cut : cut + PAIRS]
+                ok = ~(probe[i] & probe[j]) & (node[i] != node[j])
                 i, j = i[ok], j[ok]
+                i, j = np.where(node[i] < node[j], i, j), np.where(node[i] < node[j], j, i)
                 # The pair is counted here if this is the first bucket that makes it a candidate, in this very way.
-                a, b, pi, pj = codes[0][i], codes[1][j], probe[0][i], probe[1][j]
-                swap = nodes[0][i] > nodes[1][j]
-                a, b = np.where(swap[:, None], b, a), np.where(swap[:, None], a, b)
-                pi, pj = np.where(swap, pj, pi), np.where(swap, pi, pj)
-                here = _first_shared(a, b) == 3 * table + np.where(pi, 2, np.where(pj, 1, 0))
+                here = _first_shared(codes[i], codes[j]) == 3 * table[i] + np.where(probe[i], 2, np.where(probe[j], 1, 0))
                 i, j = i[here], j[here]
-                u, v = place[0][i], place[1][j]
-                np.add.at(links, u, weight[1][j])
-                np.add.at(links, v, weight[0][i])
-                _join(root, u, v)
+                np.add.at(links, place[i], weight[j])
+                np.add.at(links, place[j], weight[i])
+                _join(root, place[i], place[j])
         some = links > 0
         return pd.DataFrame({"node": ids[some], "links": links[some], "to": ids[root[some]]})
 
@@ -187,7 +202,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     dealt = coded.join(sizes, ["table", "code"]).withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.select("node", "weight", "table", "code", "probe", "codes", "vector", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"))
-    found = materialize(dealt.groupBy("table", "code", "i", "j").applyInPandas(_linked(threshold), "node long, links long, to long"), "links")
+    parts = max(1, top["count"] * TABLES * PROBES // ROWS)
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("table", "code", "i", "j"), F.lit(parts)))
+    found = materialize(dealt.groupBy("part").applyInPandas(_linked(threshold), "node long, links long, to long"), "links")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("node").alias("a"), F.col("to").alias("b")))
     out = rows.join(nodes.select("h", "node", "weight"), "h", "left").join(counts, "node", "left").join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
