@@ -7,16 +7,18 @@ The Jaccard distance 1 - |x & y| / |x | y| is a metric, and documents link at a
    n - ceil(0.8 n) + 1 shingles. The order here is by hash, with frequent shingles last (frequent ones are
    counted over all documents; what the count misses changes the order for all alike, never the result).
    All nodes with a shingle in this prefix are one cell.
-3. Pivots. The least node of a cell is its pivot; cells with the same pivot are one region, and a node lies
+3. Pivots. The node of a cell with the smallest share of rare shingles is its pivot - the least edited of a
+   family of copies, to which the others are nearest; cells with the same pivot are one region, and a node lies
    in the region of each pivot it shares a cell with. Each node's exact distance is computed to the pivot it
    shares most cells with, then to those of its pivots that are not joined to it yet; at most 0.2 links.
    A region of n alike documents so costs about n distances and not n * n. Before texts are fetched, sketches
    (the sets' counts in classes of shingles) rule pairs out whose symmetric difference must be too large.
 4. Recursion. What may be missing are links between nodes of one region that are not joined yet. In regions
-   with more than one component the first nodes become pivots in turn; a node is compared with a new
+   with more than one component the nodes outside the largest become pivots in turn; a node is compared with a new
    pivot only if it is in another component, sizes and sketches allow 0.8, and the triangle inequality does:
    |d(x, p) - d(y, p)| <= 0.2 for the region's pivot p. The nodes used as pivots leave the region; this goes
-   on until no region holds two components. No pair is dropped or capped.
+   on until no region holds two components. Regions of at most REGION_NODES nodes do this within one task,
+   from lists of the nodes of each shingle. No pair is dropped or capped.
 
 Plan: the texts are scanned twice with two columns; one row a prefix shingle is shuffled (16 bytes), then
 only pairs with a pivot, which fetch their texts by id (a shuffled join that adaptive execution splits
@@ -32,6 +34,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,6 +49,8 @@ HOT_TABLE = 1 << 18
 HOT_LOCAL, FLUSH = 2, 1 << 22
 #: Nodes of a region that become pivots in one round.
 PIVOTS = 256
+#: A region of at most so many nodes and shingles is joined in one task; larger ones take rounds.
+REGION_NODES, REGION_SHINGLES = 4096, 1 << 22
 #: A sketch counts a set's shingles in 2**k classes, about 4 to 8 a class, a byte each.
 SKETCH_BITS = 4, 14
 SURVEY = "doc_id long, n long, s1 long, s2 long, sketch binary, shingle long, seen long"
@@ -107,25 +112,22 @@ def _prefixes(hot):
         value, rank = hot.value  # sorted shingles, and how frequent each is among them
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            sizes, keys, edge = [], [], [0]
+            rare, keys, edge = [], [], [0]
             for _, s in shingle_sets(batch.column(1)):
-                p = _prefix(len(s))
+                p, known = _prefix(len(s)), np.zeros(len(s), bool)
                 if len(value) and len(s):
                     at = np.minimum(np.searchsorted(value, s), len(value) - 1)
                     known = value[at] == s
-                    cold = s[~known][:p]
-                    if len(cold) < p:
-                        late = s[known]
-                        cold = np.concatenate([cold, late[np.argsort(rank[at[known]], kind="stable")][: p - len(cold)]])
-                    s_prefix = cold
-                else:
-                    s_prefix = s[:p]
-                sizes.append(len(s))
+                s_prefix = s[~known][:p]
+                if len(s_prefix) < p:
+                    late = s[known]
+                    s_prefix = np.concatenate([s_prefix, late[np.argsort(rank[at[known]], kind="stable")][: p - len(s_prefix)]])
+                rare.append(1000 * int((~known).sum()) // max(1, len(s)))
                 keys.append(s_prefix)
                 edge.append(edge[-1] + len(s_prefix))
             flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.array(edge, np.int32)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.array(sizes, np.int64)), lists], names=["doc", "n", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.array(rare, np.int64)), lists], names=["doc", "rare", "keys"])
 
     return run
 
@@ -146,12 +148,21 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b, shared, na, nb and dist (the exact Jaccard distance) for pairs (a, b) of ids of ``texts`` (doc, text)."""
-    left = texts.select(F.col("doc").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("doc").alias("b"), F.col("text").alias("tb"))
+    """a, b, shared, na, nb and dist (the exact Jaccard distance) for pairs (a, b) of ids of ``texts`` (doc, text).
+
+    Pairs are written first: few of them are joined without moving the texts, none reads no text at all.
+    """
+    schema = "a long, b long, shared long, na long, nb long, dist double"
+    pairs = materialize(pairs.select("a", "b"), "pairs")
+    if pairs.isEmpty():
+        return pairs.sparkSession.createDataFrame([], schema)
+    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "ends")
+    own = materialize(texts.join(ends, "doc", "left_semi"), "texts")
+    left = own.select(F.col("doc").alias("a"), F.col("text").alias("ta"))
+    right = own.select(F.col("doc").alias("b"), F.col("text").alias("tb"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
     out = both.mapInArrow(_shared, "a long, b long, shared long, na long, nb long")
-    return out.withColumn("dist", 1 - F.col("shared") / F.greatest(F.lit(1), F.col("na") + F.col("nb") - F.col("shared")))
+    return materialize(out.withColumn("dist", 1 - F.col("shared") / F.greatest(F.lit(1), F.col("na") + F.col("nb") - F.col("shared"))), "distances")
 
 
 def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,6 +181,32 @@ def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_possible, "a long, b long, na long, nb long").select("a", "b")
 
 
+def _region(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) that join the components of one small region: each node outside the largest is held against all others.
+
+    A list of the nodes of each shingle gives one node's shared shingles with all at once.
+    """
+    sets = [s for _, s in shingle_sets(pa.array(pdf["text"], pa.string(), from_pandas=True))]
+    n, doc = np.array([len(s) for s in sets]), pdf["doc"].to_numpy()
+    names, root = np.unique(pdf["root"].to_numpy(), return_inverse=True)
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    up = np.arange(len(names))
+    out: list[tuple[int, int]] = []
+    for i in np.flatnonzero(root != np.bincount(root).argmax()):
+        lo, hi = np.searchsorted(flat, sets[i], "left"), np.searchsorted(flat, sets[i], "right")
+        many = hi - lo
+        at = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        shared = np.bincount(owner[at], minlength=len(sets))
+        for x in np.flatnonzero(100 * shared >= 80 * (n + n[i] - shared)):
+            a, b = up[root[x]], up[root[i]]
+            if a != b:
+                up[up == max(a, b)] = min(a, b)
+                out.append((doc[x], doc[i]))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
 def rooted(df: DataFrame, roots: DataFrame, node: str, name: str) -> DataFrame:
     """``df`` with the root of the column ``node``; a node without links is its own root."""
     own = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
@@ -190,41 +227,57 @@ def join_documents(documents: DataFrame) -> DataFrame:
     order = np.argsort(value)
     hot = spark.sparkContext.broadcast((value[order], rank[order]))
 
-    prefixes = texts.mapInArrow(_prefixes(hot), "doc long, n long, keys array<long>").join(nodes.select(F.col("rep").alias("doc")), "doc", "left_semi")
+    prefixes = texts.mapInArrow(_prefixes(hot), "doc long, rare long, keys array<long>").join(nodes.select(F.col("rep").alias("doc")), "doc", "left_semi")
     cell = Window.partitionBy("key")
-    cells = prefixes.select("doc", "n", F.explode("keys").alias("key")).select("doc", "n", F.count("*").over(cell).alias("size"), F.min(F.struct("doc", "n")).over(cell).alias("p"))
+    cells = prefixes.select("doc", "rare", F.explode("keys").alias("key")).select("doc", F.count("*").over(cell).alias("size"), F.min(F.struct("rare", "doc")).over(cell).alias("p"))
     regions = materialize(cells.where("size > 1").groupBy(F.col("p.doc").alias("pivot"), "doc").agg(F.count("*").alias("cells")), "regions")
     sketches = materialize(sketches.join(regions.select(F.col("doc").alias("node")).distinct(), "node", "left_semi"), "sketches")
 
     alike = "100 * shared >= 80 * (na + nb - shared)"
     able = regions.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b"), "cells")
     able = materialize(able.join(possible(able.select("a", "b"), sketches), ["a", "b"]), "able")
-    ends = able.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    near_texts = materialize(texts.join(ends, "doc", "left_semi"), "texts")
     # First each node against the pivot it shares most cells with; then what that left apart.
     nearest = able.groupBy("b").agg(F.max(F.struct("cells", (-F.col("a")).alias("p"))).alias("m")).select((-F.col("m.p")).alias("a"), "b")
-    stars = materialize(compare(nearest, near_texts), "distances")
+    stars = compare(nearest, texts)
     links = stars.where(alike).select("a", "b")
-    roots = materialize(components(links), "roots")
+    # Two steps from a node to its pivot, and on to that one's, tell most pairs that are joined already.
+    pivot = links.select(F.col("b").alias("node"), F.col("a").alias("root"))
+    roots = rooted(pivot, pivot, "root", "far").select("node", F.col("far").alias("root"))
     rest = able.select("a", "b").join(nearest, ["a", "b"], "left_anti")
     rest = rooted(rooted(rest, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb").select("a", "b")
-    more = materialize(compare(rest, near_texts), "distances")
+    more = compare(rest, texts)
     links = links.unionByName(more.where(alike).select("a", "b"))
     roots = materialize(components(links), "roots")
 
     known = stars.unionByName(more).select(F.col("a").alias("pivot"), F.col("b").alias("doc"), "dist").distinct()
-    left = regions.select("pivot", "doc").join(known, ["pivot", "doc"], "left").withColumn("dist", F.when(F.col("doc") == F.col("pivot"), 0.0).otherwise(F.col("dist")))
-    while True:
+    placed = rooted(regions.select("pivot", "doc"), roots, "doc", "root").join(sketches.select(F.col("node").alias("doc"), "n"), "doc")
+    mixed = placed.groupBy("pivot").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("nodes"), F.sum("n").alias("shingles")).where("lo < hi")
+    mixed = mixed.select("pivot", ((F.col("nodes") <= REGION_NODES) & (F.col("shingles") <= REGION_SHINGLES)).alias("small"))
+    mixed = materialize(placed.join(mixed, "pivot").select("pivot", "doc", "root", "small"), "mixed")
+    # Small regions at once, each in a task.
+    ends = materialize(mixed.where("small").select("doc").distinct(), "ends")
+    some = mixed.where("small").join(materialize(texts.join(ends, "doc", "left_semi"), "texts"), "doc")
+    found = materialize(some.groupBy("pivot").applyInPandas(_region, "a long, b long"), "found")
+    if not found.isEmpty():
+        links = links.unionByName(found)
+        roots = materialize(components(links), "roots")
+    # Large ones in rounds.
+    left = mixed.where("not small").select("pivot", "doc").join(known, ["pivot", "doc"], "left").withColumn("dist", F.when(F.col("doc") == F.col("pivot"), 0.0).otherwise(F.col("dist")))
+    large = not mixed.where("not small").isEmpty()
+    while large:
         placed = rooted(left, roots, "doc", "root")
-        mixed = placed.groupBy("pivot").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("pivot")
-        ranked = placed.join(mixed, "pivot").withColumn("rank", F.row_number().over(Window.partitionBy("pivot").orderBy("doc")))
-        ranked = materialize(ranked.select("pivot", "doc", "dist", "root", "rank"), "mixed")
+        shares = placed.groupBy("pivot", "root").agg(F.count("*").alias("nodes"))
+        mixed = shares.groupBy("pivot").agg(F.max(F.struct("nodes", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1").select("pivot", F.col("m.root").alias("main"))
+        # The nodes outside a region's largest component come first; when they have been pivots, the rest is one component.
+        order = Window.partitionBy("pivot").orderBy(F.col("root") == F.col("main"), "doc")
+        ranked = placed.join(mixed, "pivot").withColumn("rank", F.row_number().over(order))
+        ranked = materialize(ranked.select("pivot", "doc", "dist", "root", "main", "rank"), "mixed")
         if ranked.isEmpty():
             break
-        new = ranked.where(F.col("rank") <= PIVOTS).select("pivot", *(F.col(c).alias(f"c_{c}") for c in ("doc", "dist", "root", "rank")))
+        new = ranked.where((F.col("rank") <= PIVOTS) & (F.col("root") != F.col("main"))).select("pivot", *(F.col(c).alias(f"c_{c}") for c in ("doc", "dist", "root", "rank")))
         near = (F.abs(F.col("dist") - F.col("c_dist")) <= 0.2 + 1e-9) | F.col("dist").isNull() | F.col("c_dist").isNull()
         pairs = ranked.join(new, "pivot").where("rank > c_rank and root <> c_root").where(near).select(F.col("c_doc").alias("a"), F.col("doc").alias("b")).distinct()
-        found = materialize(compare(possible(pairs, sketches), texts).where(alike).select("a", "b"), "found")
+        found = compare(possible(pairs, sketches), texts).where(alike).select("a", "b")
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = materialize(components(links), "roots")
