@@ -325,7 +325,10 @@ def train(pages: DataFrame) -> np.ndarray:
     """Weights from a bounded sample of the pages that label themselves."""
     marked = F.lower(F.col("html")).rlike("<(article|main)[\\s>]")
     rows = pages.select("page_id", F.col("html").cast("string").alias("html")).where(F.octet_length("html") <= TRAIN_BYTES).where(marked)
-    rows = rows.orderBy(F.xxhash64("page_id"), "page_id").limit(TRAIN_PAGES).collect()
+    # Each task sends its first ids only; the pages themselves are fetched for the TRAIN_PAGES that are chosen.
+    chosen = rows.select(F.col("page_id").alias("_id")).where("_id is not null").orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_PAGES)
+    rows = rows.join(F.broadcast(chosen.distinct()), F.col("page_id") == F.col("_id")).dropDuplicates(["page_id"]).collect()
+    rows.sort(key=lambda r: r["page_id"])
     labelled = []
     for r in rows:
         found = blocks(r["html"])
