@@ -208,7 +208,7 @@ def q_mono_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors(spark, sf_dir).select("vec_id", F.transform(mix, lambda x: r(x)).alias("mono"))
 
 
-@query(f"WITH {_V} SELECT vec_id, round(list_sum(list_transform(v, lambda x: (x * 1000)::BIGINT / 2147483647.0::DOUBLE)), 9) AS full_scale, round(list_sum(list_transform(v, lambda x: (x * 1000)::BIGINT / 32768.0::DOUBLE)), 6) AS bit_depth FROM e")
+@query(f"WITH {_V} SELECT vec_id, round(list_sum(list_transform(v, lambda x: (x * 1000)::BIGINT / 2147483647.0::DOUBLE)), 9) + 0.0::DOUBLE AS full_scale, round(list_sum(list_transform(v, lambda x: (x * 1000)::BIGINT / 32768.0::DOUBLE)), 6) + 0.0::DOUBLE AS bit_depth FROM e")
 def q_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.transform("v", lambda x: F.bround(x * 1000, 0).cast("bigint"))
     return vectors(spark, sf_dir).select("vec_id", r(A.fold(A.full_scale(whole)), 9).alias("full_scale"), r(A.fold(A.bit_depth_scale(whole, F.lit(16))), 6).alias("bit_depth"))
