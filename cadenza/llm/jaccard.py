@@ -111,7 +111,6 @@ def _prefixes(hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         value, rank = hot.value  # sorted shingles, and how frequent each is among them
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
             rare, keys, edge = [], [], [0]
             for _, s in shingle_sets(batch.column(1)):
                 p, known = _prefix(len(s)), np.zeros(len(s), bool)
@@ -127,7 +126,7 @@ def _prefixes(hot):
                 edge.append(edge[-1] + len(s_prefix))
             flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.array(edge, np.int32)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.array(rare, np.int64)), lists], names=["doc", "rare", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(rare, np.int64)), lists], names=["doc", "rare", "keys"])
 
     return run
 
