@@ -49,6 +49,8 @@ HOT_TABLE = 1 << 18
 HOT_LOCAL, FLUSH = 2, 1 << 22
 #: Nodes of a region that become pivots in one round.
 PIVOTS = 256
+#: Pairs of texts that are cut into shingles at once.
+PAIRS = 256
 #: A region of at most so many nodes and shingles is joined in one task; larger ones take rounds.
 REGION_NODES, REGION_SHINGLES = 4096, 1 << 22
 #: A sketch counts a set's shingles in 2**k classes, about 4 to 8 a class, a byte each.
@@ -133,7 +135,7 @@ def _prefixes(hot):
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The shared shingles of pairs of texts (a, b, ta, tb); a text that comes several times is cut once."""
-    for batch in batches:
+    for batch in (b.slice(at, PAIRS) for b in batches for at in range(0, len(b), PAIRS)):
         a = batch.column(0).to_numpy(zero_copy_only=False)
         firsts, which = np.unique(a, return_index=True, return_inverse=True)[1:]
         left = [s for _, s in shingle_sets(batch.column(2).take(pa.array(firsts)))]
@@ -149,16 +151,14 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """a, b, shared, na, nb and dist (the exact Jaccard distance) for pairs (a, b) of ids of ``texts`` (doc, text).
 
-    Pairs are written first: few of them are joined without moving the texts, none reads no text at all.
+    Pairs are written first: where there are none, no text is read.
     """
     schema = "a long, b long, shared long, na long, nb long, dist double"
     pairs = materialize(pairs.select("a", "b"), "pairs")
     if pairs.isEmpty():
         return pairs.sparkSession.createDataFrame([], schema)
-    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "ends")
-    own = materialize(texts.join(ends, "doc", "left_semi"), "texts")
-    left = own.select(F.col("doc").alias("a"), F.col("text").alias("ta"))
-    right = own.select(F.col("doc").alias("b"), F.col("text").alias("tb"))
+    left = texts.select(F.col("doc").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("doc").alias("b"), F.col("text").alias("tb"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
     out = both.mapInArrow(_shared, "a long, b long, shared long, na long, nb long")
     return materialize(out.withColumn("dist", 1 - F.col("shared") / F.greatest(F.lit(1), F.col("na") + F.col("nb") - F.col("shared"))), "distances")
@@ -180,6 +180,47 @@ def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_possible, "a long, b long, na long, nb long").select("a", "b")
 
 
+def _fitting(pivot: int, doc: np.ndarray, n: np.ndarray, sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Which nodes of one region may link with another of its nodes, by size and sketch, and which with the pivot.
+
+    Sketches of one length are compared as a matrix, with those of twice the length folded. Counts stop at 255,
+    which only brings sums closer.
+    """
+    length = np.array([len(x) for x in sketches])
+    may, able = np.zeros(len(doc), bool), np.zeros(len(doc), bool)
+    for size in np.unique(length):
+        own, twice = np.flatnonzero(length == size), np.flatnonzero(length == 2 * size)
+        rows = np.concatenate([own, twice])
+        if len(rows) < 2:
+            continue
+        m = np.frombuffer(b"".join(sketches[i] for i in own), np.uint8).reshape(len(own), size).astype(np.int16)
+        if len(twice):
+            fine = np.frombuffer(b"".join(sketches[i] for i in twice), np.uint8).reshape(len(twice), 2 * size).astype(np.int16)
+            m = np.concatenate([m, np.minimum(fine[:, 0::2] + fine[:, 1::2], 255)])
+        for k, i in enumerate(own):
+            fit = (5 * np.minimum(n[rows], n[i]) >= 4 * np.maximum(n[rows], n[i])) & (9 * np.abs(m - m[k]).sum(axis=1, dtype=np.int64) <= n[rows] + n[i])
+            fit[k] = False
+            hit = rows[fit]
+            if len(hit):
+                may[hit] = may[i] = True
+                if doc[i] == pivot:
+                    able[hit] = True
+                elif (doc[hit] == pivot).any():
+                    able[i] = True
+    return may, able
+
+
+def _suspects(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The nodes of small regions that may link at all; ``able``: with the pivot. A frame holds whole regions."""
+    pdf = pdf.sort_values("pivot", kind="stable", ignore_index=True)
+    pivot, doc, n, sketches = pdf["pivot"].to_numpy(), pdf["doc"].to_numpy(), pdf["n"].to_numpy(), pdf["sketch"].tolist()
+    may, able = np.zeros(len(pdf), bool), np.zeros(len(pdf), bool)
+    begin = np.flatnonzero(np.r_[True, pivot[1:] != pivot[:-1]])
+    for s, e in zip(begin, np.r_[begin[1:], len(pdf)], strict=True):
+        may[s:e], able[s:e] = _fitting(pivot[s], doc[s:e], n[s:e], sketches[s:e])
+    return pdf.loc[may, ["pivot", "doc", "cells"]].assign(able=able[may])
+
+
 def _region(pdf: pd.DataFrame) -> pd.DataFrame:
     """Links (a, b) that join the components of one small region: each node outside the largest is held against all others.
 
@@ -230,11 +271,23 @@ def join_documents(documents: DataFrame) -> DataFrame:
     cell = Window.partitionBy("key")
     cells = prefixes.select("doc", "rare", F.explode("keys").alias("key")).select("doc", F.count("*").over(cell).alias("size"), F.min(F.struct("rare", "doc")).over(cell).alias("p"))
     regions = materialize(cells.where("size > 1").groupBy(F.col("p.doc").alias("pivot"), "doc").agg(F.count("*").alias("cells")), "regions")
+    # What may link at all, by sketch: in small regions each node with any other, in large ones with the pivot.
+    known = regions.join(sketches.withColumnRenamed("node", "doc"), "doc")
+    sizes = known.groupBy("pivot").agg(((F.count("*") <= REGION_NODES) & (F.sum("n") <= REGION_SHINGLES)).alias("small"))
     sketches = materialize(sketches.join(regions.select(F.col("doc").alias("node")).distinct(), "node", "left_semi"), "sketches")
+    large = materialize(regions.join(sizes.where("not small"), "pivot").select("pivot", "doc", "cells"), "large")
+    small = known.join(large.select("pivot").distinct(), "pivot", "left_anti").select("pivot", "doc", "cells", "n", "sketch")
+    parts = max(1, regions.count() // REGION_NODES)
+    kept = small.groupBy(F.pmod(F.xxhash64("pivot"), F.lit(parts)).alias("part")).applyInPandas(_suspects, "pivot long, doc long, cells long, able boolean").withColumn("small", F.lit(True))
+    if not large.isEmpty():
+        fit = possible(large.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")), sketches).select(F.col("a").alias("pivot"), F.col("b").alias("doc"), F.lit(True).alias("able"))
+        kept = kept.unionByName(large.join(fit, ["pivot", "doc"], "left").withColumn("able", F.coalesce("able", F.lit(False))).withColumn("small", F.lit(False)))
+    regions = materialize(kept, "suspects")
+    # The texts move once, whatever the size, so that the plan doesn't change with it.
+    texts = materialize(texts.join(regions.select("doc").distinct().hint("merge"), "doc", "left_semi"), "texts")
 
     alike = "100 * shared >= 80 * (na + nb - shared)"
-    able = regions.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b"), "cells")
-    able = materialize(able.join(possible(able.select("a", "b"), sketches), ["a", "b"]), "able")
+    able = regions.where("able and doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b"), "cells")
     # First each node against the pivot it shares most cells with; then what that left apart.
     nearest = able.groupBy("b").agg(F.max(F.struct("cells", (-F.col("a")).alias("p"))).alias("m")).select((-F.col("m.p")).alias("a"), "b")
     stars = compare(nearest, texts)
@@ -249,21 +302,18 @@ def join_documents(documents: DataFrame) -> DataFrame:
     roots = materialize(components(links), "roots")
 
     known = stars.unionByName(more).select(F.col("a").alias("pivot"), F.col("b").alias("doc"), "dist").distinct()
-    placed = rooted(regions.select("pivot", "doc"), roots, "doc", "root").join(sketches.select(F.col("node").alias("doc"), "n"), "doc")
-    mixed = placed.groupBy("pivot").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("nodes"), F.sum("n").alias("shingles")).where("lo < hi")
-    mixed = mixed.select("pivot", ((F.col("nodes") <= REGION_NODES) & (F.col("shingles") <= REGION_SHINGLES)).alias("small"))
+    placed = rooted(regions.select("pivot", "doc", "small"), roots, "doc", "root")
+    mixed = placed.groupBy("pivot").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("pivot")
     mixed = materialize(placed.join(mixed, "pivot").select("pivot", "doc", "root", "small"), "mixed")
     # Small regions at once, each in a task.
-    ends = materialize(mixed.where("small").select("doc").distinct(), "ends")
-    some = mixed.where("small").join(materialize(texts.join(ends, "doc", "left_semi"), "texts"), "doc")
-    found = materialize(some.groupBy("pivot").applyInPandas(_region, "a long, b long"), "found")
+    found = materialize(mixed.where("small").join(texts, "doc").groupBy("pivot").applyInPandas(_region, "a long, b long"), "found")
     if not found.isEmpty():
         links = links.unionByName(found)
         roots = materialize(components(links), "roots")
     # Large ones in rounds.
     left = mixed.where("not small").select("pivot", "doc").join(known, ["pivot", "doc"], "left").withColumn("dist", F.when(F.col("doc") == F.col("pivot"), 0.0).otherwise(F.col("dist")))
-    large = not mixed.where("not small").isEmpty()
-    while large:
+    rounds = not mixed.where("not small").isEmpty()
+    while rounds:
         placed = rooted(left, roots, "doc", "root")
         shares = placed.groupBy("pivot", "root").agg(F.count("*").alias("nodes"))
         mixed = shares.groupBy("pivot").agg(F.max(F.struct("nodes", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1").select("pivot", F.col("m.root").alias("main"))
