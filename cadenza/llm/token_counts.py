@@ -25,8 +25,11 @@ other columns are not read.
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
+import threading
+import time
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
@@ -47,14 +50,29 @@ KEEP = 64
 MARK = "▁"
 
 
-_WORKER: dict[tuple, object] = {}
+#: Seconds without use after which a worker gives its cache back.
+IDLE = 8.0
+_WORKER: dict[tuple, _Cached] = {}
 
 
-def in_worker(make, path: str, table: dict):
-    """This Python worker's encoder, whose cache outlives a task."""
+def _release() -> None:
+    while _WORKER:
+        time.sleep(IDLE / 4)
+        for key, encoder in list(_WORKER.items()):
+            if time.monotonic() - encoder.used > IDLE:
+                _WORKER.pop(key, None)
+    gc.collect()
+
+
+def in_worker(make, path: str, table: dict) -> _Cached:
+    """This Python worker's encoder, whose cache outlives a task and goes when no task has used it for a while."""
     key = make, path
     if key not in _WORKER:
+        start = not _WORKER
         _WORKER[key] = make(path, table)
+        if start:
+            threading.Thread(target=_release, daemon=True).start()
+    _WORKER[key].used = time.monotonic()
     return _WORKER[key]
 
 
@@ -75,10 +93,11 @@ class _Cached:
     """Two generations of what pre-tokens encode to, over a fixed table of the frequent ones."""
 
     def _start(self, table: dict) -> None:
-        self.table, self.cache, self.old = table, dict(table), {}
+        self.table, self.cache, self.old, self.used = table, dict(table), {}, time.monotonic()
 
     def _fill(self, lists: list[list[str]]) -> list[str]:
         """Look up or encode what the cache lacks; returns words too long to keep, to be dropped after use."""
+        self.used = time.monotonic()
         if len(self.cache) > CACHE + len(self.table):
             self.old, self.cache = self.cache, dict(self.table)
         cache, old = self.cache, self.old
