@@ -277,7 +277,7 @@ def join_documents(documents: DataFrame) -> DataFrame:
     sketches = materialize(sketches.join(regions.select(F.col("doc").alias("node")).distinct(), "node", "left_semi"), "sketches")
     large = materialize(regions.join(sizes.where("not small"), "pivot").select("pivot", "doc", "cells"), "large")
     small = known.join(large.select("pivot").distinct(), "pivot", "left_anti").select("pivot", "doc", "cells", "n", "sketch")
-    parts = max(1, regions.count() // REGION_NODES)
+    parts = max(1, regions.count() // max(1, REGION_NODES))
     kept = small.groupBy(F.pmod(F.xxhash64("pivot"), F.lit(parts)).alias("part")).applyInPandas(_suspects, "pivot long, doc long, cells long, able boolean").withColumn("small", F.lit(True))
     if not large.isEmpty():
         fit = possible(large.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")), sketches).select(F.col("a").alias("pivot"), F.col("b").alias("doc"), F.lit(True).alias("able"))
