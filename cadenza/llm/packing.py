@@ -33,12 +33,12 @@ from pyspark.sql import types as T
 
 from cadenza.llm.scratch import materialize
 from cadenza.llm.shards import number_rows
-from cadenza.llm.token_counts import WordEncoder, blocks, frequent, in_worker
+from cadenza.llm.token_counts import WordEncoder, frequent, in_worker, texts_of
 
 LIMIT = 4096
 END = 1
 #: Rounds of multiplicative weights, and how much of a filling's largest possible use one round adds.
-ROUNDS, STEP, RATE = 300, 0.5, 4.0
+ROUNDS, STEP, RATE = 150, 0.5, 4.0
 #: Common lengths start with a higher weight, so that early fillings can be used often.
 PRIOR = 0.05
 #: Rows that one numbering window covers over all lengths.
@@ -63,7 +63,7 @@ def cut_documents(documents: DataFrame, path: str, limit: int = LIMIT) -> DataFr
         encoder = in_worker(WordEncoder, path, table.value)
         for batch in batches:
             rows: list[tuple] = []
-            encoded = (ids for texts in blocks([t or "" for t in batch.column(1).to_pylist()]) for ids in encoder.ids(texts))
+            encoded = (ids for texts in texts_of(batch.column(1)) for ids in encoder.ids(texts))
             for d, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * limit)):

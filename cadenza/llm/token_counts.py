@@ -42,7 +42,9 @@ from pyspark.sql import types as T
 SAMPLE_DOCS, SAMPLE_BYTES = 512, 1 << 15
 TABLE = 1 << 15
 #: Pre-tokens of a generation of a worker's cache; when one is full, the one before it goes.
-CACHE = 1_000_000
+CACHE = 600_000
+#: Rows whose texts are Python strings at once.
+ROWS = 1000
 #: Characters that are split and looked up at once.
 BLOCK = 1 << 20
 #: A longer pre-token isn't kept.
@@ -89,6 +91,12 @@ def blocks(texts: list[str]) -> Iterator[list[str]]:
         yield held
 
 
+def texts_of(column: pa.Array) -> Iterator[list[str]]:
+    """The texts of a column in blocks, a null as an empty text; no more than ROWS of them are held as strings."""
+    for at in range(0, len(column), ROWS):
+        yield from blocks([t or "" for t in column.slice(at, ROWS).to_pylist()])
+
+
 class _Cached:
     """Two generations of what pre-tokens encode to, over a fixed table of the frequent ones."""
 
@@ -192,7 +200,7 @@ class WordEncoder(_Cached):
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         cut = [self.pattern.findall(w.lower()) if w.isprintable() and (w.isascii() or max(w) < "\u0250" and "\u0130" not in w) else [w] for w in words]
-        if len(self.parts) > CACHE:
+        if len(self.parts) > CACHE // 2:
             self.parts = {}
         parts = self.parts
         missed = [p for p in dict.fromkeys(p for c in cut for p in c) if p not in parts]
@@ -245,7 +253,7 @@ def count_tokens(documents: DataFrame, path: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = in_worker(PieceCounter, path, table.value)
         for batch in batches:
-            tokens = [n for texts in blocks(batch.column(2).to_pylist()) for n in counter.count(texts)]
+            tokens = [n for texts in texts_of(batch.column(2)) for n in counter.count(texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens, pa.int64())], names=COUNTS.names)
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
