@@ -9,6 +9,10 @@ probability of about (1 - exp(-LOAD)) / LOAD whatever its length, where a signat
 would lose short items in long documents. One equal bin makes a candidate; each candidate is then
 decided by the exact share of the item's shingles in the document.
 
+Items of fewer than FEW shingles have too few chances to meet in a bin. They are looked up in the document's
+full set: an item of m shingles that shares s of them shares one of any m - s + 1, so these many of each
+such item, for the least s that suffices, are the keys of one table. No such item can be missed.
+
 Plan: one scan of the documents with two columns and no shuffle. The items' signatures are broadcast
 in blocks of at most ITEM_BLOCK items and their size is known before; more items mean more blocks
 over the same scan, not a larger broadcast.
@@ -33,8 +37,11 @@ from pyspark.sql import types as T
 
 from cadenza.llm.words import shingle_sets
 
-#: Shingles a bin in the mean, at most; the chance to miss an item of 11 shingles is under 1 in 10,000.
+#: Shingles a bin in the mean, at most.
 LOAD = 1.0
+#: Items of fewer shingles are looked up exactly. Others share 32 shingles or more at a threshold of 0.8, each in
+#: its bin with a chance of over 0.57 (full load, and a fifth of the item's own in the way): missed under 1 in 10**11.
+FEW = 40
 MAX_BITS = 40
 #: Items in one broadcast: with 100 shingles each, under 40 MB.
 ITEM_BLOCK = 20_000
@@ -65,39 +72,70 @@ def minhash(sorted_hashes: np.ndarray, bits: int) -> np.ndarray:
     return sorted_hashes[keep]
 
 
+def least_shared(n: int, threshold: float) -> int:
+    """How many of an item's n shingles a document must have."""
+    return int(np.ceil(threshold * n - 1e-9))
+
+
+def _inverted(items: list[int], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct values in order, start of each value's items, items)."""
+    value = np.concatenate(values) if values else np.zeros(0, np.uint64)
+    item = np.repeat(np.array(items, np.int64), [len(x) for x in values])
+    order = np.argsort(value, kind="stable")
+    keys, start = np.unique(value[order], return_index=True)
+    return keys, np.append(start, len(order)), item[order]
+
+
+def _met(table: tuple[np.ndarray, np.ndarray, np.ndarray], values: np.ndarray) -> set[int]:
+    """The items in the table under any of the sorted values."""
+    keys, start, items = table
+    few, many = (keys, values) if len(keys) < len(values) else (values, keys)
+    if not len(few):
+        return set()
+    at = np.searchsorted(many, few)
+    same = many[np.minimum(at, len(many) - 1)] == few
+    hit = np.flatnonzero(same) if few is keys else at[same]
+    return {int(i) for a in hit for i in items[start[a] : start[a + 1]]}
+
+
 class ItemIndex:
     """Signatures of a block of items for each size partition; built on the driver, broadcast."""
 
     def __init__(self, ids: list[int], sets: list[np.ndarray]):
         self.ids, self.sets = ids, sets
+        self.long = [k for k, s in enumerate(sets) if len(s) >= FEW]
+        self.short = [k for k, s in enumerate(sets) if len(s) < FEW]
         self._tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self._exact: dict[float, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
     def table(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(distinct signature values in order, start of each value's items, items)."""
         if bits not in self._tables:
-            sig = [minhash(s, bits) for s in self.sets]
-            value = np.concatenate(sig) if sig else np.zeros(0, np.uint64)
-            item = np.repeat(np.arange(len(sig)), [len(x) for x in sig])
-            order = np.argsort(value, kind="stable")
-            keys, start = np.unique(value[order], return_index=True)
-            self._tables[bits] = keys, np.append(start, len(order)), item[order]
+            self._tables[bits] = _inverted(self.long, [minhash(self.sets[k], bits) for k in self.long])
         return self._tables[bits]
 
+    def exact(self, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of those shingles of the short items of which a document with enough of the item has one."""
+        if threshold not in self._exact:
+            sets = [self.sets[k] for k in self.short]
+            self._exact[threshold] = _inverted(self.short, [s[: len(s) - max(1, least_shared(len(s), threshold)) + 1] for s in sets])
+        return self._exact[threshold]
+
     def search(self, doc: np.ndarray, threshold: float) -> Iterator[tuple[int, int, int]]:
         """(item id, its shingles, shared shingles) for each item contained in a document's sorted set."""
         if not len(doc) or not self.ids:
             return
-        bits = size_bits(len(doc))
-        keys, start, items = self.table(bits)
-        sig = minhash(doc, bits)
-        at = np.searchsorted(keys, sig)
-        hit = at[at < len(keys)]
-        hit = hit[keys[hit] == sig[at < len(keys)]]
-        for k in sorted({int(i) for a in hit for i in items[start[a] : start[a + 1]]}):
+        found = set()
+        if self.long:
+            bits = size_bits(len(doc))
+            found |= _met(self.table(bits), minhash(doc, bits))
+        if self.short:
+            found |= _met(self.exact(threshold), doc)
+        for k in sorted(found):
             mine = self.sets[k]
             pos = np.searchsorted(doc, mine)
             shared = int((doc[np.minimum(pos, len(doc) - 1)] == mine).sum())
-            if shared >= threshold * len(mine) - 1e-9:
+            if shared >= least_shared(len(mine), threshold):
                 yield self.ids[k], len(mine), shared
 
 

@@ -95,6 +95,22 @@ def queries() -> dict:
     return {f.__name__: f for f in ops}
 
 
+def _shingles(table: str, key: str) -> str:
+    """SQL: r (a row's number), id and g of each distinct shingle, and n, their number, of a table's texts."""
+    words = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+    sets = "list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE [array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)] END)"
+    rows = f"SELECT row_number() OVER () AS r, {key} AS id, {words} AS w FROM {table}"
+    return f"SELECT r, id, len(s) AS n, unnest(s) AS g FROM (SELECT r, id, {sets} AS s FROM ({rows}) WHERE len(w) > 0)"
+
+
+OP10_SQL = f"""
+WITH items AS ({_shingles("benchmark", "item_id")}), docs AS ({_shingles("documents", "doc_id")})
+SELECT d.id AS doc_id, i.id AS item_id, i.n AS n_item, count(*) AS n_shared, count(*)::DOUBLE / i.n AS containment
+FROM items i JOIN docs d ON i.g = d.g WHERE i.id IS NOT NULL
+GROUP BY d.r, d.id, i.r, i.id, i.n HAVING 10 * count(*) >= 8 * i.n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express; the others are tested against brute force in tests/llm."""
-    return {}
+    return {"op10_decontamination": OP10_SQL}

@@ -276,6 +276,44 @@ def test_op10_in_blocks_of_items(spark, monkeypatch, corpus):
     assert {(i, i) for i, t in corpus[:6] if shingles(t)} <= got
 
 
+def test_op10_finds_short_items_in_long_documents(spark, write):
+    import random
+
+    rng = random.Random(11)
+    docs = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.choice([530, 1000, 4000])))) for i in range(40)]
+    items, want = [], {}
+    for i, t in docs:
+        w = t.split()
+        for n in (5, 6, 7, 8, 9, 14, 43, 44):
+            at = rng.randrange(len(w) - n)
+            want[i, len(items)] = (n - 4, n - 4)
+            items.append((len(items), " ".join(w[at : at + n])))
+    # Nine of eleven shingles, and one too few.
+    w = docs[0][1].split()
+    want[0, len(items)] = (11, 9)
+    items += [(len(items), " ".join(w[50:63] + ["x", "y"])), (len(items) + 1, " ".join(w[50:62] + ["x", "y", "z"]))]
+    d = write(spark, documents=(docs, DOCS), benchmark=(items, "item_id long, text string"))
+    rows = queries.op10_decontamination(spark, d).collect()
+    assert {(r.doc_id, r.item_id): (r.n_item, r.n_shared) for r in rows} == want and len(rows) == len(want)
+    assert decontaminate.clean(spark.createDataFrame(docs, DOCS), spark.createDataFrame([x for x in items if len(x[1].split()) == 5], "item_id long, text string")).count() == 0
+
+
+def test_op10_equals_its_sql(spark, sf, write, corpus):
+    import duckdb
+
+    rows = corpus + corpus[:3] + [(None, corpus[3][1])]
+    items = [(i, " ".join((t or "").split()[3:12])) for i, t in corpus] + [(7, "one two  THREE"), (7, "one two three"), (None, "one two three"), (8, None), (9, " ")]
+    for d in (sf, write(spark, documents=(rows, DOCS), benchmark=(items, "item_id long, text string"))):
+        con = duckdb.connect()
+        for t in ("documents", "benchmark"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet{'' if d == sf else '/*.parquet'}')")
+        df = queries.op10_decontamination(spark, d)
+        want = con.execute(queries.oracle_sql()["op10_decontamination"])
+        assert [c[0] for c in want.description] == df.columns
+        want = want.fetchall()
+        assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, want)) and want
+
+
 @pytest.mark.parametrize("name", ["op1_pii", "op2_sharding", "op3_jaccard_join", "op4_packing", "op5_substring_dedup", "op8_toxicity", "op9_token_counts", "op10_decontamination", "pipeline"])
 def test_empty_tables(spark, write, name):
     d = write(spark, documents=([], DOCS + ", lang string, source string, n_chars long"), benchmark=([], "item_id long, text string"), labels=([], "doc_id long, quality int, toxic int"))
