@@ -1,13 +1,13 @@
 """Embedding near-dedup (operator 6): cross-polytope hashing after fast Hadamard rotations.
 
 A vector is turned by three rounds of random signs and a fast Walsh-Hadamard transform; its hash is the
-nearest signed axis. DEPTH such hashes make a bucket of one of TABLES tables. With multiprobe a vector also
+nearest signed axis. Some such hashes (``depth``) make a bucket of one of several tables (``tables``). With multiprobe a vector also
 enters the bucket that differs in the hash it was least sure of; a pair is a candidate where at least one
 of the two is in its own bucket. Every candidate's cosine is computed in double precision.
 
 Plan:
 1. Equal vectors become one node with a weight (a partial aggregation), so copies cost one row a task.
-2. Each node sends its vector to its TABLES * PROBES buckets. A bucket of more than BLOCK nodes is dealt to
+2. Each node sends its vector to its buckets, PROBES in each table. A bucket of more than BLOCK nodes is dealt to
    blocks and each pair of blocks is compared on its own: no comparison holds more than 2 * BLOCK vectors and
    no pair is left out.
 3. A task takes many small buckets or some pairs of blocks, multiplies their vectors and counts each node's
@@ -15,7 +15,9 @@ Plan:
    counted in the first of them only - both nodes carry all their buckets - so pairs are neither
    written nor sorted; what leaves a group is a count a node and one link a node, to the smallest node it is joined to there.
 
-DEPTH follows the number of vectors, so that a bucket of unlike vectors keeps about the same size.
+The depth follows the number of different vectors, so that a bucket of unlike vectors keeps about the same size,
+and the number of tables follows the depth: a pair at exactly the threshold is in no common bucket with a chance
+of at most MISS, whatever the size of the table; closer pairs are missed less.
 
 Cases: null vectors, zero vectors, and vectors with null or non-finite components or of another length than
 the most frequent one link with nothing. Copies link with each other. Rows with the same vec_id are returned
@@ -36,7 +38,10 @@ from pyspark.sql import functions as F
 from cadenza.llm.graph import components
 from cadenza.llm.scratch import materialize
 
+#: Tables at least.
 TABLES, PROBES = 10, 2
+#: The chance to miss a pair at the threshold, at most, and the pairs that are drawn to know a table's share of it.
+MISS, DRAWN = 1e-3, 8192
 #: Vectors of a bucket that one side of a group holds.
 BLOCK = 1024
 #: Pairs whose buckets are compared at once.
@@ -62,47 +67,78 @@ def _hadamard(x: np.ndarray) -> np.ndarray:
     return x / math.sqrt(n)
 
 
-def buckets(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(own, probe): each (rows, TABLES), the code of the own bucket and of the second one."""
+def _codes(images: Iterator[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The code of the own bucket of each row and of the second one, from the row's image under each of a table's rotations."""
+    first, second, sure = [], [], []
+    for y in images:
+        rows, size = np.arange(len(y)), np.abs(y)
+        top = np.argpartition(-size, 1, axis=1)[:, :2]
+        swap = size[rows, top[:, 0]] < size[rows, top[:, 1]]
+        top[swap] = top[swap][:, ::-1]
+        a, b = top[:, 0], top[:, 1]
+        first.append(2 * a + (y[rows, a] < 0))
+        second.append(2 * b + (y[rows, b] < 0))
+        sure.append(size[rows, a] - size[rows, b])
+    weakest = np.argmin(np.stack(sure, 1), axis=1)
+    own = probe = np.zeros(len(weakest), np.int64)
+    for j in range(len(first)):
+        own = own * (2 * n) + first[j]
+        probe = probe * (2 * n) + np.where(weakest == j, second[j], first[j])
+    return own, probe
+
+
+def tables(k: int, dim: int, threshold: float) -> int:
+    """Tables of depth k that leave a pair at the threshold without a common bucket with a chance of at most MISS.
+
+    A table's chance to have the pair is the share of DRAWN random pairs, less three standard errors."""
+    rng = np.random.default_rng(SEED)
+    n = 1 << max(1, (dim - 1).bit_length())
+    met = 0
+    step = max(1, min(DRAWN, (1 << 20) // n))
+    for at in range(0, DRAWN, step):
+        x, z = rng.normal(size=(2, min(step, DRAWN - at), k, n))
+        x /= np.linalg.norm(x, axis=2, keepdims=True)
+        z -= (x * z).sum(2, keepdims=True) * x
+        z /= np.linalg.norm(z, axis=2, keepdims=True)
+        near = threshold * x + math.sqrt(max(0.0, 1 - threshold * threshold)) * z
+        (a, b), (c, d) = (_codes((v[:, j] for j in range(k)), n) for v in (x, near))
+        met += int(((a == c) | (a == d) | (b == c)).sum())
+    p = max(met, 1) / DRAWN
+    p = max(p - 3 * math.sqrt(p * (1 - p) / DRAWN), p / 2)
+    return TABLES if p >= 1 else max(TABLES, math.ceil(math.log(MISS) / math.log1p(-p)))
+
+
+def buckets(x: np.ndarray, k: int, count: int = TABLES) -> tuple[np.ndarray, np.ndarray]:
+    """(own, probe): each (rows, count), the code of the own bucket and of the second one in each table."""
     rng = np.random.default_rng(SEED)
     n = 1 << max(1, (x.shape[1] - 1).bit_length())
     padded = np.zeros((len(x), n))
     padded[:, : x.shape[1]] = x / np.linalg.norm(x, axis=1, keepdims=True)
-    own, probe = np.empty((len(x), TABLES), np.int64), np.empty((len(x), TABLES), np.int64)
-    rows = np.arange(len(x))
-    for t in range(TABLES):
-        first, second, sure = [], [], []
+    own, probe = np.empty((len(x), count), np.int64), np.empty((len(x), count), np.int64)
+
+    def images() -> Iterator[np.ndarray]:
         for _ in range(k):
             y = padded
             for _ in range(3):
                 y = _hadamard(y * rng.choice([-1.0, 1.0], n))
-            size = np.abs(y)
-            top = np.argpartition(-size, 1, axis=1)[:, :2]
-            swap = size[rows, top[:, 0]] < size[rows, top[:, 1]]
-            top[swap] = top[swap][:, ::-1]
-            a, b = top[:, 0], top[:, 1]
-            first.append(2 * a + (y[rows, a] < 0))
-            second.append(2 * b + (y[rows, b] < 0))
-            sure.append(size[rows, a] - size[rows, b])
-        weakest = np.argmin(np.stack(sure, 1), axis=1)
-        own[:, t] = probe[:, t] = 0
-        for j in range(k):
-            own[:, t] = own[:, t] * (2 * n) + first[j]
-            probe[:, t] = probe[:, t] * (2 * n) + np.where(weakest == j, second[j], first[j])
+            yield y
+
+    for t in range(count):
+        own[:, t], probe[:, t] = _codes(images(), n)
     return own, probe
 
 
-def _hashed(k: int):
+def _hashed(k: int, count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
             vectors = batch.column(2)
             x = np.asarray(vectors.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(batch), -1)
-            own, probe = buckets(x, k)
+            own, probe = buckets(x, k, count)
             codes = np.concatenate([own, probe], axis=1)
             packed, raw = [r.tobytes() for r in codes], [r.tobytes() for r in x]
-            for t in range(TABLES):
+            for t in range(count):
                 for p, code in ((False, own[:, t]), (True, probe[:, t])):
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0), batch.column(1), pa.array(np.full(len(x), t, np.int32)), pa.array(code), pa.array(np.full(len(x), p)), pa.array(packed, pa.binary()), pa.array(raw, pa.binary())],
@@ -114,9 +150,10 @@ def _hashed(k: int):
 
 def _first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For pairs of rows of codes (own | probe), table * 3 + way of the first bucket in which they are candidates."""
-    found = np.full(len(a), 3 * TABLES, np.int64)
-    for t in range(TABLES - 1, -1, -1):
-        oa, pa_, ob, pb = a[:, t], a[:, TABLES + t], b[:, t], b[:, TABLES + t]
+    count = a.shape[1] // 2
+    found = np.full(len(a), 3 * count, np.int64)
+    for t in range(count - 1, -1, -1):
+        oa, pa_, ob, pb = a[:, t], a[:, count + t], b[:, t], b[:, count + t]
         for way, same in ((2, pa_ == ob), (1, oa == pb), (0, oa == ob)):
             found[same] = 3 * t + way
     return found
@@ -195,14 +232,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     same = (F.col("dim") == top["dim"]) & F.col("h").isNotNull()
     nodes = materialize(rows.where(same).groupBy("h").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight"), F.first("v").alias("v")), "nodes")
-    coded = nodes.where("node is not null").select("node", "weight", "v").mapInArrow(_hashed(depth(top["count"], top["dim"])), CODES)
+    n = nodes.count()
+    k = depth(n, top["dim"])
+    count = tables(k, top["dim"], threshold)
+    coded = nodes.where("node is not null").select("node", "weight", "v").mapInArrow(_hashed(k, count), CODES)
     coded = materialize(coded, "codes")
     sizes = coded.groupBy("table", "code").agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("long"))
     # Each row goes, with its block, to every pair of blocks that has it: block i is the first side of (i, j >= i) and the second of (j < i, i).
     dealt = coded.join(sizes, ["table", "code"]).withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.select("node", "weight", "table", "code", "probe", "codes", "vector", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"))
-    parts = max(1, top["count"] * TABLES * PROBES // ROWS)
+    parts = max(1, n * count * PROBES // ROWS)
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("table", "code", "i", "j"), F.lit(parts)))
     found = materialize(dealt.groupBy("part").applyInPandas(_linked(threshold), "node long, links long, to long"), "links")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))

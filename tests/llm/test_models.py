@@ -57,6 +57,38 @@ def test_op6_empty(spark, write):
     assert queries.op6_embedding_dedup(spark, d).count() == 0
 
 
+def near_pairs(n, dim, cosine, seed=5):
+    rng = np.random.default_rng(seed)
+    x, z = rng.normal(size=(2, n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (x * z).sum(1, keepdims=True) * x
+    return x, cosine * x + np.sqrt(1 - cosine**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("k", [2, 3, 4])
+def test_op6_finds_pairs_at_any_depth(spark, write, monkeypatch, k):
+    x, y = near_pairs(200, 64, 0.9001)
+    d = write(spark, embeddings=([(i, v.tolist(), 0) for i, v in enumerate([*x, *y])], "vec_id long, embedding array<double>, label int"))
+    monkeypatch.setattr(embeddings, "depth", lambda n, dim: k)
+    got = {r.vec_id: r for r in queries.op6_embedding_dedup(spark, d).collect()}
+    assert sum(got[200 + i].component_id == i and got[i].n_links == 1 for i in range(200)) >= 198
+
+
+@pytest.mark.parametrize("dim", [16, 64])
+def test_tables_keep_the_stated_bound(dim):
+    for k in (1, 2, 3, 4):
+        x, y = near_pairs(1000, dim, 0.9)
+        (a, b), (c, d) = (embeddings.buckets(v, k, embeddings.tables(k, dim, 0.9)) for v in (x, y))
+        assert (~((a == c) | (a == d) | (b == c)).any(1)).mean() <= 4 * embeddings.MISS
+
+
+def test_op6_depth_counts_copies_once(spark, write, monkeypatch):
+    seen, depth = [], embeddings.depth
+    monkeypatch.setattr(embeddings, "depth", lambda n, dim: seen.append(n) or depth(n, dim))
+    d = write(spark, embeddings=([(i, [1.0, float(i % 3)], 0) for i in range(90)], "vec_id long, embedding array<double>, label int"))
+    assert {r.n_links for r in queries.op6_embedding_dedup(spark, d).collect()} <= {29, 59} and seen == [3]
+
+
 def test_rotations_keep_lengths():
     x = np.random.default_rng(1).normal(size=(5, 64))
     assert np.allclose(np.linalg.norm(embeddings._hadamard(x), axis=1), np.linalg.norm(x, axis=1))
