@@ -2,7 +2,8 @@
 
 A page is read once into its leaf blocks: runs of text and inline markup between block-level tags, with the
 elements around them. A block's features are its ancestors (tags, and words of their class and id), the
-length, links and ending of its text, and its place on the page. The field has the labels "article" and
+length, links and ending of its text, and its place on the page. Names say nothing where they are those of the
+page (``html``, ``body``, ``main``) or of what holds its story (``_story``). The field has the labels "article" and
 "other", weights for the features and for the steps between labels, and is decoded by Viterbi.
 
 It is trained by gradient ascent on at most TRAIN_PAGES pages of at most TRAIN_BYTES that are labelled by their
@@ -62,6 +63,10 @@ NAMES = {
     "hidden": "hidden invisible screen-reader sr-only visually-hidden",
     "body": "article content post entry story text body main articlebody post-content entry-content page",
 }
+#: Parts of a name that tell what a page has or does: such names are matched as a whole only.
+STATES = set("has no not with without is open opened closed enabled disabled fixed".split())
+OUT = ("menu", "foot", "side", "advert", "notice", "comment", "form", "share", "hidden")
+OUT_TAGS = {"nav", "aside", "footer", "form", "button", "dialog"}
 WORD_NAMES = {w: k for k, words in NAMES.items() for w in words.split()}
 LENGTHS = (2, 5, 12, 30, 80)
 TEXTS = ["one", "links0", "links1", "links2", "stop", "phrase", "first", "last"] + [f"words{i}" for i in range(len(LENGTHS) + 1)]
@@ -92,7 +97,8 @@ def _named(attributes: str) -> frozenset[str]:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             found.add("hidden")
         for word in value.split():
-            for w in (word, *re.split(r"[-_]+", word)):
+            parts = re.split(r"[-_]+", word)
+            for w in (word, *([] if STATES.intersection(parts) else parts)):
                 if w in WORD_NAMES:
                     found.add(WORD_NAMES[w])
         if name == "role":
@@ -100,10 +106,74 @@ def _named(attributes: str) -> frozenset[str]:
     return frozenset(found)
 
 
+class _Element(list):
+    """An open element: tag, names, whether it has the attribute hidden; then what its blocks first .. last hold."""
+
+    def __init__(self, tag: str, attributes: str):
+        super().__init__((tag, _named(attributes)))
+        self.hidden = "hidden" in self[1] and bool(re.search(r"(?:^|\s)(?:hidden(?![\w-])|aria-hidden\s*=\s*[\"']?true)", re.sub(r"""=\s*(?!["']?true)("[^"]*"|'[^']*')""", "", attributes), re.I))
+        self.first = self.last = -1
+        self.chars = self.linked = self.prose = 0
+        self.title = False
+
+    def clear(self) -> None:
+        """Only names of a text, and the attribute hidden, are left."""
+        self[1] = self[1] & {"body"} | (frozenset({"hidden"}) if self.hidden else frozenset())
+
+
+def _story(found: list[tuple[str, tuple, float]]) -> None:
+    """Clears the names of ``html``, ``body`` and the main element, and of elements that hold the page's story.
+
+    An element with a name of menus, adverts, comments and the like holds the story if its text is prose and hardly
+    any text of the page lies outside such elements and itself: for the largest article (or what is around it), if it is
+    more than twice any other, less than its own text; for others, a fifth of it where the page's titles (h1) are
+    inside, a twentieth where there are none, and none for comments without a title. The largest are decided first."""
+    elements = list({id(e): e for _, path, _ in found for e in path}.values())
+    if not any(e[1] for e in elements):
+        return
+    for k, (text, path, linked) in enumerate(found):
+        title = any(e[0] == "h1" for e in path)
+        for e in path:
+            e.first, e.last = (k if e.first < 0 else e.first), k
+            e.chars += len(text)
+            e.linked += linked * len(text)
+            e.prose += len(text) if text.count(" ") >= 5 else 0
+            e.title |= title
+    within = lambda x, e: e.first <= x.first and x.last <= e.last and any(y is e for y in found[x.first][1][: 1 + next(i for i, y in enumerate(found[x.first][1]) if y is x)])
+    main = max((e for e in elements if e[0] == "main"), key=lambda e: e.chars, default=None)
+    for e in elements:
+        if e[0] in ("html", "body"):
+            e[1] = frozenset()
+        elif main is not None and within(main, e):
+            e.clear()
+    article = max((e for e in elements if e[0] == "article"), key=lambda e: e.chars, default=None)
+    if article is not None and any(2 * e.chars >= article.chars and not within(e, article) and not within(article, e) for e in elements if e[0] == "article"):
+        article = None
+    bad = {*OUT, "head"}
+    least = sum(len(b[0]) for b in found) / 10
+    for e in sorted((e for e in elements if bad & e[1] and e.chars >= least), key=lambda e: -e.chars):
+        around_it = next(path[: 1 + next(i for i, y in enumerate(path) if y is e)] for path in (found[e.first][1],))
+        if any(x[0] in OUT_TAGS for x in around_it):
+            continue
+        rest = [b for k, b in enumerate(found) if not e.first <= k <= e.last and not any(x[0] in OUT_TAGS or bad & x[1] for x in b[1])]
+        outside, titles = sum(len(b[0]) for b in rest), any(x[0] == "h1" for b in rest for x in b[1])
+        held = article if article is not None and within(article, e) else e
+        if 2 * held.linked > held.chars or 2 * held.prose < held.chars:
+            continue
+        if held is article and not ("comment" in e[1] and titles):
+            sure = outside < held.chars
+        elif e.title:
+            sure = not titles and outside <= 0.2 * e.chars
+        else:
+            sure = not titles and outside <= (0 if "comment" in e[1] else 0.05) * e.chars
+        if sure:
+            e.clear()
+
+
 def blocks(page: str) -> list[tuple[str, tuple, float]]:
     """(text, path, share of its characters in links) of each leaf block; path has (tag, names) of each element around it."""
     out: list[tuple[str, tuple, float]] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    stack: list[_Element] = []
     parts: list[str] = []
     linked, path, depth = 0, None, 0
 
@@ -175,10 +245,11 @@ def blocks(page: str) -> list[tuple[str, tuple, float]]:
                     break
         if attributes.endswith("/") and tag not in BLOCK:
             continue
-        stack.append((tag, _named(attributes)))
+        stack.append(_Element(tag, attributes))
         depth += tag == "a"
     flush()
-    return out
+    _story(out)
+    return [(text, tuple((e[0], e[1]) for e in path), linked) for text, path, linked in out]
 
 
 # --- features ------------------------------------------------------------------------------------------------
@@ -219,9 +290,6 @@ def inside(text: str, linked: float, k: int, n: int) -> list[int]:
     return got
 
 
-OUT = ("menu", "foot", "side", "advert", "notice", "comment", "form", "share", "hidden")
-
-
 def own_label(path: tuple) -> bool:
     """What a page's own markup says of a block."""
     tags = [t for t, _ in path]

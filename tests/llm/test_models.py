@@ -147,6 +147,31 @@ def test_op7_on_pages(spark, write):
     assert got[103].text.startswith("Title here\nFirst part") and "I like it" not in got[103].text
 
 
+WRAPPERS = ["has-sidebar", "no-sidebar", "with-comments", "page-with-toc", "navbar-fixed", "menu-open", "search-enabled", "reader-content", "popular", "print"]
+
+
+def test_op7_names_of_wrappers(spark, write):
+    whole = PAGE + "</footer></body></html>"
+    rows = []
+    for name in WRAPPERS:
+        inner = whole.replace("<body>", f'<body><div class="{name}">').replace("</body>", "</div></body>")
+        around = whole.replace("<article>", f'<div id="{name}"><article>').replace("</article>", "</article></div>")
+        plain = whole.replace("<article>", f'<div class="{name}">').replace("</article>", "</div>")
+        rows += [whole.replace("<body>", f'<body class="{name}">'), inner, around, whole.replace("<article>", f'<article class="{name}">'), plain]
+    rows.append(whole.replace("<article>", '<article class="teaser">'))
+    many = "".join(f"<p>A reader says number {i} in rather many words that go on.</p>" for i in range(30))
+    rows.append(whole.replace("</article>", f'</article><div class="comments">{many}</div>'))
+    rows.append(whole.replace("</article>", f'</article><div class="related"><article class="teaser"><p>{many[3:60]}</p></article></div>'))
+    d = write(spark, pages=([(i, "u", r) for i, r in enumerate(rows)], "page_id long, url string, html string"))
+    got = {r.page_id: r.text for r in queries.op7_html_text(spark, d).collect()}
+    want = "Title here\nFirst part of it, with more words than a few <x>.\nSecond one, it goes on for a while and ends here."
+    assert {rows[i][:200]: t for i, t in got.items() if t != want} == {}
+    # Without anything to learn from.
+    bare = html_text.Extractor(html_text.PRIOR)
+    unnamed = bare.text(whole.replace("<article>", "<div>").replace("</article>", "</div>"))
+    assert {r[:300]: bare.text(r) for r in rows if bare.text(r) != (want if "<article" in r or "content" in r else unnamed)} == {}
+
+
 def test_op7_empty(spark, write):
     assert queries.op7_html_text(spark, write(spark, pages=([], "page_id long, url string, html string"))).count() == 0
 
