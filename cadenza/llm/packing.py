@@ -4,10 +4,10 @@ Documents are encoded, ended with one end id and cut into pieces of at most ``li
 to the driver is the histogram of piece lengths, at most ``limit`` counts whatever the corpus. There the
 covering program "choose how often to use each way to fill a sequence, so that every length is used as
 often as it occurs, with the fewest sequences" is solved by multiplicative weights: each round prices
-the lengths by their tokens, times a weight that falls with their coverage, and a knapsack dynamic program over the capacity gives the filling
-of the highest price. The solution is scaled so that no length is used more often than it occurs and
-rounded down; what is left is packed by best fit decreasing on the histogram, each filling as often as
-its scarcest length allows. The plan has a few thousand fillings, bounded by ROUNDS + limit, and is
+the lengths by their tokens, times a weight that falls with their coverage, and a bounded knapsack dynamic program over
+the capacity gives the fillings of the highest price, one for each of the least covered lengths. Rounding takes the whole
+parts, then the largest fractions that still fit, then solves the program for what is left. Best fit decreasing packs the
+residue, under 1 % of the pieces on the tables at hand. The plan has some thousand fillings, whatever the corpus, and is
 broadcast.
 
 Each piece then finds its place by its length and its gapless number among the pieces of that length;
@@ -20,7 +20,6 @@ Other columns are not read.
 
 from __future__ import annotations
 
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -33,14 +32,15 @@ from pyspark.sql import types as T
 
 from cadenza.llm.scratch import materialize
 from cadenza.llm.shards import number_rows
-from cadenza.llm.token_counts import WordEncoder, frequent, in_worker, texts_of
+from cadenza.llm.token_counts import WordEncoder, frequent, in_worker
 
 LIMIT = 4096
 END = 1
-#: Rounds of multiplicative weights, and how much of a filling's largest possible use one round adds.
-ROUNDS, STEP, RATE = 150, 0.5, 4.0
-#: Common lengths start with a higher weight, so that early fillings can be used often.
-PRIOR = 0.05
+#: Rounds of multiplicative weights; each prices the lengths once and takes COLUMNS fillings, for the lengths that are covered least.
+ROUNDS, COLUMNS, STEP, RATE = 400, 512, 1.0, 0.1
+#: The share of the tokens that the program may leave open, how often it is solved for what rounding leaves over, and the
+#: room that its fillings may have.
+EPSILON, AGAIN, SLACK = 0.05, 4, 4
 #: Rows that one numbering window covers over all lengths.
 LANE = 2_000_000
 PIECES = T.StructType(
@@ -57,47 +57,89 @@ PIECES = T.StructType(
 def cut_documents(documents: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """The pieces of every document: doc_id, piece, start, length, ids_crc32 (no ids; they can be encoded again)."""
     table = documents.sparkSession.sparkContext.broadcast(frequent(documents, WordEncoder(path)))
-    end = struct.pack("<I", END)
+    end = np.array([END], "<u4")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = in_worker(WordEncoder, path, table.value)
         for batch in batches:
-            rows: list[tuple] = []
-            encoded = (ids for texts in texts_of(batch.column(1)) for ids in encoder.ids(texts))
-            for d, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
-                ids += end
-                for k, at in enumerate(range(0, len(ids), 4 * limit)):
-                    part = ids[at : at + 4 * limit]
-                    rows.append((d, k, at // 4, len(part) // 4, zlib.crc32(part)))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=PIECES.names)
+            row, piece, start, length, crc = [], [], [], [], []
+            for i, ids in enumerate(encoder.ids(batch.column(1))):
+                ids = np.concatenate([ids, end])
+                for k, at in enumerate(range(0, len(ids), limit)):
+                    part = ids[at : at + limit]
+                    row.append(i), piece.append(k), start.append(at), length.append(len(part)), crc.append(zlib.crc32(part))
+            if row:
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), *(pa.array(x, t) for x, t in ((piece, pa.int32()), (start, pa.int64()), (length, pa.int64()), (crc, pa.int64())))], names=PIECES.names)
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
 
 
-def dearest(price: np.ndarray, capacity: int) -> dict[int, int]:
-    """Knapsack: the filling (length -> times) of the highest total price; price[l] is that of length l, 0 where there is none."""
-    best, took = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    for c in range(1, capacity + 1):
-        sums = price[c:0:-1] + best[:c]  # of lengths c, c - 1, ...: of equal sums, the one with the longest piece
-        j = int(sums.argmax())
-        if sums[j] > best[c - 1]:
-            best[c], took[c] = sums[j], c - j
-        else:
-            best[c] = best[c - 1]
-    out: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        if took[c]:
-            out[int(took[c])] = out.get(int(took[c]), 0) + 1
-            c -= took[c]
-        else:
-            c -= 1
+def priced(lengths: np.ndarray, most: np.ndarray, price: np.ndarray, capacity: int, rooms: np.ndarray) -> np.ndarray:
+    """The fillings of the highest total price for each of the ``rooms``, a row each: how often each length is used, at most ``most`` times.
+
+    A bounded knapsack: a length's allowed times are cut into powers of two and a rest, and each of these is used or not.
+    """
+    item, times = [], []
+    for i, m in enumerate(np.minimum(most, capacity // lengths).tolist()):
+        part = 1
+        while m > 0:
+            item.append(i), times.append(min(part, m))
+            m, part = m - part, 2 * part
+    size = np.array(times) * lengths[item]
+    value = np.array(times) * price[item]
+    best, took = np.zeros(capacity + 1), np.zeros((len(item), capacity + 1), bool)
+    for k, (s, v) in enumerate(zip(size.tolist(), value.tolist(), strict=True)):
+        sums = best[: capacity + 1 - s] + v
+        np.greater(sums, best[s:] + 1e-9, out=took[k, s:])
+        np.maximum(best[s:], sums, out=best[s:])
+    left, out = rooms.copy(), np.zeros((len(rooms), len(lengths)), np.int64)
+    for k in range(len(item) - 1, -1, -1):
+        used = took[k, left]
+        if used.any():
+            out[used, item[k]] += times[k]
+            left[used] -= size[k]
     return out
 
 
-def fillings(histogram: dict[int, int], limit: int = LIMIT, rounds: int = ROUNDS) -> list[tuple[int, dict[int, int]]]:
-    """(times, {length: pieces}) so that every piece is used exactly once and no filling is over ``limit``."""
+def cover(lengths: np.ndarray, n: np.ndarray, limit: int) -> dict[tuple, float]:
+    """The linear program by multiplicative weights: how often each filling is used, so that at most ``n`` pieces of each length are.
+
+    It ends when all but EPSILON of the tokens are covered, or when a round adds nothing. A filling is used for the share STEP of
+    what is left of its scarcest length, and for a whole sequence if there is that much.
+    """
+    used: dict[tuple, float] = {}
+    covered = np.zeros(len(n))
+    tokens = float(lengths @ n)
+    for _ in range(ROUNDS):
+        free = n - covered
+        some = np.flatnonzero(free > 1e-6)
+        if lengths[some] @ free[some] <= EPSILON * tokens:
+            break
+        own = lengths[some]
+        share = covered[some] / n[some]
+        price = own * np.exp(-RATE * share)
+        first = np.lexsort((-own, share))[:COLUMNS]
+        columns = priced(own, np.ceil(free[some]).astype(np.int64), price, limit, limit - own[first])
+        columns[np.arange(len(first)), first] += 1
+        added = False
+        for column in columns:
+            k = np.flatnonzero(column)
+            room = float((free[some[k]] / column[k]).min())
+            if room <= 1e-6:
+                continue
+            add = max(min(room, 1.0), STEP * room)
+            key = tuple(zip(own[k].tolist(), column[k].tolist(), strict=True))
+            used[key] = used.get(key, 0.0) + add
+            free[some[k]] -= add * column[k]
+            covered[some[k]] += add * column[k]
+            added = True
+        if not added:
+            break
+    return used
+
+
+def fillings(histogram: dict[int, int], limit: int = LIMIT) -> tuple[list[tuple[int, dict[int, int]]], int]:
+    """((times, {length: pieces}), so that every piece is used exactly once and no filling is over ``limit``; how many of these the program gave)."""
     left = np.zeros(limit + 1, np.int64)
     for length, n in histogram.items():
         left[length] = n
@@ -105,28 +147,24 @@ def fillings(histogram: dict[int, int], limit: int = LIMIT, rounds: int = ROUNDS
     if left[limit]:
         plan.append((int(left[limit]), {limit: 1}))
         left[limit] = 0
-    some = left > 0
-    if some.any():
-        used, total = {}, np.zeros(limit + 1)
-        prior = np.flatnonzero(some) * left[some] ** PRIOR
-        for _ in range(rounds):
-            price = np.zeros(limit + 1)
-            price[some] = prior * np.exp(-RATE * total[some] / left[some])
-            filling = {k: int(min(v, left[k])) for k, v in dearest(price, limit).items()}
-            add = STEP * min(left[k] / v for k, v in filling.items())
-            key = tuple(sorted(filling.items()))
-            used[key] = used.get(key, 0.0) + add
-            for k, v in filling.items():
-                total[k] += add * v
-        scale = max(1e-12, (total[some] / left[some]).max())
-        for key, x in sorted(used.items(), key=lambda kv: (-kv[1], kv[0])):
-            # Fillings that leave room are left to best fit.
-            if sum(k * v for k, v in key) == limit and (times := min(int(x / scale), *(int(left[k] // v) for k, v in key))) > 0:
-                plan.append((times, dict(key)))
-                for k, v in key:
-                    left[k] -= times * v
-    plan += best_fit(left, limit)
-    return plan
+    # What rounding leaves over is a smaller program of the same kind.
+    for _ in range(AGAIN):
+        lengths = np.flatnonzero(left)
+        if not len(lengths):
+            break
+        used = cover(lengths, left[lengths].astype(float), limit)
+        before = len(plan)
+        for up in (0, 1):  # whole parts first, then what is left of the largest fractions
+            for key, x in sorted(used.items(), key=lambda kv: (-(kv[1] if up == 0 else kv[1] % 1), kv[0])):
+                times = min(int(x + 1e-6) if up == 0 else int(x % 1 > 1e-6 and x % 1 < 1 - 1e-6), *(int(left[k] // v) for k, v in key))
+                if times > 0 and sum(k * v for k, v in key) >= limit - SLACK:
+                    plan.append((times, dict(key)))
+                    for k, v in key:
+                        left[k] -= times * v
+        if len(plan) == before:
+            break
+    given = len(plan)
+    return plan + best_fit(left, limit), given
 
 
 def best_fit(left: np.ndarray, limit: int) -> list[tuple[int, dict[int, int]]]:
@@ -176,7 +214,7 @@ def pack_documents(documents: DataFrame, path: str, limit: int = LIMIT) -> DataF
     spark = documents.sparkSession
     pieces = materialize(cut_documents(documents, path, limit), "pieces")
     histogram = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    plan = spark.sparkContext.broadcast(places(fillings(histogram, limit)))
+    plan = spark.sparkContext.broadcast(places(fillings(histogram, limit)[0]))
 
     @F.pandas_udf("sequence_id long, offset long")
     def place(length: pd.Series, number: pd.Series) -> pd.DataFrame:

@@ -21,20 +21,26 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-#: Bytes of text hashed in one go.
-BLOCK = 1 << 21
+_POWERS: list[np.ndarray] = []
+#: Bytes of text hashed in one go; longer texts are hashed in parts of whole words.
+BLOCK = 1 << 18
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse, mod 2**64."""
-    if len(_POWERS[0]) < n:
-        m = max(n, BLOCK + 1)
-        for k, b in enumerate((_BASE, pow(_BASE, -1, 2**64))):
+    """The first n powers of the base and of its inverse, mod 2**64; only those of a block are kept."""
+
+    def table(m: int) -> list[np.ndarray]:
+        out = []
+        for b in (_BASE, pow(_BASE, -1, 2**64)):
             p = np.full(m, b, dtype=np.uint64)
             p[0] = 1
-            _POWERS[k] = np.cumprod(p, dtype=np.uint64)
-    return _POWERS[0][:n], _POWERS[1][:n]
+            out.append(np.cumprod(p, dtype=np.uint64))
+        return out
+
+    if not _POWERS:
+        _POWERS.extend(table(BLOCK + 1))
+    up, down = _POWERS if n <= BLOCK + 1 else table(n)
+    return up[:n], down[:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -48,30 +54,25 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Words:
-    """The words of texts ``first`` .. ``first + len(bounds) - 2`` of a batch.
-
-    Text i has words bounds[i] .. bounds[i + 1] of ``hashes``; starts and ends are byte positions in ``data``."""
+    """The words of texts ``first`` .. ``first + len(bounds) - 2`` of a batch: text i has bounds[i] .. bounds[i + 1] of ``hashes``."""
 
     first: int
     bounds: np.ndarray
     hashes: np.ndarray
-    starts: np.ndarray
-    ends: np.ndarray
-    data: np.ndarray
 
     def __len__(self) -> int:
         return len(self.bounds) - 1
 
 
-def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, bytes) of strings, a null as an empty one."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
     if texts.null_count:
-        texts = texts.fill_null("")
-    if not pa.types.is_large_string(texts.type):
-        texts = texts.cast(pa.large_string())
+        texts = texts.fill_null("" if pa.types.is_string(texts.type) or pa.types.is_large_string(texts.type) else b"")
     _, off, data = texts.buffers()
-    offsets = np.frombuffer(off, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    offsets = np.frombuffer(off, dtype=np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     return offsets, np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
 
 
@@ -79,37 +80,57 @@ def words_of(texts: pa.Array, lower: bool) -> Iterator[Words]:
     """The words of all texts, some texts (of BLOCK bytes, or one longer text) at a time. A null has no words."""
     if not len(texts):
         return
-    offsets, data = _buffers(texts)
+    offsets, data = buffers(texts)
     at, n = 0, len(offsets) - 1
     while at < n:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK, side="right")) - 1)
         to = min(to, n)
-        base = int(offsets[at])
-        raw = data[base : int(offsets[to])]
-        buf = _LOWER[raw] if lower else raw
-        edge = (offsets[at : to + 1] - base).astype(np.int64)
-        yield _words(at, buf, edge)
+        base, end = int(offsets[at]), int(offsets[to])
+        edge = offsets[at : to + 1] - base
+        if end - base <= BLOCK:
+            yield Words(at, *_words(data[base:end], edge, lower))
+        else:
+            parts = []
+            while base < end:
+                stop = _gap(data, base + BLOCK, end)
+                parts.append(_words(data[base:stop], np.array([0, stop - base]), lower)[1])
+                base = stop
+            hashes = np.concatenate(parts)
+            yield Words(at, np.array([0, *[len(hashes)] * (len(edge) - 1)]), hashes)
         at = to
 
 
-def _words(first: int, buf: np.ndarray, edge: np.ndarray) -> Words:
+def _gap(data: np.ndarray, at: int, end: int) -> int:
+    """The first separator from ``at`` on, or ``end``."""
+    step = 1 << 12
+    while at < end:
+        found = np.flatnonzero(_SPACE[data[at : min(end, at + step)]])
+        if len(found):
+            return at + int(found[0])
+        at, step = at + step, 2 * step
+    return end
+
+
+def _words(buf: np.ndarray, edge: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(bounds, hashes) of the words of some texts, which begin at the edges."""
     n = len(buf)
-    none = np.zeros(0, np.int64)
     if not n:
-        return Words(first, np.zeros(len(edge), np.int64), np.zeros(0, np.uint64), none, none, buf)
+        return np.zeros(len(edge), np.int64), np.zeros(0, np.uint64)
+    if lower:
+        buf = _LOWER[buf]
     word = ~_SPACE[buf]
     cut = np.zeros(n + 1, dtype=bool)
     cut[edge] = True
     begin = word.copy()
     begin[1:] &= ~word[:-1] | cut[1:n]
-    stop = word.copy()
+    stop = word
     stop[:-1] &= ~word[1:] | cut[1:n]
     starts, ends = np.flatnonzero(begin), np.flatnonzero(stop) + 1
     up, down = _powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[buf] * up[:n], out=total[1:])
     hashes = mix((total[ends] - total[starts]) * down[starts])
-    return Words(first, np.searchsorted(starts, edge), hashes, starts, ends, buf)
+    return np.searchsorted(starts, edge), hashes
 
 
 def grams(w: Words, k: int) -> np.ndarray:

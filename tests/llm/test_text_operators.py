@@ -204,12 +204,34 @@ def test_token_counts_are_the_library_s(spark, write, corpus):
 
 def test_caches_turn_over(monkeypatch):
     import public_tokenizers
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{i % 20}x{j} é{i}!" for j in range(9)) + " " * (i % 3) for i in range(30)] * 2 + ["x" * 9000 + " y" * 5000, None, "end"]
+    monkeypatch.setattr(token_counts, "CACHE", 500)
+    monkeypatch.setattr(token_counts, "BLOCK", 300)
+    counter = token_counts.PieceCounter(public_tokenizers.path("piece_bpe_32k.model"))
+    encoder = token_counts.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert counter.splits and encoder.splits
+    for own in (counter, encoder):
+        own.table = own.frequent(pa.array(texts[:4], pa.string()))
+    for at in range(0, len(texts), 7):
+        part = [t or "" for t in texts[at : at + 7]]
+        column = pa.array(texts[at : at + 7], pa.string())
+        assert counter.count(column).tolist() == [len(x) for x in counter.lib.encode(part)]
+        assert [x.tolist() for x in encoder.ids(column)] == [e.ids for e in encoder.lib.encode_batch(part, add_special_tokens=False)]
+
+
+def test_compact_tables_compare_keys_whole():
+    import pyarrow as pa
 
-    monkeypatch.setattr(token_counts, "CACHE", 5)
-    texts = [" ".join(f"w{i}x{j}" for j in range(9)) for i in range(30)] * 2
-    counter = token_counts.PieceCounter(public_tokenizers.path("piece_bpe_32k.model"), {"w1x1": 5})
-    counter.table.clear(), counter._start({"": 1})
-    assert [n for b in range(0, 60, 7) for n in counter.count(texts[b : b + 7])] == [len(x) for x in counter.lib.encode(texts)]
+    words = [b"", b"a", b"abcdefgh", b"abcdefghi", b"abcdefghij" * 6, b"b"]
+    keys = token_counts.Keys.of(pa.array(words, pa.binary()))
+    table = token_counts.Table()
+    table.add(keys, keys.hashes(), np.arange(6), np.arange(15))
+    at = table.find(keys, keys.hashes())
+    assert [table.numbers[f : f + n].tolist() for f, n in zip(table.first[at], table.count[at])] == [[], [0], [1, 2], [3, 4, 5], [6, 7, 8, 9], [10, 11, 12, 13, 14]]
+    other = token_counts.Keys.of(pa.array([b"c", b"x", b"abcdefgX", b"abcdefghX", b"abcdefghij" * 5 + b"abcdefghiX", b"a"], pa.binary()))
+    assert (table.find(other, keys.hashes())[:5] == -1).all()  # equal hashes, other keys
 
 
 def test_op4_packs_every_piece(spark, write, corpus):
@@ -241,13 +263,38 @@ def test_fillings_use_each_piece_once():
     rng = np.random.default_rng(3)
     h = {int(k): int(v) for k, v in zip(*np.unique(np.clip(rng.lognormal(4, 1, 4000).astype(int), 1, 512), return_counts=True))}
     used = defaultdict(int)
-    plan = packing.fillings(h, 512, 60)
+    plan, given = packing.fillings(h, 512)
     for times, filling in plan:
         assert sum(k * v for k, v in filling.items()) <= 512
         for k, v in filling.items():
             used[k] += times * v
     assert used == h and sum(t for t, _ in plan) <= -(-sum(k * v for k, v in h.items()) // 512) + 2
-    assert packing.fillings({}, 512) == []
+    assert packing.fillings({}, 512) == ([], 0)
+    placed = sum(t * sum(f.values()) for t, f in plan[:given])
+    assert placed >= 0.9 * sum(h.values())
+
+
+def test_the_program_places_most_pieces_at_any_size():
+    rng = np.random.default_rng(5)
+    lengths = np.clip(rng.lognormal(5.5, 1.2, 3000).astype(int), 1, 4095)
+    for scale in (1, 100):
+        h = {int(k): int(v) * scale for k, v in zip(*np.unique(lengths, return_counts=True))}
+        plan, given = packing.fillings(h)
+        assert sum(t * sum(f.values()) for t, f in plan[:given]) >= 0.9 * sum(h.values())
+        assert sum(t for t, _ in plan) <= 1.001 * sum(k * v for k, v in h.items()) / 4096 + 1
+
+
+def test_bounded_knapsack_is_exact():
+    import itertools
+
+    rng = np.random.default_rng(8)
+    for _ in range(20):
+        lengths, most, price = np.sort(rng.choice(np.arange(1, 12), 4, replace=False)), rng.integers(1, 4, 4), rng.random(4)
+        rooms = np.array([5, 17, 20])
+        got = packing.priced(lengths, most, price, 20, rooms)
+        for room, row in zip(rooms, got):
+            best = max(float(np.dot(x, price)) for x in itertools.product(*(range(m + 1) for m in most)) if np.dot(x, lengths) <= room)
+            assert (row <= most).all() and row @ lengths <= room and abs(float(row @ price) - best) < 1e-6
 
 
 def test_op10_matches_brute_force(spark, write, corpus):
