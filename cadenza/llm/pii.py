@@ -5,9 +5,11 @@ DataFrame functions only: a scan of the documents with two columns, no shuffle a
 Kinds, in the order in which spans of one start are listed:
 * email, ip, card, phone - the base. Matches are leftmost and don't overlap within a kind; one that fails its
   check (parts of an ip over 255, a card's Luhn sum or digits, a phone's digits) is dropped and not tried anew.
-* iban - a country code, two check digits and 11 to 30 more signs that pass mod-97.
+* iban - a country code, two check digits and as many more signs as the country has, passing mod-97.
 * local - a national phone number without "+": 7 to 15 digits. It has no checksum, so that only a context
   word close before it lifts it over the threshold.
+* secret - a run of 20 to 128 signs as of keys and tokens, with digits and letters and at least DISTINCT different signs
+  (what is long and orderly is no secret). Checksums of files look the same, so that only a context word makes it one.
 
 A span's score is its kind's prior, which the checksum has raised, plus CONTEXT_BONUS where a context word
 of its kind is among the CONTEXT_CHARS characters before it. Base spans always stay; the others need THRESHOLD.
@@ -24,16 +26,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KINDS = ("email", "ip", "card", "phone", "iban", "local")
+KINDS = ("email", "ip", "card", "phone", "iban", "local", "secret")
 BASE = 4
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+#: How long an IBAN of each country is.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN = "|".join(f"(?:{'|'.join(c.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
+#: Different signs that a secret has at least.
+DISTINCT = 9
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])",
     "local": r"(?<![A-Za-z0-9.+-])\(?[0-9]{2,4}\)?(?:[ /-]?[0-9]{2,4}){2,4}+(?![A-Za-z0-9.-]|[ /-][0-9])",
+    "secret": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,128}+={0,2}+(?![A-Za-z0-9+/_=-])",
 }
 #: Context words in the four languages of the corpus.
 CONTEXT = {
@@ -43,8 +56,9 @@ CONTEXT = {
     "phone": "phone|tel|telephone|mobile|call|fax|telefon|téléphone|teléfono|móvil",
     "iban": "iban|account|bank|konto|compte|cuenta",
     "local": "phone|tel|telephone|mobile|call|fax|telefon|téléphone|teléfono|móvil",
+    "secret": "token|secret|key|apikey|password|passwd|pwd|auth|authorization|bearer|credentials?|schlüssel|passwort|kennwort|clé|jeton|mot de passe|clave|contraseña",
 }
-PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.7, "iban": 0.7, "local": 0.3}
+PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.7, "iban": 0.7, "local": 0.3, "secret": 0.3}
 CONTEXT_BONUS, CONTEXT_CHARS, THRESHOLD = 0.25, 32, 0.5
 _OPEN, _CLOSE, _OTHER = "\u0001", "\u0002", "\u0003"
 _SPAN = "array<struct<start:int,k:int,stop:int,score:double>>"
@@ -85,6 +99,7 @@ def _valid(kind: str, hit: Column) -> Column:
         "phone": lambda: n.between(9, 15),
         "iban": lambda: F.length(F.regexp_replace(hit, " ", "")).between(15, 34) & _mod97(hit),
         "local": lambda: n.between(7, 15),
+        "secret": lambda: hit.rlike("[0-9]") & hit.rlike("[A-Za-z]") & (F.size(F.array_distinct(F.split(hit, ""))) >= DISTINCT),
     }[kind]()
 
 
@@ -97,6 +112,7 @@ def _likely(kind: str, text: Column) -> Column:
         "phone": lambda: text.contains("+"),
         "iban": lambda: text.rlike("[A-Z]{2}[0-9]{2}"),
         "local": lambda: text.rlike("[0-9]{2}") & text.rlike(rf"(?i)\b(?:{CONTEXT['local']})\b"),
+        "secret": lambda: text.rlike(rf"(?i)(?<!\p{{L}})(?:{CONTEXT['secret']})(?!\p{{L}})") & text.rlike("[A-Za-z0-9+/_-]{20}"),
     }[kind]()
 
 
@@ -127,7 +143,7 @@ def find_pii(documents: DataFrame) -> DataFrame:
     # A local number inside a base span is that span's.
     base = F.concat(*(F.col(f"_{k}") for k in KINDS[:BASE]))
     inside = F.filter("_local", lambda s: ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
-    return out.withColumn("pii", F.array_sort(F.concat(base, F.col("_iban"), inside))).drop("_text", *(f"_{k}" for k in KINDS))
+    return out.withColumn("pii", F.array_sort(F.concat(base, F.col("_iban"), inside, F.col("_secret")))).drop("_text", *(f"_{k}" for k in KINDS))
 
 
 def kind_name(k: Column) -> Column:
