@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.scratch import materialize
+from cadenza.llm.scratch import materialize, release
 
 
 def _stars(links: DataFrame) -> bool:
@@ -30,6 +30,7 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
-        now = materialize(small, "stars")
+        before, now = now, materialize(small, "stars")
+        release(before)
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

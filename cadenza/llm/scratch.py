@@ -12,9 +12,12 @@ _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset (tests), a folder of this process."""
+    """spark.checkpoint.dir; where it is unset, a folder of this process if all runs on this machine (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="cadenza-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
@@ -24,21 +27,35 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     The copy survives the loss of any executor, and what reads it has no lineage
-    behind it. The files go when the driver ends.
+    behind it. The files go with ``release``, or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _WRITTEN.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_written"] = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more: what was made of them is written itself."""
+    for df in tables:
+        path = df.__dict__.pop("_written", None)
+        if path:
+            _delete(df.sparkSession, path)
+            _WRITTEN.remove((df.sparkSession, path))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 @atexit.register
 def _clean() -> None:
     for spark, path in _WRITTEN:
         try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, path)
         except Exception:  # noqa: BLE001  the session may be gone
             return

@@ -4,15 +4,18 @@ Each word is removed that lies in a window whose words also start in a document
 windows are judged on the input. Repeated windows merge into maximal removal intervals.
 
 Plan:
-1. A scan hashes all windows of each document by a rolling sum (Rabin-Karp). Equal windows within one
-   task's block are settled there: only the copy in the block's smallest document goes on, the others are
-   removed whatever else there is. So a passage that a third of all documents share is sent once a block.
-2. The rest is shuffled by the window's route, the least hash of its 25-word parts: equal windows have
-   equal routes, and consecutive windows mostly share one, so that a row holds a run of about 13 windows
-   (6 bytes a window; a window is known by its route and these 48 bits, 112 bits in all).
-3. A task reads its rows in order of route and finds the smallest document of each window, holding about
-   WINDOWS at a time: a route is never split, and only a single route's windows can exceed that.
-4. The intervals join the texts by id; the words that none covers are kept.
+1. Count. A scan hashes all windows of each document by a rolling sum (Rabin-Karp). A window's route is the least hash
+   of its 25-word parts: equal windows have equal routes, and consecutive windows mostly share one, so that a run of
+   about 13 windows is one row (route, least and greatest document), once for each route of a block of WINDOWS windows. Spark sums
+   them up; only windows on routes of two documents or more can repeat. These routes go into a bitmap of bounded size
+   (``bloom``), which is broadcast.
+2. Find. A second scan sends on the windows whose routes the bitmap has. Equal windows within one block are settled
+   there: only the copy in the block's smallest document goes on, the others are removed whatever else there is. So a
+   passage that a third of all documents share is sent once a block. Windows are known by 128 bits (hash and route); the
+   smallest document of each is a partial aggregation, joined back.
+3. Merge. The repeated windows of each document become maximal intervals.
+4. The intervals join the texts by id; documents that the bitmap of the ids concerned rules out aren't joined. The words
+   that no interval covers are kept.
 
 Cases: null texts have no words. Texts of fewer than 50 words have no window and lose nothing. Windows that
 repeat within one document only are kept. Rows with the same doc_id are one document as to windows, and each
@@ -25,19 +28,19 @@ from collections.abc import Iterator
 from itertools import compress
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.llm import bloom
+from cadenza.llm.scratch import materialize, release
 from cadenza.llm.words import grams, mix, words_of
 
 WINDOW, PART = 50, 25
 #: Windows that are compared at once.
-WINDOWS = 1 << 21
-BYTES = 6
-RUNS = "route long, doc long, start int, stop int, hashes binary"
-_NAMES = ["route", "doc", "start", "stop", "hashes"]
+WINDOWS = 1 << 20
+FOUND = "key long, route long, doc long, start int, stop int"
 
 
 def _least(x: np.ndarray, width: int) -> np.ndarray:
@@ -68,49 +71,21 @@ def _repeats(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
-def _runs(doc: np.ndarray, pos: np.ndarray, *same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where runs of consecutive windows of one document begin and end (in the arrays); ``same`` must not change in a run."""
+def _runs(doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of consecutive windows of one document begin and end (in the arrays)."""
     if not len(doc):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     new = np.empty(len(doc), bool)
     new[0] = True
     new[1:] = (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + 1)
-    for s in same:
-        new[1:] |= s[1:] != s[:-1]
     begin = np.flatnonzero(new)
     return begin, np.append(begin[1:], len(doc))
 
 
-def _intervals(doc: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
-    """Rows that remove the words of consecutive repeated windows; they pass through the second stage."""
-    begin, end = _runs(doc, pos)
-    route = mix(doc[begin].astype(np.uint64)).view(np.int64)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(route), pa.array(doc[begin]), pa.array(pos[begin].astype(np.int32)), pa.array((pos[end - 1] + WINDOW).astype(np.int32)), pa.nulls(len(begin), pa.binary())] if len(begin) else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())],
-        names=_NAMES,
-    )
-
-
-def _sent(route: np.ndarray, doc: np.ndarray, pos: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
-    begin, end = _runs(doc, pos, route)
-    data = np.ascontiguousarray(key.view(np.uint8).reshape(-1, 8)[:, :BYTES])
-    offsets = np.append(begin, len(doc)).astype(np.int32) * BYTES
-    hashes = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-    return pa.RecordBatch.from_arrays([pa.array(route[begin].view(np.int64)), pa.array(doc[begin]), pa.array(pos[begin].astype(np.int32)), pa.nulls(len(begin), pa.int32()), hashes], names=_NAMES)
-
-
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(key, route, doc, position) of windows, about WINDOWS at a time."""
     held: list[tuple] = []
     size = 0
-
-    def settle() -> Iterator[pa.RecordBatch]:
-        route, doc, pos, key = (np.concatenate(x) for x in zip(*held, strict=True))
-        gone = _repeats(key, doc)
-        if gone.any():
-            yield _intervals(doc[gone], pos[gone])
-        kept = ~gone
-        yield _sent(route[kept], doc[kept], pos[kept], key[kept])
-
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
         for w in words_of(batch.column(1), lower=False):
@@ -121,65 +96,78 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pos = np.arange(len(w.hashes)) - w.bounds[at]
             valid = np.flatnonzero(pos + WINDOW <= n[at])
             key, least = grams(w, WINDOW), _least(grams(w, PART), WINDOW - PART + 1)
-            held.append((least[valid], ids[w.first + at[valid]], pos[valid], key[valid]))
+            held.append((key[valid], mix(least[valid]), ids[w.first + at[valid]], pos[valid]))
             size += len(valid)
             if size >= WINDOWS:
-                yield from settle()
+                yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
                 held, size = [], 0
     if held:
-        yield from settle()
-
-
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Intervals of words to remove, from rows in order of route."""
-    held: list[tuple] = []
-    size, last = 0, None
-
-    def found() -> Iterator[pa.RecordBatch]:
-        key, doc, pos = (np.concatenate(x) for x in zip(*held, strict=True))
-        gone = _repeats(key, doc)
-        if gone.any():
-            doc, pos = doc[gone], pos[gone]
-            order = np.lexsort((pos, doc))
-            yield _intervals(doc[order], pos[order]).select(["doc", "start", "stop"])
-
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
+def _routes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least and the greatest document of each route of a block."""
+    for _, route, doc, _ in _blocks(batches):
+        first = np.append(True, (route[1:] != route[:-1]) | (doc[1:] != doc[:-1]))
+        route, doc = route[first], doc[first]
+        order = np.argsort(route, kind="stable")
+        route, doc = route[order], doc[order]
+        begin = np.flatnonzero(np.append(True, route[1:] != route[:-1]))
+        yield pa.RecordBatch.from_arrays([pa.array(route[begin].view(np.int64)), pa.array(np.minimum.reduceat(doc, begin)), pa.array(np.maximum.reduceat(doc, begin))], names=["route", "lo", "hi"])
+
+
+def _windows(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Windows on shared routes; without a key, runs of words that are removed already."""
+        for key, route, doc, pos in _blocks(batches):
+            gone = _repeats(key, doc)
+            d, p = doc[gone], pos[gone]
+            begin, end = _runs(d, p)
+            none = pa.nulls(len(begin), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(d[begin]), pa.array(p[begin].astype(np.int32)), pa.array((p[end - 1] + WINDOW).astype(np.int32))], names=["key", "route", "doc", "start", "stop"])
+            kept = ~gone & bloom.within(shared.value, route)
+            p = pos[kept].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(key[kept].view(np.int64)), pa.array(route[kept].view(np.int64)), pa.array(doc[kept]), pa.array(p), pa.array(p + np.int32(WINDOW))], names=["key", "route", "doc", "start", "stop"])
+
+    return run
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Maximal intervals, from intervals in order of document and start."""
+    last: tuple[int, int, int] | None = None
     for batch in batches:
-        ready = batch.column(4).is_null()
-        if ready.true_count:
-            yield batch.filter(ready).select(["doc", "start", "stop"])
-        rows = batch.filter(pc.invert(ready))
-        if not len(rows):
+        if not len(batch):
             continue
-        route = rows.column(0).to_numpy().view(np.uint64)
-        if size >= WINDOWS and route[0] != last:
-            yield from found()
-            held, size = [], 0
-        hashes = rows.column(4)
-        offsets = np.frombuffer(hashes.buffers()[1], np.int32)[hashes.offset : hashes.offset + len(rows) + 1]
-        n = np.diff(offsets) // BYTES
-        data = np.zeros((int(n.sum()), 8), np.uint8)
-        data[:, :BYTES] = np.frombuffer(hashes.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].reshape(-1, BYTES)
-        key = mix(data.view(np.uint64).reshape(-1) + np.repeat(mix(route), n))
-        within = np.arange(len(key)) - np.repeat(np.cumsum(n) - n, n)
-        own = key, np.repeat(rows.column(1).to_numpy(), n), np.repeat(rows.column(2).to_numpy().astype(np.int64), n) + within
-        size += len(key)
-        last = route[-1]
-        if size >= WINDOWS and route[0] != last:  # all but this batch's last route is complete
-            at = int(n[: int(np.flatnonzero(route != last)[-1]) + 1].sum())
-            held.append(tuple(x[:at] for x in own))
-            yield from found()
-            held, size = [], len(key) - at
-            own = tuple(x[at:] for x in own)
-        held.append(own)
-    if held:
-        yield from found()
+        doc, start, stop = (c.to_numpy().astype(np.int64) for c in batch.columns)
+        if last is not None:
+            doc, start, stop = np.append(last[0], doc), np.append(last[1], start), np.append(last[2], stop)
+        # The farthest end so far in a document: ends of later documents are lifted over those of earlier ones.
+        lift = np.cumsum(np.append(0, doc[1:] != doc[:-1])) * (int(stop.max()) + 1)
+        far = np.maximum.accumulate(stop + lift) - lift
+        begin = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (start[1:] > far[:-1])))
+        end = np.append(begin[1:], len(doc)) - 1
+        out = doc[begin], start[begin], far[end]
+        last = tuple(int(x[-1]) for x in out)  # it may go on in the next batch
+        yield pa.RecordBatch.from_arrays([pa.array(out[0][:-1]), *(pa.array(x[:-1].astype(np.int32)) for x in out[1:])], names=["doc", "start", "stop"])
+    if last is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([last[0]], pa.int64()), pa.array([last[1]], pa.int32()), pa.array([last[2]], pa.int32())], names=["doc", "start", "stop"])
 
 
 def removals(documents: DataFrame) -> DataFrame:
-    """doc, start, stop: the words [start, stop) of a document that repeat one with a smaller id; they may overlap."""
+    """doc, start, stop: the words [start, stop) of a document that repeat one with a smaller id, as maximal intervals."""
+    spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where("doc is not null and text is not null")
-    runs = texts.mapInArrow(_windows, RUNS)
-    return runs.repartition("route").sortWithinPartitions("route").mapInArrow(_compare, "doc long, start int, stop int")
+    counted = texts.mapInArrow(_routes, "route long, lo long, hi long").groupBy("route").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    routes = materialize(counted.where("lo < hi").select("route"), "routes")
+    shared = spark.sparkContext.broadcast(bloom.of(routes, "route"))
+    found = materialize(texts.mapInArrow(_windows(shared), FOUND), "windows")
+    release(routes)
+    windows = found.where("key is not null")
+    least = windows.groupBy("key", "route").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").drop("hi")
+    spans = windows.join(least, ["key", "route"]).where("doc > lo").select("doc", "start", "stop").unionByName(found.where("key is null").select("doc", "start", "stop"))
+    out = materialize(spans.repartition("doc").sortWithinPartitions("doc", "start").mapInArrow(_merge, "doc long, start int, stop int"), "intervals")
+    release(found)
+    return out
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +190,16 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def dedup_substrings(documents: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (the kept words joined by one space) of every document."""
-    spans = removals(documents).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    gone = removals(documents)
+    held = documents.sparkSession.sparkContext.broadcast(bloom.of(gone.select("doc").distinct().select(F.xxhash64("doc").alias("h")), "h"))
+
+    @F.pandas_udf("boolean")
+    def concerned(h: pd.Series) -> pd.Series:
+        return pd.Series(bloom.within(held.value, h.to_numpy(np.int64)))
+
+    spans = gone.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    both = texts.join(spans, texts["doc_id"] == spans["doc"], "left").select("doc_id", "text", "spans")
-    return both.mapInArrow(_keep, "doc_id long, n_words long, n_removed long, kept_text string")
+    may = concerned(F.xxhash64("doc_id"))
+    some = texts.where(may).join(spans, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "spans")
+    rest = texts.where(~may).select("doc_id", "text", F.lit(None).cast("array<struct<start:int,stop:int>>").alias("spans"))
+    return some.unionByName(rest).mapInArrow(_keep, "doc_id long, n_words long, n_removed long, kept_text string")
