@@ -25,7 +25,8 @@ only pairs with a pivot, which fetch their texts by id (a shuffled join that ada
 where one pivot has very many nodes) from a table of the texts that are in such a pair. Components are found by ``graph.components``.
 
 Cases: null texts and texts without words have an empty set and link with nothing; fewer than five words
-are one shingle. Ties and repeated rows are ordinary: each row is returned. An empty table gives no rows.
+are one shingle. Ties and repeated rows are ordinary: each row is returned. Rows that share a doc_id but not a text are
+one document in the links. Rows with a null doc_id link with equal sets only. An empty table gives no rows.
 Other columns are not read.
 """
 
@@ -40,13 +41,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.llm.graph import components
-from cadenza.llm.scratch import materialize
+from cadenza.llm.scratch import materialize, release
+from cadenza.llm.shards import number_rows
 from cadenza.llm.words import mix, shingle_sets
 
 #: Frequent shingles that go last in the order: at most so many are broadcast (16 bytes each).
 HOT_TABLE = 1 << 18
 #: A task reports a shingle that is in at least so many of the different sets among the FLUSH shingles before.
-HOT_LOCAL, FLUSH = 2, 1 << 22
+HOT_LOCAL, FLUSH = 2, 1 << 20
 #: Nodes of a region that become pivots in one round.
 PIVOTS = 256
 #: Pairs of texts that are cut into shingles at once.
@@ -80,6 +82,11 @@ def apart(x: bytes, y: bytes) -> int:
     return int(np.abs(a - b)[~full].sum())
 
 
+def _key(s: np.ndarray) -> tuple[int, int, int]:
+    """A set's size and two sums of hashes of its shingles."""
+    return len(s), *(int(mix(s ^ np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) for k in (0x243F6A8885A308D3, 0x13198A2E03707344))
+
+
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document (size, hash and sketch of its set), and one for each shingle that is frequent here."""
     held, size, sets = [], 0, set()
@@ -93,11 +100,10 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows, sketches = np.zeros((len(batch), 3), np.int64), [b""] * len(batch)
         for i, s in shingle_sets(batch.column(1)):
-            sums = [int(mix(s ^ np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) for k in (0x243F6A8885A308D3, 0x13198A2E03707344)]
-            rows[i] = len(s), *sums
+            rows[i] = _key(s)
             sketches[i] = sketch(s)
-            if sums[0] not in sets:
-                sets.add(sums[0])
+            if rows[i, 1] not in sets:
+                sets.add(int(rows[i, 1]))
                 held.append(s[: 2 * _prefix(len(s))])
                 size += len(held[-1])
         none = pa.nulls(len(batch), pa.int64())
@@ -113,22 +119,21 @@ def _prefixes(hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         value, rank = hot.value  # sorted shingles, and how frequent each is among them
         for batch in batches:
-            rare, keys, edge = [], [], [0]
+            rare, keys, edge, late_keys, late_edge = [], [], [0], [], [0]
             for _, s in shingle_sets(batch.column(1)):
                 p, known = _prefix(len(s)), np.zeros(len(s), bool)
                 if len(value) and len(s):
                     at = np.minimum(np.searchsorted(value, s), len(value) - 1)
                     known = value[at] == s
-                s_prefix = s[~known][:p]
-                if len(s_prefix) < p:
-                    late = s[known]
-                    s_prefix = np.concatenate([s_prefix, late[np.argsort(rank[at[known]], kind="stable")][: p - len(s_prefix)]])
+                first = s[~known][:p]
+                late = s[known]
+                late = late[np.argsort(rank[at[known]], kind="stable")][: p - len(first)] if len(first) < p else late[:0]
                 rare.append(1000 * int((~known).sum()) // max(1, len(s)))
-                keys.append(s_prefix)
-                edge.append(edge[-1] + len(s_prefix))
-            flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.array(edge, np.int32)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(rare, np.int64)), lists], names=["doc", "rare", "keys"])
+                for own, held, ends in ((first, keys, edge), (late, late_keys, late_edge)):
+                    held.append(own)
+                    ends.append(ends[-1] + len(own))
+            lists = [pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(np.concatenate([np.zeros(0, np.uint64), *held]).view(np.int64))) for held, ends in ((keys, edge), (late_keys, late_edge))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(rare, np.int64)), *lists], names=["doc", "rare", "keys", "frequent"])
 
     return run
 
@@ -253,13 +258,27 @@ def rooted(df: DataFrame, roots: DataFrame, node: str, name: str) -> DataFrame:
     return df.join(own, F.col(node) == F.col("_node"), "left").withColumn(name, F.coalesce("_root", node)).drop("_node", "_root")
 
 
+def _named(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``rows`` (with n, s1, s2) and the node ``rep`` of each set. A set that over a thousandth of the rows have is in a table of under 1,000 sets, which is broadcast."""
+    key = ["n", "s1", "s2"]
+    total = rows.count()
+    common = F.broadcast(nodes.where(F.col("copies") * 1000 > total).select(*key, "rep"))
+    rest = rows.join(common, key, "left_anti").join(nodes.where(F.col("copies") * 1000 <= total).select(*key, "rep"), key, "left")
+    return rows.join(common, key).unionByName(rest)
+
+
 def join_documents(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every document."""
+    return classes(documents).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def classes(documents: DataFrame) -> DataFrame:
+    """doc_id, n, s1, s2 (a set's size and hash) and component_id of every document."""
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
     survey = materialize(texts.mapInArrow(_survey, SURVEY), "survey")
     rows = survey.where("n is not null").select("doc_id", "n", "s1", "s2")
-    nodes = rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
+    nodes = rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     sketches = survey.where("n > 0").select(F.col("doc_id").alias("node"), "n", "sketch")
 
     top = survey.where("seen is not null").groupBy("shingle").agg(F.sum("seen").alias("seen")).orderBy(F.desc("seen"), "shingle").limit(HOT_TABLE).toArrow()
@@ -267,10 +286,16 @@ def join_documents(documents: DataFrame) -> DataFrame:
     order = np.argsort(value)
     hot = spark.sparkContext.broadcast((value[order], rank[order]))
 
-    prefixes = texts.mapInArrow(_prefixes(hot), "doc long, rare long, keys array<long>").join(nodes.select(F.col("rep").alias("doc")), "doc", "left_semi")
+    prefixes = texts.mapInArrow(_prefixes(hot), "doc long, rare long, keys array<long>, frequent array<long>").join(nodes.select(F.col("rep").alias("doc")), "doc", "left_semi")
+    prefixes = materialize(prefixes, "prefixes")
+    # Few nodes share a rare shingle, and one shuffle serves; a frequent one may be a third of all nodes', so its pivot comes from partial minima.
     cell = Window.partitionBy("key")
-    cells = prefixes.select("doc", "rare", F.explode("keys").alias("key")).select("doc", F.count("*").over(cell).alias("size"), F.min(F.struct("rare", "doc")).over(cell).alias("p"))
+    rare = prefixes.select("doc", "rare", F.explode("keys").alias("key")).select("doc", F.count("*").over(cell).alias("size"), F.min(F.struct("rare", "doc")).over(cell).alias("p"))
+    often = prefixes.select("doc", "rare", F.explode("frequent").alias("key"))
+    often = often.select("key", "doc").join(often.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("rare", "doc")).alias("p")), "key").select("doc", "size", "p")
+    cells = rare.unionByName(often)
     regions = materialize(cells.where("size > 1").groupBy(F.col("p.doc").alias("pivot"), "doc").agg(F.count("*").alias("cells")), "regions")
+    release(prefixes)
     # What may link at all, by sketch: in small regions each node with any other, in large ones with the pivot.
     known = regions.join(sketches.withColumnRenamed("node", "doc"), "doc")
     sizes = known.groupBy("pivot").agg(((F.count("*") <= REGION_NODES) & (F.sum("n") <= REGION_SHINGLES)).alias("small"))
@@ -317,26 +342,50 @@ def join_documents(documents: DataFrame) -> DataFrame:
         placed = rooted(left, roots, "doc", "root")
         shares = placed.groupBy("pivot", "root").agg(F.count("*").alias("nodes"))
         mixed = shares.groupBy("pivot").agg(F.max(F.struct("nodes", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1").select("pivot", F.col("m.root").alias("main"))
-        # The nodes outside a region's largest component come first; when they have been pivots, the rest is one component.
-        order = Window.partitionBy("pivot").orderBy(F.col("root") == F.col("main"), "doc")
-        ranked = placed.join(mixed, "pivot").withColumn("rank", F.row_number().over(order))
-        ranked = materialize(ranked.select("pivot", "doc", "dist", "root", "main", "rank"), "mixed")
-        if ranked.isEmpty():
+        placed = materialize(placed.join(mixed, "pivot").select("pivot", "doc", "dist", "root", "main"), "mixed")
+        # The nodes outside a region's largest component are numbered; when they have all been pivots, the rest is one component.
+        outside = placed.where("root <> main")
+        count = outside.count()
+        if not count:
             break
-        new = ranked.where((F.col("rank") <= PIVOTS) & (F.col("root") != F.col("main"))).select("pivot", *(F.col(c).alias(f"c_{c}") for c in ("doc", "dist", "root", "rank")))
+        outside = number_rows(outside, "pivot", ["doc"], count, "rank")
+        ranked = materialize(outside.unionByName(placed.where("root = main").withColumn("rank", F.lit(None).cast("long"))), "ranked")
+        release(placed)
+        new = ranked.where(F.col("rank") < PIVOTS).select("pivot", *(F.col(c).alias(f"c_{c}") for c in ("doc", "dist", "root", "rank")))
         near = (F.abs(F.col("dist") - F.col("c_dist")) <= 0.2 + 1e-9) | F.col("dist").isNull() | F.col("c_dist").isNull()
-        pairs = ranked.join(new, "pivot").where("rank > c_rank and root <> c_root").where(near).select(F.col("c_doc").alias("a"), F.col("doc").alias("b")).distinct()
+        pairs = ranked.join(new, "pivot").where("(rank is null or rank > c_rank) and root <> c_root").where(near).select(F.col("c_doc").alias("a"), F.col("doc").alias("b")).distinct()
         found = compare(possible(pairs, sketches), texts).where(alike).select("a", "b")
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = materialize(components(links), "roots")
-        left = ranked.where(F.col("rank") > PIVOTS).select("pivot", "doc", "dist")
+        left = ranked.where(F.col("rank").isNull() | (F.col("rank") >= PIVOTS)).select("pivot", "doc", "dist")
 
-    joined = rows.join(nodes, ["n", "s1", "s2"], "left").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "doc_id").alias("component_id"))
+    joined = _named(rows, nodes).join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
+    return joined.select("doc_id", "n", "s1", "s2", F.coalesce("root", "rep", "doc_id").alias("component_id"))
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
-    """The documents with the smallest doc_id of their component, with all their columns; a null doc_id stays."""
-    gone = join_documents(documents).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
+    """One row of each component, with all its columns: one with the smallest doc_id. All rows without words stay.
+
+    Of rows with a null doc_id one of each set stays, if no row with an id has the set.
+    """
+    known = materialize(classes(documents), "classes")
+    gone = known.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    again = known.where("n > 0 and doc_id = component_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id"))
+    # The row is kept apart, so that no column of it clashes with one made here.
+    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"))
+    kept = rows.where("_id is not null").join(gone, "_id", "left_anti")
+    once = kept.join(again, "_id", "left_anti").select("_row")
+    @F.pandas_udf("n long, s1 long, s2 long")
+    def key(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_key(s) for _, s in shingle_sets(pa.array(texts, pa.string(), from_pandas=True))], columns=["n", "s1", "s2"], dtype="int64")
+
+    keyed = lambda df: df.select("_row", "_id", key("_text").alias("k")).select("_row", "_id", "k.*")
+    # Rows with an id in common: one of each set.
+    more = keyed(kept.join(again, "_id", "left_semi"))
+    nameless = keyed(rows.where("_id is null"))
+    one = nameless.where("n > 0").dropDuplicates(["n", "s1", "s2"]).join(known.where("doc_id is not null").select("n", "s1", "s2"), ["n", "s1", "s2"], "left_anti")
+    parts = [more.where("n > 0").dropDuplicates(["_id", "n", "s1", "s2"]), more.where("n = 0"), one, nameless.where("n = 0")]
+    for part in parts:
+        once = once.unionByName(part.select("_row"))
+    return once.select("_row.*")

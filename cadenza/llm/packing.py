@@ -41,8 +41,8 @@ ROUNDS, COLUMNS, STEP, RATE = 400, 512, 1.0, 0.1
 #: The share of the tokens that the program may leave open, how often it is solved for what rounding leaves over, and the
 #: room that its fillings may have.
 EPSILON, AGAIN, SLACK = 0.05, 4, 4
-#: Rows that one numbering window covers over all lengths.
-LANE = 2_000_000
+#: Pieces of one length that one numbering window covers, about.
+LANE = 2_000
 PIECES = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -225,6 +225,6 @@ def pack_documents(documents: DataFrame, path: str, limit: int = LIMIT) -> DataF
         k = n - p["first"][i]
         return pd.DataFrame({"sequence_id": p["sequence"][i] + k // p["per"][i], "offset": p["offset"][i] + (k % p["per"][i]) * p["length"][i]})
 
-    rows = sum(histogram.values())
-    numbered = number_rows(pieces, "length", ["doc_id", "piece", "ids_crc32"], rows, "_number", LANE)
+    lanes = spark.createDataFrame([(k, -(-n // LANE)) for k, n in histogram.items()], "length long, _lanes long")  # at most ``limit`` rows
+    numbered = number_rows(pieces.join(F.broadcast(lanes), "length"), "length", ["doc_id", "piece", "ids_crc32"], 0, "_number", F.col("_lanes"))
     return numbered.withColumn("_at", place("length", "_number")).select(*PIECES.names, "_at.sequence_id", "_at.offset")

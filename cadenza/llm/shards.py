@@ -25,7 +25,7 @@ import heapq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.llm.scratch import materialize
@@ -117,14 +117,14 @@ def group_shards(groups: DataFrame, k: int) -> DataFrame:
     return state.select("h", F.col("place").alias("shard"))
 
 
-def number_rows(df: DataFrame, key: str, order: list[str], rows: int, name: str = "slot", lane: int = LANE) -> DataFrame:
+def number_rows(df: DataFrame, key: str, order: list[str], rows: int, name: str = "slot", lanes: Column | None = None) -> DataFrame:
     """A gapless number from 0 within each value of ``key``, without a window over all rows of a value.
 
     Lanes cut each value by a hash of the ``order`` columns; a row's number is the rows of the lanes
-    before its own plus its rank in its lane. ``rows``: about how many rows there are; ``lane``: those of a lane over all values.
+    before its own plus its rank in its lane. ``rows``: about how many rows there are, of which a lane over all values
+    holds LANE; ``lanes``, where it is known how many rows each value has: its number of lanes.
     """
-    lanes = max(1, rows // lane)
-    df = df.withColumn("_lane", F.pmod(F.xxhash64(*order), F.lit(lanes)))
+    df = df.withColumn("_lane", F.pmod(F.xxhash64(*order), F.lit(max(1, rows // LANE)) if lanes is None else lanes))
     counts = df.groupBy(key, "_lane").agg(F.count("*").alias("_n"))
     before = counts.select(key, "_lane", (F.sum("_n").over(Window.partitionBy(key).orderBy("_lane")) - F.col("_n")).alias("_before"))
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(key, "_lane").orderBy(*order)))
