@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm import decontaminate, embeddings, html_text, jaccard, packing, pii, shards, substrings, token_counts, toxicity
@@ -59,17 +59,12 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_read(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
-def held_out(doc_id: Column) -> Column:
-    """Whether a row's label is not for learning."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
-
-
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score of every document, learned from the labels that aren't held out."""
     documents, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
-    grammar = toxicity.train(documents, labels.where(~held_out(F.col("doc_id"))))
+    grammar = toxicity.train(documents, labels.where(~toxicity.held_out(F.col("doc_id"))))
     out = toxicity.score(documents, grammar)
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +106,45 @@ GROUP BY d.r, d.id, i.r, i.id, i.n HAVING 10 * count(*) >= 8 * i.n
 """
 
 
+def _components(links: str) -> str:
+    """SQL: reach (a, b) of all pairs that links (a, b), symmetric, join over any number of steps."""
+    return f"reach AS (SELECT a, b FROM {links} UNION SELECT r.a, l.b FROM reach r JOIN {links} l ON r.b = l.a)"
+
+
+OP3_SQL = f"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents), sets AS ({_shingles("(SELECT r AS doc_r, text FROM docs)", "doc_r")}),
+shared AS (SELECT a.id AS a, b.id AS b, a.n AS na, b.n AS nb, count(*) AS k FROM sets a JOIN sets b ON a.g = b.g AND a.id <> b.id GROUP BY ALL),
+links AS (SELECT a, b FROM shared WHERE 100 * k >= 80 * (na + nb - k)),
+{_components("links")}
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, least(d.doc_id, min(o.doc_id)) AS component_id
+FROM docs d LEFT JOIN (SELECT DISTINCT id, n FROM sets) s ON s.id = d.r LEFT JOIN reach ON reach.a = d.r LEFT JOIN docs o ON o.r = reach.b
+GROUP BY d.r, d.doc_id
+"""
+
+OP5_SQL = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs WHERE doc_id IS NOT NULL)),
+seen AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS first FROM windows),
+gone AS (SELECT doc_id, list(DISTINCT j) AS js FROM (SELECT doc_id, unnest(range(i, i + 50)) AS j FROM seen WHERE first < doc_id) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(js), 0)::BIGINT AS n_removed,
+  sha256(CASE WHEN js IS NULL THEN array_to_string(w, ' ') ELSE array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda j: NOT list_contains(js, j)), lambda j: w[j]), ' ') END) AS kept_sha256
+FROM docs d LEFT JOIN gone g ON g.doc_id = d.doc_id
+"""
+
+OP6_SQL = f"""
+WITH RECURSIVE vectors AS (SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+sound AS (
+  SELECT r, len(v) AS dim, v, sqrt(list_sum(list_transform(v, lambda c: c * c))) AS norm FROM vectors
+  WHERE len(v) > 0 AND list_bool_and(list_transform(v, lambda c: c IS NOT NULL AND isfinite(c))) AND list_bool_or(list_transform(v, lambda c: c <> 0))
+),
+links AS (SELECT a.r AS a, b.r AS b FROM sound a JOIN sound b ON a.dim = b.dim AND a.r <> b.r WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.9),
+{_components("links")},
+roots AS (SELECT v.r, least(v.vec_id, min(o.vec_id)) AS component_id FROM vectors v LEFT JOIN reach ON reach.a = v.r LEFT JOIN vectors o ON o.r = reach.b GROUP BY v.r, v.vec_id)
+SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.r) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM vectors v JOIN roots USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express; the others are tested against brute force in tests/llm."""
-    return {"op10_decontamination": OP10_SQL}
+    return {"op3_jaccard_join": OP3_SQL, "op5_substring_dedup": OP5_SQL, "op6_embedding_dedup": OP6_SQL, "op10_decontamination": OP10_SQL}

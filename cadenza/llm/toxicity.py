@@ -1,19 +1,23 @@
 """Toxicity (operator 8): a weighted finite-state pattern grammar that scores matched clauses.
 
-A clause's words become signs: insult, threat, target, negation, report or other. Four small transducers
-read the signs - negation scope, reported speech, and the distance to a target, forwards and backwards -
-and are composed into one machine; each insult or threat comes out with the contexts that hold for it.
-The insults and threats of a document are summed by context (plain, negated, reported, at a target), and a
-logistic model turns the sums into a score. A word that is negated or quoted, or a threat without a target,
-so counts by its own weight and not as a bare word.
-
-What is learned, on at most SAMPLE labelled rows (chosen by a hash of the id, copies of a text once): the
-insults - words and beginnings of words that mark toxic documents, chosen one after the other by how many
-toxic documents they newly explain - and the logistic weights, pulled towards PRIOR. Threats, targets,
-negations and report verbs are word lists. Only the text goes into a score.
-
-Plan: the sample is written once; the driver holds counts of at most CANDIDATES word beginnings. Scoring is
-one scan without a shuffle; a document without any of the chosen strings costs a few substring searches.
+Three transducers are composed:
+* The lexicon reads a word's letters and writes a sign with a weight: insult, threat, intention, target, negation,
+  report or other. It is a trie; insults end at a word's end or after any beginning of it.
+* The grammar reads the signs of a clause. It is the product of small machines - negation scope, reported speech, an
+  intention before a threat, a target close by - and each of its arcs over an insult or a threat writes to which sums
+  of the document the sign's weight goes, and how much of it: a threat that is meant and has a target counts in full,
+  one without either little, a negated or quoted insult apart from a plain one.
+* A second pass from the clause's end tells the first one of targets that follow.
+A logistic model turns a document's sums into a score, so that clauses count and not bare words.
+
+What is learned, on at most SAMPLE labelled rows of at most TRAIN_BYTES (chosen by a hash of the id, copies of a text
+once): the insults - words and beginnings of words that mark toxic documents, chosen one after the other by how many
+toxic documents they newly explain - with their weights, and the logistic weights, pulled towards PRIOR. The other
+signs are word lists. Only the text goes into a score.
+
+Plan: the sample is written once. Beginnings are counted and compared between toxic and clean documents in Spark; the
+driver gets those that are in LEAST toxic documents of the sample. Scoring is one scan without a shuffle; a document
+without any of the chosen strings costs a few substring searches.
 
 Cases: null and empty texts, and texts without a match, get the score of no match. Long texts are read whole.
 Null or repeated ids are scored each. Without labels of both kinds the seeds and PRIOR are used as they are.
@@ -30,13 +34,14 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm.scratch import materialize
 
-SAMPLE = 16_000
-CANDIDATES = 20_000
+SAMPLE, TRAIN_BYTES = 16_000, 1 << 17
+#: Beginnings that a task counts before it hands the counts on.
+COUNTED = 200_000
 #: Toxic documents of the sample that a beginning must be in, and those that it must newly explain.
 LEAST, GAIN = 5, 3
 #: A clean document weighs AGAINST a toxic one when a beginning is chosen; each toxic one is to be explained AGAIN times.
@@ -45,9 +50,10 @@ SHORTEST, LONGEST = 3, 12
 
 WORD = re.compile(r"[^\W\d_]+|[\"“”«»„]")
 CLAUSE = re.compile(r"[.!?;:\n\r]+")
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+SIGNS = OTHER, INSULT, THREAT, INTENT, TARGET, NEGATION, REPORT = range(7)
 LISTS = {
     THREAT: "kill hurt destroy beat burn hang stab shoot töten umbringen verletzen tuer frapper détruire matar golpear destruir",
+    INTENT: "will shall going gonna want must should werde werden wollen muss sollte vais allons veux dois voy vamos quiero debo",
     TARGET: "you your yours u he she they them him her du dich dir ihr euch tu toi te vous il elle ils tú ti usted ustedes ellos ella",
     NEGATION: "not no never nobody nor isn aren wasn weren don doesn didn nicht kein keine nie niemals ne pas jamais aucun nunca jamás ningún tampoco",
     REPORT: "said says say told wrote writes claimed quoted called sagte sagt schrieb dit disait écrit dijo dice escribió \" “ ” « » „",
@@ -58,6 +64,38 @@ SEEDS = {"idiot": 2.0, "moron": 2.0, "scum": 2.0}
 # --- transducers -----------------------------------------------------------------------------------------
 
 
+class Lexicon:
+    """A transducer from a word's letters to (sign, weight): a trie whose nodes may end a word or any beginning of one."""
+
+    def __init__(self) -> None:
+        self.arcs: list[dict[str, int]] = [{}]
+        self.whole: list[tuple[int, float] | None] = [None]
+        self.begun: list[tuple[int, float] | None] = [None]
+
+    def add(self, word: str, sign: int, weight: float, whole: bool) -> None:
+        at = 0
+        for c in word:
+            if c not in self.arcs[at]:
+                self.arcs[at][c] = len(self.arcs)
+                self.arcs.append({}), self.whole.append(None), self.begun.append(None)
+            at = self.arcs[at][c]
+        ends = self.whole if whole else self.begun
+        if ends[at] is None or ends[at][1] < weight:
+            ends[at] = sign, weight
+
+    def read(self, word: str) -> tuple[int, float]:
+        """The word lists come before beginnings; of insults the heaviest counts."""
+        at, best = 0, None
+        for c in word:
+            at = self.arcs[at].get(c, -1)
+            if at < 0:
+                return best or (OTHER, 0.0)
+            if self.begun[at] and (best is None or best[1] < self.begun[at][1]):
+                best = self.begun[at]
+        own = self.whole[at]
+        return own if own and (best is None or own[0] != INSULT or best[1] < own[1]) else best or (OTHER, 0.0)
+
+
 @dataclass
 class Machine:
     """A transducer over signs: step(state, sign) gives the next state; holds(state) is its output for a match."""
@@ -83,7 +121,7 @@ def compose(*machines: Machine) -> tuple[list[list[int]], list[tuple[bool, ...]]
     number, queue, table = {start: 0}, [start], []
     for state in queue:
         row = []
-        for s in range(6):
+        for s in SIGNS:
             to = tuple(m.step(q, s) for m, q in zip(machines, state, strict=True))
             if to not in number:
                 number[to] = len(number)
@@ -93,14 +131,28 @@ def compose(*machines: Machine) -> tuple[list[list[int]], list[tuple[bool, ...]]
     return table, [tuple(bool(m.holds(q)) for m, q in zip(machines, state, strict=True)) for state in queue]
 
 
-FORWARD = compose(_within(NEGATION, 3), _after(REPORT), _within(TARGET, 5))
-BACKWARD = compose(_within(TARGET, 5))
-#: Sums a document: insults plain, negated, reported, at a target; threats at a target, other threats; matched clauses.
+#: Sums a document: insults plain, negated, reported, at a target; threats meant and at a target, other threats; matched clauses.
 FEATURES = ("plain", "negated", "reported", "targeted", "threat", "bare_threat", "clauses")
 PRIOR = np.array([2.0, 0.5, 0.5, 0.5, 2.0, 0.2, 0.5])
 BIAS = -3.0
 
 
+def written(sign: int, negated: bool, reported: bool, meant: bool, target: bool) -> tuple[tuple[int, float], ...]:
+    """What an arc writes: (sum, share of the sign's weight)."""
+    if sign == INSULT:
+        return ((1 if negated else 2 if reported else 0, 1.0), *([(3, 1.0)] if target else []))
+    if sign == THREAT:
+        full = target and not negated and not reported
+        return ((4, 1.0 if meant else 0.5),) if full else ((5, 1.0 if meant and not negated else 0.5),)
+    return ()
+
+
+FORWARD, _HOLDS = compose(_within(NEGATION, 3), _after(REPORT), _within(INTENT, 4), _within(TARGET, 5))
+BACKWARD, _BEHIND = compose(_within(TARGET, 5))
+#: What the arc from a state over a sign writes, without and with a target behind.
+WRITES = [[[written(s, n, r, m, t or behind) for s in SIGNS] for behind in (False, True)] for n, r, m, t in _HOLDS]
+
+
 @dataclass
 class Grammar:
     """The weights of insults (beginnings, or whole words with a final "$") and of the logistic model."""
@@ -110,18 +162,14 @@ class Grammar:
     bias: float = BIAS
 
     def __post_init__(self) -> None:
-        self.signs = {w: s for s, words in LISTS.items() for w in words.split()}
-        self.lengths = sorted({len(x) for x in self.insults})
+        self.lexicon = Lexicon()
+        for sign, words in LISTS.items():
+            for w in words.split():
+                self.lexicon.add(w, sign, 1.0, True)
+        for x, weight in self.insults.items():
+            self.lexicon.add(x.rstrip("$"), INSULT, weight, x.endswith("$"))
         self.search = sorted({x.rstrip("$") for x in self.insults} | set(LISTS[THREAT].split()), key=len)
 
-    def insult(self, word: str) -> float:
-        found = self.insults.get(word + "$", 0.0)
-        for n in self.lengths:
-            if n > len(word):
-                break
-            found = max(found, self.insults.get(word[:n], 0.0))
-        return found
-
     def features(self, text: str) -> list[float] | None:
         """The sums of a text, or None where nothing matches."""
         low = text.lower()
@@ -134,31 +182,19 @@ class Grammar:
         return total if any(total) else None
 
     def _clause(self, words: list[str], total: list[float]) -> None:
-        weight = [0.0 if w in self.signs else self.insult(w) for w in words]
-        signs = [INSULT if v else self.signs.get(w, OTHER) for w, v in zip(words, weight, strict=True)]
-        if INSULT not in signs and THREAT not in signs:
+        read = [self.lexicon.read(w) for w in words]
+        if not any(sign in (INSULT, THREAT) for sign, _ in read):
             return
-        behind, state = [False] * len(signs), 0
-        table, holds = BACKWARD
-        for i in range(len(signs) - 1, -1, -1):
-            behind[i] = holds[state][0]
-            state = table[state][signs[i]]
-        table, holds = FORWARD
+        behind, state = [False] * len(read), 0
+        for i in range(len(read) - 1, -1, -1):
+            behind[i] = _BEHIND[state][0]
+            state = BACKWARD[state][read[i][0]]
         state, matched = 0, False
-        for i, sign in enumerate(signs):
-            if sign in (INSULT, THREAT):
-                negated, reported, target = holds[state]
-                target = target or behind[i]
-                if sign == INSULT:
-                    total[1 if negated else 2 if reported else 0] += weight[i]
-                    total[3] += weight[i] * target
-                    matched = True
-                elif target and not negated:
-                    total[4] += 1
-                    matched = True
-                else:
-                    total[5] += 1
-            state = table[state][sign]
+        for (sign, weight), target in zip(read, behind, strict=True):
+            for k, share in WRITES[state][target][sign]:
+                total[k] += share * weight
+                matched |= k != 5
+            state = FORWARD[state][sign]
         total[6] += matched
 
     def score(self, sums: list[float] | None) -> float:
@@ -178,19 +214,25 @@ def _beginnings(text: str) -> set[str]:
     return out
 
 
-def _counts(train: DataFrame, toxic: int, among: set[str] | None) -> dict[str, int]:
-    """In how many documents of the sample each beginning is; the partial counts of tasks are summed by Spark."""
+def _counts(train: DataFrame, toxic: int, among: set[str] | None) -> DataFrame:
+    """x, n: in how many documents of the sample each beginning is; the partial counts of tasks are summed by Spark."""
     known = train.sparkSession.sparkContext.broadcast(among)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = Counter()
+        seen: Counter = Counter()
+
+        def counted() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["x", "n"])
+
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 seen.update(_beginnings(text) if known.value is None else _beginnings(text) & known.value)
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["x", "n"])
+                if len(seen) >= COUNTED:
+                    yield counted()
+                    seen = Counter()
+        yield counted()
 
-    sums = train.where(F.col("toxic") == toxic).select("text").mapInArrow(count, "x string, n long").groupBy("x").agg(F.sum("n").alias("n"))
-    return {r["x"]: r["n"] for r in sums.where(F.col("n") >= (LEAST if among is None else 1)).orderBy(F.desc("n"), "x").limit(CANDIDATES).collect()}
+    return train.where(F.col("toxic") == toxic).select("text").mapInArrow(count, "x string, n long").groupBy("x").agg(F.sum("n").alias("n"))
 
 
 def _explained(train: DataFrame, among: set[str]) -> list[set[str]]:
@@ -258,16 +300,17 @@ def train(documents: DataFrame, labels: DataFrame) -> Grammar:
     """A grammar from at most SAMPLE rows of ``labels`` (doc_id, toxic) and the texts of those documents."""
     rows = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("toxic")).where("_id is not null and toxic in (0, 1)")
     rows = rows.orderBy(F.xxhash64("_id"), "_id", "toxic").limit(SAMPLE)
-    texts = documents.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
+    texts = documents.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text")).where(F.octet_length("text") <= TRAIN_BYTES)
     # At most SAMPLE rows of two numbers are broadcast.
     sample = materialize(texts.join(F.broadcast(rows), "_id").groupBy(F.xxhash64("text").alias("h"), F.col("toxic")).agg(F.min_by("text", "_id").alias("text")).select("text", "toxic"), "labelled")
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(n) < 2:
         return Grammar()
-    toxic = _counts(sample, 1, None)
-    clean = _counts(sample, 0, set(toxic))
-    good = {x for x, k in toxic.items() if (k - LEAST / 2) / n[1] > 3 * clean.get(x, 0) / n[0]}
-    insults = choose_insults(toxic, clean, _explained(sample, good), n[0])
+    toxic = materialize(_counts(sample, 1, None).where(F.col("n") >= LEAST), "beginnings")
+    clean = _counts(sample, 0, {r["x"] for r in toxic.select("x").collect()}).select("x", F.col("n").alias("clean"))
+    both = toxic.join(clean, "x", "left").na.fill(0, ["clean"])
+    marks = both.where((F.col("n") - LEAST / 2) / n[1] > 3 * F.col("clean") / n[0]).collect()
+    insults = choose_insults({r["x"]: r["n"] for r in marks}, {r["x"]: r["clean"] for r in marks}, _explained(sample, {r["x"] for r in marks}), n[0])
     grammar = Grammar(insults or dict(SEEDS))
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,6 +337,11 @@ def score(documents: DataFrame, grammar: Grammar) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")
 
 
+def held_out(doc_id: Column) -> Column:
+    """Whether a row's label is not for learning."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+
+
 def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The documents that score below ``threshold``, with all their columns. A null text scores as an empty one."""
     held = documents.sparkSession.sparkContext.broadcast(train(documents, labels))
