@@ -6,7 +6,7 @@ length, links and ending of its text, and its place on the page. Names say nothi
 page (``html``, ``body``, ``main``) or of what holds its story (``_story``). The field has the labels "article" and
 "other", weights for the features and for the steps between labels, and is decoded by Viterbi.
 
-It is trained by gradient ascent on at most TRAIN_PAGES pages of at most TRAIN_BYTES that are labelled by their
+It is trained by gradient ascent on at most TRAIN_PAGES pages of at most TRAIN_BYTES and TRAIN_BLOCKS that are labelled by their
 own markup: blocks in an ``article`` or ``main`` element are article, but for those in elements that name
 themselves menus, forms, adverts, comments and the like. Each page is learned twice, once without its
 sectioning tags, so that pages that are built of ``div`` alone are decided by classes, text and neighbours.
@@ -30,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TRAIN_PAGES, TRAIN_BYTES, ROUNDS = 300, 200_000, 100
+TRAIN_PAGES, TRAIN_BYTES, TRAIN_BLOCKS, ROUNDS = 300, 200_000, 2000, 100
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*+)([^>]*+)>|<[!?/][^>]*+>""",
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*+)([^>]*+)>|<[!?/][^>]*+>""",
     re.S,
 )
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -106,99 +106,140 @@ def _named(attributes: str) -> frozenset[str]:
     return frozenset(found)
 
 
-class _Element(list):
-    """An open element: tag, names, whether it has the attribute hidden; then what its blocks first .. last hold."""
+class Element:
+    """An element: tag, names, its parent; then what its blocks first .. last hold. ``number`` .. ``until`` are those inside it."""
 
-    def __init__(self, tag: str, attributes: str):
-        super().__init__((tag, _named(attributes)))
-        self.hidden = "hidden" in self[1] and bool(re.search(r"(?:^|\s)(?:hidden(?![\w-])|aria-hidden\s*=\s*[\"']?true)", re.sub(r"""=\s*(?!["']?true)("[^"]*"|'[^']*')""", "", attributes), re.I))
+    __slots__ = ("tag", "names", "parent", "number", "until", "hidden", "tags", "first", "last", "chars", "linked", "prose", "title", "mask")
+
+    def __init__(self, tag: str, attributes: str, parent: Element | None, number: int):
+        self.tag, self.names, self.parent, self.number, self.until = tag, _named(attributes), parent, number, number
+        self.hidden = "hidden" in self.names and bool(re.search(r"(?:^|\s)(?:hidden(?![\w-])|aria-hidden\s*=\s*[\"']?true)", re.sub(r"""=\s*(?!["']?true)("[^"]*"|'[^']*')""", "", attributes), re.I))
         self.first = self.last = -1
         self.chars = self.linked = self.prose = 0
         self.title = False
+        #: Features of the tags and names around and of this element, once they are known.
+        self.mask: int | None = None
 
     def clear(self) -> None:
         """Only names of a text, and the attribute hidden, are left."""
-        self[1] = self[1] & {"body"} | (frozenset({"hidden"}) if self.hidden else frozenset())
+        self.names = self.names & {"body"} | (frozenset({"hidden"}) if self.hidden else frozenset())
+
+    def holds(self, other: Element) -> bool:
+        return self.number <= other.number <= self.until
+
+    def path(self) -> list[Element]:
+        """The elements around it, from the outermost on, and itself."""
+        out, at = [], self
+        while at is not None:
+            out.append(at)
+            at = at.parent
+        return out[::-1]
+
 
+Block = tuple[str, "Element | None", float]
 
-def _story(found: list[tuple[str, tuple, float]]) -> None:
+
+def _story(found: list[Block]) -> None:
     """Clears the names of ``html``, ``body`` and the main element, and of elements that hold the page's story.
 
     An element with a name of menus, adverts, comments and the like holds the story if its text is prose and hardly
     any text of the page lies outside such elements and itself: for the largest article (or what is around it), if it is
     more than twice any other, less than its own text; for others, a fifth of it where the page's titles (h1) are
     inside, a twentieth where there are none, and none for comments without a title. The largest are decided first."""
-    elements = list({id(e): e for _, path, _ in found for e in path}.values())
-    if not any(e[1] for e in elements):
+    seen: dict[int, Element] = {}
+    for k, (text, own, linked) in enumerate(found):
+        at = own
+        while at is not None and at.number not in seen:
+            seen[at.number] = at
+            at = at.parent
+        if own is not None:
+            own.first, own.last = (k if own.first < 0 else own.first), k
+            own.chars += len(text)
+            own.linked += linked * len(text)
+            own.prose += len(text) if text.count(" ") >= 5 else 0
+    elements = [seen[n] for n in sorted(seen)]
+    if not any(e.names for e in elements):
         return
-    for k, (text, path, linked) in enumerate(found):
-        title = any(e[0] == "h1" for e in path)
-        for e in path:
-            e.first, e.last = (k if e.first < 0 else e.first), k
-            e.chars += len(text)
-            e.linked += linked * len(text)
-            e.prose += len(text) if text.count(" ") >= 5 else 0
-            e.title |= title
-    within = lambda x, e: e.first <= x.first and x.last <= e.last and any(y is e for y in found[x.first][1][: 1 + next(i for i, y in enumerate(found[x.first][1]) if y is x)])
-    main = max((e for e in elements if e[0] == "main"), key=lambda e: e.chars, default=None)
+    title: dict[int, bool] = {}  # whether an element is, or is inside, a title
+    for e in elements:
+        title[e.number] = e.tag == "h1" or e.parent is not None and title[e.parent.number]
+        e.title = title[e.number] and e.first >= 0
+    for e in reversed(elements):  # inner ones come after outer ones
+        if (up := e.parent) is not None:
+            up.first = e.first if up.first < 0 or 0 <= e.first < up.first else up.first
+            up.last = max(up.last, e.last)
+            up.chars, up.linked, up.prose, up.title = up.chars + e.chars, up.linked + e.linked, up.prose + e.prose, up.title or e.title
+    main = max((e for e in elements if e.tag == "main"), key=lambda e: e.chars, default=None)
     for e in elements:
-        if e[0] in ("html", "body"):
-            e[1] = frozenset()
-        elif main is not None and within(main, e):
+        if e.tag in ("html", "body"):
+            e.names = frozenset()
+        elif main is not None and e.holds(main):
             e.clear()
-    article = max((e for e in elements if e[0] == "article"), key=lambda e: e.chars, default=None)
-    if article is not None and any(2 * e.chars >= article.chars and not within(e, article) and not within(article, e) for e in elements if e[0] == "article"):
+    articles = [e for e in elements if e.tag == "article"]
+    article = max(articles, key=lambda e: e.chars, default=None)
+    if article is not None and any(2 * e.chars >= article.chars and not article.holds(e) and not e.holds(article) for e in articles):
         article = None
     bad = {*OUT, "head"}
+    outer: dict[int, bool] = {}  # whether an element is, or is inside, one whose tag is none of a story
+    for e in elements:
+        outer[e.number] = e.tag in OUT_TAGS or e.parent is not None and outer[e.parent.number]
     least = sum(len(b[0]) for b in found) / 10
-    for e in sorted((e for e in elements if bad & e[1] and e.chars >= least), key=lambda e: -e.chars):
-        around_it = next(path[: 1 + next(i for i, y in enumerate(path) if y is e)] for path in (found[e.first][1],))
-        if any(x[0] in OUT_TAGS for x in around_it):
+    named = sorted((e for e in elements if bad & e.names and e.chars >= least), key=lambda e: -e.chars)
+    away = None
+    for e in named:
+        if outer[e.number]:
             continue
-        rest = [b for k, b in enumerate(found) if not e.first <= k <= e.last and not any(x[0] in OUT_TAGS or bad & x[1] for x in b[1])]
-        outside, titles = sum(len(b[0]) for b in rest), any(x[0] == "h1" for b in rest for x in b[1])
-        held = article if article is not None and within(article, e) else e
+        if away is None:  # what lies in other such elements, as long as no name is cleared
+            away = {}
+            for x in elements:
+                away[x.number] = x.tag in OUT_TAGS or bool(bad & x.names) or x.parent is not None and away[x.parent.number]
+        rest = [(text, own) for k, (text, own, _) in enumerate(found) if not e.first <= k <= e.last and not (own is not None and away[own.number])]
+        outside, titles = sum(len(text) for text, _ in rest), any(own is not None and title[own.number] for _, own in rest)
+        held = article if article is not None and e.holds(article) else e
         if 2 * held.linked > held.chars or 2 * held.prose < held.chars:
             continue
-        if held is article and not ("comment" in e[1] and titles):
+        if held is article and not ("comment" in e.names and titles):
             sure = outside < held.chars
         elif e.title:
             sure = not titles and outside <= 0.2 * e.chars
         else:
-            sure = not titles and outside <= (0 if "comment" in e[1] else 0.05) * e.chars
+            sure = not titles and outside <= (0 if "comment" in e.names else 0.05) * e.chars
         if sure:
             e.clear()
+            away = None
 
 
-def blocks(page: str) -> list[tuple[str, tuple, float]]:
-    """(text, path, share of its characters in links) of each leaf block; path has (tag, names) of each element around it."""
-    out: list[tuple[str, tuple, float]] = []
-    stack: list[_Element] = []
+def blocks(page: str) -> list[Block]:
+    """(text, element, share of its characters in links) of each leaf block; the element is the innermost around its beginning."""
+    out: list[Block] = []
+    stack: list[Element] = []
     parts: list[str] = []
-    linked, path, depth = 0, None, 0
+    linked, depth, number, begun, own = 0, 0, 0, False, None
 
     def flush() -> None:
-        nonlocal linked, path
+        nonlocal linked, begun
         if parts:
             text = " ".join("".join(parts).split())
-            if text and path is not None:
-                out.append((text, path, min(1.0, linked / len(text))))
+            if text and begun:
+                out.append((text, own, min(1.0, linked / len(text))))
             parts.clear()
-        linked, path = 0, None
+        linked, begun = 0, False
 
     def add(raw: str) -> None:
-        nonlocal linked, path
+        nonlocal linked, begun, own
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
-        if path is None and not text.isspace():
-            path = tuple(stack)
+        if not begun and not text.isspace():
+            begun, own = True, stack[-1] if stack else None
         if depth:
             linked += len(text.strip())
 
     def close(k: int) -> None:
         nonlocal depth
         while len(stack) > k:
-            if stack.pop()[0] == "a":
+            e = stack.pop()
+            e.until = number
+            if e.tag == "a":
                 depth -= 1
 
     at, n = 0, len(page)
@@ -220,10 +261,10 @@ def blocks(page: str) -> list[tuple[str, tuple, float]]:
             flush()
         if end:
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
+                if stack[k].tag == tag:
                     close(k)
                     break
-                if tag not in BLOCK and stack[k][0] in SCOPE:
+                if tag not in BLOCK and stack[k].tag in SCOPE:
                     break
             continue
         if tag in RAW:
@@ -238,36 +279,46 @@ def blocks(page: str) -> list[tuple[str, tuple, float]]:
         if tag in BLOCK:
             ended, within = ENDS.get(tag, ({"p"}, SCOPE))
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ended:
+                if stack[k].tag in ended:
                     close(k)
                     break
-                if stack[k][0] in within:
+                if stack[k].tag in within:
                     break
         if attributes.endswith("/") and tag not in BLOCK:
             continue
-        stack.append(_Element(tag, attributes))
+        number += 1
+        stack.append(Element(tag, attributes, stack[-1] if stack else None, number))
         depth += tag == "a"
     flush()
+    close(0)
     _story(out)
-    return [(text, tuple((e[0], e[1]) for e in path), linked) for text, path, linked in out]
+    return out
 
 
 # --- features ------------------------------------------------------------------------------------------------
 
 
-def around(path: tuple, sectioning: bool = True) -> np.ndarray:
-    """The features of the elements around a block."""
-    x = np.zeros(len(FEATURES))
-    tags = {t for t, _ in path}
-    for t in tags:
-        if f"in_{t}" in AT and (sectioning or t not in SECTIONING):
-            x[AT[f"in_{t}"]] = 1
-    for _, names in path:
-        for n in names:
-            x[AT[f"named_{n}"]] = 1
-    if sectioning and "header" in tags and "article" in tags and [t for t, _ in path].index("header") > [t for t, _ in path].index("article"):
-        x[AT["header_in_article"]] = 1
-    return x
+def around(own: Element | None) -> int:
+    """The features (bits) of a block's element and those around it; each element's are made once."""
+    todo, mask = [], 0
+    while own is not None and own.mask is None:
+        todo.append(own)
+        own = own.parent
+    if own is not None:
+        mask = own.mask
+    for e in reversed(todo):
+        if e.tag == "header" and mask >> AT["in_article"] & 1:
+            mask |= 1 << AT["header_in_article"]
+        if (k := AT.get(f"in_{e.tag}")) is not None:
+            mask |= 1 << k
+        for n in e.names:
+            mask |= 1 << AT[f"named_{n}"]
+        e.mask = mask
+    return mask
+
+
+def bits(mask: int) -> np.ndarray:
+    return np.array([mask >> k & 1 for k in range(len(FEATURES))], np.float64)
 
 
 def inside(text: str, linked: float, k: int, n: int) -> list[int]:
@@ -290,13 +341,18 @@ def inside(text: str, linked: float, k: int, n: int) -> list[int]:
     return got
 
 
-def own_label(path: tuple) -> bool:
-    """What a page's own markup says of a block."""
-    tags = [t for t, _ in path]
-    start = next((i for i, t in enumerate(tags) if t in ("article", "main")), None)
-    if start is None or any(t in ("nav", "aside", "footer", "form", "button", "dialog") for t in tags):
-        return False
-    return not any(n in OUT for _, names in path for n in names)
+def _mask(*features: str) -> int:
+    return sum(1 << AT[f] for f in features)
+
+
+STORY = _mask("in_article", "in_main")
+ELSEWHERE = _mask(*(f"in_{t}" for t in sorted(OUT_TAGS)), *(f"named_{n}" for n in OUT))
+SECTIONS = _mask("header_in_article", *(f"in_{t}" for t in sorted(SECTIONING)))
+
+
+def own_label(mask: int) -> bool:
+    """What a page's own markup says of a block: it is in an article or main element and in nothing that is none of it."""
+    return bool(mask & STORY) and not mask & ELSEWHERE
 
 
 # --- the field ------------------------------------------------------------------------------------------------
@@ -328,25 +384,35 @@ def _sums(emit: np.ndarray, w: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray
 
 
 def fit(pages: list[tuple[np.ndarray, np.ndarray]], rounds: int = ROUNDS, pull: float = 0.05) -> np.ndarray:
-    """Weights from (features, labels) of labelled pages, by gradient ascent (Adam) on the likelihood, pulled towards PRIOR."""
-    pages = [(x, y) for x, y in pages if len(y)]
+    """Weights from (features, labels) of labelled pages, by gradient ascent (Adam) on the likelihood, pulled towards PRIOR.
+
+    Pages are filled up to the longest of their group; a group's longest is under twice its shortest."""
+    pages = sorted(((x, y) for x, y in pages if len(y)), key=lambda p: len(p[1]))
     w = PRIOR.copy()
     if not pages:
         return w
-    steps = max(len(y) for _, y in pages)
-    x, y, mask = np.zeros((len(pages), steps, len(FEATURES) + 1), np.float32), np.zeros((len(pages), steps)), np.zeros((len(pages), steps), bool)
-    for i, (f, labels) in enumerate(pages):
-        x[i, : len(labels), :-1], y[i, : len(labels)], mask[i, : len(labels)] = f, labels, True
-        x[i, : len(labels), -1] = 1
+    groups, at = [], 0
+    while at < len(pages):
+        to = next((k for k in range(at, len(pages)) if len(pages[k][1]) >= 2 * len(pages[at][1])), len(pages))
+        own, steps = pages[at:to], len(pages[to - 1][1])
+        x, y, mask = np.zeros((len(own), steps, len(FEATURES) + 1), np.float32), np.zeros((len(own), steps)), np.zeros((len(own), steps), bool)
+        for i, (f, labels) in enumerate(own):
+            x[i, : len(labels), :-1], y[i, : len(labels)], mask[i, : len(labels)] = f, labels, True
+            x[i, : len(labels), -1] = 1
+        groups.append((x, y, mask))
+        at = to
     true = np.zeros(len(w))
-    true[: len(FEATURES) + 1] = np.einsum("ptf,pt->f", x, y)
-    true[-4] = y[:, 0].sum()
-    both = mask[:, 1:]
-    true[-3:] = ((1 - y[:, :-1]) * y[:, 1:] * both).sum(), (y[:, :-1] * (1 - y[:, 1:]) * both).sum(), (y[:, :-1] * y[:, 1:] * both).sum()
+    for x, y, mask in groups:
+        true[: len(FEATURES) + 1] += np.einsum("ptf,pt->f", x, y)
+        true[-4] += y[:, 0].sum()
+        both = mask[:, 1:]
+        true[-3:] += ((1 - y[:, :-1]) * y[:, 1:] * both).sum(), (y[:, :-1] * (1 - y[:, 1:]) * both).sum(), (y[:, :-1] * y[:, 1:] * both).sum()
     m, v = np.zeros(len(w)), np.zeros(len(w))
     for k in range(1, rounds + 1):
-        _, article, pair, first = _sums((x @ w[: len(FEATURES) + 1].astype(np.float32)).astype(np.float64), w, mask)
-        seen = np.concatenate([np.einsum("ptf,pt->f", x, article.astype(np.float32)), [first.sum(), pair[0, 1], pair[1, 0], pair[1, 1]]])
+        seen = np.zeros(len(w))
+        for x, _, mask in groups:
+            _, article, pair, first = _sums((x @ w[: len(FEATURES) + 1].astype(np.float32)).astype(np.float64), w, mask)
+            seen += np.concatenate([np.einsum("ptf,pt->f", x, article.astype(np.float32)), [first.sum(), pair[0, 1], pair[1, 0], pair[1, 1]]])
         grad = (true - seen) / len(pages) - pull * (w - PRIOR)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w = w + 0.1 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
@@ -359,21 +425,22 @@ class Extractor:
     def __init__(self, weights: np.ndarray):
         self.w = weights
         self.own = weights.tolist()
-        self.paths: dict[tuple, float] = {}
+        self.masks: dict[int, float] = {}
 
     def text(self, page: str | None) -> str:
         found = blocks(page) if page else []
         if not found:
             return ""
         bias, first, (enter, leave, stay) = self.own[-5], self.own[-4], self.own[-3:]
-        if len(self.paths) > 100_000:
-            self.paths = {}
+        if len(self.masks) > 100_000:
+            self.masks = {}
         n, back = len(found), []
         other = article = 0.0
-        for k, (text, path, linked) in enumerate(found):
-            base = self.paths.get(path)
+        for k, (text, own, linked) in enumerate(found):
+            mask = around(own)
+            base = self.masks.get(mask)
             if base is None:
-                base = self.paths[path] = float(around(path) @ self.w[: len(FEATURES)])
+                base = self.masks[mask] = float(bits(mask) @ self.w[: len(FEATURES)])
             emit = base + bias + sum(self.own[i] for i in inside(text, linked, k, n))
             if not k:
                 other, article = 0.0, emit + first
@@ -397,16 +464,23 @@ def train(pages: DataFrame) -> np.ndarray:
     chosen = rows.select(F.col("page_id").alias("_id")).where("_id is not null").orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_PAGES)
     rows = rows.join(F.broadcast(chosen.distinct()), F.col("page_id") == F.col("_id")).dropDuplicates(["page_id"]).collect()
     rows.sort(key=lambda r: r["page_id"])
-    labelled = []
-    for r in rows:
-        found = blocks(r["html"])
-        y = np.array([own_label(p) for _, p, _ in found], float)
-        for sectioning in (True, False):
-            x = np.stack([around(p, sectioning) for _, p, _ in found]) if found else np.zeros((0, len(FEATURES)))
-            for k, (text, _, linked) in enumerate(found):
-                x[k, inside(text, linked, k, len(found))] = 1
-            labelled.append((x, y))
-    return fit(labelled)
+    return fit([own for r in rows for own in labelled(r["html"])])
+
+
+def labelled(page: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(features, labels) of a page that labels itself, with and without its sectioning tags; none of very many blocks."""
+    found = blocks(page)
+    if not 0 < len(found) <= TRAIN_BLOCKS:
+        return []
+    masks = [around(own) for _, own, _ in found]
+    y = np.array([own_label(m) for m in masks], float)
+    out = []
+    for hide in (0, SECTIONS):
+        x = np.stack([bits(m & ~hide) for m in masks])
+        for k, (text, _, linked) in enumerate(found):
+            x[k, inside(text, linked, k, len(found))] = 1
+        out.append((x, y))
+    return out
 
 
 def extract(pages: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
