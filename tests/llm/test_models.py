@@ -12,20 +12,22 @@ DOCS = "doc_id long, text string"
 
 
 def brute(x, threshold=0.9):
-    ok = [i for i, v in enumerate(x) if v is not None and len(v) == 16 and all(c is not None and np.isfinite(c) for c in v) and any(v)]
-    m = np.array([x[i] for i in ok], float)
-    m /= np.linalg.norm(m, axis=1, keepdims=True)
-    near = m @ m.T >= threshold
     links, root = [0] * len(x), list(range(len(x)))
-    for a, i in enumerate(ok):
-        links[i] = int(near[a].sum()) - 1
-    changed = True
-    while changed:
-        changed = False
+    sound = [i for i, v in enumerate(x) if v is not None and all(c is not None and np.isfinite(c) for c in v) and any(v)]
+    for dim in {len(x[i]) for i in sound}:
+        ok = [i for i in sound if len(x[i]) == dim]
+        m = np.array([x[i] for i in ok], float)
+        m /= np.linalg.norm(m, axis=1, keepdims=True)
+        near = m @ m.T >= threshold
         for a, i in enumerate(ok):
-            low = min(root[ok[b]] for b in np.flatnonzero(near[a]))
-            if low < root[i]:
-                root[i], changed = low, True
+            links[i] = int(near[a].sum()) - 1
+        changed = True
+        while changed:
+            changed = False
+            for a, i in enumerate(ok):
+                low = min(root[ok[b]] for b in np.flatnonzero(near[a]))
+                if low < root[i]:
+                    root[i], changed = low, True
     return links, root
 
 
@@ -36,7 +38,7 @@ def vectors():
     rows = [v.tolist() for v in base] + [(v + rng.normal(size=16) * 0.12).tolist() for v in base[:40] for _ in range(3)]
     chain = [np.cos(t) * base[0] / np.linalg.norm(base[0]) + np.sin(t) * base[1] / np.linalg.norm(base[1]) for t in np.linspace(0, 1.5, 8)]
     rows += [c.tolist() for c in chain] + [rows[0]] * 5
-    return rows + [None, [0.0] * 16, [float("nan")] * 16, [1.0, None] * 8, [float("inf")] + [1.0] * 15, [1.0, 2.0]]
+    return rows + [None, [0.0] * 16, [float("nan")] * 16, [1.0, None] * 8, [float("inf")] + [1.0] * 15, [1.0, 2.0], [1.1, 2.0], [-1.0, 2.0], [3.0], [0.5], [-3.0], []]
 
 
 def test_op6_against_brute_force(spark, write, vectors, monkeypatch):
@@ -52,6 +54,24 @@ def test_op6_against_brute_force(spark, write, vectors, monkeypatch):
     assert again == {i: (r.n_links, r.component_id) for i, r in got.items()}
 
 
+def test_op6_null_and_repeated_ids_and_other_columns(spark, write):
+    a, b, c = [1.0, 0.0, 0.0], [0.99, 0.05, 0.0], [0.0, 0.0, 1.0]
+    rows = [(5, a), (None, b), (5, a), (None, c), (None, c), (8, [0.0, 1.0, 0.0])]
+    clash = ["node", "weight", "h", "dim", "v", "links", "root", "kept", "part"]
+    d = write(spark, embeddings=([(i, [float(x) for x in v], *[None] * len(clash)) for i, v in rows], "vec_id long, embedding array<float>, " + ", ".join(f"{x} string" for x in clash)))
+    got = sorted(map(str, ((r.vec_id, r.n_links, r.component_id) for r in queries.op6_embedding_dedup(spark, d).collect())))
+    assert got == sorted(map(str, [(5, 2, 5), (None, 2, 5), (5, 2, 5), (None, 1, None), (None, 1, None), (8, 0, 8)]))
+
+
+def test_sketches_are_sound():
+    rng = np.random.default_rng(2)
+    for dim in (1, 3, 16, 64):
+        x = rng.normal(size=(50, dim)) ** 3
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        q, error = embeddings.unsketch(embeddings.sketches(x))
+        assert (np.linalg.norm(x - q[:, :dim], axis=1) <= error).all() and (q[:, dim:] == 0).all()
+
+
 def test_op6_empty(spark, write):
     d = write(spark, embeddings=([], "vec_id long, embedding array<float>, label int"))
     assert queries.op6_embedding_dedup(spark, d).count() == 0
@@ -94,6 +114,37 @@ def test_rotations_keep_lengths():
     assert np.allclose(np.linalg.norm(embeddings._hadamard(x), axis=1), np.linalg.norm(x, axis=1))
 
 
+def test_grammar_against_plain_rules():
+    """The composed machines against what they stand for, read off the words around each match."""
+    T = toxicity
+    word = {T.OTHER: "lamp", T.INSULT: "moron", T.THREAT: "kill", T.INTENT: "will", T.TARGET: "you", T.NEGATION: "not", T.REPORT: "said"}
+    rng = random.Random(12)
+    g = T.Grammar({"moron": 2.0})
+    for _ in range(300):
+        clause = [rng.choice(T.SIGNS) for _ in range(rng.randint(1, 9))]
+        want = dict.fromkeys(T.FEATURES, 0.0)
+        for i, s in enumerate(clause):
+            negated, reported = T.NEGATION in clause[max(0, i - 3) : i], T.REPORT in clause[:i]
+            target, meant = T.TARGET in clause[max(0, i - 5) : i] or T.TARGET in clause[i + 1 : i + 6], T.INTENT in clause[max(0, i - 4) : i]
+            if s == T.INSULT:
+                want["negated" if negated else "reported" if reported else "plain"] += 2.0
+                want["targeted"] += 2.0 * target
+                want["clauses"] = 1.0
+            elif s == T.THREAT and target and not negated and not reported:
+                want["threat"] += 1.0 if meant else 0.5
+                want["clauses"] = 1.0
+            elif s == T.THREAT:
+                want["bare_threat"] += 1.0 if meant and not negated else 0.5
+        got = g.features(" ".join(word[s] for s in clause))
+        assert dict(zip(T.FEATURES, got or [0.0] * 7)) == want
+
+
+def test_lexicon_reads_words_and_beginnings():
+    x = toxicity.Lexicon()
+    x.add("idio", toxicity.INSULT, 1.0, False), x.add("idiot", toxicity.INSULT, 2.0, True), x.add("id", toxicity.TARGET, 1.0, True)
+    assert [x.read(w) for w in ("idiot", "idiots", "idio", "id", "idi", "x", "")] == [(1, 2.0), (1, 1.0), (1, 1.0), (4, 1.0), (0, 0.0), (0, 0.0), (0, 0.0)]
+
+
 def test_op8_learns_invented_insults(spark, write):
     rng = random.Random(3)
     syl = "ka lo mi ren tos vel nu dar pi sho".split()
@@ -118,7 +169,8 @@ def test_contexts_of_a_clause():
     g = toxicity.Grammar({"idiot": 1.0})
     names = dict(zip(toxicity.FEATURES, g.features("He is an idiot. She said idiot. Not an idiot. kill you! kill time")))
     assert (names["plain"], names["reported"], names["negated"]) == (1, 1, 1)
-    assert (names["threat"], names["bare_threat"]) == (1, 1) and names["targeted"] == 2
+    assert (names["threat"], names["bare_threat"]) == (0.5, 0.5) and names["targeted"] == 2
+    assert g.features("I will kill you")[4] == 1.0
     assert g.features("a fine day") is None
 
 
@@ -130,11 +182,23 @@ PAGE = """<html><head><title>t</title><script>var a = "</p>";</script></head><bo
 def test_blocks_of_broken_markup():
     found = html_text.blocks(PAGE)
     assert [b[0] for b in found] == ["Home", "News", "Buy & win.", "Title here", "First part of it, with more words than a few <x>.", "Second one, it goes on for a while and ends here.", "I like it.", "© me"]
-    assert found[0][2] == 1.0 and [t for t, _ in found[4][1]][-2:] == ["article", "p"]
-    assert html_text.blocks("a < b") == [("a < b", (), 0.0)] and html_text.blocks("<p") == [("<p", (), 0.0)]
+    assert found[0][2] == 1.0 and [e.tag for e in found[4][1].path()][-2:] == ["article", "p"]
+    assert html_text.blocks("a < b") == [("a < b", None, 0.0)] and html_text.blocks("<p") == [("<p", None, 0.0)]
+    for comment in ("<!-->", "<!--->", "<!-- x --!>", "<!-- <p>x</p> -->", "<!---->"):
+        assert [b[0] for b in html_text.blocks(f"<p>a</p>{comment}<p>b</p>")] == ["a", "b"]
     assert len(html_text.blocks("<div>" * 3000 + "x")) == 1
 
 
+def test_unclosed_elements_cost_linear_space():
+    import tracemalloc
+
+    page = '<div class="x">some text here' * 8000
+    tracemalloc.start()
+    assert html_text.Extractor(html_text.PRIOR).text(page).count("some") in (0, 8000)
+    assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    tracemalloc.stop()
+
+
 def test_op7_on_pages(spark, write):
     rows = [(i, "u", PAGE.replace("First", f"First {i}")) for i in range(30)] + [(100, None, None), (101, "u", ""), (102, "u", "<nav><a>x</a></nav>")]
     plain = PAGE.replace("<article>", '<div class="post-content">').replace("</article>", "</div>").replace("nav>", "div>").replace("footer>", "div>")
@@ -172,30 +236,47 @@ def test_op7_names_of_wrappers(spark, write):
     assert {r[:300]: bare.text(r) for r in rows if bare.text(r) != (want if "<article" in r or "content" in r else unnamed)} == {}
 
 
-def test_op7_empty(spark, write):
-    assert queries.op7_html_text(spark, write(spark, pages=([], "page_id long, url string, html string"))).count() == 0
+TEMPLATES = [
+    '<body><nav><a>{a}</a></nav><article><h1>{t}</h1><p>{x}</p><p>{y}</p></article><aside><p>{b}</p></aside><footer>{c}</footer>',
+    '<body><div class="topbar"><a>{a}</a></div><div class="content"><main><h1>{t}</h1><p>{x}</p><p>{y}</p></main></div><div id="sidebar">{b}</div><div class="footer">{c}</div>',
+    '<body><header><h2>{a}</h2></header><main><h1>{t}</h1><div class="entry"><p>{x}<p>{y}</div><form>{b}</form></main><div class="copyright">{c}</div>',
+    '<body><ul class="menu"><li>{a}</li></ul><article class="post"><h1>{t}</h1><p>{x}</p><blockquote>{y}</blockquote><div class="comments"><p>{b}</p></div></article><p class="legal">{c}</p>',
+]
 
 
-def test_pipeline_keeps_clean_and_drops_planted(spark, write):
-    import corpus_pipeline
+def page_of(template: str, rng: random.Random) -> tuple[str, str]:
+    some = lambda lo, hi: " ".join("".join(rng.choices("ka lo mi ren tos vel".split(), k=2)) for _ in range(rng.randint(lo, hi))).capitalize()
+    parts = {"a": some(1, 2), "t": some(4, 9), "x": some(20, 60) + ".", "y": some(20, 60) + ".", "b": some(3, 12), "c": some(2, 6)}
+    return template.format(**parts), "\n".join(parts[k] for k in "txy")
 
-    rng = random.Random(4)
-    syl = "ka lo mi ren tos vel nu dar pi sho".split()
-    text = lambda n: " ".join("".join(rng.choices(syl, k=rng.randint(1, 3))) for _ in range(n))
-    clean = [text(60) for _ in range(60)]
-    item = text(30)
-    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(clean)]
-    rows += [(100, clean[0], "en", "s", 1), (101, clean[1] + " edit", "en", "s", 1), (102, text(20) + " " + item + " " + text(20), "en", "s", 1), (103, text(30) + " mail me@ka.org", "en", "s", 1)]
-    rows += [(200 + i, text(30) + " zorble " + text(9) + " zorble", "en", "s", 1) for i in range(12)]
-    labels = [(i, 1, 0) for i in range(60)] + [(200 + i, 0, 1) for i in range(10)]
-    d = write(spark, documents=(rows, DOCS + ", lang string, source string, n_chars long"), labels=(labels, "doc_id long, quality int, toxic int"), benchmark=([(1, item)], "item_id long, text string"))
-    docs = spark.read.parquet(f"{d}/documents.parquet")
-    kept = []
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, d).cache()
-        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-        kept.append({r.doc_id for r in docs.select("doc_id").collect()})
-    assert kept[0] == set(range(60)) | {100, 101, 102, 103}
-    assert kept[1] == kept[0] - {100, 101} and kept[2] == kept[1] - {102} and kept[3] == kept[2]
-    assert docs.where(F.col("doc_id") == 103).first().text.endswith("mail [EMAIL]")
-    assert {r.doc_id for r in corpus_pipeline.run(spark, d).collect()} == kept[3]
+
+@pytest.mark.parametrize("left_out", range(4))
+def test_op7_on_a_template_that_was_not_trained(left_out):
+    rng = random.Random(left_out)
+    pages = [page_of(t, rng)[0] for k, t in enumerate(TEMPLATES) if k != left_out for _ in range(20)]
+    extractor = html_text.Extractor(html_text.fit([x for p in pages for x in html_text.labelled(p)]))
+    held = [page_of(TEMPLATES[left_out], rng) for _ in range(40)]
+    assert sum(extractor.text(p) == want for p, want in held) >= 38
+
+
+def test_viterbi_finds_the_best_labels():
+    import itertools
+
+    rng = np.random.default_rng(9)
+    page = "<article><p>One two three.</p><p>four</p></article><nav><a>five</a></nav><p>six seven eight nine</p>"
+    for _ in range(20):
+        w = rng.normal(size=len(html_text.PRIOR)) * 2
+        found = html_text.blocks(page)
+        emit = []
+        for k, (text, own, linked) in enumerate(found):
+            x = html_text.bits(html_text.around(own))
+            x[html_text.inside(text, linked, k, len(found))] = 1
+            emit.append(float(x @ w[: len(html_text.FEATURES)]) + w[-5])
+        step = {(0, 1): w[-3], (1, 0): w[-2], (1, 1): w[-1], (0, 0): 0.0}
+        total = lambda y: sum(e for e, k in zip(emit, y) if k) + w[-4] * y[0] + sum(step[p] for p in zip(y, y[1:]))
+        best = max(itertools.product((0, 1), repeat=len(found)), key=total)
+        assert html_text.Extractor(w).text(page) == "\n".join(b[0] for b, k in zip(found, best) if k)
+
+
+def test_op7_empty(spark, write):
+    assert queries.op7_html_text(spark, write(spark, pages=([], "page_id long, url string, html string"))).count() == 0
