@@ -3,15 +3,21 @@
 Toxic documents go; of near duplicates the one with the smallest doc_id stays; documents that hold benchmark
 items go; personal data is masked; what is left is packed into sequences. Each stage works on all that the
 one before has kept, written as Parquet in the shared folder and read again. All but the last return the
-columns of documents; the last returns the packed pieces.
+columns of documents, whatever these are and whatever their names; the last returns the packed pieces.
 
-No stage can be said in SQL (a learned model, exact set joins over shingles, tokenizers), so ORACLE_SQL is None;
+Cases, for all stages: an empty table gives none; texts of any length are worked on whole. A null or empty text is not
+toxic (it has the score of no match), has no near duplicates and no benchmark item, holds no personal data, and is packed
+as the end token alone. Repeated rows are toxic, contaminated or masked alike; of rows with equal or near-equal texts one
+stays, those with a null doc_id included. Ties (equal texts, equal ids) are settled by the smallest doc_id.
+
+No SQL gives the rows of run() (a learned model and tokenizers are among its stages), so ORACLE_SQL is None;
 tests/llm/test_pipeline.py holds the stages against brute force.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cadenza.llm import decontaminate, jaccard, packing, pii, toxicity
 from cadenza.llm.scratch import materialize
@@ -21,12 +27,13 @@ LIMIT = 4096
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8, learned from all labels of the documents that are left."""
-    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), 0.3)
+    """Operator 8, learned from the labels that aren't held out: documents that score 0.3 or more go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.drop_toxic(docs, labels.where(~toxicity.held_out(labels["doc_id"])), 0.3)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: one document of each group stays."""
+    """Operator 3: one document of each group stays, the one with the smallest doc_id."""
     return jaccard.one_of_each(docs)
 
 
@@ -36,12 +43,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: spans are replaced by their kind. n_chars and the other columns stay as they were."""
-    return pii.redact(docs)
+    """Operator 1: spans are replaced by their kind. n_chars, where it is there, counts the new text; other columns stay as they were."""
+    out = pii.redact(docs)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: the pieces' places in sequences of at most LIMIT tokens."""
+    """Operator 4: the pieces' places in sequences of at most LIMIT tokens. Rows with equal ids are packed each."""
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), LIMIT)
