@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions import arrays as A
+from cadenza.operators.sequence import same_key
 
 FRAME_SEC, CHUNK_SEC, TARGET_RMS, SILENCE = 0.025, 5.0, 0.1, 1e-6
 
@@ -36,7 +39,7 @@ def overlapped(samples: DataFrame, n: str, chunk: int, halo: int) -> DataFrame:
     """Each sample in its chunk and, within ``halo`` samples after a chunk's end, in that chunk too: chunk_idx. Nothing is joined."""
     own = F.floor(F.col(n) / chunk).cast("long")
     first = F.greatest(F.lit(0).cast("long"), F.floor((F.col(n) - halo) / chunk).cast("long"))
-    return samples.withColumn("chunk_idx", F.explode(F.sequence(F.least(first, own), own)))
+    return samples.withColumn("chunk_idx", F.explode_outer(F.sequence(F.least(first, own), own)))  # without a number, in no chunk
 
 
 def audible(samples: DataFrame, key: list[str], value: str, threshold: float = SILENCE) -> DataFrame:
@@ -48,7 +51,12 @@ def normalise(samples: DataFrame, key: list[str], value: str, target: float = TA
     """``normalised``: samples at the target RMS, cut to [-1, 1]; near-silent signals keep their level."""
     level = samples.groupBy(*key).agg(F.sqrt(F.avg(F.col(value) * F.col(value))).alias("_rms"))
     gain = F.when(F.col("_rms") > 1e-8, F.lit(target) / F.col("_rms")).otherwise(1.0)
-    return samples.join(level, key).withColumn("normalised", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col(value) * gain))).drop("_rms")
+    return same_key(samples, level, key).withColumn("normalised", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col(value) * gain))).drop("_rms")
+
+
+def longest(samples: DataFrame, key: list[str]) -> DataFrame:
+    """One row, max_len: how many samples the longest signal has, 0 where there is none."""
+    return samples.groupBy(*key).agg(F.count("*").alias("_n")).agg(F.coalesce(F.max("_n"), F.lit(0)).alias("max_len"))
 
 
 def signal_stats(samples: DataFrame, key: list[str], value: str) -> DataFrame:
@@ -82,14 +90,22 @@ def wide(rows: DataFrame, time: str, channel: str, channels: list, metrics: list
 
 def resample(samples, from_rate: int, to_rate: int):
     """A whole signal at another rate through its Fourier coefficients (numpy array in and out); for use in mapInPandas."""
-    import numpy as np
-
     if from_rate == to_rate or not len(samples):
         return samples
     n = max(1, int(round(len(samples) * to_rate / from_rate)))
     return np.fft.irfft(np.fft.rfft(samples)[: n // 2 + 1], n) * (n / len(samples))
 
 
+def resampled(signals: DataFrame, samples: str, from_rate: str, to_rate: int) -> DataFrame:
+    """The signals (arrays) at another rate; ``from_rate`` is a column. A null signal or rate gives null."""
+
+    @F.pandas_udf("array<double>")
+    def run(x: pd.Series, rate: pd.Series) -> pd.Series:
+        return pd.Series([None if a is None or pd.isna(r) else resample(np.asarray(a, float), int(r), to_rate) for a, r in zip(x, rate, strict=True)], dtype=object)
+
+    return signals.withColumn(samples, run(F.col(samples).cast("array<double>"), F.col(from_rate))).withColumn(from_rate, F.lit(to_rate))
+
+
 def mono_of(channels: Column) -> Column:
     """The mean over an array of channel arrays of equal length."""
     return F.transform(channels[0], lambda _, i: A.fold(F.transform(channels, lambda c: F.get(c, i))) / F.size(channels))

@@ -42,6 +42,17 @@ def size_estimates(streams: DataFrame) -> DataFrame:
     return out.withColumn("flac_mb", F.expr("pcm_mb * 40 div 100")).withColumn("total_mb", F.expr("whisper_mb + 3 * flac_mb"))
 
 
+def size_totals(streams: DataFrame) -> DataFrame:
+    """path, streams, total_mb: the megabytes that all variants of all streams of a path take."""
+    return size_estimates(streams).groupBy("path").agg(F.count("*").alias("streams"), F.sum("total_mb").alias("total_mb"))
+
+
+def some_streams(counts: DataFrame) -> DataFrame:
+    """The counts of ``stream_counts``; a path without an audio stream ends the job with an error."""
+    bad = F.raise_error(F.concat(F.lit("no audio stream in "), F.coalesce("path", F.lit("null")))).cast("long")
+    return counts.withColumn("streams", F.when(F.col("streams") > 0, F.col("streams")).otherwise(bad))
+
+
 def audio_manifest(streams: DataFrame, out_dir: str) -> DataFrame:
     """One row a stream and variant (five of them): output path and encoder settings."""
     variants = F.array(*(F.struct(F.lit(v).alias("variant"), F.lit(e).alias("ext"), F.lit(r).alias("sample_rate"), F.lit(f).cast("string").alias("filter"), F.lit(c).alias("codec")) for v, e, r, f, c in AUDIO_VARIANTS))

@@ -42,9 +42,14 @@ def features(frames: DataFrame, key: list[str], fps: float, window_sec: float =
     if fps <= 0:
         raise ValueError("fps must be over 0")
     out = frames.withColumn("time_sec", F.col("frame_idx") / F.lit(float(fps)))
-    out = S.smooth(out, key, "frame_idx", SMOOTHED, max(1, int(fps * window_sec)))
-    out = S.change(out, key, "frame_idx", {"motion_change_rate": "motion_intensity", "saliency_change_rate": "mean_saliency"})
-    out = S.shift_rate(out, key, "frame_idx", "attention_center_x", "attention_center_y", "attention_shift_rate")
+    # All that looks at other rows in one window over blocks with the widest edges.
+    width = max(1, int(fps * window_sec))
+    back, ahead = width // 2, (width - 1) // 2
+    looks = {f"{c}_smooth": (lambda w, c=c: F.avg(c).over(w.rowsBetween(-back, ahead))) for c in SMOOTHED if c in out.columns}
+    moved = {"motion_change_rate": "motion_intensity", "saliency_change_rate": "mean_saliency", "_dx": "attention_center_x", "_dy": "attention_center_y"}
+    looks |= {new: (lambda w, c=c: S.difference(c, w)) for new, c in moved.items()}
+    out = S.windowed(out, key, "frame_idx", max(1, back), ahead, looks)
+    out = out.withColumn("attention_shift_rate", F.sqrt(F.col("_dx") * F.col("_dx") + F.col("_dy") * F.col("_dy"))).drop("_dx", "_dy")
     out = S.over_quantile(out, key, {"is_high_motion": "motion_intensity_smooth", "is_high_saliency": "mean_saliency_smooth", "is_focused_attention": "attention_concentration"})
     rest = [f"{c}_smooth" for c in SMOOTHED if f"{c}_smooth" not in ORDER]
     kinds = dict(out.dtypes)

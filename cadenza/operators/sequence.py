@@ -3,6 +3,9 @@
 ``ordinal`` numbers the rows of each key from counts of (key, lane), where lanes cut the order into ranges (a
 day of samples, say). With a number, windows of a few rows are taken within blocks of BLOCK rows that carry
 their neighbours' edge rows with them, so that a key with a third of all rows is spread over many tasks.
+
+Nulls: a null key is a key like others, a null in the order comes first, and rows with a null number are a
+sequence of their own; no row is lost.
 """
 
 from __future__ import annotations
@@ -13,24 +16,32 @@ from pyspark.sql import functions as F
 BLOCK = 20_000
 
 
+def same_key(df: DataFrame, other: DataFrame, key: list[str], how: str = "inner") -> DataFrame:
+    """``df`` with the other columns of ``other`` for the same key; nulls are equal."""
+    other = other.select(*(F.col(k).alias(f"_k_{k}") for k in key), *(c for c in other.columns if c not in key))
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key]
+    return df.join(other, on, how).drop(*(f"_k_{k}" for k in key))
+
+
 def ordinal(df: DataFrame, key: list[str], order: list[str], lane: Column, name: str = "n") -> DataFrame:
     """A gapless number from 0 within each key, by ``order``; ``lane`` may not fall along that order."""
     df = df.withColumn("_lane", lane)
     counts = df.groupBy(*key, "_lane").agg(F.count("*").alias("_rows"))
     before = counts.withColumn("_before", F.sum("_rows").over(Window.partitionBy(*key).orderBy("_lane")) - F.col("_rows")).drop("_rows")
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*key, "_lane").orderBy(*order)))
-    return ranked.join(before, [*key, "_lane"]).withColumn(name, (F.col("_before") + F.col("_rank") - 1).cast("long")).drop("_lane", "_before", "_rank")
+    return same_key(ranked, before, [*key, "_lane"]).withColumn(name, (F.col("_before") + F.col("_rank") - 1).cast("long")).drop("_lane", "_before", "_rank")
 
 
 def windowed(df: DataFrame, key: list[str], n: str, before: int, after: int, columns: dict[str, object], block: int = BLOCK) -> DataFrame:
     """``columns``: name -> function of a window (ordered by ``n``) giving a column that looks at most ``before`` rows back and ``after`` ahead."""
     own = F.floor(F.col(n) / block)
     ends = F.array_distinct(F.array(own, F.floor((F.col(n) + before) / block), F.greatest(F.lit(0), F.floor((F.col(n) - after) / block))))
+    ends = F.when(own.isNull(), F.array(own)).otherwise(ends)
     spread = df.withColumn("_own", own).withColumn("_block", F.explode(ends))
     w = Window.partitionBy(*key, "_block").orderBy(n)
     for name, make in columns.items():
         spread = spread.withColumn(name, make(w))
-    return spread.where("_block = _own").drop("_block", "_own")
+    return spread.where("_block <=> _own").drop("_block", "_own")
 
 
 def smooth(df: DataFrame, key: list[str], n: str, columns: list[str], window: int, suffix: str = "_smooth") -> DataFrame:
@@ -43,8 +54,12 @@ def smooth(df: DataFrame, key: list[str], n: str, columns: list[str], window: in
 
 
 def change(df: DataFrame, key: list[str], n: str, columns: dict[str, str]) -> DataFrame:
-    """new name -> column: the difference to the row before, 0 for the first."""
-    return windowed(df, key, n, 1, 0, {new: (lambda w, c=c: F.coalesce(F.col(c) - F.lag(c).over(w), F.lit(0.0))) for new, c in columns.items()})
+    """new name -> column: the difference to the row before, 0 for the first and where there is none (null or NaN)."""
+    return windowed(df, key, n, 1, 0, {new: (lambda w, c=c: difference(c, w)) for new, c in columns.items()})
+
+
+def difference(column: str, w: Window) -> Column:
+    return F.coalesce(F.nanvl((F.col(column) - F.lag(column).over(w)).cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
 def shift_rate(df: DataFrame, key: list[str], n: str, x: str, y: str, name: str) -> DataFrame:
@@ -56,16 +71,18 @@ def shift_rate(df: DataFrame, key: list[str], n: str, x: str, y: str, name: str)
 def quantile(df: DataFrame, key: list[str], column: str, q: float, lanes: int = 64, name: str = "q") -> DataFrame:
     """key, name: the exact quantile (linear interpolation) of each key.
 
-    Equal values are counted together, values are cut into lanes between the key's least and greatest, and
-    only the lanes that hold the two ranks in question are sorted.
+    Equal values are counted together, values are cut into lanes that hold about equally many of the different ones (by
+    approximate percentiles, whose error changes the lanes' sizes only), and only the lanes that hold the two ranks in
+    question are sorted. Null values are left out.
     """
     values = df.where(F.col(column).isNotNull()).groupBy(*key, F.col(column).alias("_v")).agg(F.count("*").alias("_c"))
-    bounds = values.groupBy(*key).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_n"))
-    lane = F.when(F.col("_hi") > F.col("_lo"), F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * lanes)).otherwise(0)
-    placed = values.join(bounds, key).withColumn("_lane", lane).withColumn("_at", (F.col("_n") - 1) * F.lit(q))
+    cuts = F.percentile_approx("_v", [k / lanes for k in range(1, lanes)], 100 * lanes)
+    bounds = values.groupBy(*key).agg(cuts.alias("_cuts"), F.sum("_c").alias("_n"))
+    lane = F.size(F.filter("_cuts", lambda c: c <= F.col("_v")))
+    placed = same_key(values, bounds, key).withColumn("_lane", lane).withColumn("_at", (F.col("_n") - 1) * F.lit(q)).drop("_cuts")
     counts = placed.groupBy(*key, "_lane").agg(F.sum("_c").alias("_rows"))
     before = counts.withColumn("_before", F.sum("_rows").over(Window.partitionBy(*key).orderBy("_lane")) - F.col("_rows"))
-    near = placed.join(before, [*key, "_lane"]).where("_before + _rows > floor(_at) and _before <= floor(_at) + 1")
+    near = same_key(placed, before, [*key, "_lane"]).where("_before + _rows > floor(_at) and _before <= floor(_at) + 1")
     upto = near.withColumn("_upto", F.col("_before") + F.sum("_c").over(Window.partitionBy(*key, "_lane").orderBy("_v")))
     low = F.min(F.when(F.col("_upto") > F.floor("_at"), F.col("_v"))).alias("_low")
     high = F.min(F.when(F.col("_upto") > F.least(F.floor("_at") + 1, F.col("_n") - 1), F.col("_v"))).alias("_high")
@@ -76,13 +93,12 @@ def quantile(df: DataFrame, key: list[str], column: str, q: float, lanes: int =
 def over_quantile(df: DataFrame, key: list[str], flags: dict[str, str], q: float = 0.75) -> DataFrame:
     """flag name -> column: whether the value is strictly over its key's quantile.
 
-    All columns' quantiles come from one pass over their values; the rows are persisted, as they are read
-    for the quantiles and for the flags (``unpersist`` or ``clearCache`` frees them).
+    All columns' quantiles come from one pass over their values. The rows are read twice, for the quantiles and for the
+    flags; whoever finds them dear to make writes them first.
     """
-    df = df.persist()
     values = df.select(*key, F.explode(F.array(*(F.struct(F.lit(f).alias("_flag"), F.col(c).cast("double").alias("_value")) for f, c in flags.items()))).alias("_s")).select(*key, "_s.*")
     found = quantile(values, [*key, "_flag"], "_value", q, name="_q").groupBy(*key).agg(*(F.max(F.when(F.col("_flag") == f, F.col("_q"))).alias(f"_q_{f}") for f in flags))
-    return df.join(found, key, "left").withColumns({f: F.col(c) > F.col(f"_q_{f}") for f, c in flags.items()}).drop(*(f"_q_{f}" for f in flags))
+    return same_key(df, found, key, "left").withColumns({f: F.col(c) > F.col(f"_q_{f}") for f, c in flags.items()}).drop(*(f"_q_{f}" for f in flags))
 
 
 def run_dedup(words: DataFrame, key: list[str], n: str, column: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import arrays as A
 from cadenza.functions import text as X
-from cadenza.operators import audio, media, models, pitch, saliency, transcript
+from cadenza.operators import audio, media, models, saliency, transcript
 from cadenza.operators import sequence as S
 
 RATE, FRAME, CHUNK, HALO = 16000, 100, 80, 10
@@ -196,6 +196,11 @@ def q_gain_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.normalise(read(spark, sf_dir, "events"), ["event_type"], "value").select("event_id", r("normalised").alias("normalised"))
 
 
+@query("SELECT max(n) AS max_len FROM (SELECT count(*) AS n FROM events GROUP BY event_type)")
+def q_longest_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audio.longest(read(spark, sf_dir, "events"), ["event_type"])
+
+
 @query("SELECT event_type, count(*) AS length, min(value) AS min, max(value) AS max, round(avg(value), 6) AS mean FROM events GROUP BY 1")
 def q_signal_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.signal_stats(read(spark, sf_dir, "events"), ["event_type"], "value").withColumn("mean", r("mean"))
@@ -248,10 +253,10 @@ def q_softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _maps(spark, sf_dir).select("vec_id", F.transform("p", lambda a: r(a, 9)).alias("p"))
 
 
-@query(f"WITH {_V}, f AS (SELECT vec_id, list_slice(v, 1, 4) AS v FROM e) SELECT vec_id, (list_position(v, list_max(v)) - 1)::BIGINT AS class, ['neutral', 'happy', 'excited', 'sad', 'angry'][list_position(v, list_max(v))] AS label FROM f")
+@query(f"WITH {_V}, f AS (SELECT vec_id, [list_sum(list_slice(v, i, i + 15)) FOR i IN [1, 17, 33, 49]] AS v FROM e) SELECT vec_id, (list_position(v, list_max(v)) - 1)::BIGINT AS class, ['neutral', 'happy', 'excited', 'sad', 'angry'][list_position(v, list_max(v))] AS label FROM f")
 def q_argmax_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    four = F.slice("v", 1, 4)
-    return vectors(spark, sf_dir).select("vec_id", big(A.argmax(four)).alias("class"), A.label_of(four, models.EMOTIONS).alias("label"))
+    four = F.array(*(A.fold(F.slice("v", k, 16)) for k in (1, 17, 33, 49)))
+    return vectors(spark, sf_dir).select("vec_id", four.alias("v")).select("vec_id", big(A.argmax(F.col("v"))).alias("class"), A.label_of(F.col("v"), models.EMOTIONS).alias("label"))
 
 
 @query(f"WITH {_MAP}, t AS (SELECT vec_id, sum(p + 1e-10) AS t FROM u GROUP BY 1) SELECT vec_id, round(-sum((p + 1e-10) / t * log2((p + 1e-10) / t)), 6) AS saliency_entropy FROM u JOIN t USING (vec_id) GROUP BY 1")
@@ -298,30 +303,31 @@ def q_motion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("vec_id", r("motion_intensity", 9).alias("motion_intensity"), r("motion_variance", 9).alias("motion_variance"))
 
 
-@query()
-def q_gaze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 25-column feature table with a stand-in model; tested against pandas."""
+_FEATURES = f"""WITH {_MAP}, c AS ({_CENTRE}),
+k AS (SELECT vec_id, avg(p) AS mean_saliency, 1 - sum(p * sqrt(pow(i // 8 - cy * 8, 2) + pow(i % 8 - cx * 8, 2))) / sum(p) / (sqrt(128) / 2) AS focus, any_value(cx) AS cx, any_value(cy) AS cy FROM u JOIN c USING (vec_id) GROUP BY 1),
+b AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS frame_idx, v, lag(v) OVER (ORDER BY vec_id) AS w FROM e),
+m AS (SELECT vec_id, frame_idx, coalesce(list_sum(list_transform(range(1, 65), lambda i: abs(v[i] - w[i]))) / 64 / 255, 0) AS motion FROM b),
+f AS (
+  SELECT frame_idx, motion, focus, avg(motion) OVER s AS motion_smooth, avg(mean_saliency) OVER s AS saliency_smooth, coalesce(motion - lag(motion) OVER o, 0) AS motion_change,
+    coalesce(sqrt(pow(cx - lag(cx) OVER o, 2) + pow(cy - lag(cy) OVER o, 2)), 0) AS shift
+  FROM m JOIN k USING (vec_id) WINDOW o AS (ORDER BY frame_idx), s AS (ORDER BY frame_idx ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)
+)
+SELECT frame_idx, round(frame_idx / 15::DOUBLE, 6) AS time_sec, round(motion, 6) AS motion_intensity, round(motion_smooth, 6) AS motion_intensity_smooth, round(motion_change, 6) + 0.0::DOUBLE AS motion_change_rate,
+  round(saliency_smooth, 6) AS mean_saliency_smooth, round(shift, 6) AS attention_shift_rate, motion_smooth > quantile_cont(motion_smooth, 0.75) OVER () AS is_high_motion, focus > quantile_cont(focus, 0.75) OVER () AS is_focused_attention FROM f"""
+
+
+def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 25 columns of frames whose map is the softmax of their own values."""
     frames = _frames(spark, sf_dir)
-    maps = models.saliency_maps(frames.select("path", "frame_idx", "v"), "v", models.stub_saliency)
-    stats = saliency.map_stats(maps, "saliency", 8, 8)
+    stats = saliency.map_stats(frames.select("path", "frame_idx", A.softmax(F.col("v")).alias("p")), "p", 8, 8)
     moving = saliency.motion(frames, ["path"], "frame_idx", "v").drop("v", "vec_id")
     return saliency.features(saliency.with_saliency(moving, stats, ["path", "frame_idx"]), ["path"], 15.0)
 
 
-@query()
-def q_emotion_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks of channels through a stand-in classifier; tested against numpy."""
-    s = samples(spark, sf_dir).withColumn("chunk_index", F.floor(F.col("n") / 50))
-    chunks = s.groupBy("event_type", "chunk_index").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "value"))), lambda x: x["value"]).alias("samples"))
-    return models.emotions(chunks, "samples", models.stub_emotion).select("event_type", "chunk_index", "predicted_emotion", "emotion_probs")
-
-
-@query()
-def q_pitch_pyin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pitch of each channel's chunks at 4000 samples a second; tested on tones."""
-    s = audio.overlapped(samples(spark, sf_dir), "n", 20000, 100)
-    rows = s.groupBy("event_type", "chunk_idx").agg(F.min("n").alias("start"), F.transform(F.array_sort(F.collect_list(F.struct("n", "value"))), lambda x: x["value"]).alias("samples"))
-    return pitch.pitch_of_chunks(rows, ["event_type"], "samples", 4000)
+@query(_FEATURES)
+def q_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = "time_sec motion_intensity motion_intensity_smooth motion_change_rate mean_saliency_smooth attention_shift_rate".split()
+    return feature_table(spark, sf_dir).select("frame_idx", *(r(c).alias(c) for c in columns), "is_high_motion", "is_focused_attention")
 
 
 # --- transcripts -------------------------------------------------------------------------------------------------
@@ -366,6 +372,13 @@ def q_size_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.size_estimates(_streams(spark, sf_dir)).select("path", "whisper_mb", "pcm_mb", "flac_mb", "total_mb")
 
 
+@query("SELECT '/media/' || s_nationkey || '.mp4' AS path, count(*) AS streams, sum(d * 32000 // 1048576 + 3 * (d * 44100 // 1048576 * 40 // 100))::BIGINT AS total_mb FROM (SELECT s_nationkey, trunc(abs(s_acctbal))::BIGINT AS d FROM supplier) GROUP BY 1")
+def q_size_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A nation as a file, its suppliers as the streams."""
+    rows = read(spark, sf_dir, "supplier").select(F.concat(F.lit("/media/"), F.col("s_nationkey").cast("string"), F.lit(".mp4")).alias("path"), F.abs(F.col("s_acctbal")).cast("string").alias("duration"))
+    return media.size_totals(media.probed(rows))
+
+
 @query("WITH v(variant, ext, rate) AS (VALUES ('whisper', 'wav', 16000), ('volume', 'flac', 22050), ('analysis', 'flac', 22050), ('events', 'flac', 22050), ('emotion', 'flac', 16000)) SELECT variant, rate::BIGINT AS sample_rate, 'temp/' || s_name || '_stream0_' || variant || '.' || ext AS output FROM supplier, v")
 def q_variant_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.audio_manifest(_streams(spark, sf_dir), "temp").select("variant", big(F.col("sample_rate")).alias("sample_rate"), "output")

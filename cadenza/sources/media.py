@@ -10,6 +10,7 @@ from __future__ import annotations
 import io
 import wave
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -20,8 +21,15 @@ from cadenza.operators.audio import frame_length
 
 BLOCKS = "path string, channel int, block_start long, sample_rate int, bits int, samples array<double>"
 FRAMES = "path string, frame_idx long, h int, w int, pixels array<double>"
-#: Frames in a block of samples.
-FRAMES_A_BLOCK = 400
+#: Frames in a block of samples, and rows in a batch that a reader gives to Spark.
+FRAMES_A_BLOCK, ROWS = 400, 64
+
+
+def batched(rows: Iterator[tuple], schema: str) -> Iterator[pd.DataFrame]:
+    """Rows in frames of ROWS."""
+    columns = [f.split()[0] for f in schema.split(", ")]
+    while part := list(islice(rows, ROWS)):
+        yield pd.DataFrame(part, columns=columns)
 
 
 def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -50,47 +58,45 @@ def audio_blocks(content: DataFrame, decoder: Callable[[bytes], tuple] = decode_
     if scale not in ("full", "bit_depth"):
         raise ValueError(f"no such scale: {scale}")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for pdf in frames:
             for path, data in zip(pdf["path"], pdf["content"], strict=True):
                 x, rate, bits = decoder(bytes(data))
                 x = x / (2147483647.0 if scale == "full" else float(2 ** (bits - 1)))
                 size = frame_length(rate) * FRAMES_A_BLOCK
                 for at in range(0, len(x), size):
-                    part = x[at : at + size]
-                    yield pd.DataFrame([(path, c, at, rate, bits, part[:, c]) for c in range(x.shape[1])], columns=["path", "channel", "block_start", "sample_rate", "bits", "samples"])
+                    yield from ((path, c, at, rate, bits, x[at : at + size, c]) for c in range(x.shape[1]))
 
-    return content.mapInPandas(run, BLOCKS)
+    return content.mapInPandas(lambda frames: batched(rows(frames), BLOCKS), BLOCKS)
 
 
 def npy_blocks(content: DataFrame, sample_rate: int = 16000) -> DataFrame:
     """Blocks of NPY files; a 2-D array has a channel a row and is averaged to mono."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         size = frame_length(sample_rate) * FRAMES_A_BLOCK
         for pdf in frames:
             for path, data in zip(pdf["path"], pdf["content"], strict=True):
                 x = np.load(io.BytesIO(bytes(data)), allow_pickle=False).astype(float)
                 x = x.mean(axis=0) if x.ndim == 2 else x
-                for at in range(0, len(x), size):
-                    yield pd.DataFrame([(path, 0, at, sample_rate, 32, x[at : at + size])], columns=["path", "channel", "block_start", "sample_rate", "bits", "samples"])
+                yield from ((path, 0, at, sample_rate, 32, x[at : at + size]) for at in range(0, len(x), size))
 
-    return content.mapInPandas(run, BLOCKS)
+    return content.mapInPandas(lambda frames: batched(rows(frames), BLOCKS), BLOCKS)
 
 
 def video_frames(content: DataFrame, decoder: Callable[[bytes], Iterator[np.ndarray]], width: int = 224, height: int = 224) -> DataFrame:
     """Gray frames of files, resized to the nearest sample; the decoder gives RGB arrays [h, w, 3] in order."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for pdf in frames:
             for path, data in zip(pdf["path"], pdf["content"], strict=True):
                 for k, image in enumerate(decoder(bytes(data))):
                     y = np.arange(height) * image.shape[0] // height
                     x = np.arange(width) * image.shape[1] // width
                     gray = np.rint(image[y][:, x].astype(float) @ [0.299, 0.587, 0.114])
-                    yield pd.DataFrame([(path, k, height, width, gray.ravel())], columns=["path", "frame_idx", "h", "w", "pixels"])
+                    yield path, k, height, width, gray.ravel()
 
-    return content.mapInPandas(run, FRAMES)
+    return content.mapInPandas(lambda frames: batched(rows(frames), FRAMES), FRAMES)
 
 
 def feature_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Writers: feature tables as CSV in the public column orders and formats, NPY exports, and one-row reports.
+"""Writers: feature tables as CSV in the public column orders and formats, and NPY exports.
 
 Tables are written as Spark writes them (a folder of parts, in time order across and within parts);
 ``one_file`` asks for a single part, for tables that are known to be small.
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.text import fixed
 from cadenza.operators.audio import wide
+from cadenza.operators.saliency import ORDER
 
 PLACES = {"rms": 6, "energy": 6, "pitch_hz": 2, "spectral_centroid": 2, "spectral_rolloff": 2, "spectral_bandwidth": 2, "spectral_flatness": 6, "zero_crossing_rate": 6}
 LEVELS, SPECTRAL = ["rms", "energy"], ["spectral_centroid", "spectral_rolloff", "spectral_bandwidth", "spectral_flatness", "zero_crossing_rate"]
@@ -47,8 +48,21 @@ def pitch_table(rows: DataFrame, channels: list) -> DataFrame:
 
 
 def write_emotions(rows: DataFrame, path: str, one_file: bool = False) -> None:
-    """Chunks with the probabilities as a list in one cell."""
-    write_csv(rows.select("chunk_index", "start_sec", "end_sec", "predicted_emotion", F.to_json("emotion_probs").alias("emotion_probs")), path, ["chunk_index"], one_file)
+    """Chunks with the probabilities as a list in one cell, with a blank after each comma."""
+    write_csv(rows.select("chunk_index", "start_sec", "end_sec", "predicted_emotion", F.concat(F.lit("["), F.array_join(F.col("emotion_probs").cast("array<string>"), ", "), F.lit("]")).alias("emotion_probs")), path, ["chunk_index"], one_file)
+
+
+def write_words(words: DataFrame, path: str, one_file: bool = False) -> None:
+    """Words (n, time_sec, word) in their order: the time with 4 decimals, and the word."""
+    table = words.coalesce(1).sortWithinPartitions("n") if one_file else words.orderBy("n")
+    as_text(table.select("time_sec", "word")).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def write_gaze(table: DataFrame, path: str, one_file: bool = False) -> None:
+    """The feature table of frames in its column order, flags as True and False."""
+    kinds = dict(table.dtypes)
+    order = [*ORDER, *(c for c in table.columns if c.endswith("_smooth") and c not in ORDER)]
+    write_csv(table.select(*(F.initcap(F.col(c).cast("string")).alias(c) if kinds[c] == "boolean" else F.col(c) for c in order)), path, ["frame_idx"], one_file)
 
 
 def npy_bytes(samples: DataFrame, key: list[str], order: str, value: str) -> DataFrame:
@@ -65,18 +79,3 @@ def npy_bytes(samples: DataFrame, key: list[str], order: str, value: str) -> Dat
         return s.map(one)
 
     return blocks.select(*key, pack("_b").alias("npy"))
-
-
-def pitch_scatter(table: DataFrame, path: str, limit: int = 100_000) -> None:
-    """A scatter plot of a pitch table, at most ``limit`` rows; needs matplotlib."""
-    import matplotlib.pyplot as plt
-
-    data = table.orderBy("time_sec").limit(limit).toPandas()
-    plt.figure(figsize=(12, 6))
-    for c in (c for c in data.columns if c.endswith("_pitch_hz")):
-        plt.scatter(data["time_sec"], data[c], label=c, alpha=0.6, s=10)
-    plt.xlabel("Time (seconds)")
-    plt.ylabel("Pitch (Hz)")
-    plt.legend()
-    plt.grid()
-    plt.savefig(path)

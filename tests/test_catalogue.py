@@ -6,6 +6,7 @@ import os
 import duckdb
 import pytest
 
+from cadenza.operators import saliency
 from cadenza.plans import catalogue
 
 
@@ -26,12 +27,12 @@ def test_query_matches_sql(spark, con, sf, name):
     assert got == want
 
 
-def test_gaze_table_matches_pandas(spark, sf):
+def test_feature_table_matches_pandas(spark, sf):
     import numpy as np
     import pandas as pd
 
-    got = catalogue.QUERIES["q_gaze_table"](spark, sf).toPandas().sort_values("frame_idx").reset_index(drop=True)
-    assert len(got.columns) == 26  # 25 and the path
+    got = catalogue.feature_table(spark, sf).toPandas().sort_values("frame_idx").reset_index(drop=True)
+    assert list(got.columns) == ["path", *saliency.ORDER, *(f"{c}_smooth" for c in saliency.SMOOTHED if f"{c}_smooth" not in saliency.ORDER)] and len(got.columns) == 26
     v = pd.read_parquet(f"{sf}/embeddings.parquet").sort_values("vec_id")["embedding"]
     x = np.stack(v.to_numpy()).astype(float)
     motion = np.r_[0, np.abs(np.diff(x, axis=0)).mean(1) / 255]
@@ -39,7 +40,7 @@ def test_gaze_table_matches_pandas(spark, sf):
     smooth = pd.Series(motion).rolling(7, center=True, min_periods=1).mean()
     assert np.allclose(got["motion_intensity_smooth"], smooth, atol=2e-6)
     assert (got["is_high_motion"].to_numpy() == (smooth > smooth.quantile(0.75)).to_numpy()).all()
-    e = np.exp(x / 16 - (x / 16).max(1, keepdims=True))
+    e = np.exp(x - x.max(1, keepdims=True))
     p = e / e.sum(1, keepdims=True)
     assert np.allclose(got["std_saliency"], p.std(1), atol=2e-6)
     assert np.allclose(got["top10_saliency_mass"], [m[m >= np.percentile(m, 90)].sum() / m.sum() for m in p], atol=2e-6)

@@ -178,3 +178,94 @@ def test_normalise_and_resample(spark):
     t = np.arange(800) / 8000
     assert np.allclose(audio.resample(np.sin(2 * np.pi * 100 * t), 8000, 16000)[::2], np.sin(2 * np.pi * 100 * t), atol=1e-6)
     assert frame_row(spark, [1]).select(F.element_at(audio.mono_of(F.array(F.array(F.lit(1.0)), F.array(F.lit(2.0)))), 1)).first()[0] == 1.5
+
+
+def test_nulls_lose_no_row(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", None, 2.0), (None, 1, 3.0), (None, 2, 5.0)], "k string, t long, x double")
+    got = {(r.k, r.t): r.n for r in S.ordinal(df, ["k"], ["t"], F.floor(F.col("t") / 10)).collect()}
+    assert got == {("a", None): 0, ("a", 1): 1, (None, 1): 0, (None, 2): 1}
+    rows = S.change(df, ["k"], "t", {"d": "x"}).collect()
+    assert sorted((r.x, r.d) for r in rows) == [(1.0, 0.0), (2.0, 0.0), (3.0, 0.0), (5.0, 2.0)]
+    assert audio.overlapped(df, "t", 2, 1).where("x = 2.0").select("chunk_idx").collect() == [(None,)]
+    assert audio.normalise(df, ["k"], "x").count() == 4
+    assert {r.k: r.q for r in S.quantile(df, ["k"], "x", 0.5).collect()} == {"a": 1.5, None: 4.0}
+    assert {(r.k, r.x): r.f for r in S.over_quantile(df, ["k"], {"f": "x"}, 0.5).collect()} == {("a", 1.0): False, ("a", 2.0): True, (None, 3.0): False, (None, 5.0): True}
+
+
+def test_change_of_nan_is_zero(spark):
+    df = spark.createDataFrame([("a", i, v) for i, v in enumerate([1.0, float("nan"), 2.0, 5.0, None])], "k string, n long, x double")
+    assert [r.d for r in S.change(df, ["k"], "n", {"d": "x"}).orderBy("n").collect()] == [0.0, 0.0, 0.0, 3.0, 0.0]
+
+
+def test_quantile_with_an_outlier(spark):
+    x = np.r_[np.random.default_rng(6).normal(size=5000), 1e12]
+    df = spark.createDataFrame([("a", float(v)) for v in x], "k string, x double")
+    for q in (0.25, 0.75, 0.9):
+        assert S.quantile(df, ["k"], "x", q).first().q == pytest.approx(np.quantile(x, q))
+
+
+def text_of(path):
+    return sorted(path.glob("part-*"))[0].read_bytes().decode().splitlines()
+
+
+def test_words_emotions_and_gaze_as_text(spark, tmp_path):
+    words = spark.createDataFrame([(1, 12.4, "d'or"), (0, 0.2, "a, b")], "n long, time_sec double, word string")
+    sinks.write_words(words, str(tmp_path / "w"), one_file=True)
+    assert text_of(tmp_path / "w") == ["time_sec,word", '0.2000,"a, b"', "12.4000,d'or"]
+    rows = spark.createDataFrame([(1, 5.0, 10.0, "neutral", [0.7422272562980652, 0.25]), (0, 0.0, 5.0, "sad", [0.125, 0.875])], "chunk_index long, start_sec double, end_sec double, predicted_emotion string, emotion_probs array<double>")
+    sinks.write_emotions(rows, str(tmp_path / "e"), one_file=True)
+    assert text_of(tmp_path / "e") == ["chunk_index,start_sec,end_sec,predicted_emotion,emotion_probs", '0,0.0,5.0,sad,"[0.125, 0.875]"', '1,5.0,10.0,neutral,"[0.7422272562980652, 0.25]"']
+    back = sources.emotion_csv(spark, str(tmp_path / "e")).orderBy("chunk_index").collect()
+    assert back[1].emotion_probs == [0.7422272562980652, 0.25] and [r.end_sec for r in back] == [5.0, 10.0]
+    names = [*saliency.ORDER, *(f"{c}_smooth" for c in saliency.SMOOTHED if f"{c}_smooth" not in saliency.ORDER)]
+    gaze = spark.createDataFrame([tuple(c == "is_high_motion" if c.startswith("is_") else 0.5 for c in names)], ", ".join(f"{c} {'boolean' if c.startswith('is_') else 'double'}" for c in names))
+    sinks.write_gaze(gaze.select(*sorted(names)), str(tmp_path / "g"), one_file=True)
+    lines = text_of(tmp_path / "g")
+    assert lines[0].split(",")[:20] == saliency.ORDER and lines[1].split(",")[17:20] == ["True", "False", "False"] and len(lines[0].split(",")) == 25
+
+
+def test_spectral_columns_as_text(spark, tmp_path):
+    rows = spark.createDataFrame([(0, 0.0, 100.126, 1.0, 2.0, 0.1234567, 0.5), (1, 0.0, 1.0, 1.0, 2.0, 0.0, 0.25)], "channel int, time_sec double, " + ", ".join(f"{c} double" for c in sinks.SPECTRAL))
+    sinks.write_channels(rows, [0, 1], sinks.SPECTRAL, str(tmp_path / "s"), one_file=True)
+    lines = text_of(tmp_path / "s")
+    assert lines[0] == "time_sec," + ",".join(f"chan{k}_{c}" for k in (1, 2) for c in sinks.SPECTRAL)
+    assert lines[1] == "0.0000,100.13,1.00,2.00,0.123457,0.500000,1.00,1.00,2.00,0.000000,0.250000"
+
+
+def test_video_frames_and_manifest(spark):
+    content = spark.createDataFrame([("a.mp4", bytearray(b"x"))], "path string, content binary")
+    decode = lambda data: (np.full((4, 6, 3), 10 * k) for k in range(70))
+    rows = sources.video_frames(content, decode, 3, 2).orderBy("frame_idx").collect()
+    assert len(rows) == 70 and rows[5].pixels == [50.0] * 6 and (rows[5].h, rows[5].w) == (2, 3)
+    m = media.video_manifest(spark.createDataFrame([("/v/a.b.mp4",)], "path string"), "out/").first()
+    assert m.output == "out/a.b_vision.mp4" and m.arguments == media.VISION
+
+
+def test_feature_csv_and_transcripts(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('time_sec,x\n0.5,"a ""b"", c"\n')
+    assert sources.feature_csv(spark, str(tmp_path / "a.csv")).collect() == [(0.5, 'a "b", c')]
+    (tmp_path / "t.json").write_text('{"segments": [{"words": [{"start": 0.5, "word": " a "}]}, {"text": "no words"}]}')
+    rows = transcript.words_of(sources.transcript_json(spark, str(tmp_path / "t.json")), ["path"]).collect()
+    assert [(r.start, r.word) for r in rows] == [(0.5, "a")]
+
+
+def test_totals_guards_and_longest(spark):
+    df = media.probed(spark.createDataFrame([("a", "3600"), ("a", "600"), ("b", "60")], "path string, duration string"))
+    assert {r.path: (r.streams, r.total_mb) for r in media.size_totals(df).collect()} == {"a": (2, 337), "b": (1, 1)}
+    counts = media.stream_counts(df, spark.createDataFrame([("a",), ("c",)], "path string"))
+    assert media.some_streams(counts.where("path = 'a'")).collect() == [("a", 2)]
+    with pytest.raises(Exception, match="no audio stream in c"):
+        media.some_streams(counts).collect()
+    assert audio.longest(df, ["path"]).first().max_len == 2 and audio.longest(df.where("false"), ["path"]).first().max_len == 0
+
+
+def test_resampled_column(spark):
+    t = np.arange(800) / 8000
+    df = spark.createDataFrame([("a", [float(v) for v in np.sin(2 * np.pi * 100 * t)], 8000), ("b", None, 8000)], "path string, v array<double>, rate int")
+    out = {r.path: r for r in audio.resampled(df, "v", "rate", 16000).collect()}
+    assert np.allclose(out["a"].v[::2], np.sin(2 * np.pi * 100 * t), atol=1e-6) and out["a"].rate == 16000 and out["b"].v is None
+
+
+def test_summary_of_features(spark):
+    row = spark.createDataFrame([("a", 1.0, 2.0, True, False, 0.25), ("a", 3.0, 4.0, False, False, 0.75)], "k string, motion_intensity double, mean_saliency double, is_high_motion boolean, is_high_saliency boolean, attention_concentration double")
+    assert saliency.summary(row, ["k"]).first()[1:] == (2, 2.0, 3.0, 1, 50.0, 0, 0.0, 0.25, 0.75)
