@@ -6,13 +6,15 @@ windows are judged on the input. Repeated windows merge into maximal removal int
 Plan:
 1. Count. A scan hashes all windows of each document by a rolling sum (Rabin-Karp). A window's route is the least hash
    of its 25-word parts: equal windows have equal routes, and consecutive windows mostly share one, so that a run of
-   about 13 windows is one row (route, least and greatest document), once for each route of a block of WINDOWS windows. Spark sums
-   them up; only windows on routes of two documents or more can repeat. These routes go into a bitmap of bounded size
-   (``bloom``), which is broadcast.
+   about 13 windows counts as one (route, least and greatest document), once for each route of a block of WINDOWS windows.
+   Spark sums them up; only windows on routes of two documents or more can repeat. These routes go into a bitmap of
+   bounded size (``bloom``), which is broadcast.
 2. Find. A second scan sends on the windows whose routes the bitmap has. Equal windows within one block are settled
    there: only the copy in the block's smallest document goes on, the others are removed whatever else there is. So a
-   passage that a third of all documents share is sent once a block. Windows are known by 128 bits (hash and route); the
-   smallest document of each is a partial aggregation, joined back.
+   passage that a third of all documents share is sent once a block. What goes on is shuffled by route, a run a row
+   (6 bytes a window; a window is known by its route and these 48 bits, 112 bits in all). Windows on one of the routes that
+   have over a thousandth of all rows (under 1,000 routes, broadcast) are shuffled by their own hashes. A task reads its rows in order of route
+   and finds the smallest document of each window, holding about WINDOWS at a time.
 3. Merge. The repeated windows of each document become maximal intervals.
 4. The intervals join the texts by id; documents that the bitmap of the ids concerned rules out aren't joined. The words
    that no interval covers are kept.
@@ -30,17 +32,22 @@ from itertools import compress
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm import bloom
-from cadenza.llm.scratch import materialize, release
+from cadenza.llm.scratch import materialize
 from cadenza.llm.words import grams, mix, words_of
 
 WINDOW, PART = 50, 25
 #: Windows that are compared at once.
 WINDOWS = 1 << 20
-FOUND = "key long, route long, doc long, start int, stop int"
+BYTES = 6
+#: A route is common if it has more than 1 / COMMON of all rows; there are fewer than COMMON of these.
+COMMON = 1000
+RUNS = "route long, doc long, start int, stop int, hashes binary"
+_NAMES = ["route", "doc", "start", "stop", "hashes"]
 
 
 def _least(x: np.ndarray, width: int) -> np.ndarray:
@@ -71,13 +78,15 @@ def _repeats(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
-def _runs(doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where runs of consecutive windows of one document begin and end (in the arrays)."""
+def _runs(doc: np.ndarray, pos: np.ndarray, *same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of consecutive windows of one document begin and end (in the arrays); ``same`` must not change in a run."""
     if not len(doc):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     new = np.empty(len(doc), bool)
     new[0] = True
     new[1:] = (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + 1)
+    for x in same:
+        new[1:] |= x[1:] != x[:-1]
     begin = np.flatnonzero(new)
     return begin, np.append(begin[1:], len(doc))
 
@@ -116,22 +125,82 @@ def _routes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(route[begin].view(np.int64)), pa.array(np.minimum.reduceat(doc, begin)), pa.array(np.maximum.reduceat(doc, begin))], names=["route", "lo", "hi"])
 
 
-def _windows(shared):
+def _intervals(doc: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+    """Rows that remove the words of consecutive repeated windows; they pass through the next step."""
+    begin, end = _runs(doc, pos)
+    route = mix(doc[begin].astype(np.uint64)).view(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(route, pa.int64()), pa.array(doc[begin], pa.int64()), pa.array(pos[begin].astype(np.int32)), pa.array((pos[end - 1] + WINDOW).astype(np.int32)), pa.nulls(len(begin), pa.binary())], names=_NAMES)
+
+
+def _sent(route: np.ndarray, doc: np.ndarray, pos: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+    begin, end = _runs(doc, pos, route)
+    data = np.ascontiguousarray(key.view(np.uint8).reshape(-1, 8)[:, :BYTES])
+    offsets = np.append(begin, len(doc)).astype(np.int32) * BYTES
+    hashes = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays([pa.array(route[begin].view(np.int64)), pa.array(doc[begin]), pa.array(pos[begin].astype(np.int32)), pa.nulls(len(begin), pa.int32()), hashes], names=_NAMES)
+
+
+def _windows(shared, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Windows on shared routes; without a key, runs of words that are removed already."""
+        """Windows on shared routes, and runs of words that are removed already."""
         for key, route, doc, pos in _blocks(batches):
             gone = _repeats(key, doc)
-            d, p = doc[gone], pos[gone]
-            begin, end = _runs(d, p)
-            none = pa.nulls(len(begin), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, pa.array(d[begin]), pa.array(p[begin].astype(np.int32)), pa.array((p[end - 1] + WINDOW).astype(np.int32))], names=["key", "route", "doc", "start", "stop"])
+            if gone.any():
+                yield _intervals(doc[gone], pos[gone])
             kept = ~gone & bloom.within(shared.value, route)
-            p = pos[kept].astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(key[kept].view(np.int64)), pa.array(route[kept].view(np.int64)), pa.array(doc[kept]), pa.array(p), pa.array(p + np.int32(WINDOW))], names=["key", "route", "doc", "start", "stop"])
+            key, route, doc, pos = key[kept], route[kept], doc[kept], pos[kept]
+            apart = np.isin(route, common.value)
+            route[apart] = mix(key[apart] + np.uint64(COMMON))
+            yield _sent(route, doc, pos, key)
 
     return run
 
 
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Intervals of words to remove, from rows in order of route."""
+    held: list[tuple] = []
+    size, last = 0, None
+
+    def found() -> Iterator[pa.RecordBatch]:
+        key, doc, pos = (np.concatenate(x) for x in zip(*held, strict=True))
+        gone = _repeats(key, doc)
+        if gone.any():
+            doc, pos = doc[gone], pos[gone]
+            order = np.lexsort((pos, doc))
+            yield _intervals(doc[order], pos[order]).select(["doc", "start", "stop"])
+
+    for batch in batches:
+        ready = batch.column(4).is_null()
+        if ready.true_count:
+            yield batch.filter(ready).select(["doc", "start", "stop"])
+        rows = batch.filter(pc.invert(ready))
+        if not len(rows):
+            continue
+        route = rows.column(0).to_numpy().view(np.uint64)
+        if size >= WINDOWS and route[0] != last:
+            yield from found()
+            held, size = [], 0
+        hashes = rows.column(4)
+        offsets = np.frombuffer(hashes.buffers()[1], np.int32)[hashes.offset : hashes.offset + len(rows) + 1]
+        n = np.diff(offsets) // BYTES
+        data = np.zeros((int(n.sum()), 8), np.uint8)
+        data[:, :BYTES] = np.frombuffer(hashes.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].reshape(-1, BYTES)
+        key = mix(data.view(np.uint64).reshape(-1) + np.repeat(mix(route), n))
+        within = np.arange(len(key)) - np.repeat(np.cumsum(n) - n, n)
+        own = key, np.repeat(rows.column(1).to_numpy(), n), np.repeat(rows.column(2).to_numpy().astype(np.int64), n) + within
+        size += len(key)
+        last = route[-1]
+        if size >= WINDOWS and route[0] != last:  # all but this batch's last route is complete
+            at = int(n[: int(np.flatnonzero(route != last)[-1]) + 1].sum())
+            held.append(tuple(x[:at] for x in own))
+            yield from found()
+            held, size = [], len(key) - at
+            own = tuple(x[at:] for x in own)
+        held.append(own)
+    if held:
+        yield from found()
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Maximal intervals, from intervals in order of document and start."""
     last: tuple[int, int, int] | None = None
@@ -157,17 +226,14 @@ def removals(documents: DataFrame) -> DataFrame:
     """doc, start, stop: the words [start, stop) of a document that repeat one with a smaller id, as maximal intervals."""
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where("doc is not null and text is not null")
-    counted = texts.mapInArrow(_routes, "route long, lo long, hi long").groupBy("route").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    routes = materialize(counted.where("lo < hi").select("route"), "routes")
+    counted = texts.mapInArrow(_routes, "route long, lo long, hi long").groupBy("route").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("rows"))
+    routes = materialize(counted.where("lo < hi").select("route", "rows"), "routes")
+    total = routes.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"]
+    common = spark.sparkContext.broadcast(np.array([r["route"] for r in routes.where(F.col("rows") * COMMON > total).collect()], np.int64).view(np.uint64))
     shared = spark.sparkContext.broadcast(bloom.of(routes, "route"))
-    found = materialize(texts.mapInArrow(_windows(shared), FOUND), "windows")
-    release(routes)
-    windows = found.where("key is not null")
-    least = windows.groupBy("key", "route").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").drop("hi")
-    spans = windows.join(least, ["key", "route"]).where("doc > lo").select("doc", "start", "stop").unionByName(found.where("key is null").select("doc", "start", "stop"))
-    out = materialize(spans.repartition("doc").sortWithinPartitions("doc", "start").mapInArrow(_merge, "doc long, start int, stop int"), "intervals")
-    release(found)
-    return out
+    runs = texts.mapInArrow(_windows(shared, common), RUNS).repartition("route").sortWithinPartitions("route")
+    spans = runs.mapInArrow(_compare, "doc long, start int, stop int")
+    return materialize(spans.repartition("doc").sortWithinPartitions("doc", "start").mapInArrow(_merge, "doc long, start int, stop int"), "intervals")
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
