@@ -16,7 +16,7 @@ toxic documents they newly explain - with their weights, and the logistic weight
 signs are word lists. Only the text goes into a score.
 
 Plan: the sample is written once. Beginnings are counted and compared between toxic and clean documents in Spark; the
-driver gets those that are in LEAST toxic documents of the sample. Scoring is one scan without a shuffle; a document
+driver gets those that LEAST words of toxic documents have of the sample. Scoring is one scan without a shuffle; a document
 without any of the chosen strings costs a few substring searches.
 
 Cases: null and empty texts, and texts without a match, get the score of no match. Long texts are read whole.
@@ -44,6 +44,8 @@ SAMPLE, TRAIN_BYTES = 16_000, 1 << 17
 COUNTED = 200_000
 #: Toxic documents of the sample that a beginning must be in, and those that it must newly explain.
 LEAST, GAIN = 5, 3
+#: A beginning must mark toxic documents so much that chance gives one in CHANCE such samples.
+CHANCE = 100
 #: A clean document weighs AGAINST a toxic one when a beginning is chosen; each toxic one is to be explained AGAIN times.
 AGAINST, AGAIN = 0.5, 3
 SHORTEST, LONGEST = 3, 12
@@ -175,13 +177,14 @@ class Grammar:
         low = text.lower()
         if not any(x in low for x in self.search):
             return None
-        total = [0.0] * len(FEATURES)
+        total, seen = [0.0] * len(FEATURES), set()
         for clause in CLAUSE.split(low):
             if any(x in clause for x in self.search):
-                self._clause(WORD.findall(clause), total)
+                self._clause(WORD.findall(clause), total, seen)
         return total if any(total) else None
 
-    def _clause(self, words: list[str], total: list[float]) -> None:
+    def _clause(self, words: list[str], total: list[float], seen: set[tuple[str, int]]) -> None:
+        """Adds what the arcs write; a word counts once in each sum, however often it is repeated."""
         read = [self.lexicon.read(w) for w in words]
         if not any(sign in (INSULT, THREAT) for sign, _ in read):
             return
@@ -190,10 +193,12 @@ class Grammar:
             behind[i] = _BEHIND[state][0]
             state = BACKWARD[state][read[i][0]]
         state, matched = 0, False
-        for (sign, weight), target in zip(read, behind, strict=True):
+        for word, (sign, weight), target in zip(words, read, behind, strict=True):
             for k, share in WRITES[state][target][sign]:
-                total[k] += share * weight
-                matched |= k != 5
+                if (word, k) not in seen:
+                    seen.add((word, k))
+                    total[k] += share * weight
+                    matched |= k != 5
             state = FORWARD[state][sign]
         total[6] += matched
 
@@ -205,17 +210,18 @@ class Grammar:
 # --- learning --------------------------------------------------------------------------------------------
 
 
-def _beginnings(text: str) -> set[str]:
-    out: set[str] = set()
+def _beginnings(text: str) -> Counter:
+    """The words of a text, and how many different words have each beginning; no more than AGAIN."""
+    out: Counter = Counter()
     for w in set(WORD.findall((text or "").lower())):
         if len(w) >= SHORTEST:
-            out.add(w + "$")
-            out.update(w[:n] for n in range(SHORTEST, min(LONGEST, len(w)) + 1))
+            for x in (w + "$", *(w[:k] for k in range(SHORTEST, min(LONGEST, len(w)) + 1))):
+                out[x] = min(AGAIN, out[x] + 1)
     return out
 
 
 def _counts(train: DataFrame, toxic: int, among: set[str] | None) -> DataFrame:
-    """x, n: in how many documents of the sample each beginning is; the partial counts of tasks are summed by Spark."""
+    """x, n: in how many words of documents of the sample each beginning is; the partial counts of tasks are summed by Spark."""
     known = train.sparkSession.sparkContext.broadcast(among)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +232,8 @@ def _counts(train: DataFrame, toxic: int, among: set[str] | None) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                seen.update(_beginnings(text) if known.value is None else _beginnings(text) & known.value)
+                own = _beginnings(text)
+                seen.update(own if known.value is None else {x: n for x, n in own.items() if x in known.value})
                 if len(seen) >= COUNTED:
                     yield counted()
                     seen = Counter()
@@ -235,36 +242,38 @@ def _counts(train: DataFrame, toxic: int, among: set[str] | None) -> DataFrame:
     return train.where(F.col("toxic") == toxic).select("text").mapInArrow(count, "x string, n long").groupBy("x").agg(F.sum("n").alias("n"))
 
 
-def _explained(train: DataFrame, among: set[str]) -> list[set[str]]:
-    """The candidates in each toxic document of the sample."""
+def _explained(train: DataFrame, among: set[str]) -> list[dict[str, int]]:
+    """In how many words of each toxic document of the sample the candidates are."""
     known = train.sparkSession.sparkContext.broadcast(among)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([sorted(_beginnings(t) & known.value) for t in batch.column(0).to_pylist()], pa.list_(pa.string()))], names=["xs"])
+            found = [sorted((x, n) for x, n in _beginnings(t).items() if x in known.value) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.map_(pa.string(), pa.int64()))], names=["xs"])
 
-    return [set(r["xs"]) for r in train.where("toxic = 1").select("text").mapInArrow(match, "xs array<string>").collect()]
+    return [r["xs"] for r in train.where("toxic = 1").select("text").mapInArrow(match, "xs map<string, long>").collect()]
 
 
-def choose_insults(toxic: dict[str, int], clean: dict[str, int], docs: list[set[str]], n_clean: int) -> dict[str, float]:
-    """Greedy cover: the beginning that explains most toxic documents anew, less the clean ones it is in; of equals the longest.
+def choose_insults(toxic: dict[str, int], clean: dict[str, int], docs: list[dict[str, int]], n_clean: int) -> dict[str, float]:
+    """Greedy cover: the beginning that explains most of the toxic documents anew, less its uses in clean ones; of equals the longest.
 
-    A document counts fully until it is explained and half until it is explained AGAIN times, so that insults
-    which mostly come together are all found.
+    A document is explained by AGAIN words, so that insults which mostly come together are all found; the first counts
+    fully and others half. A beginning that toxic documents have in many words is so told from one that is in as many clean
+    documents, but in one word.
     """
     left = [(d, 0) for d in docs if d]
     out: dict[str, float] = {}
     while left:
         gain: Counter = Counter()
         for d, times in left:
-            for x in d:
-                gain[x] += 0.5 if times else 1.0
+            for x, n in d.items():
+                gain[x] += 0.5 * min(n, AGAIN - times) + (0 if times else 0.5)
         net = {x: g - AGAINST * clean.get(x, 0) for x, g in gain.items() if x not in out}
         best = max(net, key=lambda x: (net[x], len(x.rstrip("$")), x.endswith("$"), x), default=None)
         if best is None or net[best] < GAIN:
             break
         out[best] = max(0.1, math.log((toxic[best] + 0.5) / (len(docs) + 1)) - math.log((clean.get(best, 0) + 0.5) / (n_clean + 1)))
-        left = [(d, times + (best in d)) for d, times in left if times + (best in d) < AGAIN]
+        left = [(d, times + d.get(best, 0)) for d, times in left if times + d.get(best, 0) < AGAIN]
     return out
 
 
@@ -307,9 +316,13 @@ def train(documents: DataFrame, labels: DataFrame) -> Grammar:
     if len(n) < 2:
         return Grammar()
     toxic = materialize(_counts(sample, 1, None).where(F.col("n") >= LEAST), "beginnings")
-    clean = _counts(sample, 0, {r["x"] for r in toxic.select("x").collect()}).select("x", F.col("n").alias("clean"))
+    among = {r["x"] for r in toxic.select("x").collect()}
+    clean = _counts(sample, 0, among).select("x", F.col("n").alias("clean"))
     both = toxic.join(clean, "x", "left").na.fill(0, ["clean"])
-    marks = both.where((F.col("n") - LEAST / 2) / n[1] > 3 * F.col("clean") / n[0]).collect()
+    # Log likelihood ratio of a beginning's documents: under 1 in CHANCE that any of all these would reach the bound by chance.
+    k, c, share = F.col("n"), F.col("clean"), n[1] / (n[0] + n[1])
+    ratio = k * F.log(k / ((k + c) * share)) + F.when(c > 0, c * F.log(c / ((k + c) * (1 - share)))).otherwise(0.0)
+    marks = both.where(k > share * (k + c)).where(ratio >= math.log(CHANCE * max(1, len(among)))).collect()
     insults = choose_insults({r["x"]: r["n"] for r in marks}, {r["x"]: r["clean"] for r in marks}, _explained(sample, {r["x"] for r in marks}), n[0])
     grammar = Grammar(insults or dict(SEEDS))
 
