@@ -76,9 +76,9 @@ PHRASES = re.compile(r"©|copyright|all rights reserved|cookies?\b|sign in|log i
 PRIOR = np.zeros(len(FEATURES) + 5)
 # What names itself a menu, advert or comment is none of the article, wherever it stands: no step between labels outweighs it.
 for _name, _value in {
-    "in_article": 2, "in_main": 1, "in_nav": -12, "in_header": -4, "in_footer": -12, "in_aside": -12, "in_form": -12, "in_button": -12, "in_dialog": -12, "in_head": -12,
+    "in_article": 2, "in_main": 1, "in_nav": -6, "in_header": -4, "in_footer": -6, "in_aside": -6, "in_form": -6, "in_button": -6, "in_dialog": -6, "in_head": -6,
     "in_p": 0.5, "in_blockquote": 0.5, "in_pre": 0.5, "header_in_article": 5, "links2": -2, "links1": -0.5, "stop": 0.5, "phrase": -1, "words0": -0.5, "words4": 0.5, "words5": 1,
-    "named_menu": -12, "named_head": -4, "named_foot": -12, "named_side": -12, "named_advert": -12, "named_notice": -12, "named_comment": -12, "named_form": -12, "named_share": -12, "named_hidden": -12, "named_body": 1.5,
+    "named_menu": -6, "named_head": -4, "named_foot": -6, "named_side": -6, "named_advert": -6, "named_notice": -6, "named_comment": -6, "named_form": -6, "named_share": -6, "named_hidden": -6, "named_body": 1.5,
 }.items():
     PRIOR[AT[_name]] = _value
 #: After the features: a bias, the first block's, and the steps other-article, article-other, article-article.
