@@ -14,8 +14,8 @@ full set: an item of m shingles that shares s of them shares one of any m - s +
 such item, for the least s that suffices, are the keys of one table. No such item can be missed.
 
 Plan: one scan of the documents with two columns and no shuffle. The items' signatures are broadcast
-in blocks of at most ITEM_BLOCK items and their size is known before; more items mean more blocks
-over the same scan, not a larger broadcast.
+in blocks of at most ITEM_BLOCK items and about ITEM_SHINGLES shingles; more items mean more blocks
+over the same scan, not a larger broadcast (a single longer item is a block of its own).
 
 Cases: null or empty texts, and texts without words, contain nothing and are contained in nothing.
 A text of fewer than five words is one shingle, its whole sequence. Repeated rows give repeated
@@ -43,8 +43,10 @@ LOAD = 1.0
 #: its bin with a chance of over 0.57 (full load, and a fifth of the item's own in the way): missed under 1 in 10**11.
 FEW = 40
 MAX_BITS = 40
-#: Items in one broadcast: with 100 shingles each, under 40 MB.
-ITEM_BLOCK = 20_000
+#: Items, and about shingles of items, in one broadcast: 4 MB, and as much again for each size partition that a worker meets.
+ITEM_BLOCK, ITEM_SHINGLES = 20_000, 1 << 19
+#: Items whose texts are on the driver at once, besides those of the partition that is being read.
+ITEM_PART = 1000
 SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -140,17 +142,19 @@ class ItemIndex:
 
 
 def _indexes(spark: SparkSession, items: DataFrame) -> Iterator[Broadcast]:
-    """An index for each ITEM_BLOCK of items (at least one); items without an id or without words are in none."""
-    rows, last = items.select("item_id", "text").toLocalIterator(), False
-    first = True
-    while not last:
-        block = list(islice(rows, ITEM_BLOCK))
-        last = len(block) < ITEM_BLOCK
-        if block or first:
-            sets = [s for _, s in shingle_sets(pa.array([r["text"] for r in block], pa.string()))]
-            kept = [(int(r["item_id"]), s) for r, s in zip(block, sets, strict=True) if len(s) and r["item_id"] is not None]
-            yield spark.sparkContext.broadcast(ItemIndex([i for i, _ in kept], [s for _, s in kept]))
-        first = False
+    """An index for each block of items (at least one); items without an id or without words are in none."""
+    rows = items.select("item_id", "text").toLocalIterator()
+    ids, sets, size, some = [], [], 0, False
+    while part := list(islice(rows, ITEM_PART)):
+        for i, own in shingle_sets(pa.array([r["text"] for r in part], pa.string())):
+            if len(own) and part[i]["item_id"] is not None:
+                ids.append(int(part[i]["item_id"])), sets.append(own)
+                size += len(own)
+            if size >= ITEM_SHINGLES or len(ids) >= ITEM_BLOCK:
+                yield spark.sparkContext.broadcast(ItemIndex(ids, sets))
+                ids, sets, size, some = [], [], 0, True
+    if ids or not some:
+        yield spark.sparkContext.broadcast(ItemIndex(ids, sets))
 
 
 def containments(documents: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:

@@ -331,7 +331,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     shapes = {}
     for r in nodes.groupBy("dim").count().collect():
         k = depth(r["count"], r["dim"])
-        shapes[r["dim"]] = k, tables(k, r["dim"], threshold)
+        shapes[r["dim"]] = k, tables(k, r["dim"], threshold) if r["count"] > 1 else TABLES
     if not shapes:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     plain = nodes.select("node", "dim", "v")

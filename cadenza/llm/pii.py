@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone", "iban", "local", "secret")
 BASE = 4
-_PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 #: How long an IBAN of each country is.
 IBAN_LENGTHS = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
@@ -36,7 +36,7 @@ IBAN_LENGTHS = {
     26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
     31: "MT SC", 32: "LC", 33: "RU",
 }
-_IBAN = "|".join(f"(?:{'|'.join(c.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
+IBAN = "|".join(f"(?:{'|'.join(c.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
 #: Different signs that a secret has at least.
 DISTINCT = 9
 PATTERNS = {
@@ -44,7 +44,7 @@ PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "iban": rf"(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:{IBAN})(?![A-Za-z0-9])",
     "local": r"(?<![A-Za-z0-9.+-])\(?[0-9]{2,4}\)?(?:[ /-]?[0-9]{2,4}){2,4}+(?![A-Za-z0-9.-]|[ /-][0-9])",
     "secret": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,128}+={0,2}+(?![A-Za-z0-9+/_=-])",
 }
@@ -94,7 +94,7 @@ def _valid(kind: str, hit: Column) -> Column:
     n = F.length(_digits(hit))
     return {
         "email": lambda: F.lit(True),
-        "ip": lambda: hit.rlike(rf"^{_PART}(?:\.{_PART}){{3}}$"),
+        "ip": lambda: hit.rlike(rf"^{PART}(?:\.{PART}){{3}}$"),
         "card": lambda: n.between(12, 19) & F.call_function("luhn_check", _digits(hit)),
         "phone": lambda: n.between(9, 15),
         "iban": lambda: F.length(F.regexp_replace(hit, " ", "")).between(15, 34) & _mod97(hit),

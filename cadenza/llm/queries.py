@@ -13,11 +13,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in every document: counts and places of the base kinds, and all places."""
+    """Personal data in every document: counts and places of the base kinds, all places, and how many these are."""
     out = pii.find_pii(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("pii", lambda s: s["k"] < pii.BASE)
     counts = [F.size(F.filter("pii", pii.is_kind(kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS[: pii.BASE]]
-    return out.select("doc_id", *counts, F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("pii")).alias("spans"))
+    return out.select("doc_id", *counts, F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("pii")).alias("spans"), F.size("pii").cast("long").alias("n_spans"))
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors linked at a cosine of 0.9 or more, whatever their labels."""
     out = embeddings.near_duplicates(_read(spark, sf_dir, "embeddings"), 0.9)
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,11 +140,46 @@ sound AS (
 links AS (SELECT a.r AS a, b.r AS b FROM sound a JOIN sound b ON a.dim = b.dim AND a.r <> b.r WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.9),
 {_components("links")},
 roots AS (SELECT v.r, least(v.vec_id, min(o.vec_id)) AS component_id FROM vectors v LEFT JOIN reach ON reach.a = v.r LEFT JOIN vectors o ON o.r = reach.b GROUP BY v.r, v.vec_id)
-SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.r) AS n_links, component_id, v.vec_id = component_id AS kept
+SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.r) AS n_links, component_id, coalesce(v.vec_id = component_id, false) AS kept
 FROM vectors v JOIN roots USING (r)
 """
 
 
+def _op1_sql() -> str:
+    """Matches in order and their places, from the lengths of the parts between them; checks and context as in ``pii``."""
+    letter = r"\p{L}"
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "card": "[0-9](?:[ -]?[0-9])+", "phone": r"\+[0-9][ ().0-9-]+[0-9]",
+        "iban": r"\b(?:" + pii.IBAN + r")\b", "local": r"\(?[0-9]{2,4}\)?(?:[ /-]?[0-9]{2,4}){2,4}", "secret": "[A-Za-z0-9+/_=-]{20,}",
+    }
+    matches = " UNION ALL ".join(f"SELECT r, t, '{kind}' AS kind, {k} AS k, string_split_regex(t, '{p}') AS parts, regexp_extract_all(t, '{p}') AS hits FROM docs" for k, (kind, p) in enumerate(patterns.items()))
+    context = {kind: f"regexp_matches(before, '(?i)(?:^|[^{letter}])(?:{pii.CONTEXT[kind]})(?:[^{letter}]|$)')" for kind in ("local", "secret")}
+    luhn = "list_sum(list_transform(range(1, length(d) + 1), lambda i: CASE WHEN (length(d) - i) % 2 = 1 THEN (d[i]::INT * 2) // 10 + (d[i]::INT * 2) % 10 ELSE d[i]::INT END)) % 10 = 0"
+    turned = "list_transform(range(1, length(b) + 1), lambda i: CASE WHEN b[i] BETWEEN '0' AND '9' THEN b[i] ELSE (ascii(b[i]) - 55)::VARCHAR END)"
+    counts = ", ".join(f"count(*) FILTER (kind = '{kind}')::BIGINT AS n_{kind}" for kind in pii.KINDS[: pii.BASE])
+    span = "kind || ':' || start || ':' || stop"
+    return rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+matches AS ({matches}),
+places AS (SELECT r, t, kind, k, hits[i] AS hit, list_sum(list_transform(parts[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1 : i - 1], lambda x: length(x))), 0) AS start
+  FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM matches)),
+found AS (SELECT *, (start + length(hit))::BIGINT AS stop, regexp_replace(hit, '[^0-9]', '', 'g') AS d, replace(hit, ' ', '')[5:] || hit[1:4] AS b,
+    substring(t, (greatest(0, start - {pii.CONTEXT_CHARS}) + 1)::BIGINT, (start - greatest(0, start - {pii.CONTEXT_CHARS}))::BIGINT) AS before FROM places),
+checked AS (SELECT * FROM found WHERE CASE kind
+  WHEN 'email' THEN true
+  WHEN 'ip' THEN regexp_full_match(hit, '{pii.PART}(?:\.{pii.PART}){{3}}')
+  WHEN 'card' THEN length(d) BETWEEN 12 AND 19 AND {luhn}
+  WHEN 'phone' THEN length(d) BETWEEN 9 AND 15
+  WHEN 'iban' THEN list_reduce(list_transform(string_split(array_to_string({turned}, ''), ''), lambda c: c::INT), lambda a, c: (a * 10 + c) % 97) = 1
+  WHEN 'local' THEN length(d) BETWEEN 7 AND 15 AND {context["local"]} AND NOT regexp_matches(before, '[A-Za-z0-9.+-]$') AND NOT regexp_matches(substring(t, stop + 1, 2), '^(?:[A-Za-z0-9.-]|[ /-][0-9])')
+  ELSE regexp_full_match(hit, '[A-Za-z0-9+/_-]{{20,128}}={{0,2}}') AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') AND len(list_distinct(string_split(hit, ''))) >= {pii.DISTINCT} AND {context["secret"]}
+END),
+kept AS (SELECT * FROM checked c WHERE kind <> 'local' OR NOT EXISTS (SELECT 1 FROM checked o WHERE o.r = c.r AND o.k < {pii.BASE} AND o.start < c.stop AND c.start < o.stop))
+SELECT doc_id, {counts}, sha256(coalesce(string_agg({span}, ',' ORDER BY start, k) FILTER (k < {pii.BASE}), '')) AS base_sha256, coalesce(string_agg({span}, ',' ORDER BY start, k), '') AS spans, count(kind)::BIGINT AS n_spans
+FROM docs LEFT JOIN kept USING (r) GROUP BY r, doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express; the others are tested against brute force in tests/llm."""
-    return {"op3_jaccard_join": OP3_SQL, "op5_substring_dedup": OP5_SQL, "op6_embedding_dedup": OP6_SQL, "op10_decontamination": OP10_SQL}
+    return {"op1_pii": _op1_sql(), "op3_jaccard_join": OP3_SQL, "op5_substring_dedup": OP5_SQL, "op6_embedding_dedup": OP6_SQL, "op10_decontamination": OP10_SQL}

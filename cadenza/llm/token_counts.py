@@ -403,8 +403,8 @@ class WordEncoder(_Cached):
         got = [np.array(e.ids, np.uint32) for e in self.plain.encode_batch_fast(texts, add_special_tokens=False)]
         ids = np.concatenate([np.zeros(0, np.uint32), *got])
         ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) != len(one) or len(ids) and ends[-1] != len(ids):
-            raise ValueError("the vocabulary's tokens don't tell where a word ends")
+        if len(ends) != len(one) or len(ids) and ends[-1] != len(ids):  # not with this vocabulary
+            one, rest, ids, ends = rest[:0], np.arange(len(words)), ids[:0], ends[:0]
         count = np.zeros(len(words), np.int64)
         count[one] = np.diff(ends, prepend=0)
         if len(rest):

@@ -39,7 +39,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
     if not _POWERS:
         _POWERS.extend(table(BLOCK + 1))
-    up, down = _POWERS if n <= BLOCK + 1 else table(n)
+    up, down = _POWERS if n <= len(_POWERS[0]) else table(n)
     return up[:n], down[:n]
 
 

@@ -69,6 +69,20 @@ def test_sketches_bound_the_difference(corpus):
             assert jaccard.apart(jaccard.sketch(x), jaccard.sketch(y)) <= len(np.setxor1d(x, y))
 
 
+def test_words_of_long_texts_do_not_depend_on_blocks(corpus, monkeypatch):
+    import pyarrow as pa
+
+    from cadenza.llm import words
+
+    texts = pa.array([t for _, t in corpus] + ["y" * 3000 + " z  " * 900, None, " "], pa.string())
+    want = [(i, s.tolist()) for i, s in words.shingle_sets(texts)]
+    assert [len(s) for _, s in want] == [len(shingles(t)) for t in texts.to_pylist()]
+    for block in (64, 1000):
+        monkeypatch.setattr(words, "BLOCK", block)
+        monkeypatch.setattr(words, "_POWERS", [])
+        assert [(i, s.tolist()) for i, s in words.shingle_sets(texts)] == want
+
+
 def test_components_of_chains_stars_and_loops(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 201), (201, 202), (202, 200), (7, 7)]
     u = Union()
@@ -95,6 +109,43 @@ def test_op5_matches_brute_force(spark, docs_dir, corpus):
     assert got == want and sum(v[1] for v in want.values()) > 500
 
 
+def test_bitmap_has_all_and_few_others(spark, monkeypatch):
+    from cadenza.llm import bloom
+
+    rng = np.random.default_rng(3)
+    own, others = (rng.integers(-(2**63), 2**63 - 1, 3000) for _ in range(2))
+    df = spark.createDataFrame([(int(x),) for x in own], "h long")
+    bitmap = bloom.of(df, "h")
+    assert bloom.within(bitmap, own).all() and bloom.within(bitmap, others).mean() < 0.1
+    monkeypatch.setattr(bloom, "MOST", 10)  # too small a bitmap lets more through, and still all of its own
+    assert bloom.within(bloom.of(df, "h"), own).all()
+    assert not bloom.within(bloom.of(df.where("false"), "h"), own).any()
+
+
+def test_intervals_merge_over_batches():
+    import pyarrow as pa
+
+    from cadenza.llm import substrings
+
+    rng = np.random.default_rng(6)
+    rows = sorted((int(d), int(a), int(a + n)) for d, a, n in zip(rng.integers(-3, 4, 200), rng.integers(0, 300, 200), rng.integers(1, 30, 200)))
+    want = {d: {w for e, a, b in rows if e == d for w in range(a, b)} for d, *_ in rows}
+    for size in (1, 7, 200):
+        parts = [rows[k : k + size] for k in range(0, 200, size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in p], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32()))], names=["doc", "start", "stop"]) for p in parts]
+        got = [tuple(r.values()) for b in substrings._merge(iter(batches)) for r in b.to_pylist()]
+        assert all(a[0] < b[0] or a[0] == b[0] and a[2] < b[1] for a, b in zip(got, got[1:]))
+        assert {d: {w for e, a, b in got if e == d for w in range(a, b)} for d in want} == want
+
+
+def test_op5_splits_common_routes(spark, docs_dir, monkeypatch, corpus):
+    from cadenza.llm import substrings
+
+    want = sorted(map(tuple, queries.op5_substring_dedup(spark, docs_dir).collect()), key=str)
+    monkeypatch.setattr(substrings, "COMMON", 10**9)  # every route
+    assert sorted(map(tuple, queries.op5_substring_dedup(spark, docs_dir).collect()), key=str) == want
+
+
 def test_op5_with_small_blocks(spark, docs_dir, monkeypatch):
     from cadenza.llm import substrings
 
@@ -163,7 +214,9 @@ def test_op1_added_kinds(spark, write):
         9: (f"key {secret * 4}", []),
     }
     d = write(spark, documents=([(i, t) for i, (t, _) in texts.items()], DOCS))
-    got = {r.doc_id: [x for x in r.spans.split(",") if x.split(":")[0] in ("iban", "secret")] for r in queries.op1_pii(spark, d).collect()}
+    rows = queries.op1_pii(spark, d).collect()
+    assert all(r.n_spans == sum(1 for x in r.spans.split(",") if x) for r in rows)
+    got = {r.doc_id: [x for x in r.spans.split(",") if x.split(":")[0] in ("iban", "secret")] for r in rows}
     assert got == {i: x for i, (_, x) in texts.items()}
 
 
@@ -401,6 +454,11 @@ def test_text_operators_equal_their_sql(spark, sf, write, corpus, name):
     equals_its_sql(spark, name, sf, write(spark, documents=(corpus + corpus[:3], DOCS)))
 
 
+def test_op1_equals_its_sql(spark, sf, write):
+    texts = ["call tel 030 1234567 now", "my token: " + "ab12cd34" * 4, "token = " + hashlib.sha1(b"y").hexdigest(), "DE89 3704 0044 0532 0130 00 BIC", "x@y.de,1.2.3.4 4111 1111 1111 1111 é +49 (30) 1234-567", None, ""]
+    equals_its_sql(spark, "op1_pii", sf, write(spark, documents=([*enumerate(texts), (None, texts[0]), (1, texts[1])], DOCS)))
+
+
 def test_op6_equals_its_sql(spark, sf):
     equals_its_sql(spark, "op6_embedding_dedup", sf)
 
