@@ -30,7 +30,6 @@ from collections.abc import Iterator
 from itertools import compress
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -41,8 +40,8 @@ from cadenza.llm.scratch import materialize
 from cadenza.llm.words import grams, mix, words_of
 
 WINDOW, PART = 50, 25
-#: Windows that are compared at once.
-WINDOWS = 1 << 20
+#: Windows that are compared at once, and texts that are words at once.
+WINDOWS, ROWS = 1 << 19, 500
 BYTES = 6
 #: A route is common if it has more than 1 / COMMON of all rows; there are fewer than COMMON of these.
 COMMON = 1000
@@ -237,7 +236,7 @@ def removals(documents: DataFrame) -> DataFrame:
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(at, ROWS) for b in batches for at in range(0, len(b), ROWS)):
         words, removed, kept = [], [], []
         for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             own = (text or "").encode().split()  # bytes are split at space and 0x09-0x0D, no others
@@ -259,13 +258,21 @@ def dedup_substrings(documents: DataFrame) -> DataFrame:
     gone = removals(documents)
     held = documents.sparkSession.sparkContext.broadcast(bloom.of(gone.select("doc").distinct().select(F.xxhash64("doc").alias("h")), "h"))
 
-    @F.pandas_udf("boolean")
-    def concerned(h: pd.Series) -> pd.Series:
-        return pd.Series(bloom.within(held.value, h.to_numpy(np.int64)))
+    def concerned(batch: pa.RecordBatch) -> np.ndarray:
+        return bloom.within(held.value, batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(concerned(batch))).select([0, 1])
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.filter(pa.array(~concerned(batch)))
+            yield from _keep(iter([pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.nulls(len(own))], names=["doc_id", "text", "spans"])]))
 
     spans = gone.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    may = concerned(F.xxhash64("doc_id"))
-    some = texts.where(may).join(spans, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "spans")
-    rest = texts.where(~may).select("doc_id", "text", F.lit(None).cast("array<struct<start:int,stop:int>>").alias("spans"))
-    return some.unionByName(rest).mapInArrow(_keep, "doc_id long, n_words long, n_removed long, kept_text string")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.withColumn("h", F.xxhash64("doc_id"))
+    out = "doc_id long, n_words long, n_removed long, kept_text string"
+    joined = rows.mapInArrow(some, "doc_id long, text string").join(spans, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "spans")
+    return joined.mapInArrow(_keep, out).unionByName(rows.mapInArrow(rest, out))
