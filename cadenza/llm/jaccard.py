@@ -372,10 +372,14 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     known = materialize(classes(documents), "classes")
     gone = known.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
     again = known.where("n > 0 and doc_id = component_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id"))
+    unnamed = known.where("doc_id is null")
+    if again.isEmpty() and unnamed.isEmpty():
+        return documents.join(gone, documents["doc_id"].cast("long") == gone["_id"], "left_anti")
     # The row is kept apart, so that no column of it clashes with one made here.
     rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"))
     kept = rows.where("_id is not null").join(gone, "_id", "left_anti")
     once = kept.join(again, "_id", "left_anti").select("_row")
+
     @F.pandas_udf("n long, s1 long, s2 long")
     def key(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([_key(s) for _, s in shingle_sets(pa.array(texts, pa.string(), from_pandas=True))], columns=["n", "s1", "s2"], dtype="int64")

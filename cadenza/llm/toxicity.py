@@ -41,7 +41,7 @@ from cadenza.llm.scratch import materialize
 
 SAMPLE, TRAIN_BYTES = 16_000, 1 << 17
 #: Beginnings that a task counts before it hands the counts on.
-COUNTED = 200_000
+COUNTED = 50_000
 #: Toxic documents of the sample that a beginning must be in, and those that it must newly explain.
 LEAST, GAIN = 5, 3
 #: A beginning must mark toxic documents so much that chance gives one in CHANCE such samples.
