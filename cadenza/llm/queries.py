@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontaminate, embeddings, html_text, jaccard, packing, pii, shards, substrings, token_counts, toxicity
+from cadenza.llm import decontaminate, embeddings, html_text, jaccard, packing, pii, ranked_search, shards, substrings, token_counts, toxicity, warc, whitening
+from cadenza.llm.scratch import new_path
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -78,6 +79,25 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.containments(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), 0.8)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record of archives that are written and read back; pages with equal payloads revisit the last of them."""
+    path = new_path(spark, "archives")
+    warc.write_pages(_read(spark, sf_dir, "pages"), path, least=0)
+    records = warc.read_records(spark, path, payloads=False)
+    columns = [warc.page_of(F.col("record_id")).alias("page_id"), F.col("payload_length").alias("payload_bytes"), "payload_digest", "record_type"]
+    return records.select(*columns, warc.page_of(F.col("refers_to")).alias("refers_to"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents of highest lexical score for every benchmark item."""
+    return ranked_search.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), 50)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first 16 components of all different vectors, at unit deviation."""
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"), 16)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline over documents."""
     import corpus_pipeline
@@ -86,7 +106,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    ops = (op1_pii, op2_sharding, op3_jaccard_join, op4_packing, op5_substring_dedup, op6_embedding_dedup, op7_html_text, op8_toxicity, op9_token_counts, op10_decontamination, pipeline)
+    ops = (op1_pii, op2_sharding, op3_jaccard_join, op4_packing, op5_substring_dedup, op6_embedding_dedup, op7_html_text, op8_toxicity, op9_token_counts, op10_decontamination, op11_warc, op12_ranked_search, op13_whitening, pipeline)
     return {f.__name__: f for f in ops}
 
 
@@ -145,6 +165,30 @@ FROM vectors v JOIN roots USING (r)
 """
 
 
+_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(code, {5 * k + 1}, 5))::BIGINT >> {s}) & 31)::BIGINT, 1)" for k in range(8) for s in (15, 10, 5, 0))
+
+OP11_SQL = f"""
+WITH pages AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS code FROM pages),
+groups AS (SELECT *, max(page_id) OVER (PARTITION BY code) AS last FROM pages)
+SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM groups
+"""
+
+OP12_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents WHERE text IS NOT NULL),
+items AS (SELECT row_number() OVER () AS q, item_id, list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark WHERE text IS NOT NULL),
+asked AS (SELECT q, item_id, unnest(t) AS term FROM items),
+sums AS (SELECT count(*) FILTER (len(t) > 0) AS n, sum(len(t))::BIGINT AS l FROM docs),
+held AS (SELECT r, doc_id, size, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS size, unnest(t) AS term FROM docs) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM held GROUP BY 1),
+parts AS (SELECT r, doc_id, h.term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)))::BIGINT * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * size * n) // l))) AS part FROM held h JOIN df USING (term), sums),
+scores AS (SELECT q, item_id, r, doc_id, sum(part)::BIGINT AS score FROM asked JOIN parts USING (term) GROUP BY ALL HAVING sum(part) > 0),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score FROM scores)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
 def _op1_sql() -> str:
     """Matches in order and their places, from the lengths of the parts between them; checks and context as in ``pii``."""
     letter = r"\p{L}"
@@ -182,4 +226,4 @@ FROM docs LEFT JOIN kept USING (r) GROUP BY r, doc_id
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express; the others are tested against brute force in tests/llm."""
-    return {"op1_pii": _op1_sql(), "op3_jaccard_join": OP3_SQL, "op5_substring_dedup": OP5_SQL, "op6_embedding_dedup": OP6_SQL, "op10_decontamination": OP10_SQL}
+    return {"op1_pii": _op1_sql(), "op3_jaccard_join": OP3_SQL, "op5_substring_dedup": OP5_SQL, "op6_embedding_dedup": OP6_SQL, "op10_decontamination": OP10_SQL, "op11_warc": OP11_SQL, "op12_ranked_search": OP12_SQL}

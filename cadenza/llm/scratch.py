@@ -23,16 +23,22 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str = "step") -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there goes when the driver ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
+    return path
+
+
+def materialize(df: DataFrame, name: str = "step", by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder (a folder for each value of the columns ``by``) and read it back.
 
     The copy survives the loss of any executor, and what reads it has no lineage
     behind it. The files go with ``release``, or when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _WRITTEN.append((spark, path))
+    path = new_path(spark, name)
+    df.write.partitionBy(*by).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.__dict__["_written"] = path
     return out

@@ -14,7 +14,6 @@ import pyarrow as pa
 
 SHINGLE = 5
 _RNG = np.random.default_rng(20240229)
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
 _SPACE = np.zeros(256, dtype=bool)
@@ -24,6 +23,8 @@ _LOWER[65:91] += 32
 _POWERS: list[np.ndarray] = []
 #: Bytes of text hashed in one go; longer texts are hashed in parts of whole words.
 BLOCK = 1 << 18
+#: A factor for each place in a word, as many as places that most words have.
+PLACES = 1 << 12
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -52,6 +53,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def factors(n: int) -> np.ndarray:
+    """A pseudo-random factor for each of n places. Unlike powers of a base, they are no function of each other, so that no texts collide by their form."""
+    return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x2545F4914F6CDD1D))
+
+
+_FACTORS = factors(PLACES)
+
+
 @dataclass
 class Words:
     """The words of texts ``first`` .. ``first + len(bounds) - 2`` of a batch: text i has bounds[i] .. bounds[i + 1] of ``hashes``."""
@@ -126,10 +135,18 @@ def _words(buf: np.ndarray, edge: np.ndarray, lower: bool) -> tuple[np.ndarray,
     stop = word
     stop[:-1] &= ~word[1:] | cut[1:n]
     starts, ends = np.flatnonzero(begin), np.flatnonzero(stop) + 1
-    up, down = _powers(n + 1)
+    # The sum of (byte + 1) * factor of its place in the word: universal hashing by random factors.
+    size = ends - starts
+    longest = int(size.max(initial=0))
+    factor = _FACTORS if longest <= PLACES else factors(longest)
+    place = np.ones(n, np.int32)
+    place[:1] = 0
+    place[starts] -= np.diff(starts, prepend=0).astype(np.int32)
+    np.cumsum(place, out=place)  # the distance to where the last word began
+    np.minimum(place, len(factor) - 1, out=place)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[buf] * up[:n], out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * down[starts])
+    np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * factor[place], out=total[1:])
+    hashes = mix(total[ends] - total[starts] + size.astype(np.uint64) * np.uint64(_BASE))
     return np.searchsorted(starts, edge), hashes
 
 
