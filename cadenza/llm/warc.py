@@ -3,7 +3,7 @@
 ``write_pages`` makes records of pages: pages with equal payloads are one response and revisits of it. Each task
 writes its archives below ``_temporary`` under names of its own; at the end of the job the archives of the attempts that
 succeeded are moved into place, so that retries and lost executors leave no record twice. Each
-archive has a dictionary trained on its own first records, and is closed at ARCHIVE_BYTES.
+archive has a dictionary trained on its own first records, and is closed at a bound of bytes.
 
 ``read_records`` reads archives of any writer, one archive a task, a frame at a time: it loads the dictionary, decodes one frame a
 record, and checks version, required headers, Content-Length, the end of the record, and block and payload digests. What fails a
@@ -95,15 +95,14 @@ def trained(sample: list[bytes]) -> bytes:
 class Archive:
     """One archive under way: the first records are held back until the dictionary is made."""
 
-    def __init__(self, out) -> None:
-        self.out, self.held, self.size, self.records, self.context = out, [], 0, 0, None
+    def __init__(self, out, sample: int = SAMPLE_BYTES) -> None:
+        self.out, self.sample, self.held, self.size, self.context = out, sample, [], 0, None
 
     def add(self, record: bytes) -> None:
-        self.records += 1
         if self.context is None:
             self.held.append(record)
             self.size += len(record)
-            if self.size >= SAMPLE_BYTES:
+            if self.size >= self.sample:
                 self._begin()
         else:
             self._frame(record)
@@ -138,8 +137,8 @@ class _Archives(WriterCommitMessage):
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, date: str) -> None:
-        self.path, self.date, self.job = path.rstrip("/"), date, uuid.uuid4().hex
+    def __init__(self, path: str, date: str, most: int) -> None:
+        self.path, self.date, self.most, self.job = path.rstrip("/"), date, most, uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         system, at = store(self.path)
@@ -150,9 +149,9 @@ class _Writer(DataSourceArrowWriter):
             for k in range(len(batch)):
                 if archive is None:
                     names.append(f"{uuid.uuid4().hex}.warc.zst")
-                    archive = Archive(system.open_output_stream(f"{at}/_temporary/{self.job}/{names[-1]}"))
+                    archive = Archive(system.open_output_stream(f"{at}/_temporary/{self.job}/{names[-1]}"), min(SAMPLE_BYTES, self.most))
                 archive.add(record_bytes(*(c[k].as_py() for c in columns), self.date))
-                if archive.context is not None and archive.size >= ARCHIVE_BYTES:
+                if archive.context is not None and archive.size >= self.most:
                     archive.close()
                     archive = None
         if archive is not None:
@@ -315,7 +314,7 @@ class _Reader(DataSourceReader):
 
 
 class WarcZst(DataSource):
-    """``spark.read.format("warc_zst")`` and ``df.write.format("warc_zst")``. Options: path, keep_bad, payloads, date."""
+    """``spark.read.format("warc_zst")`` and ``df.write.format("warc_zst")``. Options: path, keep_bad, payloads, date, archive_bytes."""
 
     @classmethod
     def name(cls) -> str:
@@ -331,7 +330,7 @@ class WarcZst(DataSource):
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
         if overwrite:
             raise ValueError("archives are only added")
-        return _Writer(self.options["path"], self.options.get("date", "1970-01-01T00:00:00Z"))
+        return _Writer(self.options["path"], self.options.get("date", "1970-01-01T00:00:00Z"), int(self.options.get("archive_bytes", ARCHIVE_BYTES)))
 
 
 # --- pages ---------------------------------------------------------------------------------------------------------
@@ -365,10 +364,10 @@ def with_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
     return joined.select("page_id", "target_uri", "payload", "payload_digest", kind.alias("record_type"), target.alias("refers_to"))
 
 
-def write_pages(pages: DataFrame, path: str, least: int = 0, date: str = "1970-01-01T00:00:00Z") -> None:
-    """Archives of all pages below ``path``; of pages with equal payloads of at least ``least`` bytes the one with the largest page_id is the response."""
+def write_pages(pages: DataFrame, path: str, least: int = 0, date: str = "1970-01-01T00:00:00Z", archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Archives (of ``archive_bytes`` and one record more at most) of all pages below ``path``; of pages with equal payloads of at least ``least`` bytes the one with the largest page_id is the response."""
     pages.sparkSession.dataSource.register(WarcZst)
-    with_revisits(pages, least).write.format("warc_zst").option("date", date).mode("append").save(path)
+    with_revisits(pages, least).write.format("warc_zst").option("date", date).option("archive_bytes", archive_bytes).mode("append").save(path)
 
 
 def read_records(spark: SparkSession, path: str, keep_bad: bool = False, payloads: bool = True) -> DataFrame:
