@@ -149,7 +149,7 @@ class _Writer(DataSourceArrowWriter):
             for k in range(len(batch)):
                 if archive is None:
                     names.append(f"{uuid.uuid4().hex}.warc.zst")
-                    archive = Archive(system.open_output_stream(f"{at}/_temporary/{self.job}/{names[-1]}"), min(SAMPLE_BYTES, self.most))
+                    archive = Archive(system.open_output_stream(f"{at}/_temporary/{self.job}/{names[-1]}", compression=None), min(SAMPLE_BYTES, self.most))
                 archive.add(record_bytes(*(c[k].as_py() for c in columns), self.date))
                 if archive.context is not None and archive.size >= self.most:
                     archive.close()
@@ -296,7 +296,7 @@ class _Reader(DataSourceReader):
         schema = pa.schema([(n, kinds.get(n, pa.string())) for n in names])
         system, at = store(partition.path)
         rows, size = [], 0
-        with system.open_input_stream(at) as source:
+        with system.open_input_stream(at, compression=None) as source:
             for number, record in enumerate(frames(source)):
                 try:
                     row = parsed(record)
