@@ -1,7 +1,6 @@
-"""Writers: feature tables as CSV in the public column orders and formats, and NPY exports.
+"""Writers: feature tables as CSV in the public column orders and number formats, and NPY exports.
 
-Tables are written as Spark writes them (a folder of parts, in time order across and within parts);
-``one_file`` asks for a single part, for tables that are known to be small.
+Each table is one file in order, written by many tasks (``ordered.py``); with ``parts`` it is a folder of numbered files.
 """
 
 from __future__ import annotations
@@ -15,27 +14,22 @@ from pyspark.sql import functions as F
 from cadenza.functions.text import fixed
 from cadenza.operators.audio import wide
 from cadenza.operators.saliency import ORDER
+from cadenza.sources.ordered import write_ordered
 
 PLACES = {"rms": 6, "energy": 6, "pitch_hz": 2, "spectral_centroid": 2, "spectral_rolloff": 2, "spectral_bandwidth": 2, "spectral_flatness": 6, "zero_crossing_rate": 6}
 LEVELS, SPECTRAL = ["rms", "energy"], ["spectral_centroid", "spectral_rolloff", "spectral_bandwidth", "spectral_flatness", "zero_crossing_rate"]
 
 
-def as_text(table: DataFrame) -> DataFrame:
-    """time_sec with 4 decimals and each metric with its own; missing frames are empty."""
+def places_of(columns: list[str]) -> dict[str, int]:
+    """time_sec with 4 decimals and each metric, of a channel or alone, with its own."""
     metric = lambda c: c.split("_", 1)[1] if c.startswith("chan") else c
-    return table.select(*(fixed(4 if c == "time_sec" else PLACES[metric(c)])(F.col(c)).alias(c) if c == "time_sec" or metric(c) in PLACES else F.col(c) for c in table.columns))
+    return {c: 4 if c == "time_sec" else PLACES[metric(c)] for c in columns if c == "time_sec" or metric(c) in PLACES}
 
 
-def write_csv(table: DataFrame, path: str, order: list[str], one_file: bool = False) -> None:
-    table = table.coalesce(1).sortWithinPartitions(*order) if one_file else table.orderBy(*order)
-    table.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
-
-
-def write_channels(rows: DataFrame, channels: list, metrics: list[str], path: str, one_file: bool = False) -> None:
+def write_channels(rows: DataFrame, channels: list, metrics: list[str], path: str, parts: bool = False) -> None:
     """The wide table of frames (time_sec, channel, metrics): RMS and spectral tables."""
     table = wide(rows, "time_sec", "channel", channels, metrics)
-    ordered = table.coalesce(1).sortWithinPartitions("time_sec") if one_file else table.orderBy("time_sec")
-    as_text(ordered).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    write_ordered(table, path, ["time_sec"], places=places_of(table.columns), parts=parts)
 
 
 def pitch_table(rows: DataFrame, channels: list) -> DataFrame:
@@ -47,22 +41,25 @@ def pitch_table(rows: DataFrame, channels: list) -> DataFrame:
     return table.select("idx", fixed(4)(F.col("time_sec")).alias("time_sec"), *texts)
 
 
-def write_emotions(rows: DataFrame, path: str, one_file: bool = False) -> None:
-    """Chunks with the probabilities as a list in one cell, with a blank after each comma."""
-    write_csv(rows.select("chunk_index", "start_sec", "end_sec", "predicted_emotion", F.concat(F.lit("["), F.array_join(F.col("emotion_probs").cast("array<string>"), ", "), F.lit("]")).alias("emotion_probs")), path, ["chunk_index"], one_file)
+def write_pitch(rows: DataFrame, channels: list, path: str, parts: bool = False) -> None:
+    """The pitch table of all channels, by the rows' numbers."""
+    table = pitch_table(rows, channels)
+    write_ordered(table, path, ["idx"], table.columns[1:], parts=parts)
+
+
+def write_emotions(rows: DataFrame, path: str, parts: bool = False) -> None:
+    """Chunks with the probabilities as a list in one cell."""
+    write_ordered(rows, path, ["chunk_index"], ["chunk_index", "start_sec", "end_sec", "predicted_emotion", "emotion_probs"], parts=parts)
 
 
-def write_words(words: DataFrame, path: str, one_file: bool = False) -> None:
-    """Words (n, time_sec, word) in their order: the time with 4 decimals, and the word."""
-    table = words.coalesce(1).sortWithinPartitions("n") if one_file else words.orderBy("n")
-    as_text(table.select("time_sec", "word")).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def write_words(words: DataFrame, path: str, parts: bool = False) -> None:
+    """Words (n, time_sec, word) in their order: the time with 4 decimals, and the word; lines end in CR and LF."""
+    write_ordered(words, path, ["n"], ["time_sec", "word"], {"time_sec": 4}, "\r\n", parts)
 
 
-def write_gaze(table: DataFrame, path: str, one_file: bool = False) -> None:
+def write_gaze(table: DataFrame, path: str, parts: bool = False) -> None:
     """The feature table of frames in its column order, flags as True and False."""
-    kinds = dict(table.dtypes)
-    order = [*ORDER, *(c for c in table.columns if c.endswith("_smooth") and c not in ORDER)]
-    write_csv(table.select(*(F.initcap(F.col(c).cast("string")).alias(c) if kinds[c] == "boolean" else F.col(c) for c in order)), path, ["frame_idx"], one_file)
+    write_ordered(table, path, ["frame_idx"], [*ORDER, *(c for c in table.columns if c.endswith("_smooth") and c not in ORDER)], parts=parts)
 
 
 def npy_bytes(samples: DataFrame, key: list[str], order: str, value: str) -> DataFrame:

@@ -130,8 +130,8 @@ def test_wav_to_levels_and_csv(spark, tmp_path):
     assert len(got) == 6
     for (c, k), v in got.items():
         assert v == pytest.approx(np.sqrt((((x[k * 400 : k * 400 + 400, c]) / 32768) ** 2).mean()))
-    sinks.write_channels(rows, [0, 1], sinks.LEVELS, str(tmp_path / "out"), one_file=True)
-    lines = sorted(p for p in (tmp_path / "out").glob("part-*"))[0].read_text().splitlines()
+    sinks.write_channels(rows, [0, 1], sinks.LEVELS, str(tmp_path / "out"))
+    lines = (tmp_path / "out").read_text().splitlines()
     assert lines[0] == "time_sec,chan1_rms,chan1_energy,chan2_rms,chan2_energy"
     assert lines[1].startswith("0.0000,") and len(lines) == 4
 
@@ -204,34 +204,6 @@ def test_quantile_with_an_outlier(spark):
         assert S.quantile(df, ["k"], "x", q).first().q == pytest.approx(np.quantile(x, q))
 
 
-def text_of(path):
-    return sorted(path.glob("part-*"))[0].read_bytes().decode().splitlines()
-
-
-def test_words_emotions_and_gaze_as_text(spark, tmp_path):
-    words = spark.createDataFrame([(1, 12.4, "d'or"), (0, 0.2, "a, b")], "n long, time_sec double, word string")
-    sinks.write_words(words, str(tmp_path / "w"), one_file=True)
-    assert text_of(tmp_path / "w") == ["time_sec,word", '0.2000,"a, b"', "12.4000,d'or"]
-    rows = spark.createDataFrame([(1, 5.0, 10.0, "neutral", [0.7422272562980652, 0.25]), (0, 0.0, 5.0, "sad", [0.125, 0.875])], "chunk_index long, start_sec double, end_sec double, predicted_emotion string, emotion_probs array<double>")
-    sinks.write_emotions(rows, str(tmp_path / "e"), one_file=True)
-    assert text_of(tmp_path / "e") == ["chunk_index,start_sec,end_sec,predicted_emotion,emotion_probs", '0,0.0,5.0,sad,"[0.125, 0.875]"', '1,5.0,10.0,neutral,"[0.7422272562980652, 0.25]"']
-    back = sources.emotion_csv(spark, str(tmp_path / "e")).orderBy("chunk_index").collect()
-    assert back[1].emotion_probs == [0.7422272562980652, 0.25] and [r.end_sec for r in back] == [5.0, 10.0]
-    names = [*saliency.ORDER, *(f"{c}_smooth" for c in saliency.SMOOTHED if f"{c}_smooth" not in saliency.ORDER)]
-    gaze = spark.createDataFrame([tuple(c == "is_high_motion" if c.startswith("is_") else 0.5 for c in names)], ", ".join(f"{c} {'boolean' if c.startswith('is_') else 'double'}" for c in names))
-    sinks.write_gaze(gaze.select(*sorted(names)), str(tmp_path / "g"), one_file=True)
-    lines = text_of(tmp_path / "g")
-    assert lines[0].split(",")[:20] == saliency.ORDER and lines[1].split(",")[17:20] == ["True", "False", "False"] and len(lines[0].split(",")) == 25
-
-
-def test_spectral_columns_as_text(spark, tmp_path):
-    rows = spark.createDataFrame([(0, 0.0, 100.126, 1.0, 2.0, 0.1234567, 0.5), (1, 0.0, 1.0, 1.0, 2.0, 0.0, 0.25)], "channel int, time_sec double, " + ", ".join(f"{c} double" for c in sinks.SPECTRAL))
-    sinks.write_channels(rows, [0, 1], sinks.SPECTRAL, str(tmp_path / "s"), one_file=True)
-    lines = text_of(tmp_path / "s")
-    assert lines[0] == "time_sec," + ",".join(f"chan{k}_{c}" for k in (1, 2) for c in sinks.SPECTRAL)
-    assert lines[1] == "0.0000,100.13,1.00,2.00,0.123457,0.500000,1.00,1.00,2.00,0.000000,0.250000"
-
-
 def test_video_frames_and_manifest(spark):
     content = spark.createDataFrame([("a.mp4", bytearray(b"x"))], "path string, content binary")
     decode = lambda data: (np.full((4, 6, 3), 10 * k) for k in range(70))
