@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.text import fixed
 from cadenza.operators.audio import wide
-from cadenza.operators.saliency import ORDER
+from cadenza.operators.saliency import ORDER, SMOOTHED
 from cadenza.sources.ordered import write_ordered
 
 PLACES = {"rms": 6, "energy": 6, "pitch_hz": 2, "spectral_centroid": 2, "spectral_rolloff": 2, "spectral_bandwidth": 2, "spectral_flatness": 6, "zero_crossing_rate": 6}
@@ -59,7 +59,7 @@ def write_words(words: DataFrame, path: str, parts: bool = False) -> None:
 
 def write_gaze(table: DataFrame, path: str, parts: bool = False) -> None:
     """The feature table of frames in its column order, flags as True and False."""
-    write_ordered(table, path, ["frame_idx"], [*ORDER, *(c for c in table.columns if c.endswith("_smooth") and c not in ORDER)], parts=parts)
+    write_ordered(table, path, ["frame_idx"], [*ORDER, *(c for c in (f"{m}_smooth" for m in SMOOTHED) if c not in ORDER and c in table.columns)], parts=parts)
 
 
 def npy_bytes(samples: DataFrame, key: list[str], order: str, value: str) -> DataFrame:
