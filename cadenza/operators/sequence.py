@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.operators.selection import broadcast_few, quantiles
+
 BLOCK = 20_000
 
 
@@ -68,37 +70,22 @@ def shift_rate(df: DataFrame, key: list[str], n: str, x: str, y: str, name: str)
     return moved.withColumn(name, F.sqrt(F.col("_dx") * F.col("_dx") + F.col("_dy") * F.col("_dy"))).drop("_dx", "_dy")
 
 
-def quantile(df: DataFrame, key: list[str], column: str, q: float, lanes: int = 64, name: str = "q") -> DataFrame:
-    """key, name: the exact quantile (linear interpolation) of each key.
-
-    Equal values are counted together, values are cut into lanes that hold about equally many of the different ones (by
-    approximate percentiles, whose error changes the lanes' sizes only), and only the lanes that hold the two ranks in
-    question are sorted. Null values are left out.
-    """
-    values = df.where(F.col(column).isNotNull()).groupBy(*key, F.col(column).alias("_v")).agg(F.count("*").alias("_c"))
-    cuts = F.percentile_approx("_v", [k / lanes for k in range(1, lanes)], 100 * lanes)
-    bounds = values.groupBy(*key).agg(cuts.alias("_cuts"), F.sum("_c").alias("_n"))
-    lane = F.size(F.filter("_cuts", lambda c: c <= F.col("_v")))
-    placed = same_key(values, bounds, key).withColumn("_lane", lane).withColumn("_at", (F.col("_n") - 1) * F.lit(q)).drop("_cuts")
-    counts = placed.groupBy(*key, "_lane").agg(F.sum("_c").alias("_rows"))
-    before = counts.withColumn("_before", F.sum("_rows").over(Window.partitionBy(*key).orderBy("_lane")) - F.col("_rows"))
-    near = same_key(placed, before, [*key, "_lane"]).where("_before + _rows > floor(_at) and _before <= floor(_at) + 1")
-    upto = near.withColumn("_upto", F.col("_before") + F.sum("_c").over(Window.partitionBy(*key, "_lane").orderBy("_v")))
-    low = F.min(F.when(F.col("_upto") > F.floor("_at"), F.col("_v"))).alias("_low")
-    high = F.min(F.when(F.col("_upto") > F.least(F.floor("_at") + 1, F.col("_n") - 1), F.col("_v"))).alias("_high")
-    found = upto.groupBy(*key).agg(low, high, F.first("_at").alias("_at"))
-    return found.select(*key, (F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_at") - F.floor("_at"))).alias(name))
+def quantile(df: DataFrame, key: list[str], column: str, q: float, name: str = "q") -> DataFrame:
+    """key, name: the exact quantile (linear interpolation) of each key, by radix selection. Null and NaN values are left out."""
+    return quantiles(df, key, column, {name: q})
 
 
 def over_quantile(df: DataFrame, key: list[str], flags: dict[str, str], q: float = 0.75) -> DataFrame:
-    """flag name -> column: whether the value is strictly over its key's quantile.
+    """flag name -> column: whether the value is strictly over its key's quantile; NaN never is.
 
-    All columns' quantiles come from one pass over their values. The rows are read twice, for the quantiles and for the
+    All columns' quantiles come from one selection over their values. The rows are read twice, for the quantiles and for the
     flags; whoever finds them dear to make writes them first.
     """
-    values = df.select(*key, F.explode(F.array(*(F.struct(F.lit(f).alias("_flag"), F.col(c).cast("double").alias("_value")) for f, c in flags.items()))).alias("_s")).select(*key, "_s.*")
-    found = quantile(values, [*key, "_flag"], "_value", q, name="_q").groupBy(*key).agg(*(F.max(F.when(F.col("_flag") == f, F.col("_q"))).alias(f"_q_{f}") for f in flags))
-    return same_key(df, found, key, "left").withColumns({f: F.col(c) > F.col(f"_q_{f}") for f, c in flags.items()}).drop(*(f"_q_{f}" for f in flags))
+    each = F.array(*(F.struct(F.lit(f).alias("_flag"), F.col(c).cast("double").alias("_value")) for f, c in flags.items()))
+    values = df.select(*key, F.explode(each).alias("_s")).select(*key, "_s.*")
+    rows = quantiles(values, [*key, "_flag"], "_value", {"_q": q})
+    found = broadcast_few(rows.groupBy(*key).agg(*(F.max(F.when(F.col("_flag") == f, F.col("_q"))).alias(f"_q_{f}") for f in flags)))
+    return same_key(df, found, key, "left").withColumns({f: (F.col(c) > F.col(f"_q_{f}")) & ~F.isnan(F.col(c).cast("double")) for f, c in flags.items()}).drop(*(f"_q_{f}" for f in flags))
 
 
 def run_dedup(words: DataFrame, key: list[str], n: str, column: str) -> DataFrame:

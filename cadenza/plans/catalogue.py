@@ -13,6 +13,7 @@ from cadenza.functions import arrays as A
 from cadenza.functions import text as X
 from cadenza.operators import audio, media, models, saliency, transcript
 from cadenza.operators import sequence as S
+from cadenza.operators.selection import quantiles
 
 RATE, FRAME, CHUNK, HALO = 16000, 100, 80, 10
 QUERIES: dict = {}
@@ -146,8 +147,7 @@ def q_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_type, round(quantile_cont(value, 0.75), 6) AS q75, round(quantile_cont(value, 0.1), 6) AS q10 FROM events GROUP BY 1")
 def q_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "events")
-    high, low = S.quantile(rows, ["event_type"], "value", 0.75, name="q75"), S.quantile(rows, ["event_type"], "value", 0.1, name="q10")
-    return high.join(low, "event_type").select("event_type", r("q75").alias("q75"), r("q10").alias("q10"))
+    return quantiles(rows, ["event_type"], "value", {"q75": 0.75, "q10": 0.1}).select("event_type", r("q75").alias("q75"), r("q10").alias("q10"))
 
 
 @query("SELECT event_type, round(stddev_pop(value), 6) AS deviation FROM events GROUP BY 1")
