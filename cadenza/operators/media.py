@@ -29,10 +29,9 @@ def probed(streams: DataFrame) -> DataFrame:
     return streams.withColumn("duration_sec", whole_seconds(F.col("duration")))
 
 
-def stream_counts(streams: DataFrame, paths: DataFrame) -> DataFrame:
-    """path, streams: audio streams of each path, 0 where there are none."""
-    counts = streams.groupBy("path").agg(F.count("*").alias("streams"))
-    return paths.select("path").distinct().join(counts, "path", "left").fillna(0, ["streams"])
+def stream_counts(paths: DataFrame, counts: DataFrame, on: str = "path") -> DataFrame:
+    """path, streams: for each path the counts (``on``, streams) of what it is made of, 0 where there are none. Streams are counted before they meet the paths."""
+    return paths.select("path", F.col(on).alias("_on")).join(counts.select(F.col(on).alias("_on"), "streams"), "_on", "left").groupBy("path").agg(F.coalesce(F.sum("streams"), F.lit(0)).alias("streams"))
 
 
 def size_estimates(streams: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.functions import arrays as A
+from cadenza.functions import images
 from cadenza.functions import text as X
 from cadenza.operators import audio, media, models, saliency, transcript
 from cadenza.operators import sequence as S
@@ -293,16 +294,30 @@ _MOTION = f"{_V}, b AS (SELECT vec_id, v, lag(v) OVER (ORDER BY vec_id) AS w FRO
 
 
 def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = vectors(spark, sf_dir).withColumn("path", F.lit("all"))
-    return S.ordinal(rows, ["path"], ["vec_id"], F.floor(F.col("vec_id") / 10_000), "frame_idx")
+    """The vectors as frames of one file, by vec_id."""
+    return read(spark, sf_dir, "embeddings").select(F.lit("all").alias("path"), "vec_id", "embedding")
 
 
 @query(f"WITH {_MOTION}, u AS (SELECT vec_id, unnest(d) AS x FROM d WHERE d IS NOT NULL), a AS (SELECT vec_id, avg(x) / 255 AS i, stddev_pop(x) / 255 AS s FROM u GROUP BY 1) SELECT d.vec_id, round(coalesce(i, 0), 9) AS motion_intensity, round(coalesce(s, 0), 9) AS motion_variance FROM d LEFT JOIN a USING (vec_id)")
 def q_motion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = saliency.motion(_frames(spark, sf_dir), ["path"], "frame_idx", "v")
+    out = saliency.motion(_frames(spark, sf_dir), ["path"], "vec_id", "embedding")
     return out.select("vec_id", r("motion_intensity", 9).alias("motion_intensity"), r("motion_variance", 9).alias("motion_variance"))
 
 
+def _resize_sql(size: int, out: int, k: str) -> str:
+    """SQL: the place (half-pixel centres, edges repeated) of output place ``k``."""
+    return f"greatest(0.0::DOUBLE, least({size - 1}.0::DOUBLE, ({k} + 0.5::DOUBLE) * {size} / {out}.0::DOUBLE - 0.5::DOUBLE))"
+
+
+@query(f"""WITH {_V}, o AS (SELECT vec_id, v, i, {_resize_sql(8, 5, "i // 3")} AS y, {_resize_sql(8, 3, "i % 3")} AS x FROM (SELECT vec_id, v, unnest(range(0, 15)) AS i FROM e)),
+p AS (SELECT *, floor(y)::INT AS y0, least(floor(y)::INT + 1, 7) AS y1, floor(x)::INT AS x0, least(floor(x)::INT + 1, 7) AS x1 FROM o)
+SELECT vec_id, i AS place, round((v[y0 * 8 + x0 + 1] * (1 - (y - y0)) + v[y1 * 8 + x0 + 1] * (y - y0)) * (1 - (x - x0)) + (v[y0 * 8 + x1 + 1] * (1 - (y - y0)) + v[y1 * 8 + x1 + 1] * (y - y0)) * (x - x0), 6) + 0.0::DOUBLE AS value FROM p""")
+def q_resize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maps of 8 by 8 at 5 rows of 3."""
+    small = vectors(spark, sf_dir).select("vec_id", F.posexplode(images.resized(F.col("v"), (8, 8), (5, 3))).alias("place", "value"))
+    return small.select("vec_id", big(F.col("place")).alias("place"), r("value").alias("value"))
+
+
 _FEATURES = f"""WITH {_MAP}, c AS ({_CENTRE}),
 k AS (SELECT vec_id, avg(p) AS mean_saliency, 1 - sum(p * sqrt(pow(i // 8 - cy * 8, 2) + pow(i % 8 - cx * 8, 2))) / sum(p) / (sqrt(128) / 2) AS focus, any_value(cx) AS cx, any_value(cy) AS cy FROM u JOIN c USING (vec_id) GROUP BY 1),
 b AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS frame_idx, v, lag(v) OVER (ORDER BY vec_id) AS w FROM e),
@@ -319,9 +334,10 @@ SELECT frame_idx, round(frame_idx / 15::DOUBLE, 6) AS time_sec, round(motion, 6)
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 25 columns of frames whose map is the softmax of their own values."""
     frames = _frames(spark, sf_dir)
-    stats = saliency.map_stats(frames.select("path", "frame_idx", A.softmax(F.col("v")).alias("p")), "p", 8, 8)
-    moving = saliency.motion(frames, ["path"], "frame_idx", "v").drop("v", "vec_id")
-    return saliency.features(saliency.with_saliency(moving, stats, ["path", "frame_idx"]), ["path"], 15.0)
+    stats = saliency.map_stats(frames.select("path", "vec_id", A.softmax(A.doubles(F.col("embedding"))).alias("p")), "p", 8, 8)
+    moving = saliency.with_saliency(saliency.motion(frames, ["path"], "vec_id", "embedding"), stats, ["path", "vec_id"])
+    numbered = S.ordinal(moving, ["path"], ["vec_id"], F.floor(F.col("vec_id") / 10_000), "frame_idx")
+    return saliency.features(numbered, ["path"], 15.0)
 
 
 @query(_FEATURES)
@@ -379,21 +395,21 @@ def q_size_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.size_totals(media.probed(rows))
 
 
-@query("WITH v(variant, ext, rate) AS (VALUES ('whisper', 'wav', 16000), ('volume', 'flac', 22050), ('analysis', 'flac', 22050), ('events', 'flac', 22050), ('emotion', 'flac', 16000)) SELECT variant, rate::BIGINT AS sample_rate, 'temp/' || s_name || '_stream0_' || variant || '.' || ext AS output FROM supplier, v")
+@query("WITH v(variant, ext, rate, filter, codec) AS (VALUES ('whisper', 'wav', 16000, 'afftdn=nr=20', 'pcm_s16le'), ('volume', 'flac', 22050, NULL, 'flac'), ('analysis', 'flac', 22050, 'afftdn=nr=20,loudnorm', 'flac'), ('events', 'flac', 22050, 'loudnorm', 'flac'), ('emotion', 'flac', 16000, 'volume=0.5', 'flac')) SELECT variant, rate::BIGINT AS sample_rate, filter, codec, 'temp/' || s_name || '_stream0_' || variant || '.' || ext AS output FROM supplier, v")
 def q_variant_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.audio_manifest(_streams(spark, sf_dir), "temp").select("variant", big(F.col("sample_rate")).alias("sample_rate"), "output")
+    return media.audio_manifest(_streams(spark, sf_dir), "temp").select("variant", big(F.col("sample_rate")).alias("sample_rate"), "filter", "codec", "output")
 
 
-@query("SELECT 'temp/' || s_name || '_vision.mp4' AS output FROM supplier")
+@query("SELECT 'temp/' || s_name || '_vision.mp4' AS output, '-an -vf fps=15,scale=224:224 -c:v libx264 -preset fast -crf 16' AS arguments FROM supplier")
 def q_vision_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.video_manifest(_streams(spark, sf_dir), "temp").select("output")
+    return media.video_manifest(_streams(spark, sf_dir), "temp").select("output", F.array_join("arguments", " ").alias("arguments"))
 
 
 @query("SELECT '/media/' || c_name || '.mp4' AS path, count(s_name) AS streams FROM customer LEFT JOIN supplier ON c_nationkey = s_nationkey GROUP BY 1")
 def q_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = read(spark, sf_dir, "customer").select(F.concat(F.lit("/media/"), "c_name", F.lit(".mp4")).alias("path"), "c_nationkey")
-    streams = paths.join(read(spark, sf_dir, "supplier"), F.col("c_nationkey") == F.col("s_nationkey")).select("path")
-    return media.stream_counts(streams, paths)
+    paths = read(spark, sf_dir, "customer").select(F.concat(F.lit("/media/"), "c_name", F.lit(".mp4")).alias("path"), F.col("c_nationkey").alias("nation"))
+    counts = read(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("nation")).agg(F.count("*").alias("streams"))
+    return media.stream_counts(paths, counts, "nation")
 
 
 @query("SELECT d.doc_id, d.source, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE d.doc_id IS NOT NULL AND d.source IS NOT NULL AND l.toxic IS NOT NULL")

@@ -17,10 +17,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza.functions.images import resize
 from cadenza.operators.audio import frame_length
 
 BLOCKS = "path string, channel int, block_start long, sample_rate int, bits int, samples array<double>"
-FRAMES = "path string, frame_idx long, h int, w int, pixels array<double>"
+FRAMES = "path string, frame_idx long, h int, w int, pixels binary"
 #: Frames in a block of samples, and rows in a batch that a reader gives to Spark.
 FRAMES_A_BLOCK, ROWS = 400, 64
 
@@ -85,16 +86,15 @@ def npy_blocks(content: DataFrame, sample_rate: int = 16000) -> DataFrame:
 
 
 def video_frames(content: DataFrame, decoder: Callable[[bytes], Iterator[np.ndarray]], width: int = 224, height: int = 224) -> DataFrame:
-    """Gray frames of files, resized to the nearest sample; the decoder gives RGB arrays [h, w, 3] in order."""
+    """Gray frames of files as bytes, resized bilinearly; the decoder gives RGB arrays [h, w, 3] in order."""
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for pdf in frames:
             for path, data in zip(pdf["path"], pdf["content"], strict=True):
                 for k, image in enumerate(decoder(bytes(data))):
-                    y = np.arange(height) * image.shape[0] // height
-                    x = np.arange(width) * image.shape[1] // width
-                    gray = np.rint(image[y][:, x].astype(float) @ [0.299, 0.587, 0.114])
-                    yield path, k, height, width, gray.ravel()
+                    small = np.rint(resize(np.asarray(image)[None].astype(float), height, width)[0])
+                    gray = np.rint(small @ [0.299, 0.587, 0.114]).astype(np.uint8)
+                    yield path, k, height, width, gray.tobytes()
 
     return content.mapInPandas(lambda frames: batched(rows(frames), FRAMES), FRAMES)
 

@@ -208,11 +208,56 @@ def test_video_frames_and_manifest(spark):
     content = spark.createDataFrame([("a.mp4", bytearray(b"x"))], "path string, content binary")
     decode = lambda data: (np.full((4, 6, 3), 10 * k) for k in range(70))
     rows = sources.video_frames(content, decode, 3, 2).orderBy("frame_idx").collect()
-    assert len(rows) == 70 and rows[5].pixels == [50.0] * 6 and (rows[5].h, rows[5].w) == (2, 3)
+    assert len(rows) == 70 and bytes(rows[5].pixels) == bytes([50] * 6) and (rows[5].h, rows[5].w) == (2, 3)
     m = media.video_manifest(spark.createDataFrame([("/v/a.b.mp4",)], "path string"), "out/").first()
     assert m.output == "out/a.b_vision.mp4" and m.arguments == media.VISION
 
 
+def test_resizing_is_bilinear(spark):
+    from cadenza.functions import images
+
+    x = np.arange(12.0).reshape(1, 3, 4)
+    assert np.allclose(images.resize(x, 3, 4), x) and np.allclose(images.resize(x, 6, 4)[0, :, 0], [0, 1, 3, 5, 7, 8])
+    assert np.allclose(images.resize(x, 3, 2)[0, 0], [0.5, 2.5]) and images.resize(x, 1, 1)[0, 0, 0] == pytest.approx(5.5)
+    colour = np.stack([x[0], 2 * x[0]], -1)[None]
+    assert np.allclose(images.resize(colour, 2, 3)[..., 1], 2 * images.resize(x, 2, 3))
+    df = spark.createDataFrame([([0.0, 1.0, 2.0, 3.0],), ([1.0],), (None,)], "v array<double>")
+    assert [r[0] for r in df.select(images.resized(F.col("v"), (2, 2), (1, 1))).collect()] == [[1.5], None, None]
+
+
+@pytest.mark.parametrize("kind", ["binary", "array<double>"])
+def test_motion_over_runs_and_edges(spark, kind):
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 256, (50, 30)).astype(np.uint8)
+    x[7:9] = x[6]
+    value = (lambda v: bytearray(v.tobytes())) if kind == "binary" else (lambda v: [float(c) for c in v])
+    rows = [(f, k if f == "a" else 3 * k, value(x[k])) for f in ("a", "b", None) for k in range(50)]
+    odd = [("c", 0, value(x[0])), ("c", 1, None), ("c", 2, value(x[2])), ("c", 3, value(x[3][:5])), ("c", None, value(x[4]))]
+    want = {}
+    for f in ("a", "b", None):
+        for k in range(50):
+            d = np.abs(x[k].astype(float) - x[k - 1]) / 255 if k else np.zeros(1)
+            want[f, k if f == "a" else 3 * k] = (d.mean(), d.std())
+    want |= {("c", k): (0.0, 0.0) for k in (0, 1, 2, 3, None)}
+    df = spark.createDataFrame(rows + odd, f"f string, n long, pixels {kind}")
+    for parts in (df, df.repartition(3), df.orderBy("f", "n")):
+        got = {(r.f, r.n): (r.motion_intensity, r.motion_variance) for r in saliency.motion(parts, ["f"], "n", "pixels").collect()}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    long = spark.range(0, 20_000, 1, 4).select(F.lit("a").alias("f"), F.col("id").alias("n"), F.array(F.col("id").cast("double")).alias("pixels"))
+    moved = saliency.runs(long, ["f"], "n", "pixels").where("_first is not null or _last is not null").count()
+    assert moved <= 12  # under 1 in 1,000 frames travel with their pixels
+    assert saliency.motion(long, ["f"], "n", "pixels").where("abs(motion_intensity - 1 / 255) > 1e-12").count() == 1
+
+
+def test_frames_without_a_map_have_zeros(spark):
+    frames = spark.createDataFrame([("a", k, 0.1 * k, 0.0) for k in range(4)], "path string, frame_idx long, motion_intensity double, motion_variance double")
+    stats = spark.createDataFrame([("a", 1, *[0.5] * 8)], "path string, frame_idx long, " + ", ".join(f"{c} double" for c in saliency.MAP_STATS))
+    rows = saliency.with_saliency(frames, stats, ["path", "frame_idx"]).orderBy("frame_idx").collect()
+    assert [tuple(r[c] for c in saliency.MAP_STATS) for r in rows] == [(0.0,) * 8, (0.5,) * 8, (0.0,) * 8, (0.0,) * 8]
+    table = saliency.features(saliency.with_saliency(frames, stats, ["path", "frame_idx"]), ["path"], 15.0).orderBy("frame_idx").collect()
+    assert [r.max_saliency for r in table] == [0.0, 0.5, 0.0, 0.0] and [r.saliency_change_rate for r in table] == [0.0, 0.5, -0.5, 0.0]
+
+
 def test_feature_csv_and_transcripts(spark, tmp_path):
     (tmp_path / "a.csv").write_text('time_sec,x\n0.5,"a ""b"", c"\n')
     assert sources.feature_csv(spark, str(tmp_path / "a.csv")).collect() == [(0.5, 'a "b", c')]
@@ -224,7 +269,7 @@ def test_feature_csv_and_transcripts(spark, tmp_path):
 def test_totals_guards_and_longest(spark):
     df = media.probed(spark.createDataFrame([("a", "3600"), ("a", "600"), ("b", "60")], "path string, duration string"))
     assert {r.path: (r.streams, r.total_mb) for r in media.size_totals(df).collect()} == {"a": (2, 337), "b": (1, 1)}
-    counts = media.stream_counts(df, spark.createDataFrame([("a",), ("c",)], "path string"))
+    counts = media.stream_counts(spark.createDataFrame([("a",), ("c",), (None,)], "path string"), df.groupBy("path").count().withColumnRenamed("count", "streams")).where("path is not null")
     assert media.some_streams(counts.where("path = 'a'")).collect() == [("a", 2)]
     with pytest.raises(Exception, match="no audio stream in c"):
         media.some_streams(counts).collect()
