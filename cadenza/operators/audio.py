@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadenza.functions import arrays as A
 from cadenza.operators.sequence import same_key
@@ -88,22 +89,40 @@ def wide(rows: DataFrame, time: str, channel: str, channels: list, metrics: list
     return rows.groupBy(time).agg(*parts)
 
 
-def resample(samples, from_rate: int, to_rate: int):
-    """A whole signal at another rate through its Fourier coefficients (numpy array in and out); for use in mapInPandas."""
-    if from_rate == to_rate or not len(samples):
-        return samples
-    n = max(1, int(round(len(samples) * to_rate / from_rate)))
-    return np.fft.irfft(np.fft.rfft(samples)[: n // 2 + 1], n) * (n / len(samples))
+def found_channels(rows: DataFrame, channel: str, most: int = 256) -> list:
+    """The channels that there are, in order; an error if there are more than ``most``, or a null one."""
+    got = [r[0] for r in rows.select(channel).distinct().take(most + 1)]
+    if len(got) > most:
+        raise ValueError(f"more than {most} channels")
+    if None in got:
+        raise ValueError("a channel without a name")
+    return sorted(got)
 
 
-def resampled(signals: DataFrame, samples: str, from_rate: str, to_rate: int) -> DataFrame:
-    """The signals (arrays) at another rate; ``from_rate`` is a column. A null signal or rate gives null."""
+def wide_found(rows: DataFrame, key: list[str], time: str, channel: str, metrics: list[str], most: int = 256, block: int = 4096, prefix: str = "chan") -> DataFrame:
+    """``wide`` for channels not known beforehand: a pass finds them and shapes the schema, then each block of ``block`` times is laid out as columns by one task.
 
-    @F.pandas_udf("array<double>")
-    def run(x: pd.Series, rate: pd.Series) -> pd.Series:
-        return pd.Series([None if a is None or pd.isna(r) else resample(np.asarray(a, float), int(r), to_rate) for a, r in zip(x, rate, strict=True)], dtype=object)
-
-    return signals.withColumn(samples, run(F.col(samples).cast("array<double>"), F.col(from_rate))).withColumn(from_rate, F.lit(to_rate))
+    ``time`` is a whole number. The columns are doubles, null where a channel lacks the time; of several values for one cell the greatest is
+    kept. Also returned in the names' order: chan1 is the least channel. A wide table of many channels is no longer an expression a column.
+    """
+    channels = found_channels(rows, channel, most)
+    names = [f"{prefix}{c + 1}_{m}" for c in range(len(channels)) for m in metrics]
+    place = {c: k for k, c in enumerate(channels)}
+    schema = T.StructType([*(rows.schema[k] for k in key), T.StructField(time, T.LongType()), *(T.StructField(c, T.DoubleType()) for c in names)])
+
+    def lay(table: pa.Table) -> pa.Table:
+        times, at = np.unique(table.column(time).to_numpy(), return_inverse=True)
+        column = np.array([place[c] for c in table.column(channel).to_pylist()], int) * len(metrics)
+        grid = np.full((len(names), len(times)), np.nan)
+        for k, m in enumerate(metrics):
+            v = table.column(m).to_numpy()
+            some = ~np.isnan(v)
+            np.fmax.at(grid, (column[some] + k, at[some]), v[some])
+        keys = [pa.array([table.column(k)[0].as_py()] * len(times), table.column(k).type) for k in key]
+        return pa.table([*keys, pa.array(times), *(pa.array(row, from_pandas=True) for row in grid)], names=schema.names)
+
+    some = rows.select(*key, F.col(time).cast("long").alias(time), channel, *(F.coalesce(F.col(m).cast("double"), F.lit(float("nan"))).alias(m) for m in metrics)).where(F.col(time).isNotNull())
+    return some.groupBy(*key, F.floor(F.col(time) / block)).applyInArrow(lay, schema)
 
 
 def mono_of(channels: Column) -> Column:

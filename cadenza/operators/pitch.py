@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.operators.audio import CHUNK_SEC, frame_length
+from cadenza.operators.timeline import on_timeline
 
 FMIN, FMAX = 60.0, 600.0
 #: Thresholds with a Beta(2, 18) prior, pitch bins a semitone, and how far the pitch may move in one hop (semitones).
 THRESHOLDS, BINS, REACH, NO_TROUGH, SWITCH = 100, 10, 3, 0.01, 0.01
-OUT = "idx long, time_sec double, pitch_hz double"
 
 
 def _difference(frames: np.ndarray, lags: int) -> np.ndarray:
@@ -95,24 +95,19 @@ def pyin(x: np.ndarray, sample_rate: int, fmin: float = FMIN, fmax: float = FMAX
 
 
 def pitch_of_chunks(chunks: DataFrame, key: list[str], samples: str, sample_rate: int, dedup_overlap: bool = False) -> DataFrame:
-    """key, chunk_idx, idx, time_sec, pitch_hz (null: unvoiced) of chunks (key, chunk_idx, start, samples with their halo).
+    """key, chunk_idx, idx, time_sec, pitch_hz (null: unvoiced) of chunks (key, chunk_idx, start, samples with their halo), on the timeline of the signal.
 
-    Times are the chunk's start plus the time in the chunk; the halo's hops come twice unless ``dedup_overlap``.
-    Chunks are independent rows: no task holds more than one batch of them.
+    Chunks are independent rows: no task holds more than one batch of them. The halo's hops come twice unless ``dedup_overlap``.
     """
     if not 0 < FMAX < sample_rate / 2:
         raise ValueError(f"a sample rate of {sample_rate} has no pitch up to {FMAX} Hz")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for row in pdf.to_dict("records"):
-                t, f = pyin(np.asarray(row[samples], float), sample_rate)
-                if dedup_overlap:
-                    keep = t < CHUNK_SEC
-                    t, f = t[keep], f[keep]
-                base = {k: row[k] for k in [*key, "chunk_idx"]}
-                yield pd.DataFrame({"idx": np.arange(len(t)), "time_sec": t + row["start"] / sample_rate, "pitch_hz": pd.array(f).astype("Float64").to_numpy(float, na_value=np.nan)}).assign(**base)[[*base, "idx", "time_sec", "pitch_hz"]]
+    @F.pandas_udf("struct<times:array<double>,values:array<double>>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for s in batches:
+            rows = [pyin(np.asarray(x, float), sample_rate) for x in s]
+            yield pd.DataFrame({"times": [t for t, _ in rows], "values": [f for _, f in rows]})
 
-    rows = chunks.select(*key, "chunk_idx", "start", samples)
-    schema = ", ".join(f"`{n}` {t}" for n, t in rows.select(*key, "chunk_idx").dtypes) + ", " + OUT
-    return rows.mapInPandas(run, schema).withColumn("pitch_hz", F.when(~F.isnan("pitch_hz"), F.col("pitch_hz")))
+    found = chunks.select(*key, "chunk_idx", "start", run(samples).alias("_f"))
+    out = on_timeline(found, key, F.col("_f.times"), F.col("_f.values"), sample_rate, int(CHUNK_SEC * sample_rate) if dedup_overlap else None)
+    return out.withColumnRenamed("value", "pitch_hz")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cadenza.functions import arrays as A
 from cadenza.functions import images
 from cadenza.functions import text as X
-from cadenza.operators import audio, media, models, saliency, transcript
+from cadenza.operators import audio, media, models, plotting, resampling, saliency, timeline, transcript
 from cadenza.operators import sequence as S
 from cadenza.operators.selection import quantiles
 
@@ -102,6 +102,57 @@ def q_block_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.select("vec_id", "frame_idx", big(F.size("frame")).alias("n"), r(A.fold(F.col("frame"), lambda x: x * x)).alias("energy"))
 
 
+HOP, QUIET = 10, 40.0
+
+
+def _timeline_sql(mode: str, keep: str) -> str:
+    """SQL: each hop of each chunk with its mean, quiet ones null; a time more than there are means."""
+    return f"""SELECT '{mode}' AS mode, event_type, chunk_idx, row_number() OVER (PARTITION BY event_type ORDER BY chunk_idx, k) - 1 AS idx, round(k * {HOP} / {RATE}.0::DOUBLE + chunk_idx * {CHUNK} / {RATE}.0::DOUBLE, 6) AS time_sec, round(CASE WHEN mean >= {QUIET} THEN mean END, 6) AS value FROM h WHERE {keep}"""
+
+
+@query(f"""WITH {_S}, m AS (SELECT event_type, max(n) AS top FROM s GROUP BY 1), c AS (SELECT event_type, unnest(range(0, top // {CHUNK} + 1)) AS chunk_idx FROM m),
+h AS (SELECT s.event_type, chunk_idx, (n - chunk_idx * {CHUNK}) // {HOP} AS k, avg(value) AS mean FROM c JOIN s ON s.event_type = c.event_type AND n >= chunk_idx * {CHUNK} AND n < chunk_idx * {CHUNK} + {CHUNK + HALO} GROUP BY ALL)
+{_timeline_sql("all", "true")} UNION ALL {_timeline_sql("owned", f"k * {HOP} < {CHUNK}")}""")
+def q_chunk_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean of each hop of overlapping chunks, with the halo's hops twice and with each left to its own chunk."""
+    chunks = timeline.chunks_of(samples(spark, sf_dir), ["event_type"], "n", "value", CHUNK, HALO)
+    hops = F.sequence(F.lit(0), F.floor((F.size("samples") - 1) / HOP).cast("int"))
+    mean = lambda k: A.let(F.slice("samples", k * HOP + 1, F.lit(HOP)), A.mean)
+    values = F.transform(hops, lambda k: A.let(mean(k), lambda m: F.when(m >= QUIET, m).otherwise(float("nan"))))
+    times = F.transform(F.sequence(F.lit(0), F.size(hops)), lambda k: k * HOP / F.lit(float(RATE)))
+    modes = {"all": None, "owned": CHUNK}
+    both = [timeline.on_timeline(chunks, ["event_type"], times, values, RATE, own).withColumn("mode", F.lit(mode)) for mode, own in modes.items()]
+    return both[0].unionByName(both[1]).select("mode", "event_type", "chunk_idx", "idx", r("time_sec").alias("time_sec"), r("value").alias("value"))
+
+
+#: Three samples become two: a sinc of band 2/3 that ends 12 samples away.
+_RESAMPLE = f"""WITH {_S}, c AS (SELECT event_type, count(*) AS size FROM events GROUP BY 1), o AS (SELECT event_type, unnest(range(0, (size * 2 + 2) // 3)) AS m FROM c),
+u AS (SELECT p, k, p / 2.0::DOUBLE - (k - 11) AS u FROM range(0, 2) a(p), range(0, 24) b(k)),
+g AS (SELECT p, k, CASE WHEN abs(u) >= 12 THEN 0 WHEN u = 0 THEN 1 ELSE sin(pi() * u * 2 / 3.0::DOUBLE) / (pi() * u * 2 / 3.0::DOUBLE) * (0.5::DOUBLE + 0.5::DOUBLE * cos(pi() * u / 12)) END AS g FROM u),
+t AS (SELECT p, k, g / sum(g) OVER (PARTITION BY p) AS g FROM g)
+SELECT o.event_type, m AS n, round(sum(g * value), 6) + 0.0::DOUBLE AS value FROM o JOIN t ON p = m * 3 % 2 JOIN s ON s.event_type = o.event_type AND s.n = m * 3 // 2 - 11 + k GROUP BY ALL"""
+
+
+@query(_RESAMPLE)
+def q_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The samples of each channel at two thirds of their rate, by blocks."""
+    blocks = resampling.blocks_of(samples(spark, sf_dir), ["event_type"], "n", "value", 20 * FRAME)
+    return resampling.resample(blocks, ["event_type"], "block_start", "samples", 24_000, 16_000).select("event_type", "n", r("value").alias("value"))
+
+
+PIXELS = 40
+
+
+@query(f"""WITH p AS (SELECT event_type, event_id::DOUBLE AS x, value AS y FROM events WHERE value IS NOT NULL), e AS (SELECT event_type, min(x) AS a, max(x) AS b FROM p GROUP BY 1),
+c AS (SELECT p.event_type, x, y, CASE WHEN b > a THEN least({PIXELS - 1}, floor((x - a) / (b - a) * {PIXELS})::INT) ELSE 0 END AS pixel FROM p JOIN e USING (event_type)),
+k AS (SELECT *, row_number() OVER (w ORDER BY x, y) AS k1, row_number() OVER (w ORDER BY x DESC, y DESC) AS k2, row_number() OVER (w ORDER BY y, x) AS k3, row_number() OVER (w ORDER BY y DESC, x DESC) AS k4 FROM c WINDOW w AS (PARTITION BY event_type, pixel))
+SELECT DISTINCT event_type, pixel, x, y FROM k WHERE 1 IN (k1, k2, k3, k4)""")
+def q_plot_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points that draw each channel's values over their numbers, four at most a column of pixels."""
+    rows = read(spark, sf_dir, "events").select("event_type", "event_id", "value")
+    return plotting.plot_points(rows, ["event_type"], "event_id", "value", PIXELS)
+
+
 # --- sequences -----------------------------------------------------------------------------------------------
 
 
@@ -173,18 +224,17 @@ def q_head(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- channels ------------------------------------------------------------------------------------------------
 
-CHANNELS = ["click", "error", "purchase", "signup", "view"]
-
-
 def _wide_sql() -> str:
-    cells = ", ".join(f"round(sum(value) FILTER (event_type = '{c}'), 6) AS chan{k + 1}_total" for k, c in enumerate(CHANNELS))
+    """The channels' names are in the SQL only; the query finds them."""
+    names = ["click", "error", "purchase", "signup", "view"]
+    cells = ", ".join(f"round(sum(value) FILTER (event_type = '{c}'), 6) AS chan{k + 1}_total" for k, c in enumerate(names))
     return f"WITH {_S} SELECT n // 100 AS frame_idx, {cells} FROM s GROUP BY 1"
 
 
 @query(_wide_sql())
 def q_pivot_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = samples(spark, sf_dir).groupBy("event_type", F.floor(F.col("n") / FRAME).cast("long").alias("frame_idx")).agg(r(F.sum("value")).alias("total"))
-    return audio.wide(frames, "frame_idx", "event_type", CHANNELS, ["total"])
+    return audio.wide_found(frames, [], "frame_idx", "event_type", ["total"])
 
 
 @query("SELECT event_type, bool_or(abs(value) > 50) AS has_audio FROM events GROUP BY 1")

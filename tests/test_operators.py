@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import arrays as A
 from cadenza.functions import text as X
-from cadenza.operators import audio, media, models, pitch, saliency, transcript
+from cadenza.operators import audio, media, models, pitch, plotting, resampling, saliency, timeline, transcript
 from cadenza.operators import sequence as S
 from cadenza.sources import media as sources
 from cadenza.sources import sinks
@@ -169,14 +169,12 @@ def test_emotions_pad_and_label(spark):
     assert sum(rows[0].emotion_probs) == pytest.approx(1)
 
 
-def test_normalise_and_resample(spark):
+def test_normalise_and_mono(spark):
     x = np.sin(np.arange(1000) / 7) * 0.01
     df = spark.createDataFrame([("a", float(v)) for v in x] + [("b", 0.0)], "path string, v double")
     out = audio.normalise(df, ["path"], "v").toPandas()
     assert np.sqrt((out[out.path == "a"].normalised ** 2).mean()) == pytest.approx(0.1)
     assert out[out.path == "b"].normalised.tolist() == [0.0]
-    t = np.arange(800) / 8000
-    assert np.allclose(audio.resample(np.sin(2 * np.pi * 100 * t), 8000, 16000)[::2], np.sin(2 * np.pi * 100 * t), atol=1e-6)
     assert frame_row(spark, [1]).select(F.element_at(audio.mono_of(F.array(F.array(F.lit(1.0)), F.array(F.lit(2.0)))), 1)).first()[0] == 1.5
 
 
@@ -276,13 +274,85 @@ def test_totals_guards_and_longest(spark):
     assert audio.longest(df, ["path"]).first().max_len == 2 and audio.longest(df.where("false"), ["path"]).first().max_len == 0
 
 
-def test_resampled_column(spark):
-    t = np.arange(800) / 8000
-    df = spark.createDataFrame([("a", [float(v) for v in np.sin(2 * np.pi * 100 * t)], 8000), ("b", None, 8000)], "path string, v array<double>, rate int")
-    out = {r.path: r for r in audio.resampled(df, "v", "rate", 16000).collect()}
-    assert np.allclose(out["a"].v[::2], np.sin(2 * np.pi * 100 * t), atol=1e-6) and out["a"].rate == 16000 and out["b"].v is None
-
-
 def test_summary_of_features(spark):
     row = spark.createDataFrame([("a", 1.0, 2.0, True, False, 0.25), ("a", 3.0, 4.0, False, False, 0.75)], "k string, motion_intensity double, mean_saliency double, is_high_motion boolean, is_high_saliency boolean, attention_concentration double")
     assert saliency.summary(row, ["k"]).first()[1:] == (2, 2.0, 3.0, 1, 50.0, 0, 0.0, 0.25, 0.75)
+
+
+@pytest.mark.parametrize("rates", [(8000, 16000), (16000, 8000), (44100, 16000), (16000, 22050), (3, 2), (5, 5)])
+def test_resampling_of_a_tone_and_of_any_blocks(spark, rates):
+    was, new = rates
+    n = 3000
+    x = np.sin(2 * np.pi * 0.05 * min(1, new / was) * np.arange(n))
+    got = {}
+    for size in (n, 700, 64, 7, 1) if rates == (16000, 8000) else (n, 257):
+        rows = [("a", at, [float(v) for v in x[at : at + size]]) for at in range(0, n, size)] + [(None, 0, [1.0, 2.0]), ("c", 0, []), ("d", 0, None), ("d", None, [1.0])]
+        df = spark.createDataFrame(rows, "k string, at long, v array<double>").repartition(4)
+        out = resampling.resample(df, ["k"], "at", "v", was, new).orderBy("k", "n").toPandas()
+        assert set(out.k.map(str)) == {"a", "None"} and (out.k.isna()).sum() == -(-2 * new // was)
+        mine = out[out.k == "a"]
+        assert mine.n.tolist() == list(range(-(-n * new // was)))
+        got[size] = mine.value.to_numpy()
+        assert np.allclose(got[size], got[n], atol=1e-12)
+    t = np.arange(len(got[n])) * was / new
+    inside = (t > 100) & (t < n - 100)
+    assert np.abs(got[n] - np.sin(2 * np.pi * 0.05 * min(1, new / was) * t))[inside].max() < 2e-3
+
+
+def test_blocks_of_samples(spark):
+    df = spark.createDataFrame([("a", k, float(k)) for k in range(25)], "k string, n long, v double").repartition(3)
+    rows = resampling.blocks_of(df, ["k"], "n", "v", 10).orderBy("block_start").collect()
+    assert [(r.block_start, r.samples) for r in rows] == [(s, [float(v) for v in range(s, min(25, s + 10))]) for s in (0, 10, 20)]
+    with pytest.raises(ValueError):
+        resampling.filter_bank(0, 8000)
+
+
+def test_chunks_on_one_timeline(spark):
+    nan = float("nan")
+    chunks = [("a", 0, 0, [0.0, 0.5, 1.0, 1.5], [1.0, nan, 3.0]), ("a", 1, 10, [0.0, 0.5, 1.0], [4.0, 5.0, 6.0]), ("a", 2, 20, [], []), ("a", 3, 30, [0.0], [None]), (None, 0, 0, [0.25], [9.0])]
+    df = spark.createDataFrame(chunks, "k string, chunk_idx long, start long, t array<double>, v array<double>")
+    rows = lambda own: sorted([(str(r.k), r.idx, r.chunk_idx, r.time_sec, r.value) for r in timeline.on_timeline(df, ["k"], F.col("t"), F.col("v"), 10, own).collect()], key=lambda r: r[:3])
+    assert rows(None) == [("None", 0, 0, 0.25, 9.0), ("a", 0, 0, 0.0, 1.0), ("a", 1, 0, 0.5, None), ("a", 2, 0, 1.0, 3.0), ("a", 3, 1, 1.0, 4.0), ("a", 4, 1, 1.5, 5.0), ("a", 5, 1, 2.0, 6.0), ("a", 6, 3, 3.0, None)]
+    assert [r[1:] for r in rows(10)] == [(0, 0, 0.25, 9.0), (0, 0, 0.0, 1.0), (1, 0, 0.5, None), (2, 1, 1.0, 4.0), (3, 1, 1.5, 5.0), (4, 3, 3.0, None)]
+
+
+def test_pitch_of_chunks_steps_back_at_edges(spark):
+    rate = 8000
+    x = np.sin(2 * np.pi * 200 * np.arange(int(5.5 * rate)) / rate)
+    rows = [("a", int(k), float(v)) for k, v in enumerate(x)]
+    chunks = timeline.chunks_of(spark.createDataFrame(rows, "path string, n long, v double"), ["path"], "n", "v", 5 * rate, audio.frame_length(rate))
+    both = [pitch.pitch_of_chunks(chunks, ["path"], "samples", rate, own).orderBy("idx").toPandas() for own in (False, True)]
+    assert both[0].idx.tolist() == list(range(len(both[0]))) and (np.diff(both[0].time_sec) < 0).sum() == 1 and (np.diff(both[1].time_sec) > 0).all()
+    assert len(both[0]) > len(both[1]) and abs(both[1].pitch_hz.median() - 200) < 2
+
+
+def test_plot_points_are_few_and_span_the_series(spark):
+    rng = np.random.default_rng(4)
+    x, y = np.arange(10_000.0), rng.normal(size=10_000)
+    nan = float("nan")
+    rows = [("a", a, b) for a, b in zip(x.tolist(), y.tolist(), strict=True)] + [("a", None, 1e9), ("a", nan, 1e9), ("a", 1.0, nan), ("b", 5.0, 1.0), ("b", 5.0, 2.0), ("b", 5.0, 1.0)]
+    got = plotting.plot_points(spark.createDataFrame(rows, "k string, x double, y double"), ["k"], "x", "y", 50).toPandas()
+    a = got[got.k == "a"]
+    assert len(a) <= 200 and a.pixel.nunique() == 50 and a.groupby("pixel").size().max() <= 4
+    for p, part in a.groupby("pixel"):
+        own = np.flatnonzero(np.minimum(49, np.floor(x / x[-1] * 50)) == p)
+        assert {part.y.min(), part.y.max()} == {y[own].min(), y[own].max()} and (part.x.min(), part.x.max()) == (own[0], own[-1])
+    assert sorted(got[got.k == "b"][["x", "y"]].values.tolist()) == [[5.0, 1.0], [5.0, 2.0]]
+    with pytest.raises(ValueError):
+        plotting.plot_points(spark.range(1).toDF("x"), [], "x", "x", 0)
+
+
+def test_channels_are_found(spark):
+    rows = [("p", t, c, float(10 * t + c), None if c == 2 else 1.0) for t in range(10) for c in (7, 2, 30) if (t + c) % 4] + [("q", 3, 2, 5.0, 6.0), ("q", 3, 2, 4.0, 7.0), ("q", None, 2, 4.0, 7.0)]
+    df = spark.createDataFrame(rows, "path string, t int, channel int, a double, b double")
+    out = audio.wide_found(df, ["path"], "t", "channel", ["a", "b"], block=4)
+    assert out.columns == ["path", "t", *(f"chan{k}_{m}" for k in (1, 2, 3) for m in "ab")]
+    got = {(r.path, r.t): tuple(r)[2:] for r in out.collect()}
+    assert got["q", 3] == (5.0, 7.0, None, None, None, None) and len(got) == 11
+    for t in range(10):
+        want = tuple(v for c in (2, 7, 30) for v in ((float(10 * t + c), None if c == 2 else 1.0) if (t + c) % 4 else (None, None)))
+        assert got["p", t] == want
+    with pytest.raises(ValueError, match="more than 2"):
+        audio.wide_found(df, ["path"], "t", "channel", ["a"], most=2)
+    with pytest.raises(ValueError, match="without a name"):
+        audio.wide_found(df.withColumn("channel", F.when(F.col("channel") > 2, F.col("channel"))), ["path"], "t", "channel", ["a"])
