@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from cadenza.operators.audio import frame_length
 from cadenza.operators import saliency
-from cadenza.sources import media, ordered, samples, sinks
+from cadenza.operators import media as containers
+from cadenza.sources import media, ordered, samples, sinks, streams
 from cadenza.sources.ordered import write_ordered
 
 
@@ -200,3 +201,66 @@ def test_retried_tasks_leave_no_rows_twice(tmp_path):
     assert first.name != copy.name
     w.commit([later, None, first])
     assert (tmp_path / "t").read_text() == 'a,b\n1,x\n2,\n3,"y\n"\n' and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+# --- headers -----------------------------------------------------------------------------------------------------
+
+
+def box(kind, *parts, wide=False):
+    body = b"".join(parts)
+    return struct.pack(">I4sQ", 1, kind, 16 + len(body)) + body if wide else struct.pack(">I4s", 8 + len(body), kind) + body
+
+
+def track(handler, codec, scale, length, rate=0, channels=0, version=0):
+    times = struct.pack(">QQIQ", 0, 0, scale, length) if version else struct.pack(">IIII", 0, 0, scale, length)
+    entry = struct.pack(">I4s6xH", 36, codec, 1) + struct.pack(">HHI", 0, 0, 0) + struct.pack(">HHII", channels, 16, 0, rate << 16)
+    tables = box(b"stbl", box(b"stsd", struct.pack(">II", 0, 1), entry), box(b"stsz", bytes(200_000)))
+    return box(b"trak", box(b"tkhd", bytes(84)), box(b"mdia", box(b"mdhd", bytes([version, 0, 0, 0]), times), box(b"hdlr", bytes(8), handler, bytes(13)), box(b"minf", box(b"smhd", bytes(8)), tables)))
+
+
+def mp4(before=0, *tracks, after=b"", wide=False):
+    """(bytes before the samples, bytes after them)."""
+    head = box(b"ftyp", b"isom" + bytes(12))
+    return head + struct.pack(">I4sQ", 1, b"mdat", 16 + before), box(b"moov", box(b"mvhd", bytes(4), struct.pack(">IIII", 0, 0, 600, 0), bytes(80)), *tracks, after, wide=wide)
+
+
+def write_long(path, head, gap, tail):
+    with open(path, "wb") as f:
+        f.write(head)
+        f.seek(len(head) + gap)
+        f.write(tail)
+
+
+def test_streams_of_headers(spark, tmp_path):
+    gap = 6_000_000_000  # sparse
+    write_long(tmp_path / "film.mp4", *(lambda h, t: (h, gap, t))(*mp4(gap, track(b"vide", b"avc1", 15, 150), track(b"soun", b"mp4a", 48000, 48000 * 3600, 48000, 2), track(b"soun", b"mp4a", 22050, 22050 * 12 + 20000, 22050, 1, version=1), track(b"text", b"tx3g", 1000, 5000), wide=True)))
+    fragments = mp4(0, track(b"soun", b"Opus", 48000, 0, 48000, 2), after=box(b"mvex", box(b"mehd", bytes(4), struct.pack(">I", 600 * 90))))
+    (tmp_path / "live.mp4").write_bytes(fragments[0] + fragments[1] + box(b"moof", bytes(100)))
+    wav_file(tmp_path / "a.wav", np.zeros((24_000, 2)), 16_000, 3)
+    samples_36 = 22_050 * 7
+    (tmp_path / "b.flac").write_bytes(b"fLaC" + bytes([0x80, 0, 0, 34]) + bytes(10) + ((22_050 << 44) | (1 << 41) | (15 << 36) | samples_36).to_bytes(8, "big") + bytes(16) + bytes(1000))
+    (tmp_path / "c.mp4").write_bytes(mp4(0, track(b"vide", b"avc1", 15, 150))[0] + mp4(0, track(b"vide", b"avc1", 15, 150))[1])
+    (tmp_path / "cut.mp4").write_bytes(fragments[0] + fragments[1][:500])
+    (tmp_path / "note.txt").write_text("nothing of the kind")
+    (tmp_path / "void.wav").write_bytes(b"")
+    found = streams.media_streams(spark, str(tmp_path))
+    rows = {(r.path.split("/")[-1], r.stream_index): r for r in found.collect()}
+    about = {k: (r.kind, r.codec, r.sample_rate, r.channels, r.duration) for k, r in rows.items() if r.problem is None}
+    assert about == {
+        ("film.mp4", 0): ("video", "avc1", None, None, 10.0),
+        ("film.mp4", 1): ("audio", "mp4a", 48000, 2, 3600.0),
+        ("film.mp4", 2): ("audio", "mp4a", 22050, 1, 12 + 20000 / 22050),
+        ("film.mp4", 3): ("other", "tx3g", None, None, 5.0),
+        ("live.mp4", 0): ("audio", "Opus", 48000, 2, 90.0),
+        ("a.wav", 0): ("audio", "pcm_s24le", 16000, 2, 1.5),
+        ("b.flac", 0): ("audio", "flac", 22050, 2, 7.0),
+        ("c.mp4", 0): ("video", "avc1", None, None, 10.0),
+    }
+    assert {k[0] for k, r in rows.items() if r.problem is not None} == {"cut.mp4", "note.txt", "void.wav"}
+    assert max(r.bytes_read for r in rows.values()) < 2048
+    counts = {r.path.split("/")[-1]: r.streams for r in streams.audio_counts(found).collect()}
+    assert counts == {"film.mp4": 2, "live.mp4": 1, "a.wav": 1, "b.flac": 1, "c.mp4": 0, "cut.mp4": 0, "note.txt": 0, "void.wav": 0}
+    sizes = {(r.path.split("/")[-1], r.stream_index): (r.duration_sec, r.total_mb) for r in containers.size_estimates(containers.probed(streams.audio_streams(found))).collect()}
+    assert sizes == {("film.mp4", 0): (3600, 289), ("film.mp4", 1): (12, 0), ("live.mp4", 0): (90, 5), ("a.wav", 0): (1, 0), ("b.flac", 0): (7, 0)}
+    names = {r.output for r in containers.audio_manifest(streams.audio_streams(found), "out").collect()}
+    assert "out/film_stream1_emotion.flac" in names and len(names) == 25
