@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from cadenza.llm.graph import components
 from cadenza.llm.scratch import materialize
 
-#: Tables at least.
-TABLES, PROBES = 4, 2
+#: Tables at least, and the least length of a vector that is rotated.
+TABLES, PROBES, LEAST = 4, 2, 64
 #: The chance to miss a pair at the threshold, at most, and the pairs that are drawn to know a table's share of it.
 MISS, DRAWN = 0.01, 8192
 #: Vectors of a bucket that one side of a group holds.
@@ -57,9 +57,14 @@ BUCKET = ["dim", "table", "code"]
 SENT = "dim int, table int, code long, node long, probe boolean, sketch binary"
 
 
+def padded(dim: int) -> int:
+    """The length that vectors are filled up to with zeros: a power of 2, at least LEAST, as few signs make few rotations."""
+    return max(LEAST, 1 << max(1, (dim - 1).bit_length()))
+
+
 def depth(n: int, dim: int) -> int:
-    """Hashes a bucket: enough that n unlike vectors leave about 32 in one of a table's (2 * dim) ** depth buckets."""
-    return max(1, math.ceil(math.log(max(n, 2) / 32) / math.log(2 * dim)))
+    """Hashes a bucket: enough that n unlike vectors leave about 32 in one of a table's buckets."""
+    return max(1, math.ceil(math.log(max(n, 2) / 32) / math.log(2 * padded(dim))))
 
 
 def _hadamard(x: np.ndarray) -> np.ndarray:
@@ -97,7 +102,7 @@ def tables(k: int, dim: int, threshold: float) -> int:
 
     A table's chance to have the pair is the share of DRAWN random pairs, less three standard errors."""
     rng = np.random.default_rng(SEED)
-    n = 1 << max(1, (dim - 1).bit_length())
+    n = padded(dim)
     met = 0
     step = max(1, min(DRAWN, (1 << 20) // n))
     for at in range(0, DRAWN, step):
@@ -116,14 +121,14 @@ def tables(k: int, dim: int, threshold: float) -> int:
 def buckets(x: np.ndarray, k: int, count: int = TABLES) -> tuple[np.ndarray, np.ndarray]:
     """(own, probe): each (rows, count), the code of the own bucket and of the second one in each table."""
     rng = np.random.default_rng(SEED)
-    n = 1 << max(1, (x.shape[1] - 1).bit_length())
-    padded = np.zeros((len(x), n))
-    padded[:, : x.shape[1]] = x / np.linalg.norm(x, axis=1, keepdims=True)
+    n = padded(x.shape[1])
+    filled = np.zeros((len(x), n))
+    filled[:, : x.shape[1]] = x / np.linalg.norm(x, axis=1, keepdims=True)
     own, probe = np.empty((len(x), count), np.int64), np.empty((len(x), count), np.int64)
 
     def images() -> Iterator[np.ndarray]:
         for _ in range(k):
-            y = padded
+            y = filled
             for _ in range(3):
                 y = _hadamard(y * rng.choice([-1.0, 1.0], n))
             yield y
@@ -186,7 +191,7 @@ def _hashed(shapes: dict[int, tuple[int, int]], packed: bool):
 
 def _width(k: int, dim: int) -> type:
     """The least whole number type that holds a code of depth k."""
-    size = (2 << max(1, (dim - 1).bit_length())) ** k
+    size = (2 * padded(dim)) ** k
     return np.uint8 if size <= 1 << 8 else np.uint16 if size <= 1 << 16 else np.uint32 if size <= 1 << 32 else np.int64
 
 

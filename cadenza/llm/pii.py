@@ -8,7 +8,7 @@ Kinds, in the order in which spans of one start are listed:
 * iban - a country code, two check digits and as many more signs as the country has, passing mod-97.
 * local - a national phone number without "+": 7 to 15 digits. It has no checksum, so that only a context
   word close before it lifts it over the threshold.
-* secret - a run of 20 to 128 signs as of keys and tokens, with digits and letters and at least DISTINCT different signs
+* secret - a run of 20 signs or more as of keys and tokens, after "=" too, with digits and letters and at least DISTINCT different signs
   (what is long and orderly is no secret). Checksums of files look the same, so that only a context word makes it one.
 
 A span's score is its kind's prior, which the checksum has raised, plus CONTEXT_BONUS where a context word
@@ -18,7 +18,7 @@ Offsets are code points, the end exclusive. The patterns are possessive and star
 (or at the end of the match before), so that time is linear in the text.
 
 Cases: a null text is empty and has no spans. Very long texts are searched whole. Each row is returned, with
-null or repeated ids as well. Other columns stay as they are; names that clash with the results are replaced.
+null or repeated ids as well; an empty table gives no rows. Other columns stay as they are; one named ``pii`` is replaced.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
     "iban": rf"(?<![A-Za-z0-9])(?:{IBAN})(?![A-Za-z0-9])",
     "local": r"(?<![A-Za-z0-9.+-])\(?[0-9]{2,4}\)?(?:[ /-]?[0-9]{2,4}){2,4}+(?![A-Za-z0-9.-]|[ /-][0-9])",
-    "secret": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,128}+={0,2}+(?![A-Za-z0-9+/_=-])",
+    "secret": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])",
 }
 #: Context words in the four languages of the corpus.
 CONTEXT = {
@@ -60,6 +60,8 @@ CONTEXT = {
 }
 PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.7, "iban": 0.7, "local": 0.3, "secret": 0.3}
 CONTEXT_BONUS, CONTEXT_CHARS, THRESHOLD = 0.25, 32, 0.5
+#: One rule for all uses: a context word of a kind, in any case of any script, without a letter next to it.
+WORDS = {kind: rf"(?iu)(?<!\p{{L}})(?:{words})(?!\p{{L}})" for kind, words in CONTEXT.items()}
 _OPEN, _CLOSE, _OTHER = "\u0001", "\u0002", "\u0003"
 _SPAN = "array<struct<start:int,k:int,stop:int,score:double>>"
 
@@ -111,8 +113,8 @@ def _likely(kind: str, text: Column) -> Column:
         "card": lambda: text.rlike("[0-9][ -]?[0-9]"),
         "phone": lambda: text.contains("+"),
         "iban": lambda: text.rlike("[A-Z]{2}[0-9]{2}"),
-        "local": lambda: text.rlike("[0-9]{2}") & text.rlike(rf"(?i)\b(?:{CONTEXT['local']})\b"),
-        "secret": lambda: text.rlike(rf"(?i)(?<!\p{{L}})(?:{CONTEXT['secret']})(?!\p{{L}})") & text.rlike("[A-Za-z0-9+/_-]{20}"),
+        "local": lambda: text.rlike("[0-9]{2}") & text.rlike(WORDS["local"]),
+        "secret": lambda: text.rlike(WORDS["secret"]) & text.rlike("[A-Za-z0-9+/_-]{20}"),
     }[kind]()
 
 
@@ -123,7 +125,7 @@ def _spans(kind: str, text: Column) -> Column:
     def scored(m: Column) -> Column:
         begin = F.greatest(F.lit(0), m["start"] - CONTEXT_CHARS)
         before = text.substr(begin + 1, m["start"] - begin)
-        bonus = F.when(before.rlike(rf"(?i)(?<!\p{{L}})(?:{CONTEXT[kind]})(?!\p{{L}})"), CONTEXT_BONUS).otherwise(0.0)
+        bonus = F.when(before.rlike(WORDS[kind]), CONTEXT_BONUS).otherwise(0.0)
         return F.struct(m["start"].alias("start"), F.lit(k).alias("k"), m["stop"].alias("stop"), (F.lit(PRIOR[kind]) + bonus).alias("score"))
 
     out = F.transform(found, scored)
@@ -137,13 +139,15 @@ def find_pii(documents: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     marked = text.contains(_OPEN) | text.contains(_CLOSE)
     # The marks may not be in the text; what stands in for them is in no pattern either and as long.
-    out = documents.withColumn("_text", F.when(marked, F.translate(text, _OPEN + _CLOSE, _OTHER * 2)).otherwise(text))
+    row = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("_row")
+    out = documents.select(row, F.when(marked, F.translate(text, _OPEN + _CLOSE, _OTHER * 2)).otherwise(text).alias("_text"))
     for kind in KINDS:
         out = out.withColumn(f"_{kind}", _spans(kind, F.col("_text")))
     # A local number inside a base span is that span's.
     base = F.concat(*(F.col(f"_{k}") for k in KINDS[:BASE]))
     inside = F.filter("_local", lambda s: ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
-    return out.withColumn("pii", F.array_sort(F.concat(base, F.col("_iban"), inside, F.col("_secret")))).drop("_text", *(f"_{k}" for k in KINDS))
+    out = out.select("_row", F.array_sort(F.concat(base, F.col("_iban"), inside, F.col("_secret"))).alias("_pii"))
+    return out.select(*(F.col(f"_row.`{c}`") for c in documents.columns if c != "pii"), F.col("_pii").alias("pii"))
 
 
 def kind_name(k: Column) -> Column:

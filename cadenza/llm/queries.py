@@ -194,7 +194,7 @@ def _op1_sql() -> str:
     letter = r"\p{L}"
     patterns = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "card": "[0-9](?:[ -]?[0-9])+", "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-        "iban": r"\b(?:" + pii.IBAN + r")\b", "local": r"\(?[0-9]{2,4}\)?(?:[ /-]?[0-9]{2,4}){2,4}", "secret": "[A-Za-z0-9+/_=-]{20,}",
+        "iban": r"\b(?:" + pii.IBAN + r")\b", "local": r"\(?[0-9]{2,4}\)?(?:[ /-]?[0-9]{2,4}){2,4}", "secret": "[A-Za-z0-9+/_-]{20,}=*",
     }
     matches = " UNION ALL ".join(f"SELECT r, t, '{kind}' AS kind, {k} AS k, string_split_regex(t, '{p}') AS parts, regexp_extract_all(t, '{p}') AS hits FROM docs" for k, (kind, p) in enumerate(patterns.items()))
     context = {kind: f"regexp_matches(before, '(?i)(?:^|[^{letter}])(?:{pii.CONTEXT[kind]})(?:[^{letter}]|$)')" for kind in ("local", "secret")}
@@ -216,7 +216,7 @@ checked AS (SELECT * FROM found WHERE CASE kind
   WHEN 'phone' THEN length(d) BETWEEN 9 AND 15
   WHEN 'iban' THEN list_reduce(list_transform(string_split(array_to_string({turned}, ''), ''), lambda c: c::INT), lambda a, c: (a * 10 + c) % 97) = 1
   WHEN 'local' THEN length(d) BETWEEN 7 AND 15 AND {context["local"]} AND NOT regexp_matches(before, '[A-Za-z0-9.+-]$') AND NOT regexp_matches(substring(t, stop + 1, 2), '^(?:[A-Za-z0-9.-]|[ /-][0-9])')
-  ELSE regexp_full_match(hit, '[A-Za-z0-9+/_-]{{20,128}}={{0,2}}') AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') AND len(list_distinct(string_split(hit, ''))) >= {pii.DISTINCT} AND {context["secret"]}
+  ELSE regexp_full_match(hit, '[A-Za-z0-9+/_-]+={{0,2}}') AND NOT (hit[-1] = '=' AND regexp_matches(substring(t, stop + 1, 1), '[A-Za-z0-9+/_-]')) AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') AND len(list_distinct(string_split(hit, ''))) >= {pii.DISTINCT} AND {context["secret"]}
 END),
 kept AS (SELECT * FROM checked c WHERE kind <> 'local' OR NOT EXISTS (SELECT 1 FROM checked o WHERE o.r = c.r AND o.k < {pii.BASE} AND o.start < c.stop AND c.start < o.stop))
 SELECT doc_id, {counts}, sha256(coalesce(string_agg({span}, ',' ORDER BY start, k) FILTER (k < {pii.BASE}), '')) AS base_sha256, coalesce(string_agg({span}, ',' ORDER BY start, k), '') AS spans, count(kind)::BIGINT AS n_spans

@@ -94,12 +94,12 @@ def test_op6_finds_pairs_at_any_depth(spark, write, monkeypatch, k):
     assert sum(got[200 + i].component_id == i and got[i].n_links == 1 for i in range(200)) >= 198
 
 
-@pytest.mark.parametrize("dim", [16, 64])
+@pytest.mark.parametrize("dim", [2, 3, 4, 6, 8, 16, 64, 65])
 def test_tables_keep_the_stated_bound(dim):
     for k in (1, 2, 3, 4):
         x, y = near_pairs(1000, dim, 0.9)
         (a, b), (c, d) = (embeddings.buckets(v, k, embeddings.tables(k, dim, 0.9)) for v in (x, y))
-        assert (~((a == c) | (a == d) | (b == c)).any(1)).mean() <= 4 * embeddings.MISS
+        assert (~((a == c) | (a == d) | (b == c)).any(1)).mean() <= 1.6 * embeddings.MISS  # of 1,000 pairs
 
 
 def test_op6_depth_counts_copies_once(spark, write, monkeypatch):

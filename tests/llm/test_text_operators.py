@@ -200,6 +200,12 @@ def test_pii_checksums_context_and_masks(spark):
     assert out[2].text.startswith("call tel [LOCAL] now") and out[3].text is None
 
 
+def test_op1_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "a@b.co", "x", 2, 3)], "doc_id long, text string, _text string, _email int, `_row` int")
+    row = pii.find_pii(df).first()
+    assert tuple(row)[:5] == (1, "a@b.co", "x", 2, 3) and len(row.pii) == 1
+
+
 def test_op1_added_kinds(spark, write):
     secret = hashlib.sha1(b"x").hexdigest()
     texts = {
@@ -211,12 +217,18 @@ def test_op1_added_kinds(spark, write):
         6: ("the key " + "ab1" * 14 + " and the keyboard " + secret, []),
         7: (f"my monkey {secret}", []),
         8: (f"API_KEY: {secret[:20]}==", ["secret:9:31"]),
-        9: (f"key {secret * 4}", []),
+        9: (f"key {secret * 5}", ["secret:4:204"]),
+        10: (f"API_KEY={secret}", ["secret:8:48"]),
+        11: (f"https://h/?key={secret}&x=1", ["secret:15:55"]),
+        12: (f"SCHLÜSSEL: {secret}, CLÉ:{secret}", ["secret:11:51", "secret:57:97"]),
+        13: (f"token {secret}=x and key {secret}===", []),
+        14: ("phone_number: 030 123 4567", ["local:14:26"]),
+        15: ("tel1: 030 123 4567, MÓVIL 030 123 4567", ["local:6:18", "local:26:38"]),
     }
     d = write(spark, documents=([(i, t) for i, (t, _) in texts.items()], DOCS))
     rows = queries.op1_pii(spark, d).collect()
     assert all(r.n_spans == sum(1 for x in r.spans.split(",") if x) for r in rows)
-    got = {r.doc_id: [x for x in r.spans.split(",") if x.split(":")[0] in ("iban", "secret")] for r in rows}
+    got = {r.doc_id: [x for x in r.spans.split(",") if x.split(":")[0] in ("iban", "secret", "local")] for r in rows}
     assert got == {i: x for i, (_, x) in texts.items()}
 
 
@@ -455,7 +467,8 @@ def test_text_operators_equal_their_sql(spark, sf, write, corpus, name):
 
 
 def test_op1_equals_its_sql(spark, sf, write):
-    texts = ["call tel 030 1234567 now", "my token: " + "ab12cd34" * 4, "token = " + hashlib.sha1(b"y").hexdigest(), "DE89 3704 0044 0532 0130 00 BIC", "x@y.de,1.2.3.4 4111 1111 1111 1111 é +49 (30) 1234-567", None, ""]
+    key = hashlib.sha1(b"z").hexdigest()
+    texts = [f"NAME_key={key}", f"key={key}=x token {key}=== pwd {key}==", f"SCHLÜSSEL: {key * 6}, CLÉ:{key}", "phone_number: 030 123 4567", "tel1: 030 123 4567, MÓVIL 030 123 4567", f"my_token_of_twenty_signs={key}", "call tel 030 1234567 now", "my token: " + "ab12cd34" * 4, "token = " + hashlib.sha1(b"y").hexdigest(), "DE89 3704 0044 0532 0130 00 BIC", "x@y.de,1.2.3.4 4111 1111 1111 1111 é +49 (30) 1234-567", None, ""]
     equals_its_sql(spark, "op1_pii", sf, write(spark, documents=([*enumerate(texts), (None, texts[0]), (1, texts[1])], DOCS)))
 
 
