@@ -39,7 +39,7 @@ END = 1
 #: Rounds of multiplicative weights; each prices the lengths once and takes COLUMNS fillings, for the lengths that are covered least.
 ROUNDS, COLUMNS, STEP, RATE = 400, 512, 1.0, 0.1
 #: The share of the tokens that the program may leave open, how often it is solved for what rounding leaves over, and the
-#: room that its fillings may have.
+#: tokens by which a filling may miss the fullest one with its longest piece.
 EPSILON, AGAIN, SLACK = 0.05, 4, 4
 #: Pieces of one length that one numbering window covers, about.
 LANE = 2_000
@@ -138,6 +138,18 @@ def cover(lengths: np.ndarray, n: np.ndarray, limit: int) -> dict[tuple, float]:
     return used
 
 
+def reach(lengths: np.ndarray, n: np.ndarray, limit: int) -> np.ndarray:
+    """For each room up to ``limit`` the most tokens that pieces of these lengths can fill of it, each used at most as often as there are pieces."""
+    bits, mask = 1, (1 << limit + 1) - 1
+    for length, m in zip(lengths.tolist(), np.minimum(n, limit // lengths).tolist()):
+        part = 1
+        while m > 0:
+            bits |= bits << min(part, m) * length & mask
+            m, part = m - part, 2 * part
+    can = np.frombuffer(bits.to_bytes(limit // 8 + 1, "little"), np.uint8)
+    return np.maximum.accumulate(np.where(np.unpackbits(can, bitorder="little")[: limit + 1], np.arange(limit + 1), 0))
+
+
 def fillings(histogram: dict[int, int], limit: int = LIMIT) -> tuple[list[tuple[int, dict[int, int]]], int]:
     """((times, {length: pieces}), so that every piece is used exactly once and no filling is over ``limit``; how many of these the program gave)."""
     left = np.zeros(limit + 1, np.int64)
@@ -153,11 +165,12 @@ def fillings(histogram: dict[int, int], limit: int = LIMIT) -> tuple[list[tuple[
         if not len(lengths):
             break
         used = cover(lengths, left[lengths].astype(float), limit)
-        before = len(plan)
+        before, full = len(plan), reach(lengths, left[lengths], limit)
         for up in (0, 1):  # whole parts first, then what is left of the largest fractions
             for key, x in sorted(used.items(), key=lambda kv: (-(kv[1] if up == 0 else kv[1] % 1), kv[0])):
                 times = min(int(x + 1e-6) if up == 0 else int(x % 1 > 1e-6 and x % 1 < 1 - 1e-6), *(int(left[k] // v) for k, v in key))
-                if times > 0 and sum(k * v for k, v in key) >= limit - SLACK:
+                longest = key[-1][0]
+                if times > 0 and sum(k * v for k, v in key) >= longest + full[limit - longest] - SLACK:
                     plan.append((times, dict(key)))
                     for k, v in key:
                         left[k] -= times * v

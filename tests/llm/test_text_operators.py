@@ -379,6 +379,18 @@ def test_the_program_places_most_pieces_at_any_size():
         assert sum(t for t, _ in plan) <= 1.001 * sum(k * v for k, v in h.items()) / 4096 + 1
 
 
+@pytest.mark.parametrize("step", [37, 50, 100])
+def test_the_program_packs_coarse_lengths(step):
+    """Lengths whose sums never come near the limit: a filling is judged by what can be reached."""
+    rng = np.random.default_rng(step)
+    h = {int(k): int(v) for k, v in zip(*np.unique(np.clip(np.round(rng.lognormal(6.5, 1.2, 3000) / step), 1, 4000 // step).astype(int) * step, return_counts=True))}
+    plan, given = packing.fillings(h)
+    most = 4096 // step * step
+    assert sum(t for t, _ in plan) <= 1.005 * sum(k * v for k, v in h.items()) / most + 1
+    assert sum(t * sum(f.values()) for t, f in plan[:given]) >= 0.9 * sum(h.values())
+    assert packing.reach(np.array([5, 7]), np.array([2, 1]), 20).tolist() == [0, 0, 0, 0, 0, 5, 5, 7, 7, 7, 10, 10, 12, 12, 12, 12, 12, 17, 17, 17, 17]
+
+
 def test_bounded_knapsack_is_exact():
     import itertools
 
