@@ -12,9 +12,10 @@ Plan:
 2. Find. A second scan sends on the windows whose routes the bitmap has. Equal windows within one block are settled
    there: only the copy in the block's smallest document goes on, the others are removed whatever else there is. So a
    passage that a third of all documents share is sent once a block. What goes on is shuffled by route, a run a row
-   (6 bytes a window; a window is known by its route and these 48 bits, 112 bits in all). Windows on one of the routes that
-   have over a thousandth of all rows (under 1,000 routes, broadcast) are shuffled by their own hashes. A task reads its rows in order of route
-   and finds the smallest document of each window, holding about WINDOWS at a time.
+   (6 bytes a window; a window is known by its route and these 48 bits, 112 bits in all). Windows on routes of
+   more than COMMON blocks (a bitmap again) are shuffled by their own hashes. A task reads its rows in order of route
+   and finds the smallest document of each window, holding about WINDOWS at a time: within a route of more than that
+   it settles what it holds, as a block does, and goes on with the copies in the smallest documents.
 3. Merge. The repeated windows of each document become maximal intervals.
 4. The intervals join the texts by id; documents that the bitmap of the ids concerned rules out aren't joined. The words
    that no interval covers are kept.
@@ -43,8 +44,8 @@ WINDOW, PART = 50, 25
 #: Windows that are compared at once, and texts that are words at once.
 WINDOWS, ROWS = 1 << 19, 500
 BYTES = 6
-#: A route is common if it has more than 1 / COMMON of all rows; there are fewer than COMMON of these.
-COMMON = 1000
+#: A route of more blocks than this is common: its windows go their own ways. A route that is not brings some 13 windows of each block at most to one task.
+COMMON = 1 << 15
 RUNS = "route long, doc long, start int, stop int, hashes binary"
 _NAMES = ["route", "doc", "start", "stop", "hashes"]
 
@@ -148,8 +149,8 @@ def _windows(shared, common):
                 yield _intervals(doc[gone], pos[gone])
             kept = ~gone & bloom.within(shared.value, route)
             key, route, doc, pos = key[kept], route[kept], doc[kept], pos[kept]
-            apart = np.isin(route, common.value)
-            route[apart] = mix(key[apart] + np.uint64(COMMON))
+            apart = bloom.within(common.value, route)
+            route[apart] = mix(key[apart] + np.uint64(1000))
             yield _sent(route, doc, pos, key)
 
     return run
@@ -158,11 +159,14 @@ def _windows(shared, common):
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Intervals of words to remove, from rows in order of route."""
     held: list[tuple] = []
-    size, last = 0, None
+    size, last, full = 0, None, 2 * WINDOWS
 
     def found() -> Iterator[pa.RecordBatch]:
+        """What is removed of the windows held; those that stay are held on."""
+        nonlocal held
         key, doc, pos = (np.concatenate(x) for x in zip(*held, strict=True))
         gone = _repeats(key, doc)
+        held = [tuple(x[~gone] for x in (key, doc, pos))]
         if gone.any():
             doc, pos = doc[gone], pos[gone]
             order = np.lexsort((pos, doc))
@@ -178,7 +182,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         route = rows.column(0).to_numpy().view(np.uint64)
         if size >= WINDOWS and route[0] != last:
             yield from found()
-            held, size = [], 0
+            held, size, full = [], 0, 2 * WINDOWS
         hashes = rows.column(4)
         offsets = np.frombuffer(hashes.buffers()[1], np.int32)[hashes.offset : hashes.offset + len(rows) + 1]
         n = np.diff(offsets) // BYTES
@@ -193,9 +197,13 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = int(n[: int(np.flatnonzero(route != last)[-1]) + 1].sum())
             held.append(tuple(x[:at] for x in own))
             yield from found()
-            held, size = [], len(key) - at
+            held, size, full = [], len(key) - at, 2 * WINDOWS
             own = tuple(x[at:] for x in own)
         held.append(own)
+        if size >= full:  # one route of many windows
+            yield from found()
+            size = len(held[0][0])
+            full = 2 * max(WINDOWS, size)
     if held:
         yield from found()
 
@@ -227,8 +235,7 @@ def removals(documents: DataFrame) -> DataFrame:
     texts = documents.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where("doc is not null and text is not null")
     counted = texts.mapInArrow(_routes, "route long, lo long, hi long").groupBy("route").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("rows"))
     routes = materialize(counted.where("lo < hi").select("route", "rows"), "routes")
-    total = routes.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"]
-    common = spark.sparkContext.broadcast(np.array([r["route"] for r in routes.where(F.col("rows") * COMMON > total).collect()], np.int64).view(np.uint64))
+    common = spark.sparkContext.broadcast(bloom.of(routes.where(F.col("rows") > COMMON), "route"))
     shared = spark.sparkContext.broadcast(bloom.of(routes, "route"))
     runs = texts.mapInArrow(_windows(shared, common), RUNS).repartition("route").sortWithinPartitions("route")
     spans = runs.mapInArrow(_compare, "doc long, start int, stop int")

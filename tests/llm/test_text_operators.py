@@ -142,10 +142,25 @@ def test_op5_splits_common_routes(spark, docs_dir, monkeypatch, corpus):
     from cadenza.llm import substrings
 
     want = sorted(map(tuple, queries.op5_substring_dedup(spark, docs_dir).collect()), key=str)
-    monkeypatch.setattr(substrings, "COMMON", 10**9)  # every route
+    monkeypatch.setattr(substrings, "COMMON", 0)  # every route
     assert sorted(map(tuple, queries.op5_substring_dedup(spark, docs_dir).collect()), key=str) == want
 
 
+def test_a_route_of_many_windows_is_settled_in_parts(monkeypatch):
+    from cadenza.llm import substrings
+
+    rng = np.random.default_rng(6)
+    doc = rng.permutation(np.arange(3000))
+    keys = rng.integers(0, 40, 3000).astype(np.uint64)
+    batches = [substrings._sent(np.full(n, 5, np.uint64), doc[a : a + n], np.zeros(n, np.int64), keys[a : a + n]) for a, n in ((k, 100) for k in range(0, 3000, 100))]
+    want = {int(d) for d, k in zip(doc, keys, strict=True) if d > doc[keys == k].min()}
+    held, repeats = [], substrings._repeats
+    monkeypatch.setattr(substrings, "WINDOWS", 64)
+    monkeypatch.setattr(substrings, "_repeats", lambda key, d: held.append(len(key)) or repeats(key, d))
+    got = [d for b in substrings._compare(iter(batches)) for d in b.column(0).to_pylist()]
+    assert sorted(got) == sorted(want) and max(held) <= 256
+
+
 def test_op5_with_small_blocks(spark, docs_dir, monkeypatch):
     from cadenza.llm import substrings
 
