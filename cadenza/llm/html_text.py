@@ -6,11 +6,12 @@ length, links and ending of its text, and its place on the page. Names say nothi
 page (``html``, ``body``, ``main``) or of what holds its story (``_story``). The field has the labels "article" and
 "other", weights for the features and for the steps between labels, and is decoded by Viterbi.
 
-It is trained by gradient ascent on at most TRAIN_PAGES pages of at most TRAIN_BYTES and TRAIN_BLOCKS that are labelled by their
-own markup: blocks in an ``article`` or ``main`` element are article, but for those in elements that name
-themselves menus, forms, adverts, comments and the like. Each page is learned twice, once without its
-sectioning tags, so that pages that are built of ``div`` alone are decided by classes, text and neighbours.
-Weights are pulled towards PRIOR, which is what pages without labels get.
+It is trained by gradient ascent on two kinds of pages, none of which is labelled by what it is shown by. At most TRAIN_PAGES pages of the
+table (of at most TRAIN_BYTES and TRAIN_BLOCKS) are labelled by their own markup: blocks in an ``article`` or ``main`` element are article, but for
+those in elements that name themselves menus, forms, adverts, comments and the like. They are learned as they are, without sectioning
+tags and names, and without any markup at all, by their texts and neighbours alone. MADE pages are composed of parts that are known to be
+article or other (``made_pages``) in layouts of all kinds - sectioning tags, names, opaque names, tables, bare sections - so that the field also
+learns what the table's pages lack, and how far each sign can be trusted. All weights begin at 0 and are pulled towards it.
 
 Plan: one scan with three columns, no shuffle; the weights are broadcast (under 100 numbers).
 
@@ -22,6 +23,7 @@ text. Long pages are read whole. Rows with null or repeated ids are returned eac
 from __future__ import annotations
 
 import html
+import random
 import re
 from collections.abc import Iterator
 
@@ -30,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TRAIN_PAGES, TRAIN_BYTES, TRAIN_BLOCKS, ROUNDS = 300, 200_000, 2000, 100
+TRAIN_PAGES, TRAIN_BYTES, TRAIN_BLOCKS, MADE, ROUNDS = 100, 200_000, 2000, 500, 400
 TOKEN = re.compile(
     r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*+)([^>]*+)>|<[!?/][^>]*+>""",
     re.S,
 )
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+TITLE = re.compile(r"<title[^>]*>([^<]{0,2000})", re.I)
 #: Elements whose content is not text of the page.
 RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "textarea", "object", "canvas", "audio", "video", "title", "select"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -70,19 +73,16 @@ OUT_TAGS = {"nav", "aside", "footer", "form", "button", "dialog"}
 WORD_NAMES = {w: k for k, words in NAMES.items() for w in words.split()}
 LENGTHS = (2, 5, 12, 30, 80)
 TEXTS = ["one", "links0", "links1", "links2", "stop", "phrase", "first", "last"] + [f"words{i}" for i in range(len(LENGTHS) + 1)]
+#: What stands around a block: long texts next to it, within NEAR blocks, anywhere before and after, in the same holder and in the one around it; and whether the page's title has its text.
+TEXTS += ["long", "long_before", "long_after", "near_before", "near_after", "all_before", "all_after", "links_before", "links_after", "titled", "with_long", "under_long"]
+LONG, NEAR = 12, 3
+#: Elements that hold blocks which belong together.
+HOLDERS = {"article", "aside", "body", "center", "dd", "dialog", "div", "fieldset", "footer", "form", "header", "main", "nav", "section", "td", "th"}
 FEATURES = [f"in_{t}" for t in TAGS] + [f"named_{n}" for n in NAMES] + ["header_in_article", *TEXTS]
 AT = {f: i for i, f in enumerate(FEATURES)}
 PHRASES = re.compile(r"©|copyright|all rights reserved|cookies?\b|sign in|log in|subscribe|newsletter|privacy policy|terms of|read more|click here|share this|advertisement|sponsored|leave a (?:comment|reply)", re.I)
-PRIOR = np.zeros(len(FEATURES) + 5)
-# What names itself a menu, advert or comment is none of the article, wherever it stands: no step between labels outweighs it.
-for _name, _value in {
-    "in_article": 2, "in_main": 1, "in_nav": -6, "in_header": -4, "in_footer": -6, "in_aside": -6, "in_form": -6, "in_button": -6, "in_dialog": -6, "in_head": -6,
-    "in_p": 0.5, "in_blockquote": 0.5, "in_pre": 0.5, "header_in_article": 5, "links2": -2, "links1": -0.5, "stop": 0.5, "phrase": -1, "words0": -0.5, "words4": 0.5, "words5": 1,
-    "named_menu": -6, "named_head": -4, "named_foot": -6, "named_side": -6, "named_advert": -6, "named_notice": -6, "named_comment": -6, "named_form": -6, "named_share": -6, "named_hidden": -6, "named_body": 1.5,
-}.items():
-    PRIOR[AT[_name]] = _value
-#: After the features: a bias, the first block's, and the steps other-article, article-other, article-article.
-PRIOR[-5:] = -0.5, -0.5, -1.0, -1.0, 0.5
+#: Weights: of the features, then a bias, the first block's, and the steps other-article, article-other, article-article.
+WEIGHTS = len(FEATURES) + 5
 
 
 # --- pages to blocks ---------------------------------------------------------------------------------------
@@ -321,24 +321,77 @@ def bits(mask: int) -> np.ndarray:
     return np.array([mask >> k & 1 for k in range(len(FEATURES))], np.float64)
 
 
-def inside(text: str, linked: float, k: int, n: int) -> list[int]:
-    """Which features of its text and place a block has."""
-    words = text.count(" ") + 1
-    size = 0
-    while size < len(LENGTHS) and words > LENGTHS[size]:
-        size += 1
-    got = [AT[f"words{size}"], AT["links2" if linked > 0.7 else "links1" if linked > 0.2 else "links0"]]
-    if words == 1:
-        got.append(AT["one"])
-    if text[-1] in ".!?…»”\"":
-        got.append(AT["stop"])
-    if words <= 40 and PHRASES.search(text):
-        got.append(AT["phrase"])
-    if 10 * k < n:
-        got.append(AT["first"])
-    if 10 * (n - 1 - k) < n:
-        got.append(AT["last"])
-    return got
+def _holder(own: Element | None) -> Element | None:
+    while own is not None and own.tag not in HOLDERS:
+        own = own.parent
+    return own
+
+
+def inside(found: list[Block], title: str) -> list[list[int]]:
+    """Which features of its text, place and neighbours each block has."""
+    n, out = len(found), []
+    words = [text.count(" ") + 1 for text, _, _ in found]
+    is_long = [w > LONG and linked <= 0.3 for w, (_, _, linked) in zip(words, found, strict=True)]
+    longs = [k for k in range(n) if is_long[k]]
+    first, last = (longs[0], longs[-1]) if longs else (n, -1)
+    before, after = [-n] * n, [2 * n] * n  # the nearest long block on either side
+    for k in range(1, n):
+        before[k] = k - 1 if is_long[k - 1] else before[k - 1]
+    for k in range(n - 2, -1, -1):
+        after[k] = k + 1 if is_long[k + 1] else after[k + 1]
+    holder = [_holder(own) for _, own, _ in found]
+    outer = [_holder(h.parent) if h is not None else None for h in holder]
+    held: dict[int, int] = {}  # long blocks right in a holder, and (below 0) in it or in one right in it
+    for k in longs:
+        for h, sign in ((holder[k], 1), (holder[k], -1), (outer[k], -1)):
+            if h is not None:
+                held[sign * h.number] = held.get(sign * h.number, 0) + 1
+    for k, (text, _, linked) in enumerate(found):
+        size = 0
+        while size < len(LENGTHS) and words[k] > LENGTHS[size]:
+            size += 1
+        got = [AT[f"words{size}"], AT["links2" if linked > 0.7 else "links1" if linked > 0.2 else "links0"]]
+        if words[k] == 1:
+            got.append(AT["one"])
+        if text[-1] in ".!?…»”\"":
+            got.append(AT["stop"])
+        if words[k] <= 40 and PHRASES.search(text):
+            got.append(AT["phrase"])
+        if 10 * k < n:
+            got.append(AT["first"])
+        if 10 * (n - 1 - k) < n:
+            got.append(AT["last"])
+        if is_long[k]:
+            got.append(AT["long"])
+        if before[k] >= k - 1:
+            got.append(AT["long_before"])
+        elif before[k] >= k - NEAR:
+            got.append(AT["near_before"])
+        if after[k] <= k + 1:
+            got.append(AT["long_after"])
+        elif after[k] <= k + NEAR:
+            got.append(AT["near_after"])
+        if k < first:
+            got.append(AT["all_after"])
+        if k > last:
+            got.append(AT["all_before"])
+        if k and found[k - 1][2] > 0.7:
+            got.append(AT["links_before"])
+        if k + 1 < n and found[k + 1][2] > 0.7:
+            got.append(AT["links_after"])
+        if (h := holder[k]) is not None and held.get(h.number, 0) > is_long[k]:
+            got.append(AT["with_long"])
+        elif (h := outer[k]) is not None and held.get(-h.number, 0) > is_long[k]:
+            got.append(AT["under_long"])
+        if title and 1 < words[k] <= 40 and (text in title or len(title) > 10 and title in text):
+            got.append(AT["titled"])
+        out.append(got)
+    return out
+
+
+def title_of(page: str) -> str:
+    m = TITLE.search(page)
+    return " ".join(html.unescape(m[1]).split()) if m else ""
 
 
 def _mask(*features: str) -> int:
@@ -348,6 +401,8 @@ def _mask(*features: str) -> int:
 STORY = _mask("in_article", "in_main")
 ELSEWHERE = _mask(*(f"in_{t}" for t in sorted(OUT_TAGS)), *(f"named_{n}" for n in OUT))
 SECTIONS = _mask("header_in_article", *(f"in_{t}" for t in sorted(SECTIONING)))
+NAMED = _mask(*(f"named_{n}" for n in NAMES))
+MARKUP = SECTIONS | NAMED | _mask(*(f"in_{t}" for t in TAGS))
 
 
 def own_label(mask: int) -> bool:
@@ -383,12 +438,12 @@ def _sums(emit: np.ndarray, w: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray
     return z, article, pair, article[:, 0]
 
 
-def fit(pages: list[tuple[np.ndarray, np.ndarray]], rounds: int = ROUNDS, pull: float = 0.05) -> np.ndarray:
-    """Weights from (features, labels) of labelled pages, by gradient ascent (Adam) on the likelihood, pulled towards PRIOR.
+def fit(pages: list[tuple[np.ndarray, np.ndarray]], rounds: int = ROUNDS, pull: float = 0.002) -> np.ndarray:
+    """Weights from (features, labels) of labelled pages, by gradient ascent (Adam) on the likelihood, pulled towards 0.
 
     Pages are filled up to the longest of their group; a group's longest is under twice its shortest."""
     pages = sorted(((x, y) for x, y in pages if len(y)), key=lambda p: len(p[1]))
-    w = PRIOR.copy()
+    w = np.zeros(WEIGHTS)
     if not pages:
         return w
     groups, at = [], 0
@@ -413,7 +468,7 @@ def fit(pages: list[tuple[np.ndarray, np.ndarray]], rounds: int = ROUNDS, pull:
         for x, _, mask in groups:
             _, article, pair, first = _sums((x @ w[: len(FEATURES) + 1].astype(np.float32)).astype(np.float64), w, mask)
             seen += np.concatenate([np.einsum("ptf,pt->f", x, article.astype(np.float32)), [first.sum(), pair[0, 1], pair[1, 0], pair[1, 1]]])
-        grad = (true - seen) / len(pages) - pull * (w - PRIOR)
+        grad = (true - seen) / len(pages) - pull * w
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w = w + 0.1 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
     return w
@@ -434,14 +489,15 @@ class Extractor:
         bias, first, (enter, leave, stay) = self.own[-5], self.own[-4], self.own[-3:]
         if len(self.masks) > 100_000:
             self.masks = {}
-        n, back = len(found), []
+        back: list[tuple[bool, bool]] = []
         other = article = 0.0
-        for k, (text, own, linked) in enumerate(found):
+        features = inside(found, title_of(page))
+        for k, (_, own, _) in enumerate(found):
             mask = around(own)
             base = self.masks.get(mask)
             if base is None:
                 base = self.masks[mask] = float(bits(mask) @ self.w[: len(FEATURES)])
-            emit = base + bias + sum(self.own[i] for i in inside(text, linked, k, n))
+            emit = base + bias + sum(self.own[i] for i in features[k])
             if not k:
                 other, article = 0.0, emit + first
                 continue
@@ -464,25 +520,127 @@ def train(pages: DataFrame) -> np.ndarray:
     chosen = rows.select(F.col("page_id").alias("_id")).where("_id is not null").orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_PAGES)
     rows = rows.join(F.broadcast(chosen.distinct()), F.col("page_id") == F.col("_id")).dropDuplicates(["page_id"]).collect()
     rows.sort(key=lambda r: r["page_id"])
-    return fit([own for r in rows for own in labelled(r["html"])])
+    return fit([own for r in rows for own in labelled(r["html"])] + made())
 
 
-def labelled(page: str) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(features, labels) of a page that labels itself, with and without its sectioning tags; none of very many blocks."""
+def known(page: str, labels: list[bool] | None = None, hide: tuple[int, ...] = (0,)) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(features, labels) of a page, once for each set of hidden features; labels by its own markup, if None are given."""
     found = blocks(page)
     if not 0 < len(found) <= TRAIN_BLOCKS:
         return []
     masks = [around(own) for _, own, _ in found]
-    y = np.array([own_label(m) for m in masks], float)
-    out = []
-    for hide in (0, SECTIONS):
-        x = np.stack([bits(m & ~hide) for m in masks])
-        for k, (text, _, linked) in enumerate(found):
-            x[k, inside(text, linked, k, len(found))] = 1
+    y = np.array([own_label(m) for m in masks] if labels is None else labels, float)
+    texts, out = inside(found, title_of(page)), []
+    for hidden in hide:
+        x = np.stack([bits(m & ~hidden) for m in masks])
+        for k, own in enumerate(texts):
+            x[k, own] = 1
         out.append((x, y))
     return out
 
 
+def labelled(page: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """A page that labels itself: as it is, without sectioning tags and names, and without markup; nothing of a page of very many blocks."""
+    return known(page, None, (0, SECTIONS | NAMED, MARKUP))
+
+
+def made(pages: int = MADE, seed: int = 1) -> list[tuple[np.ndarray, np.ndarray]]:
+    rng = random.Random(seed)
+    return [own for _ in range(pages) for own in known(*made_page(rng))]
+
+
+def made_page(rng: random.Random) -> tuple[str, list[bool]]:
+    """A page of known parts, and which of its blocks are article.
+
+    The parts stand in sectioning tags, in elements whose names say what they are, in elements whose names say nothing, in the cells of
+    a table, or in bare sections. Prose that is no article (comments, adverts, teasers, notices) is in elements that say so.
+    """
+    syllables = "ba ce di fo gu ha je ki lo mu na pe ri so tu ve wi xa yo zu".split()
+    name = lambda: "".join(rng.choices("bcdfghjklmnpqrstvwxz", k=rng.randint(3, 7)))
+    word = lambda: "".join(rng.choices(syllables, k=rng.randint(1, 4)))
+    few = lambda a, b: " ".join(word() for _ in range(rng.randint(a, b))).capitalize()
+    prose = lambda a, b: few(a, b) + rng.choice(".....!?")
+    layout = rng.choice(("tags", "names", "opaque", "table", "sections"))
+    words = {k: v.split() for k, v in NAMES.items()}
+
+    def box(kind: str, inner: str) -> str:
+        tags = {"menu": "nav", "head": "header", "foot": "footer", "side": "aside", "form": "form", "body": "article", "main": "main"}
+        kind_name = rng.choice(words["body" if kind == "main" else kind])
+        if layout == "tags" and kind in tags:
+            return f"<{tags[kind]}>{inner}</{tags[kind]}>"
+        if layout in ("tags", "names") or kind in ("comment", "advert", "notice", "share"):
+            tag = rng.choice(("div", "div", "p", "section", "ul")) if "<" not in inner else "div"
+            return f'<{tag} {rng.choice(("class", "id"))}="{kind_name}">{inner}</{tag}>'
+        if layout == "table":
+            return f"<tr><td>{inner}</td></tr>" if rng.random() < 0.5 else f"<td>{inner}</td>"
+        return f"<section>{inner}</section>" if layout == "sections" else f'<div class="{name()}">{inner}</div>'
+
+    line = lambda text: rng.choice(("<p>{}</p>", "<p>{}</p>", "<div>{}</div>", "<li>{}</li>")).format(text)
+    parts: list[tuple[str, list[bool]]] = []  # markup, and a label a block
+
+    def other(kind: str, items: list[str]) -> None:
+        if len(items) == 1 and rng.random() < 0.6:  # the text alone, or its link
+            items = [re.sub(r"</?(?:p|div|li)>", "", items[0])]
+        parts.append((box(kind, "".join(items)), [False] * len(items)))
+
+    links = rng.randint(2, 8)
+    menu = [f"<li><a href=x>{few(1, 3)}</a></li>" for _ in range(links)]
+    top, title = few(1, 4), few(3, 10)
+    if rng.random() < 0.6:
+        other("head", [rng.choice(("<div>{}</div>", "<h2>{}</h2>", "<h1>{}</h1>", "<p>{}</p>", "<p><a href=w>{}</a></p>")).format(top)])
+    if rng.random() < 0.9:
+        parts.append((box("menu", "<ul>" + "".join(menu) + "</ul>" if rng.random() < 0.7 else "".join(f"<div><a href=y>{few(1, 2)}</a></div>" for _ in range(links))), [False] * links))
+    if rng.random() < 0.4:
+        other("notice", [f"<p>{rng.choice(('We use cookies.', 'Sign in to go on.'))} {prose(3, 14)}</p>"])
+    if rng.random() < 0.4:
+        other("advert", [f"<div>{prose(3, 16)}</div>"])
+    # Paragraphs by their tag, or each in a holder of its own; some stories are of short ones only, where the markup tells them.
+    para = rng.choice(("<p>{}</p>", "<p>{}</p>", "<div>{}</div>", f'<div class="{name()}">{{}}</div>', f'<div class="{name()}"><p>{{}}</p></div>')) if layout != "tags" else "<p>{}</p>"
+    short = rng.random() < 0.15 and layout in ("tags", "names")
+    body, labels = [f"<{(h := rng.choice(('h1', 'h1', 'h2')))}>{title}</{h}>"], [True]
+    for _ in range(rng.randint(1, 9)):
+        kind = rng.random()
+        if kind < 0.72:
+            body.append(para.format(prose(1, 12) if short else prose(14, 70)))
+        elif kind < 0.8:
+            body.append(para.format(prose(1, 12)))
+        elif kind < 0.86:
+            body.append(f"<h2>{few(2, 6)}</h2>")
+        elif kind < 0.92:
+            body.append(f"<blockquote>{prose(10, 40)}</blockquote>")
+        else:
+            items = rng.randint(2, 4)
+            body.append("<ul>" + "".join(f"<li>{few(3, 12)}</li>" for _ in range(items)) + "</ul>")
+            labels += [True] * (items - 1)
+        labels.append(True)
+        if rng.random() < 0.06:
+            kind = rng.choice(("advert", "share", "notice", *(["form", "side"] if layout in ("tags", "names") else [])))
+            body.append(box(kind, rng.choice(("<p>{}</p>", "{}")).format(prose(2, 15) if rng.random() < 0.5 else few(2, 12))))
+            labels.append(False)
+        if rng.random() < (0.15 if layout == "tags" else 0.05) and layout != "opaque":
+            body.append(f"<p>{rng.choice(('All rights reserved.', 'Read more ' + prose(2, 9), 'Privacy policy ' + prose(4, 12), prose(1, 1)))}</p>")
+            labels.append(True)
+    if rng.random() < 0.4:
+        readers = rng.randint(1, 5)
+        body.append(box("comment", "".join(f"<p>{prose(4, 40)}</p>" for _ in range(readers))))
+        labels += [False] * readers
+    story = "".join(body)
+    wrapped = rng.random()
+    parts.append((box("main", box("body", story)) if wrapped < 0.2 and layout == "tags" else box("body" if wrapped < 0.8 else "main", story), labels))
+    if rng.random() < 0.6:
+        other("side", [line(f"<a href=z>{few(2, 7)}</a>") if rng.random() < 0.7 else line(few(2, 8)) for _ in range(rng.choice((1, 1, 2, 4, 6)))])
+    if rng.random() < 0.3:
+        other("form", [f"<div>{rng.choice(('Subscribe to our newsletter', 'Log in', few(1, 3)))}<input></div>"])
+    if rng.random() < 0.2:
+        other("comment", [f"<p>{prose(4, 40)}</p>" for _ in range(rng.randint(1, 6))])
+    if rng.random() < 0.9:
+        other("foot", [line(rng.choice(("© ", "Copyright ", "")) + few(1, 8)) for _ in range(rng.randint(1, 3))])
+    page = "".join(markup for markup, _ in parts)
+    page = f'<table class="{name()}">{page}</table>' if layout == "table" else f"<div>{page}</div>" if rng.random() < 0.3 else page
+    head = rng.choice((title, f"{title} - {top}", top, ""))
+    return f"<html><head><title>{head}</title></head><body>{page}</body></html>", [y for _, own in parts for y in own]
+
+
 def extract(pages: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
     """page_id, url and text (the article's blocks, a line each) of every page."""
     held = pages.sparkSession.sparkContext.broadcast(train(pages) if weights is None else weights)
