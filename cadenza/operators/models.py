@@ -1,7 +1,7 @@
 """Model operators: a caller's model runs in iterator UDFs, loaded once in a Python worker.
 
 A loader is a function without arguments that returns a callable over a list of numpy arrays; the weights of
-the public models aren't part of this repository. ``stub_*`` are deterministic stand-ins for tests.
+the public models aren't part of this repository.
 """
 
 from __future__ import annotations
@@ -54,13 +54,3 @@ def transcripts(audio: DataFrame, path: str, loader: Callable[[], Callable]) ->
             yield pd.Series([model(p) for p in s], dtype=object)
 
     return audio.withColumn("segments", run(F.col(path)))
-
-
-def stub_emotion() -> Callable:
-    """Four logits from simple moments of the signal."""
-    return lambda batch: [np.array([x.mean(), x.std(), np.abs(x).max(initial=0), -x.mean()]) for x in batch]
-
-
-def stub_saliency() -> Callable:
-    """The frame's own values over 16 as a map."""
-    return lambda batch: [x / 16 for x in batch]

@@ -164,11 +164,17 @@ def test_pitch_table_texts(spark):
 
 def test_emotions_pad_and_label(spark):
     df = spark.createDataFrame([(0, [1.0, -1.0]), (1, [])], "chunk_index int, samples array<double>")
-    rows = models.emotions(df, "samples", models.stub_emotion).collect()
+    stand_in = lambda: lambda batch: [np.array([x.mean(), x.std(), np.abs(x).max(initial=0), -x.mean()]) for x in batch]
+    rows = models.emotions(df, "samples", stand_in).collect()
     assert len(rows) == 1 and rows[0].predicted_emotion == "excited"
     assert sum(rows[0].emotion_probs) == pytest.approx(1)
 
 
+def test_maps_of_a_model_sum_to_one(spark):
+    maps = models.saliency_maps(frame_row(spark, [0.0, 16.0, 32.0]), "v", lambda: lambda batch: [x / 16 for x in batch]).first()
+    assert sum(maps.saliency) == pytest.approx(1) and maps.saliency == sorted(maps.saliency)
+
+
 def test_normalise_and_mono(spark):
     x = np.sin(np.arange(1000) / 7) * 0.01
     df = spark.createDataFrame([("a", float(v)) for v in x] + [("b", 0.0)], "path string, v double")
