@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +54,16 @@ def release(*tables: DataFrame) -> None:
             _WRITTEN.remove((df.sparkSession, path))
 
 
+def written_once(make: Callable[[], DataFrame], name: str = "step") -> DataFrame:
+    """``make()`` written and read back; the tables that were made on the way are deleted, as nothing reads them any more."""
+    before = set(_WRITTEN)
+    out = materialize(make(), name)
+    for spark, path in [w for w in _WRITTEN if w not in before and w[1] != out.__dict__["_written"]]:
+        _delete(spark, path)
+        _WRITTEN.remove((spark, path))
+    return out
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -153,3 +153,17 @@ def test_pipeline_keeps_clean_and_drops_planted(spark, write):
     assert kept[1] == kept[0] - {100, 101} and kept[2] == kept[1] - {102} and kept[3] == kept[2]
     assert docs.where(F.col("doc_id") == 103).first().text.endswith("mail [EMAIL]")
     assert {r.doc_id for r in corpus_pipeline.run(spark, d).collect()} == kept[3]
+
+
+def test_tables_made_on_the_way_are_deleted(spark):
+    from cadenza.llm import scratch
+
+    def make():
+        scratch.release(scratch.materialize(spark.range(3)))
+        return scratch.materialize(spark.range(5)).join(scratch.materialize(spark.range(2, 9)), "id")
+
+    held = list(scratch._WRITTEN)
+    out = scratch.written_once(make)
+    assert [w for w in scratch._WRITTEN if w not in held] == [(spark, out.__dict__["_written"])] and out.count() == 3
+    scratch.release(out)
+    assert scratch._WRITTEN == held
