@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm import decontaminate, jaccard, packing, pii, toxicity
-from cadenza.llm.scratch import materialize
+from cadenza.llm.scratch import release, written_once
 
 ORACLE_SQL: str | None = None
 LIMIT = 4096
@@ -65,8 +65,9 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other, each on the written result of the one before."""
+    """The stages one after the other, each on the written result of the one before, which is then deleted with all that it was made of."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        before, docs = docs, written_once(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        release(before)
     return STAGES[-1][1](spark, docs, sf_dir)
