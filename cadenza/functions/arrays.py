@@ -60,6 +60,13 @@ def chunk_at(a: Column, start: Column, length: int) -> Column:
     return F.slice(a, start + 1, F.lit(length))
 
 
+def centred_frames(a: Column, length: int, hop: int) -> Column:
+    """Frames of ``length`` around every multiple of ``hop``, zeros beyond the ends: 1 + size / hop of them."""
+    zeros = F.array_repeat(F.lit(0.0), length // 2)
+    starts = F.sequence(F.lit(0), F.floor((F.size(a) + 2 * (length // 2) - length) / hop).cast("int"))
+    return let(F.concat(zeros, a, zeros), lambda x: F.transform(starts, lambda k: F.slice(x, k * hop + 1, F.lit(length))))
+
+
 def next_power_of_two(n: int) -> int:
     return 1 << max(0, n - 1).bit_length()
 

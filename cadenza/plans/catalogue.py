@@ -15,6 +15,7 @@ from cadenza.functions import text as X
 from cadenza.operators import audio, media, models, plotting, resampling, saliency, timeline, transcript
 from cadenza.operators import sequence as S
 from cadenza.operators.selection import quantiles
+from cadenza.sources import sinks
 
 RATE, FRAME, CHUNK, HALO = 16000, 100, 80, 10
 QUERIES: dict = {}
@@ -102,6 +103,20 @@ def q_block_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.select("vec_id", "frame_idx", big(F.size("frame")).alias("n"), r(A.fold(F.col("frame"), lambda x: x * x)).alias("energy"))
 
 
+@query(f"WITH {_V}, f AS (SELECT vec_id, v, unnest(range(0, 17)) AS k FROM e) SELECT vec_id, k AS frame, round(list_sum(list_transform(range(0, 16), lambda i: CASE WHEN k * 4 + i >= 8 AND k * 4 + i < 72 THEN pow(v[k * 4 + i - 7], 2) ELSE 0 END)), 6) AS energy FROM f")
+def q_centred_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The energy of frames of 16 around every fourth value, zeros beyond the ends."""
+    frames = vectors(spark, sf_dir).select("vec_id", F.posexplode(A.centred_frames(F.col("v"), 16, 4)).alias("frame", "x"))
+    return frames.select("vec_id", big(F.col("frame")).alias("frame"), r(A.fold(F.col("x"), lambda x: x * x)).alias("energy"))
+
+
+@query(f"WITH {_S} SELECT event_type, format('{{:.4f}}', (n // 100) * 100 / 16000.0::DOUBLE) AS time_sec, format('{{:.6f}}', round(sqrt(sum(value * value) / count(*)), 6)) AS rms, format('{{:.2f}}', round(sum(value * value), 2)) AS energy FROM s GROUP BY event_type, n // 100")
+def q_level_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The levels of frames as text with fixed decimals."""
+    out = audio.frame_levels(samples(spark, sf_dir), ["event_type"], "n", "value", FRAME, RATE)
+    return out.select("event_type", X.fixed(4)(F.col("time_sec")).alias("time_sec"), X.fixed(6)(r("rms")).alias("rms"), X.fixed(2)(r("energy", 2)).alias("energy"))
+
+
 HOP, QUIET = 10, 40.0
 
 
@@ -237,6 +252,20 @@ def q_pivot_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.wide_found(frames, [], "frame_idx", "event_type", ["total"])
 
 
+def _pitch_sql() -> str:
+    """Empty where the channel is unvoiced, "no data" past its end."""
+    names = ["click", "error", "purchase", "signup", "view"]
+    cells = ", ".join(f"CASE WHEN count(*) FILTER (event_type = '{c}') = 0 THEN 'no data' ELSE coalesce(max(format('{{:.2f}}', value)) FILTER (event_type = '{c}' AND value >= {QUIET}), '') END AS chan{k + 1}_pitch_hz" for k, c in enumerate(names))
+    return f"WITH {_S} SELECT n AS idx, format('{{:.4f}}', n / {RATE}.0::DOUBLE) AS time_sec, {cells} FROM s GROUP BY n"
+
+
+@query(_pitch_sql())
+def q_pitch_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The channels' values side by side as a pitch table has them; low ones count as unvoiced."""
+    rows = samples(spark, sf_dir).select(F.col("event_type").alias("channel"), F.col("n").alias("idx"), (F.col("n") / F.lit(float(RATE))).alias("time_sec"), F.when(F.col("value") >= QUIET, F.col("value")).alias("pitch_hz"))
+    return sinks.pitch_table(rows, audio.found_channels(read(spark, sf_dir, "events"), "event_type"))
+
+
 @query("SELECT event_type, bool_or(abs(value) > 50) AS has_audio FROM events GROUP BY 1")
 def q_silent_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.audible(read(spark, sf_dir, "events"), ["event_type"], "value", 50.0)
@@ -354,6 +383,14 @@ def q_motion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("vec_id", r("motion_intensity", 9).alias("motion_intensity"), r("motion_variance", 9).alias("motion_variance"))
 
 
+@query(f"WITH {_MAP}, s AS (SELECT vec_id, avg(p) AS mean, max(p) AS top, stddev_pop(p) AS spread FROM u GROUP BY 1) SELECT vec_id, CASE WHEN top > 0.025 THEN round(mean, 9) ELSE 0 END AS mean_saliency, CASE WHEN top > 0.025 THEN round(top, 6) ELSE 0 END AS max_saliency, CASE WHEN top > 0.025 THEN round(spread, 6) ELSE 0 END AS std_saliency FROM s")
+def q_frames_without_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames with the statistics of their maps, zeros where none stands out."""
+    stats = saliency.map_stats(_maps(spark, sf_dir), "p", 8, 8).where(F.col("max_saliency") > 0.025)
+    out = saliency.with_saliency(_frames(spark, sf_dir).drop("embedding"), stats, ["vec_id"])
+    return out.select("vec_id", r("mean_saliency", 9).alias("mean_saliency"), r("max_saliency").alias("max_saliency"), r("std_saliency").alias("std_saliency"))
+
+
 def _resize_sql(size: int, out: int, k: str) -> str:
     """SQL: the place (half-pixel centres, edges repeated) of output place ``k``."""
     return f"greatest(0.0::DOUBLE, least({size - 1}.0::DOUBLE, ({k} + 0.5::DOUBLE) * {size} / {out}.0::DOUBLE - 0.5::DOUBLE))"
@@ -424,6 +461,15 @@ def q_word_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exported(spark, sf_dir).select("conv_id", "word", r("time_sec", 4).alias("time_sec"))
 
 
+@query("WITH w AS (SELECT conv_id, unnest(string_split(text, ' ')) AS raw FROM conversations WHERE role = 'user') SELECT conv_id, count(*) AS words, count(*) FILTER (regexp_replace(raw, '^\\s+|\\s+$', '', 'g') = '') AS blank FROM w GROUP BY 1")
+def q_segments_without_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of each conversation, where only a user's turns have any."""
+    rows = read(spark, sf_dir, "conversations")
+    words = F.transform(F.split("text", " "), lambda w, i: F.struct(i.cast("double").alias("start"), w.alias("word")))
+    segments = rows.select("conv_id", "turn", F.array(F.struct(F.when(F.col("role") == "user", words).alias("words"))).alias("segments"))
+    return transcript.words_of(segments, ["conv_id"]).groupBy("conv_id").agg(F.count("*").alias("words"), F.count_if(F.col("word") == "").alias("blank"))
+
+
 # --- media ---------------------------------------------------------------------------------------------------------
 
 
@@ -455,6 +501,12 @@ def q_vision_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.video_manifest(_streams(spark, sf_dir), "temp").select("output", F.array_join("arguments", " ").alias("arguments"))
 
 
+@query("SELECT 'temp/' || s_name || '_vision.mp4' AS output, NULL::INTEGER AS status FROM supplier")
+def q_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What would be run: without a confirmation no tool is called."""
+    return media.run_manifest(media.video_manifest(_streams(spark, sf_dir), "temp"), lambda row: 1).select("output", "status")
+
+
 @query("SELECT '/media/' || c_name || '.mp4' AS path, count(s_name) AS streams FROM customer LEFT JOIN supplier ON c_nationkey = s_nationkey GROUP BY 1")
 def q_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = read(spark, sf_dir, "customer").select(F.concat(F.lit("/media/"), "c_name", F.lit(".mp4")).alias("path"), F.col("c_nationkey").alias("nation"))
