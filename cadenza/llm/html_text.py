@@ -575,6 +575,13 @@ def made_page(rng: random.Random) -> tuple[str, list[bool]]:
             return f"<tr><td>{inner}</td></tr>" if rng.random() < 0.5 else f"<td>{inner}</td>"
         return f"<section>{inner}</section>" if layout == "sections" else f'<div class="{name()}">{inner}</div>'
 
+    if rng.random() < 0.12:  # hardly more than one part
+        layout, yes = "tags" if layout in ("opaque", "table") else layout, rng.random() < 0.75
+        items = [f"<p>{prose(1, rng.choice((6, 12, 40)))}</p>" if yes else f"<div>{few(1, 5)}</div>" for _ in range(rng.choice((1, 1, 1, 2, 3)))]
+        if yes and rng.random() < 0.3:
+            items.insert(0, f"<h1>{few(1, 6)}</h1>")
+        tag = rng.choice(("article", "main")) if yes else rng.choice(("nav", "footer", "aside", "form", "header"))
+        return f"<html><body><{tag}>{''.join(items)}</{tag}></body></html>", [yes] * len(items)
     line = lambda text: rng.choice(("<p>{}</p>", "<p>{}</p>", "<div>{}</div>", "<li>{}</li>")).format(text)
     parts: list[tuple[str, list[bool]]] = []  # markup, and a label a block
 
