@@ -87,27 +87,39 @@ def priced(lengths: np.ndarray, most: np.ndarray, price: np.ndarray, capacity: i
             m, part = m - part, 2 * part
     size = np.array(times) * lengths[item]
     value = np.array(times) * price[item]
-    best, took = np.zeros(capacity + 1), np.zeros((len(item), capacity + 1), bool)
+    # Whether an item is used, a bit for each room.
+    best, took = np.zeros(capacity + 1), np.zeros((len(item), capacity // 8 + 1), np.uint8)
     for k, (s, v) in enumerate(zip(size.tolist(), value.tolist(), strict=True)):
-        sums = best[: capacity + 1 - s] + v
-        np.greater(sums, best[s:] + 1e-9, out=took[k, s:])
+        sums, row = best[: capacity + 1 - s] + v, np.zeros(capacity + 1, bool)
+        np.greater(sums, best[s:] + 1e-9, out=row[s:])
+        took[k] = np.packbits(row, bitorder="little")
         np.maximum(best[s:], sums, out=best[s:])
     left, out = rooms.copy(), np.zeros((len(rooms), len(lengths)), np.int64)
     for k in range(len(item) - 1, -1, -1):
-        used = took[k, left]
+        used = (took[k, left >> 3] >> (left & 7) & 1).astype(bool)
         if used.any():
             out[used, item[k]] += times[k]
             left[used] -= size[k]
     return out
 
 
-def cover(lengths: np.ndarray, n: np.ndarray, limit: int) -> dict[tuple, float]:
+def _key(lengths: np.ndarray, times: np.ndarray) -> bytes:
+    """A filling in few bytes: its lengths, then how often it has each."""
+    return np.concatenate([lengths, times]).astype("<u4").tobytes()
+
+
+def _filling(key: bytes) -> dict[int, int]:
+    both = np.frombuffer(key, "<u4").reshape(2, -1).tolist()
+    return dict(zip(*both, strict=True))
+
+
+def cover(lengths: np.ndarray, n: np.ndarray, limit: int) -> dict[bytes, float]:
     """The linear program by multiplicative weights: how often each filling is used, so that at most ``n`` pieces of each length are.
 
     It ends when all but EPSILON of the tokens are covered, or when a round adds nothing. A filling is used for the share STEP of
     what is left of its scarcest length, and for a whole sequence if there is that much.
     """
-    used: dict[tuple, float] = {}
+    used: dict[bytes, float] = {}
     covered = np.zeros(len(n))
     tokens = float(lengths @ n)
     for _ in range(ROUNDS):
@@ -128,7 +140,7 @@ def cover(lengths: np.ndarray, n: np.ndarray, limit: int) -> dict[tuple, float]:
             if room <= 1e-6:
                 continue
             add = max(min(room, 1.0), STEP * room)
-            key = tuple(zip(own[k].tolist(), column[k].tolist(), strict=True))
+            key = _key(own[k], column[k])
             used[key] = used.get(key, 0.0) + add
             free[some[k]] -= add * column[k]
             covered[some[k]] += add * column[k]
@@ -168,11 +180,14 @@ def fillings(histogram: dict[int, int], limit: int = LIMIT) -> tuple[list[tuple[
         before, full = len(plan), reach(lengths, left[lengths], limit)
         for up in (0, 1):  # whole parts first, then what is left of the largest fractions
             for key, x in sorted(used.items(), key=lambda kv: (-(kv[1] if up == 0 else kv[1] % 1), kv[0])):
-                times = min(int(x + 1e-6) if up == 0 else int(x % 1 > 1e-6 and x % 1 < 1 - 1e-6), *(int(left[k] // v) for k, v in key))
-                longest = key[-1][0]
-                if times > 0 and sum(k * v for k, v in key) >= longest + full[limit - longest] - SLACK:
-                    plan.append((times, dict(key)))
-                    for k, v in key:
+                most = int(x + 1e-6) if up == 0 else int(x % 1 > 1e-6 and x % 1 < 1 - 1e-6)
+                if not most:
+                    continue
+                filling = _filling(key)
+                times, longest = min(most, *(int(left[k] // v) for k, v in filling.items())), max(filling)
+                if times > 0 and sum(k * v for k, v in filling.items()) >= longest + full[limit - longest] - SLACK:
+                    plan.append((times, filling))
+                    for k, v in filling.items():
                         left[k] -= times * v
         if len(plan) == before:
             break
