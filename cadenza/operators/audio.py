@@ -102,8 +102,8 @@ def found_channels(rows: DataFrame, channel: str, most: int = 256) -> list:
 def wide_found(rows: DataFrame, key: list[str], time: str, channel: str, metrics: list[str], most: int = 256, block: int = 4096, prefix: str = "chan") -> DataFrame:
     """``wide`` for channels not known beforehand: a pass finds them and shapes the schema, then each block of ``block`` times is laid out as columns by one task.
 
-    ``time`` is a whole number. The columns are doubles, null where a channel lacks the time; of several values for one cell the greatest is
-    kept. Also returned in the names' order: chan1 is the least channel. A wide table of many channels is no longer an expression a column.
+    ``time`` is a whole number; rows without one are left out. chan1 is the least channel. The columns are doubles, null where a channel
+    lacks the time; of several values for one cell the greatest is kept.
     """
     channels = found_channels(rows, channel, most)
     names = [f"{prefix}{c + 1}_{m}" for c in range(len(channels)) for m in metrics]
