@@ -1,7 +1,7 @@
 """Best-fit packing (operator 4): a configuration linear program over the length histogram.
 
 Documents are encoded, ended with one end id and cut into pieces of at most ``limit`` tokens. What goes
-to the driver is the histogram of piece lengths, at most ``limit`` counts whatever the corpus. There the
+to the driver is the histogram of piece lengths, at most ``limit`` counts whatever the corpus. In a task of its own the
 covering program "choose how often to use each way to fill a sequence, so that every length is used as
 often as it occurs, with the fewest sequences" is solved by multiplicative weights: each round prices
 the lengths by their tokens, times a weight that falls with their coverage, and a bounded knapsack dynamic program over
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,7 +56,7 @@ PIECES = T.StructType(
 
 def cut_documents(documents: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """The pieces of every document: doc_id, piece, start, length, ids_crc32 (no ids; they can be encoded again)."""
-    table = documents.sparkSession.sparkContext.broadcast(frequent(documents, WordEncoder(path)))
+    table = documents.sparkSession.sparkContext.broadcast(frequent(documents, WordEncoder, path))
     end = np.array([END], "<u4")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,12 +237,24 @@ def places(plan: list[tuple[int, dict[int, int]]]) -> dict[str, np.ndarray]:
     return dict(zip(("length", "first", "sequence", "per", "offset"), cols, strict=True))
 
 
+def planned(spark: SparkSession, histogram: dict[int, int], limit: int = LIMIT) -> dict[str, np.ndarray]:
+    """The places of the histogram's fillings. A task solves the program, so that the driver holds the plan alone."""
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {k: n for batch in batches for k, n in zip(*(c.to_pylist() for c in batch.columns), strict=True)}
+        yield pa.RecordBatch.from_pydict(places(fillings(counts, limit)[0]))
+
+    counts = spark.createDataFrame(list(histogram.items()), "length long, n long").coalesce(1)
+    plan = counts.mapInArrow(solve, "length long, first long, sequence long, per long, offset long").toArrow()
+    return {c: plan[c].to_numpy() for c in plan.column_names}
+
+
 def pack_documents(documents: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """Every piece's place: the columns of PIECES, sequence_id and offset."""
     spark = documents.sparkSession
     pieces = materialize(cut_documents(documents, path, limit), "pieces")
     histogram = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    plan = spark.sparkContext.broadcast(places(fillings(histogram, limit)[0]))
+    plan = spark.sparkContext.broadcast(planned(spark, histogram, limit))
 
     @F.pandas_udf("sequence_id long, offset long")
     def place(length: pd.Series, number: pd.Series) -> pd.DataFrame:

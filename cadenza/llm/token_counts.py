@@ -30,6 +30,7 @@ counted each; other columns are not read.
 from __future__ import annotations
 
 import os
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -74,11 +75,12 @@ _ONE = re.compile("[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@[-`{-~]+")
 _WORKER: dict[tuple, _Cached] = {}
 
 
-def in_worker(make, path: str, table: Table) -> _Cached:
+def in_worker(make, path: str, table: Table | None = None) -> _Cached:
     """This Python worker's encoder; its cache, of at most CACHE bytes, outlives a task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are what runs in parallel
     if (make, path) not in _WORKER:
-        _WORKER[make, path] = make(path, table)
+        _WORKER[make, path] = make(path)
+    _WORKER[make, path].table = table or Table()
     return _WORKER[make, path]
 
 
@@ -442,14 +444,24 @@ class WordEncoder(_Cached):
         yield from upto(len(column))
 
 
-def frequent(documents: DataFrame, encoder: _Cached) -> Table:
+def frequent(documents: DataFrame, make, path: str) -> Table:
     """What the most frequent pre-tokens of a bounded sample encode to.
 
     The sample is the first SAMPLE_DOCS documents of at most SAMPLE_BYTES that the scan meets; ``take`` reads
-    no more partitions than it needs. At most SAMPLE_DOCS * SAMPLE_BYTES bytes come to the driver.
+    no more partitions than it needs. At most SAMPLE_DOCS * SAMPLE_BYTES bytes come to the driver. A task encodes
+    them, as the driver's memory is no place for a vocabulary.
     """
     rows = documents.select(F.col("text").cast("string").alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES).take(SAMPLE_DOCS)
-    return encoder.frequent(pa.array([r["text"] for r in rows], pa.string())) if encoder.splits else Table()
+    if not rows:
+        return Table()
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, texts = in_worker(make, path), [t for batch in batches for t in batch.column(0).to_pylist()]
+        found = encoder.frequent(pa.array(texts, pa.string())) if encoder.splits else Table()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(found)], pa.binary())], names=["found"])
+
+    sample = documents.sparkSession.createDataFrame([(r["text"],) for r in rows], "text string").coalesce(1)
+    return pickle.loads(sample.mapInArrow(encode, "found binary").collect()[0]["found"])
 
 
 COUNTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
@@ -460,7 +472,7 @@ def count_tokens(documents: DataFrame, path: str) -> DataFrame:
 
     The vocabulary file must be at that path on every worker, as an installed package has it.
     """
-    table = documents.sparkSession.sparkContext.broadcast(frequent(documents, PieceCounter(path)))
+    table = documents.sparkSession.sparkContext.broadcast(frequent(documents, PieceCounter, path))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = in_worker(PieceCounter, path, table.value)

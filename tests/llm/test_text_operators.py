@@ -369,6 +369,26 @@ def test_op4_packs_every_piece(spark, write, corpus):
     assert len(by) <= -(-sum(r.length for r in rows) // 4096) + 1
 
 
+def test_the_driver_encodes_and_solves_nothing(spark, corpus, monkeypatch):
+    """Its memory holds neither a vocabulary nor the program's fillings: both are made in tasks."""
+    import public_tokenizers
+
+    def fails(*_):
+        raise AssertionError("in the driver")
+
+    path, docs = public_tokenizers.path("word_bpe_49k.json"), spark.createDataFrame(corpus, DOCS)
+    histogram = {int(r["length"]): r["count"] for r in packing.cut_documents(docs, path).groupBy("length").count().collect()}
+    wanted = packing.places(packing.fillings(histogram)[0])
+    n = token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).agg(F.sum("n_tokens")).first()[0]
+    for owner, name in ((token_counts.WordEncoder, "__init__"), (token_counts.PieceCounter, "__init__"), (packing, "cover"), (packing, "best_fit")):
+        monkeypatch.setattr(owner, name, fails)
+    got = packing.planned(spark, histogram)
+    assert sorted(got) == sorted(wanted) and all((got[k] == wanted[k]).all() for k in wanted)
+    assert packing.pack_documents(docs, path).count() == sum(histogram.values())
+    assert token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).agg(F.sum("n_tokens")).first()[0] == n
+    assert len(packing.planned(spark, {})["length"]) == 0
+
+
 def test_fillings_use_each_piece_once():
     rng = np.random.default_rng(3)
     h = {int(k): int(v) for k, v in zip(*np.unique(np.clip(rng.lognormal(4, 1, 4000).astype(int), 1, 512), return_counts=True))}
