@@ -35,11 +35,12 @@ def materialize(df: DataFrame, name: str = "step", by: tuple[str, ...] = ()) ->
     """Write ``df`` once as Parquet in the shared folder (a folder for each value of the columns ``by``) and read it back.
 
     The copy survives the loss of any executor, and what reads it has no lineage
-    behind it. The files go with ``release``, or when the driver ends.
+    behind it. The files go with ``release``, or when the driver ends. There is no mark of success, as only this process reads
+    them once they are whole: on a local store each file made by the driver starts a process, which shares the driver's memory at first.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.partitionBy(*by).parquet(path)
+    df.write.partitionBy(*by).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.__dict__["_written"] = path
     return out

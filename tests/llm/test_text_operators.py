@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontaminate, graph, jaccard, packing, pii, queries, shards, token_counts
+from cadenza.llm import decontaminate, graph, jaccard, packing, pii, queries, scratch, shards, token_counts
 
 DOCS = "doc_id long, text string"
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -389,6 +389,16 @@ def test_the_driver_encodes_and_solves_nothing(spark, corpus, monkeypatch):
     assert len(packing.planned(spark, {})["length"]) == 0
 
 
+def test_scratch_tables_hold_no_file_of_the_driver(spark):
+    df = scratch.materialize(spark.range(10).toDF("n"), "plain")
+    folder = df.__dict__["_written"].removeprefix("file://").removeprefix("file:")
+    files = os.listdir(folder)
+    assert files and all(f.lstrip(".").startswith("part-") for f in files)
+    assert sorted(r.n for r in df.collect()) == list(range(10))
+    scratch.release(df)
+    assert not os.path.exists(folder)
+
+
 def test_fillings_use_each_piece_once():
     rng = np.random.default_rng(3)
     h = {int(k): int(v) for k, v in zip(*np.unique(np.clip(rng.lognormal(4, 1, 4000).astype(int), 1, 512), return_counts=True))}
