@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,9 +23,15 @@ def frame_length(sample_rate: int) -> int:
 
 
 def frame_levels(samples: DataFrame, key: list[str], n: str, value: str, length: int, sample_rate: int) -> DataFrame:
-    """One row a frame of ``length`` samples (the last may be short): frame_idx, time_sec, n_samples, rms, energy."""
+    """One row a frame of ``length`` samples (the last may be short): frame_idx, time_sec, n_samples, rms, energy.
+
+    Squares are added in the order of ``n``, so that an energy has the same bits however the samples are dealt over tasks.
+    """
     v = F.col(value)
-    out = samples.groupBy(*key, F.floor(F.col(n) / length).cast("long").alias("frame_idx")).agg(F.count("*").alias("n_samples"), F.sum(v * v).alias("energy"))
+    rows = samples.select(*key, F.floor(F.col(n) / length).cast("long").alias("frame_idx"), F.col(n).alias("_n"), (v * v).alias("_square"))
+    upto = Window.partitionBy(*key, "frame_idx").orderBy("_n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A running sum of squares never falls: its last value is its greatest.
+    out = rows.withColumn("_energy", F.sum("_square").over(upto)).groupBy(*key, "frame_idx").agg(F.count("*").alias("n_samples"), F.max("_energy").alias("energy"))
     return out.select(*key, "frame_idx", (F.col("frame_idx") * length / F.lit(float(sample_rate))).alias("time_sec"), "n_samples", F.sqrt(F.col("energy") / F.col("n_samples")).alias("rms"), "energy")
 
 

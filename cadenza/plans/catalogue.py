@@ -47,8 +47,9 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def r(c: Column | str, places: int = 6) -> Column:
-    """Rounded as the oracle rounds; 0 has no sign."""
-    return F.round(c, places) + F.lit(0.0)
+    """Rounded as the oracle rounds: the double times 10**places, halves away from 0, not the number's decimal digits; 0 has no sign."""
+    scale = F.lit(10.0**places)
+    return F.round((F.col(c) if isinstance(c, str) else c) * scale, 0) / scale + F.lit(0.0)
 
 
 def big(c: Column) -> Column:
