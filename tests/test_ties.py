@@ -68,3 +68,10 @@ def test_flags_of_values_at_the_quantile(spark, tmp_path):
     events(tmp_path, {f"c{k}": rng.integers(1, 6, 62) / 10 for k in range(40)})  # means that are equal but for their last bits
     got, want = both(spark, tmp_path, "q_quantile_flags")
     assert got == want and len(got) == 2480
+
+
+def test_summary_counts_the_same_flags(spark, tmp_path):
+    rng = np.random.default_rng(0)
+    events(tmp_path, {f"c{k}": rng.integers(1, 6, 62) / 10 for k in range(40)})
+    got, want = both(spark, tmp_path, "q_summary")
+    assert got == want and len(got) == 40
